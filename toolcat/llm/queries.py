@@ -4,15 +4,27 @@ from __future__ import annotations
 
 from toolcat.llm.common import table
 from toolcat.llm.exact_dedup import exact_dedup
+from toolcat.llm.packing import pack
+from toolcat.llm.token_counts import token_counts
+
+
+def op6_packing(spark, sf_dir):
+    return pack(table(spark, sf_dir, "documents"))
 
 
 def op8_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_token_counts(spark, sf_dir):
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {
+        "op6_packing": op6_packing,
         "op8_exact_dedup": op8_exact_dedup,
+        "op9_token_counts": op9_token_counts,
     }
 
 
