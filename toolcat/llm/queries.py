@@ -5,9 +5,14 @@ from __future__ import annotations
 from toolcat.llm.common import table
 from toolcat.llm.exact_dedup import exact_dedup
 from toolcat.llm.packing import pack
+from toolcat.llm.simhash import simhash_groups
 from toolcat.llm.token_counts import token_counts
 
 
+def op2_simhash(spark, sf_dir):
+    return simhash_groups(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"))
 
@@ -22,6 +27,7 @@ def op9_token_counts(spark, sf_dir):
 
 def queries() -> dict:
     return {
+        "op2_simhash": op2_simhash,
         "op6_packing": op6_packing,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_token_counts": op9_token_counts,
