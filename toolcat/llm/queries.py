@@ -7,6 +7,12 @@ from toolcat.llm.exact_dedup import exact_dedup
 from toolcat.llm.packing import pack
 from toolcat.llm.simhash import simhash_groups
 from toolcat.llm.token_counts import token_counts
+from toolcat.llm.topk import exact_topk
+from toolcat.llm.toxicity import toxicity
+
+
+def op1_toxicity(spark, sf_dir):
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op2_simhash(spark, sf_dir):
@@ -17,6 +23,11 @@ def op6_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op7_topk(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return exact_topk(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
+
 def op8_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -27,8 +38,10 @@ def op9_token_counts(spark, sf_dir):
 
 def queries() -> dict:
     return {
+        "op1_toxicity": op1_toxicity,
         "op2_simhash": op2_simhash,
         "op6_packing": op6_packing,
+        "op7_topk": op7_topk,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_token_counts": op9_token_counts,
     }
@@ -36,6 +49,21 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op7_topk": """
+            WITH v AS (
+                SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+                FROM embeddings
+                WHERE embedding IS NOT NULL
+                  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            ), s AS (
+                SELECT q.vec_id AS query_id, c.vec_id,
+                       CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+                FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+            )
+            SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+            FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+            WHERE rank <= 10
+        """,
         "op8_exact_dedup": """
             SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
             FROM (SELECT doc_id, t, max(doc_id) OVER (PARTITION BY t) AS keep_id,
