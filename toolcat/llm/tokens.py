@@ -15,7 +15,7 @@ import numpy as np
 #: Words longer than this are encoded each time and not kept.
 LONG_WORD = 64
 #: Entries of each cache; it is emptied beyond that.
-CACHE_SIZE = 400_000
+CACHE_SIZE = 800_000
 
 # Characters that no normal form changes and whose lower case is one character, whatever stands next to them.
 _PLAIN = re.compile("[!-~¡-¬®-įı-ŷŹ-ž‐-‧‰-⁞€]*")
@@ -29,6 +29,13 @@ def split_words(text: str) -> list[str]:
     return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
 
+def _byte_letters() -> list[str]:
+    """The letter that byte-level models use for each byte: itself if it is printable, else one from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
+
+
 class WordEncoder:
     """``ids(words)`` gives each word's ids as little-endian unsigned 32-bit bytes."""
 
@@ -36,6 +43,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model  # without the steps that plain parts have behind them
+        self.letters = _byte_letters()
         self.cache_size = cache_size
         self.words: dict[str, bytes] = {"": b""}
         self.parts: dict[str, bytes] = {}
@@ -44,6 +53,12 @@ class WordEncoder:
         found = self.library.encode_batch(words, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
+    def _by_model(self, part: str) -> bytes:
+        """The ids of one part that is normal, lower case and isn't split."""
+        if not part.isascii():
+            part = "".join(map(self.letters.__getitem__, part.encode()))
+        return np.array([t.id for t in self.model.tokenize(part)], dtype="<u4").tobytes()
+
     def learn(self, words: set[str]) -> None:
         """Put all ``words`` that are missing into the cache."""
         missing = [w for w in words if w not in self.words]
@@ -61,7 +76,7 @@ class WordEncoder:
             else:
                 other.append(w)
         parts = [p for p in {p for ps in plain.values() for p in ps} if p not in self.parts]
-        self.parts.update(zip(parts, self._by_library(parts), strict=True))
+        self.parts.update((p, self._by_model(p)) for p in parts)
         get = self.parts.__getitem__
         for w, ps in plain.items():
             self.words[w] = get(ps[0]) if len(ps) == 1 else b"".join(map(get, ps))
