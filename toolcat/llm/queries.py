@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from toolcat.llm.common import table
 from toolcat.llm.exact_dedup import exact_dedup
+from toolcat.llm.html_text import main_text
 from toolcat.llm.line_dedup import line_dedup
 from toolcat.llm.packing import pack
 from toolcat.llm.simhash import simhash_groups
@@ -20,6 +21,10 @@ def op2_simhash(spark, sf_dir):
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_html_text(spark, sf_dir):
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op5_line_dedup(spark, sf_dir):
     return line_dedup(table(spark, sf_dir, "documents"))
 
@@ -45,6 +50,7 @@ def queries() -> dict:
     return {
         "op1_toxicity": op1_toxicity,
         "op2_simhash": op2_simhash,
+        "op3_html_text": op3_html_text,
         "op5_line_dedup": op5_line_dedup,
         "op6_packing": op6_packing,
         "op7_topk": op7_topk,
