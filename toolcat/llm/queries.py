@@ -7,6 +7,7 @@ from toolcat.llm.exact_dedup import exact_dedup
 from toolcat.llm.html_text import main_text
 from toolcat.llm.line_dedup import line_dedup
 from toolcat.llm.packing import pack
+from toolcat.llm.pii import pii
 from toolcat.llm.simhash import simhash_groups
 from toolcat.llm.token_counts import token_counts
 from toolcat.llm.topk import exact_topk
@@ -25,6 +26,10 @@ def op3_html_text(spark, sf_dir):
     return main_text(table(spark, sf_dir, "pages"))
 
 
+def op4_pii(spark, sf_dir):
+    return pii(table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark, sf_dir):
     return line_dedup(table(spark, sf_dir, "documents"))
 
@@ -51,6 +56,7 @@ def queries() -> dict:
         "op1_toxicity": op1_toxicity,
         "op2_simhash": op2_simhash,
         "op3_html_text": op3_html_text,
+        "op4_pii": op4_pii,
         "op5_line_dedup": op5_line_dedup,
         "op6_packing": op6_packing,
         "op7_topk": op7_topk,
