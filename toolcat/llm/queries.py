@@ -7,6 +7,7 @@ from toolcat.llm.exact_dedup import exact_dedup
 from toolcat.llm.html_text import main_text
 from toolcat.llm.line_dedup import line_dedup
 from toolcat.llm.packing import pack
+from toolcat.llm.pieces import sample_pieces
 from toolcat.llm.pii import pii
 from toolcat.llm.simhash import simhash_groups
 from toolcat.llm.token_counts import token_counts
@@ -51,6 +52,10 @@ def op9_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op10_sentencepiece(spark, sf_dir):
+    return sample_pieces(table(spark, sf_dir, "documents"), k=2, keep_ids=False)
+
+
 def queries() -> dict:
     return {
         "op1_toxicity": op1_toxicity,
@@ -62,6 +67,7 @@ def queries() -> dict:
         "op7_topk": op7_topk,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_token_counts": op9_token_counts,
+        "op10_sentencepiece": op10_sentencepiece,
     }
 
 
