@@ -188,3 +188,20 @@ def simhash_groups(docs: DataFrame, width: int = 3, radius: int = 3, seed: int =
     return join_groups(rows, groups, "fp", "copies", total).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def simhash_keep(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the one with its smallest ``doc_id``, and all rows without
+    an id; of rows that share an id that stays, the least."""
+    rows = materialize(simhash_groups(docs).select("doc_id", "component_id").filter("doc_id IS NOT NULL"), "groups")
+    ids = rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("stays"))
+    gone = ids.filter("stays = 0").select(F.col("doc_id").alias("_gone"))
+    kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    repeated = ids.filter("stays = 1 AND n > 1").select(F.col("doc_id").alias("_twice"))
+    if repeated.isEmpty():
+        return kept
+    columns = docs.columns
+    twice = kept.join(repeated, kept["doc_id"] == repeated["_twice"], "left_semi")
+    once = twice.groupBy(F.col("doc_id").alias("_key")).agg(F.min(F.struct(*(F.col(f"`{c}`") for c in columns))).alias("_row"))
+    single = kept.join(repeated, kept["doc_id"] == repeated["_twice"], "left_anti")
+    return single.unionByName(once.select(*(F.col(f"_row.`{c}`") for c in columns)))

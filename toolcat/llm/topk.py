@@ -76,6 +76,8 @@ def _select(base: DataFrame, ids: np.ndarray, asked: np.ndarray, k: int, scale:
     block = sc.broadcast((ids, asked))
     low, high = np.full(n, -bound, dtype=np.int64), np.full(n, bound + 1, dtype=np.int64)
     above, live = np.zeros(n, dtype=np.int64), np.ones(n, dtype=bool)
+    if bound >= _LONG // 4:  # too wide for sums of longs; each task's own k best are few enough
+        live[:], low[:] = False, -_LONG
     while live.any():
         width = np.maximum(1, -(-(high - low) // BINS))
         state = sc.broadcast((low, high, width, k - above, live))
@@ -147,7 +149,7 @@ def exact_topk(
     )
     norm = base.agg(F.max(largest(F.col("embedding")))).first()[0] or 0.0
     wide = asked.agg(F.max(largest(F.col("embedding"))), F.count("*")).first()
-    bound = int(min(_LONG / 4, np.sqrt(norm) * np.sqrt(wide[0] or 0.0) * 1.001 + 2))
+    bound = int(min(_LONG // 4, np.sqrt(norm) * np.sqrt(wide[0] or 0.0) * 1.001 + 2))
     blocks = max(1, -(-wide[1] // block))
     path = f"{shared_dir(spark)}/topk-{uuid.uuid4().hex}"
     schema = "query_id long, rank int, vec_id long, score long"
