@@ -18,14 +18,18 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toolcat.llm.common import materialize, text_or_empty
 
-#: Bounds: labelled examples, vocabulary words, neighbours that vote, examples in a block of postings.
-EXAMPLES, TERMS, NEIGHBOURS, BLOCK = 20_000, 1024, 25, 64
+#: Bounds: labelled examples, vocabulary words, neighbours that vote, examples in a block of postings, and words of
+#: toxic examples that may enter the vocabulary.
+EXAMPLES, TERMS, NEIGHBOURS, BLOCK, CANDIDATES = 20_000, 1024, 25, 64, 50_000
+#: Blocks that are scored first, to learn what the others have to reach.
+FIRST = 8
 #: A word belongs to the vocabulary from this log-likelihood ratio and this ratio of its rates on.
 MIN_LLR, MIN_RATIO = 20.0, 3.0
 
@@ -36,14 +40,27 @@ _WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum
 _PREFIXES = (4, 5, 6, 7)
 
 
-def features(text: str, known: frozenset | None = None) -> Counter:
-    """How often each word occurs, and each start of words in some bytes (marked ``^``); only those ``known``."""
-    found: Counter = Counter()
-    for w, n in Counter(text.lower().encode().translate(_WORD_BYTES).split()).items():
-        for f in (w, *(b"^" + w[:k] for k in _PREFIXES if len(w) >= k)):
-            if known is None or f in known:
+class Features:
+    """How often each word of a text occurs, and each start of words in some bytes (marked ``^``)."""
+
+    def __init__(self, known: frozenset | None = None):
+        """known: the features that are looked for, all if None."""
+        self.known, self.of = known, {}
+
+    def __call__(self, text: str) -> Counter:
+        found: Counter = Counter()
+        of, known = self.of, self.known
+        for w, n in Counter(text.lower().encode().translate(_WORD_BYTES).split()).items():
+            if (own := of.get(w)) is None:
+                own = (w, *(b"^" + w[:k] for k in _PREFIXES if len(w) >= k))
+                if known is not None:
+                    own = tuple(f for f in own if f in known)
+                    if len(of) > 500_000:
+                        of.clear()
+                    of[w] = own
+            for f in own:
                 found[f] += n
-    return found
+        return found
 
 
 def held_out(doc_id: Column) -> Column:
@@ -69,20 +86,25 @@ def vocabulary(sample: DataFrame, limit: int = TERMS) -> list[bytes]:
     if not bad or not good:
         return []
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: tuple[Counter, Counter] = (Counter(), Counter())
-        for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen[toxic].update(features(text).keys())
-        terms = list(seen[1])  # others can't be chosen
-        columns = [pa.array([seen[t][w] for w in terms], pa.int64()) for t in (1, 0)]
-        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.binary()), *columns], names=["term", "bad", "good"])
-        rest = [w for w in seen[0] if w not in seen[1]]
-        columns = [pa.array([0] * len(rest), pa.int64()), pa.array([seen[0][w] for w in rest], pa.int64())]
-        yield pa.RecordBatch.from_arrays([pa.array(rest, pa.binary()), *columns], names=["term", "bad", "good"])
-
-    found = sample.select("text", "toxic").mapInArrow(count, "term binary, bad long, good long")
-    found = found.groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    def count(rows: DataFrame, known: frozenset | None) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen, features = Counter(), Features(known)
+            for batch in batches:
+                for text in batch.column(0).to_pylist():
+                    seen.update(features(text).keys())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["term", "n"]
+            )
+
+        return rows.select("text").mapInArrow(run, "term binary, n long").groupBy("term").agg(F.sum("n").alias("n"))
+
+    # What few toxic examples hold can't reach MIN_LLR; of the rest, the CANDIDATES most frequent are considered.
+    usual = count(sample.filter("toxic = 1"), None).filter(F.col("n") >= 3).orderBy(F.desc("n"), "term").limit(CANDIDATES)
+    usual = {bytes(r["term"]): r["n"] for r in usual.collect()}
+    clean = count(sample.filter("toxic = 0"), frozenset(usual))
+    found = clean.withColumnRenamed("n", "good").join(
+        F.broadcast(sample.sparkSession.createDataFrame(list(usual.items()), "term binary, bad long")), "term", "right"
+    ).fillna(0, ["good"])
 
     def part(n: Column, of: int, other: Column) -> Column:  # n log(n / expected)
         expected = (n + other) * (of / (bad + good))
@@ -100,10 +122,10 @@ def document_frequencies(docs: DataFrame, terms: list[bytes]) -> dict[bytes, int
     vocab = frozenset(terms)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        seen, features = Counter(), Features(vocab)
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                seen.update(features(text, vocab).keys())
+                seen.update(features(text).keys())
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["term", "n"]
         )
@@ -124,6 +146,7 @@ class BlockMaxIndex:
                 lists[t].append((i, w))
         self.docs = [np.array([i for i, _ in x], dtype=np.int64) for x in lists]
         self.weights = [np.array([w for _, w in x]) for x in lists]
+        self.at = [x // block for x in self.docs]
         self.maxima = []
         for docs, weights in zip(self.docs, self.weights, strict=True):
             most = np.zeros(self.blocks)
@@ -135,30 +158,35 @@ class BlockMaxIndex:
         bounds = np.zeros(self.blocks)
         for t, w in query.items():
             bounds += w * self.maxima[t]
-        best_i, best_s = np.zeros(0, dtype=np.int64), np.zeros(0)
         order = np.argsort(-bounds, kind="stable")
-        step = 8
-        for at in range(0, len(order), step):
-            part = order[at : at + step]
-            part = part[bounds[part] > 0]
-            if len(best_s) == k:
-                part = part[bounds[part] * (1 + 1e-12) >= best_s[-1]]
-            if not len(part):
-                break
-            sums = np.zeros((len(part), self.block))
-            for t, w in query.items():
-                docs, weights = self.docs[t], self.weights[t]
-                starts = np.searchsorted(docs, part * self.block)
-                stops = np.searchsorted(docs, (part + 1) * self.block)
-                for row, (a, b) in enumerate(zip(starts, stops, strict=True)):
-                    sums[row, docs[a:b] % self.block] += w * weights[a:b]
-            row, col = np.nonzero(sums)
-            i, s = part[row] * self.block + col, sums[row, col]
-            i, s = np.concatenate([best_i, i[i != leave_out]]), np.concatenate([best_s, s[i != leave_out]])
+        best_i, best_s = self._best(query, order[:FIRST], k, leave_out)
+        # Only blocks whose bound reaches the k-th best so far can change it.
+        least = best_s[-1] if len(best_s) == k else 0.0
+        rest = order[FIRST:]
+        rest = rest[(bounds[rest] > 0) & (bounds[rest] * (1 + 1e-12) >= least)]
+        if len(rest):
+            i, s = self._best(query, rest, k, leave_out)
+            i, s = np.concatenate([best_i, i]), np.concatenate([best_s, s])
             keep = np.lexsort((i, -s))[:k]
             best_i, best_s = i[keep], s[keep]
         return best_i, best_s
 
+    def _best(self, query: dict[int, float], blocks: np.ndarray, k: int, leave_out: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k best examples of some blocks."""
+        alive = np.zeros(self.blocks, dtype=bool)
+        alive[blocks] = True
+        sums = np.zeros(len(self.labels))
+        for t, w in query.items():
+            some = alive[self.at[t]]
+            sums[self.docs[t][some]] += w * self.weights[t][some]
+        if leave_out >= 0:
+            sums[leave_out] = 0.0
+        i = np.flatnonzero(sums)
+        if len(i) > k:  # the k-th value, then all that reach it, so that ties stay exact
+            i = i[sums[i] >= np.partition(sums[i], len(i) - k)[len(i) - k]]
+        keep = np.lexsort((i, -sums[i]))[:k]
+        return i[keep], sums[i[keep]]
+
 
 class Scorer:
     """Vocabulary, index and calibration: all that a task needs, of bounded size."""
@@ -166,7 +194,7 @@ class Scorer:
     def __init__(self, terms: list[bytes], idf: np.ndarray, rows: list[tuple], k: int = NEIGHBOURS):
         """rows: id, label and feature counts of each example."""
         self.number = {t: i for i, t in enumerate(terms)}
-        self.known = frozenset(terms)
+        self.features = Features(frozenset(terms))
         self.idf, self.k = idf, k
         rows = sorted(rows, key=lambda r: str(r[0]))
         empty = [label for _, label, counts in rows if not counts]
@@ -188,7 +216,7 @@ class Scorer:
         return float((weights @ self.index.labels[at] + self.base) / (weights.sum() + 1))
 
     def counts(self, text: str) -> dict[int, int]:
-        return {self.number[f]: n for f, n in features(text, self.known).items()}
+        return {self.number[f]: n for f, n in self.features(text).items()}
 
     def score(self, counts: dict[int, int]) -> tuple[float, list]:
         if not counts:
@@ -220,8 +248,9 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES) -> Scorer:
     number, known = {t: i for i, t in enumerate(terms)}, frozenset(terms)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = Features(known)
         for batch in batches:
-            found = [{number[f]: n for f, n in features(t, known).items()} for t in batch.column(1).to_pylist()]
+            found = [{number[f]: n for f, n in features(t).items()} for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array([list(c.items()) for c in found], pa.map_(pa.int32(), pa.int32()))],
                 names=["doc_id", "toxic", "counts"],
@@ -264,3 +293,14 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return score(docs, fit(docs, labels))
+
+
+def toxic_flag(docs: DataFrame, scorer: Scorer) -> DataFrame:
+    """``docs`` with a last column ``_toxic``: 1 where the score of ``text`` is 0.5 or more, else 0."""
+    model = docs.sparkSession.sparkContext.broadcast(scorer)
+
+    @F.pandas_udf("int")
+    def flag(texts: pd.Series) -> pd.Series:
+        return pd.Series([int(model.value.score(model.value.counts(t))[0] >= 0.5) for t in texts], dtype="int32")
+
+    return docs.withColumn("_toxic", flag(text_or_empty()))
