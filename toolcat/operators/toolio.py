@@ -24,10 +24,11 @@ def data_inputs(io: DataFrame, depth: int = DEPTH) -> DataFrame:
         rows = level.select("tool_id", "at", F.posexplode("items").alias("i", "item"))
         rows = rows.select("tool_id", F.concat("at", F.array("i")).alias("place"), F.from_json("item", _PORT).alias("p"))
         found.append(rows.filter(F.col("p.type").isin("data", "data_collection")).select("tool_id", "place", "p.name", "p.type", "p.extensions", "p.collection_types"))
-        sections = rows.filter("p.type = 'section'").select("tool_id", F.col("place").alias("at"), F.col("p.inputs").alias("items"))
-        cases = rows.filter("p.type = 'conditional'").select("tool_id", "place", F.posexplode("p.cases").alias("c", "case"))
-        cases = cases.select("tool_id", F.concat("place", F.array("c")).alias("at"), F.from_json(F.get_json_object("case", "$.inputs"), _ITEMS).alias("items"))
-        level = sections.unionByName(cases)
+        case = F.transform("p.cases", lambda c, i: F.struct(
+            F.concat("place", F.array(i)).alias("at"), F.from_json(F.get_json_object(c, "$.inputs"), _ITEMS).alias("items")))
+        section = F.array(F.struct(F.col("place").alias("at"), F.col("p.inputs").alias("items")))
+        below = F.when(F.col("p.type") == "section", section).when(F.col("p.type") == "conditional", case)
+        level = rows.select("tool_id", F.explode(below).alias("b")).select("tool_id", "b.at", "b.items")
     return reduce(DataFrame.unionByName, found)
 
 

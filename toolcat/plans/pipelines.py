@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,14 +44,14 @@ def crawl_repositories(listing: DataFrame, tree: DataFrame, contents: DataFrame,
     seeded = ledger.seed(state, repotree.unique_repositories(listing), now)
     folders = repotree.tool_folders(tree)
     todo = ledger.pending(folders.select(F.col("folder_url").alias("url")), seeded)
-    due = folders.join(todo.withColumnRenamed("url", "folder_url"), "folder_url", "left_semi")
+    due = folders.join(todo.withColumnRenamed("url", "folder_url"), "folder_url", "left_semi").persist(StorageLevel.DISK_ONLY)
     files = repotree.crawl(tree).join(due.select(*repotree.REPO, F.col("folder").alias("dir"), "folder_url"), [*repotree.REPO, "dir"])
     texts = files.join(contents.select(*repotree.REPO, "dir", "name", "content"), [*repotree.REPO, "dir", "name"])
     place = [*repotree.REPO, "dir", "path"]
     good, bad = resolve.tools(texts.select(*place, "content"), contents)
-    good = good.join(files.select(*place, "folder_url"), place)
+    good = good.join(files.select(*place, "folder_url"), place).persist(StorageLevel.DISK_ONLY)  # parsed once, used below
     none = good.select(F.col("folder_url").alias("url"), F.lit(None).cast("string").alias("error_code")).limit(0)
-    found = ledger.outcomes(good.select(F.col("folder_url").alias("url")), none)
+    found = ledger.outcomes(good.select(F.col("folder_url").alias("url")), none).persist(StorageLevel.DISK_ONLY)
     idle = due.select(F.col("folder_url").alias("url")).join(found.select("url"), "url", "left_anti")
     found = found.unionByName(idle.select("url", F.lit(0).cast("bigint").alias("tools"), F.lit(None).cast("string").alias("error_code")))
     return {"tools": good, "errors": bad, "ledger": ledger.transition(seeded, found, now)}
