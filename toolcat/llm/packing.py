@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from toolcat.llm.common import text_or_empty
-from toolcat.llm.tokens import encoder, split_words, tokenizer_path
+from toolcat.llm.tokens import TEXTS, encoder, split_words, tokenizer_path
 
 #: Documents to a group: what one task holds, and what bounds its padding to about a window in GROUP / 5.
 GROUP = 4096
@@ -35,34 +36,41 @@ def differencing(lengths: np.ndarray, windows: int) -> list[list[int]]:
     n = len(lengths)
     left, right = list(range(n)), [-1] * n  # nodes: the pieces, then unions of two nodes
 
-    def single(i: int) -> tuple[np.ndarray, np.ndarray]:
-        sums, nodes = np.zeros(windows, dtype=np.int64), np.full(windows, -1, dtype=np.int64)
-        sums[0], nodes[0] = lengths[i], i
-        return sums, nodes
+    def union(a: int, b: int) -> int:
+        left.append(a)
+        right.append(b)
+        return len(left) - 1
 
-    heap: list = [(-int(x), i, i) for i, x in enumerate(lengths)]
+    # A partial partition: its windows' sums, negative and ascending, and their nodes; empty windows aren't listed.
+    heap: list = [(-int(x), i, [-int(x)], [i]) for i, x in enumerate(lengths)]
     heapq.heapify(heap)
     count = n
     while len(heap) > 1:
-        (_, _, a), (_, _, b) = heapq.heappop(heap), heapq.heappop(heap)
-        (sa, na), (sb, nb) = (single(x) if isinstance(x, int) else x for x in (a, b))
-        sums, other = sa + sb[::-1], nb[::-1]
-        both = (na >= 0) & (other >= 0)
-        nodes = np.where(na >= 0, na, other)
-        if both.any():
-            made = np.arange(len(left), len(left) + int(both.sum()))
-            left.extend(na[both].tolist())
-            right.extend(other[both].tolist())
-            nodes[both] = made
-        order = np.argsort(-sums, kind="stable")
-        sums, nodes = sums[order], nodes[order]
+        (_, _, sa, na), (_, _, sb, nb) = heapq.heappop(heap), heapq.heappop(heap)
+        if len(sa) < len(sb):
+            sa, na, sb, nb = sb, nb, sa, na
+        free = windows - len(sa)
+        if len(sb) == 1:
+            x, node = sb[0], nb[0]
+            if not free:  # to the emptiest window
+                x, node = x + sa.pop(), union(na.pop(), node)
+            at = bisect_right(sa, x)
+            sa.insert(at, x)
+            na.insert(at, node)
+        else:  # the fullest windows of the one join the emptiest of the other, empty ones first
+            sa += [0] * free
+            na += [-1] * free
+            for x, node, at in zip(sb, nb, range(windows - 1, -1, -1), strict=False):
+                sa[at] += x
+                na[at] = node if na[at] < 0 else union(na[at], node)
+            order = sorted((i for i in range(windows) if na[i] >= 0), key=sa.__getitem__)
+            sa, na = [sa[i] for i in order], [na[i] for i in order]
         count += 1
-        heapq.heappush(heap, (-int(sums[0] - sums[-1]), count, (sums, nodes)))
-    last = heap[0][2] if heap else None
-    nodes = (single(last) if isinstance(last, int) else last)[1] if heap else []
+        spread = sa[0] - (sa[-1] if len(sa) == windows else 0)
+        heapq.heappush(heap, (spread, count, sa, na))
     out = []
-    for node in nodes:
-        todo, own = [int(node)] if node >= 0 else [], []
+    for node in heap[0][3] if heap else []:
+        todo, own = [node], []
         while todo:
             x = todo.pop()
             if x < n:
@@ -93,8 +101,10 @@ def pieces(docs: DataFrame, capacity: int, end_id: int, path: str) -> DataFrame:
         enc = encoder(path)
         for batch in batches:
             at, rows = [], []
-            for i, (doc_id, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
-                ids = b"".join(enc.ids(split_words(text))) + end
+            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            coded = (x for k in range(0, len(texts), TEXTS) for x in enc.ids([split_words(t) for t in texts[k : k + TEXTS]]))
+            for i, (doc_id, words) in enumerate(zip(keys, coded, strict=True)):
+                ids = b"".join(words) + end
                 n = len(ids) // 4
                 starts = list(range(0, n, capacity))
                 if n % capacity and zlib.crc32(f"{doc_id} {zlib.crc32(ids)}".encode()) % FILLERS == 0:

@@ -18,15 +18,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toolcat.llm.common import text_or_empty
-from toolcat.llm.tokens import encoder, split_words, tokenizer_path
+from toolcat.llm.tokens import TEXTS, encoder, split_words, tokenizer_path
 
 
-def word_prefixes(text: str, path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ends of the words in characters, and the token counts of the prefixes that end there."""
-    words = split_words(text)
-    counts = np.cumsum(np.fromiter(map(len, encoder(path).ids(words)), dtype=np.int64, count=len(words)) // 4)
-    ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
-    return ends, counts
+def word_prefixes(texts: list[str], path: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each text the ends of its words in characters, and the token counts of the prefixes that end there."""
+    for at in range(0, len(texts), TEXTS):
+        split = list(map(split_words, texts[at : at + TEXTS]))
+        for words, ids in zip(split, encoder(path).ids(split), strict=True):
+            counts = np.cumsum(np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4)
+            yield np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1, counts
 
 
 def character_prefixes(text: str, path: str) -> np.ndarray:
@@ -34,7 +35,7 @@ def character_prefixes(text: str, path: str) -> np.ndarray:
     enc, out, before = encoder(path), np.zeros(len(text) + 1, dtype=np.int64), 0
     at = 0
     for word in split_words(text):
-        inside = [len(x) // 4 for x in enc.ids([word[:k] for k in range(1, len(word) + 1)])]
+        inside = [len(x) // 4 for x in enc.ids([[word[:k] for k in range(1, len(word) + 1)]])[0]]
         out[at + 1 : at + 1 + len(word)] = np.array(inside, dtype=np.int64) + before
         before += inside[-1] if inside else 0
         at += len(word)
@@ -53,8 +54,8 @@ def token_counts(docs: DataFrame, limit: int = 2048, path: str | None = None) ->
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             total, within = [], []
-            for text in batch.column(1).to_pylist():
-                ends, counts = word_prefixes(text, path)
+            texts = batch.column(1).to_pylist()
+            for text, (ends, counts) in zip(texts, word_prefixes(texts, path), strict=True):
                 n = int(counts[-1])
                 total.append(n)
                 if n <= limit:
@@ -88,7 +89,7 @@ def prefix_counts(docs: DataFrame, level: str = "word", path: str | None = None)
                     c = character_prefixes(text, path)
                     e = np.arange(len(c))
                 else:
-                    e, c = word_prefixes(text, path)
+                    e, c = next(word_prefixes([text], path))
                 ends.append(e)
                 counts.append(c)
             lists = [pa.array(x, pa.list_(pa.int64())) for x in (ends, counts)]

@@ -14,8 +14,10 @@ import numpy as np
 
 #: Words longer than this are encoded each time and not kept.
 LONG_WORD = 64
-#: Entries of each cache; it is emptied beyond that.
-CACHE_SIZE = 800_000
+#: Entries of each cache; beyond that it begins anew, and the old one serves until the next time.
+CACHE_SIZE = 500_000
+#: Texts whose words are looked up together.
+TEXTS = 64
 
 # Characters that no normal form changes and whose lower case is one character, whatever stands next to them.
 _PLAIN = re.compile("[!-~¡-¬®-įı-ŷŹ-ž‐-‧‰-⁞€]*")
@@ -37,7 +39,7 @@ def _byte_letters() -> list[str]:
 
 
 class WordEncoder:
-    """``ids(words)`` gives each word's ids as little-endian unsigned 32-bit bytes."""
+    """Words' ids, kept in two generations of a cache."""
 
     def __init__(self, path: str, cache_size: int = CACHE_SIZE):
         from tokenizers import Tokenizer
@@ -47,7 +49,9 @@ class WordEncoder:
         self.letters = _byte_letters()
         self.cache_size = cache_size
         self.words: dict[str, bytes] = {"": b""}
+        self.before: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.parts_before: dict[str, bytes] = {}
 
     def _by_library(self, words: list[str]) -> list[bytes]:
         found = self.library.encode_batch(words, add_special_tokens=False)
@@ -59,38 +63,43 @@ class WordEncoder:
             part = "".join(map(self.letters.__getitem__, part.encode()))
         return np.array([t.id for t in self.model.tokenize(part)], dtype="<u4").tobytes()
 
-    def learn(self, words: set[str]) -> None:
-        """Put all ``words`` that are missing into the cache."""
-        missing = [w for w in words if w not in self.words]
-        if not missing:
-            return
+    def _learn(self, missing: set[str]) -> None:
+        """Put words into the cache; those that left it last are still at hand."""
         if len(self.words) > self.cache_size:
-            self.words = {"": b""}
-            missing = list(words)
+            self.words, self.before = {"": b""}, self.words
         if len(self.parts) > self.cache_size:
-            self.parts = {}
+            self.parts, self.parts_before = {}, self.parts
         plain, other = {}, []
         for w in missing:
-            if _PLAIN.fullmatch(w) and "<|" not in w:
+            if (known := self.before.get(w)) is not None:
+                self.words[w] = known
+            elif _PLAIN.fullmatch(w) and "<|" not in w:
                 plain[w] = _PART.findall(w.lower())
             else:
                 other.append(w)
-        parts = [p for p in {p for ps in plain.values() for p in ps} if p not in self.parts]
-        self.parts.update((p, self._by_model(p)) for p in parts)
-        get = self.parts.__getitem__
+        parts, before = self.parts, self.parts_before
+        for p in {p for ps in plain.values() for p in ps}.difference(parts):
+            known = before.get(p)
+            parts[p] = self._by_model(p) if known is None else known
+        get = parts.__getitem__
         for w, ps in plain.items():
             self.words[w] = get(ps[0]) if len(ps) == 1 else b"".join(map(get, ps))
         self.words.update(zip(other, self._by_library(other), strict=True))
 
-    def ids(self, words: list[str]) -> list[bytes]:
-        distinct = set(words)
-        long = {w for w in distinct if len(w) > LONG_WORD}
-        self.learn(distinct - long if long else distinct)
-        if not long:
-            return list(map(self.words.__getitem__, words))
-        rare = list(long)
-        own = dict(zip(rare, self._by_library(rare), strict=True))
-        return [own[w] if len(w) > LONG_WORD else self.words[w] for w in words]
+    def ids(self, texts: list[list[str]]) -> list[list[bytes]]:
+        """The ids of each word of each text, little-endian unsigned 32-bit."""
+        missing = set().union(*texts).difference(self.words)
+        if missing:
+            self._learn(missing)
+            # The cache may have been emptied before they came.
+            if again := set().union(*texts).difference(self.words):
+                self._learn(again)
+        get = self.words.__getitem__
+        out = [list(map(get, words)) for words in texts]
+        for w in missing:
+            if len(w) > LONG_WORD:
+                self.words.pop(w, None)
+        return out
 
 
 _encoders: dict[str, WordEncoder] = {}
