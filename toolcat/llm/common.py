@@ -43,7 +43,10 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
     Keys that hold over 1/1000 of the ``total`` rows, of which there can be 1,000 at most, are broadcast; the
     others are spread evenly by an ordinary join.
     """
+    groups = materialize(groups, "joined")
     heavy = groups.filter(F.col(size) > F.lit(total * HEAVY_SHARE))
+    if heavy.isEmpty():
+        return rows.join(groups, key)
     light = groups.filter(F.col(size) <= F.lit(total * HEAVY_SHARE))
     return rows.join(F.broadcast(heavy), key).unionByName(
         rows.join(F.broadcast(heavy.select(key)), key, "left_anti").join(light, key)

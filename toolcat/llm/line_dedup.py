@@ -20,6 +20,7 @@ import re
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +51,7 @@ def windows(text: str, least: int = WINDOW) -> list[tuple[int, int, int]]:
         ends.append(len(text))
         nexts.append(len(text))
     lines = [text[a:b] for a, b in zip(starts, ends, strict=True)]
-    sizes = [max(len(x.split()), len(x) // CHARS_TO_WORD) for x in lines]
+    sizes = [max(x.count(" ") + 1, len(x) // CHARS_TO_WORD) for x in lines]
     total = np.concatenate([[0], np.cumsum(sizes)]) if sizes else np.zeros(1, dtype=np.int64)
     stops = np.searchsorted(total, total[:-1] + least).tolist()
     coded, digest = [x.encode() for x in lines], xxhash.xxh3_128_intdigest
@@ -109,6 +110,9 @@ def aligned(anchors: list[tuple]) -> list[tuple[int, int]]:
     spans: list[tuple[int, int]] = []
     for left in by_owner.values():
         left.sort()
+        if all(a[1] < b[1] for a, b in pairwise(left)):  # in the owner's order throughout
+            spans += [(a, n) for a, _, n in left]
+            continue
         while left:  # passages that were moved are aligned in a later round
             taken = set(patience([(a, b) for a, b, _ in left]))
             spans += [(left[i][0], left[i][2]) for i in taken]
