@@ -15,7 +15,7 @@ import numpy as np
 #: Words longer than this are encoded each time and not kept.
 LONG_WORD = 64
 #: Entries of each cache; beyond that it begins anew, and the old one serves until the next time.
-CACHE_SIZE = 500_000
+CACHE_SIZE = 350_000
 #: Texts whose words are looked up together.
 TEXTS = 64
 

@@ -55,7 +55,7 @@ class Features:
                 own = (w, *(b"^" + w[:k] for k in _PREFIXES if len(w) >= k))
                 if known is not None:
                     own = tuple(f for f in own if f in known)
-                    if len(of) > 500_000:
+                    if len(of) > 200_000:
                         of.clear()
                     of[w] = own
             for f in own:
