@@ -173,3 +173,18 @@ def test_boosted_trees_add_numbers_that_look_like_base_spans(spark):
 @pytest.mark.parametrize("html", ["<", "<p", "<!--", "<a b='", "</p></p>", "<script>", "<p>&#x110000;&bogus;&amp;"])
 def test_broken_markup_does_not_stop(html):
     html_text.extract(html_text.blocks(html), ["/body"])
+
+
+def test_toxicity_searches_by_all_words_with_few_labels(spark):
+    rng = random.Random(4)
+    words = [f"plain{i}" for i in range(200)]
+    text = lambda: " ".join(rng.choice(words) for _ in range(40))
+    docs = [(i, text() + (f" rare{i} odd{i}" if i % 6 == 0 else "")) for i in range(60)]
+    docs += [(1000 + i, docs[i][1]) for i in range(60)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int(i % 6 == 0)) for i in range(60)], "doc_id long, toxic int")
+    known = {r.doc_id for r in toxicity.examples(frame, marks).collect()}
+    rows = {r.doc_id: r for r in toxicity.toxicity(frame, marks).collect()}
+    for i in known:  # the tied vocabulary is empty, and still each copy finds its example
+        assert rows[1000 + i].evidence[0].doc_id == i and math.isclose(rows[1000 + i].evidence[0].cosine, 1.0, abs_tol=1e-6)
+    assert all(len(r.evidence) == 3 for r in rows.values())

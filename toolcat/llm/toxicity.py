@@ -1,12 +1,13 @@
 """Toxicity by the nearest labelled examples.
 
-Examples are a bounded sample of the labelled documents. The vocabulary holds the words, and starts of words, that
-the examples tie to the label; their document frequencies are counted over all documents. Every whole text becomes a TF-IDF vector over
-the vocabulary, and its nearest examples by cosine are found exactly: postings lie in blocks of examples with the
-largest weight of each, so blocks that can't reach the k-th best are passed over. The neighbours' votes, weighted
-by their distance, are calibrated on the examples themselves, each held against all others.
-
-Null texts count as empty. A text without vocabulary words gets the share of toxic examples among those without.
+Examples are a bounded sample of the labelled documents. Every whole text becomes a TF-IDF vector over all words of
+the examples, whose document frequencies are counted over all documents, and its nearest examples by cosine are found
+exactly: postings lie in blocks of examples with the largest weight of each, and lists are read, the rarest words
+first, until only a few examples of blocks whose bound reaches the k-th best are left. A second vector of the same
+kind holds only the words, and starts of words, that the examples tie to the label. The neighbours' votes, weighted by
+their distance, are weighed against each other and calibrated on the examples themselves, each held against all others.
+
+Null texts count as empty. A text that shares no word with an example gets the share of toxic ones among examples without words.
 Null ``doc_id``: scored like any other, never an example, ``held_out`` null. Repeated rows are scored each; a
 repeated id gives one example. Labels that are null are ignored. Without labels every score is zero. Other columns
 are never read; an empty table gives no rows.
@@ -14,23 +15,28 @@ are never read; an empty table gives no rows.
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toolcat.llm.common import materialize, text_or_empty
 
-#: Bounds: labelled examples, vocabulary words, neighbours that vote, examples in a block of postings, and words of
-#: toxic examples that may enter the vocabulary.
+#: Bounds: labelled examples, label-tied features, neighbours that vote, examples in a block of postings, and words of
+#: toxic examples that may become such features.
 EXAMPLES, TERMS, NEIGHBOURS, BLOCK, CANDIDATES = 20_000, 1024, 25, 64, 50_000
-#: Blocks that are scored first, to learn what the others have to reach.
-FIRST = 8
-#: A word belongs to the vocabulary from this log-likelihood ratio and this ratio of its rates on.
+#: Postings that are added first, to learn what the others have to reach, and candidates that are scored at once.
+FIRST, ENOUGH = 60_000, 1_000
+#: Lists of fewer postings are added together; lists with more than this part of the examples are written out.
+SHORT, DENSE = 500, 16
+#: A feature is tied to the label from this log-likelihood ratio and this ratio of its rates on.
 MIN_LLR, MIN_RATIO = 20.0, 3.0
 
 # ASCII letters in lower case and all bytes of other characters make words.
@@ -117,117 +123,292 @@ def vocabulary(sample: DataFrame, limit: int = TERMS) -> list[bytes]:
     return [bytes(r["term"]) for r in best.collect()]
 
 
-def document_frequencies(docs: DataFrame, terms: list[bytes]) -> dict[bytes, int]:
-    """How many of all documents hold each feature of the vocabulary."""
-    vocab = frozenset(terms)
+class Encoder:
+    """Texts as counts of words, numbered by their place among sorted hashes, and of label-tied features."""
+
+    def __init__(self, hashes: np.ndarray, tied: list[bytes]):
+        """hashes: the sorted hashes of all words of the examples; other words are passed over."""
+        self.hashes, self.tied, self.of = hashes, {t: i for i, t in enumerate(tied)}, {}
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "of": {}}
+
+    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, dict[int, int]]:
+        """Numbers of the words, ascending, how often each occurs, and the tied features likewise."""
+        words, of = Counter(text.lower().encode().translate(_WORD_BYTES).split()), self.of
+        if fresh := [w for w in words if w not in of]:
+            if len(of) + len(fresh) > 100_000:
+                of.clear()
+                fresh = list(words)
+            hashed = word_hashes(fresh)
+            at = np.minimum(np.searchsorted(self.hashes, hashed), max(0, len(self.hashes) - 1))
+            known = self.hashes[at] == hashed if len(self.hashes) else np.zeros(len(fresh), dtype=bool)
+            for w, i in zip(fresh, np.where(known, at, -1).tolist(), strict=True):
+                starts = (b"^" + w[:k] for k in _PREFIXES if len(w) >= k)
+                of[w] = i, tuple(self.tied[f] for f in (w, *starts) if f in self.tied)
+        ids, counts, tied = [], [], {}
+        for w, n in words.items():
+            i, own = of[w]
+            if i >= 0:
+                ids.append(i)
+                counts.append(n)
+            for f in own:
+                tied[f] = tied.get(f, 0) + n
+        order = np.argsort(np.array(ids, dtype=np.int32))
+        return np.array(ids, dtype=np.int32)[order], np.array(counts, dtype=np.int32)[order], tied
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), dtype=np.uint64, count=len(words))
+
+
+def example_words(sample: DataFrame) -> np.ndarray:
+    """The sorted hashes of all words of the examples."""
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                seen.update(text.lower().encode().translate(_WORD_BYTES).split())
+        yield pa.RecordBatch.from_arrays([pa.array(word_hashes(list(seen)).view(np.int64))], names=["h"])
+
+    found = sample.select("text").mapInArrow(distinct, "h long").distinct().toArrow()
+    return np.sort(found.column(0).to_numpy().view(np.uint64))
+
+
+def document_frequencies(docs: DataFrame, encoder: Encoder) -> tuple[np.ndarray, np.ndarray]:
+    """How many of all documents hold each word of the examples, and each tied feature."""
+    words, tied = len(encoder.hashes), len(encoder.tied)
+    model = docs.sparkSession.sparkContext.broadcast(encoder)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, features = Counter(), Features(vocab)
+        encoder, seen = model.value, np.zeros(words + tied, dtype=np.int64)
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                seen.update(features(text).keys())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["term", "n"]
-        )
+                ids, _, own = encoder(text)
+                seen[ids] += 1
+                for f in own:
+                    seen[words + f] += 1
+        some = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(seen[some])], names=["term", "n"])
 
-    found = docs.select(text_or_empty().alias("text")).mapInArrow(count, "term binary, n long")
-    return {bytes(r["term"]): r["n"] for r in found.groupBy("term").agg(F.sum("n").alias("n")).collect()}
+    found = docs.select(text_or_empty().alias("text")).mapInArrow(count, "term int, n long")
+    found = found.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(words + tied, dtype=np.int64)
+    out[found.column(0).to_numpy()] = found.column(1).to_numpy()
+    return out[:words], out[words:]
+
+
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The positions of several ranges, one after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
 
 
 class BlockMaxIndex:
-    """An inverted index over unit vectors, with the largest weight of each term in each block of examples."""
+    """An inverted index over unit vectors, with the largest weight of each term in each block of examples that
+    holds it."""
 
-    def __init__(self, vectors: list[dict[int, float]], labels: list[int], ids: list, terms: int, block: int = BLOCK):
+    def __init__(self, vectors: list, labels: list[int], ids: list, terms: int, block: int = BLOCK):
+        """vectors: terms and weights of each example, as two arrays or as a dict."""
         self.labels, self.ids, self.block = np.array(labels, dtype=np.float64), ids, block
         self.blocks = -(-len(vectors) // block)
-        lists: list[list[tuple[int, float]]] = [[] for _ in range(terms)]
-        for i, v in enumerate(vectors):
-            for t, w in v.items():
-                lists[t].append((i, w))
-        self.docs = [np.array([i for i, _ in x], dtype=np.int64) for x in lists]
-        self.weights = [np.array([w for _, w in x]) for x in lists]
-        self.at = [x // block for x in self.docs]
-        self.maxima = []
-        for docs, weights in zip(self.docs, self.weights, strict=True):
-            most = np.zeros(self.blocks)
-            np.maximum.at(most, docs // block, weights)
-            self.maxima.append(most)
-
-    def nearest(self, query: dict[int, float], k: int, leave_out: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        pairs = [_pair(v) for v in vectors]
+        sizes = np.array([len(t) for t, _ in pairs], dtype=np.int64)
+        self.begin = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        self.term = np.concatenate([t for t, _ in pairs]).astype(np.int32) if pairs else np.zeros(0, dtype=np.int32)
+        self.weight = np.concatenate([w for _, w in pairs]).astype(np.float32) if pairs else np.zeros(0, dtype=np.float32)
+        order = np.argsort(self.term, kind="stable")
+        self.docs = np.repeat(np.arange(len(pairs), dtype=np.int32), sizes)[order]
+        # Partial sums in single precision find candidates; their cosines are computed again in double precision.
+        self.weights = self.weight[order]
+        lengths = np.bincount(self.term, minlength=terms)
+        self.post = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+        self.rows: dict[int, np.ndarray] = {}  # the lists that hold many of the examples, written out
+        for t in np.flatnonzero(lengths > max(SHORT, len(pairs) // DENSE)).tolist():
+            own = slice(self.post[t], self.post[t + 1])
+            self.rows[t] = np.zeros(len(pairs), dtype=np.float32)
+            self.rows[t][self.docs[own]] = self.weights[own]
+        at, term = self.docs // block, self.term[order]
+        first = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (at[1:] != at[:-1])]) if len(at) else np.zeros(0, dtype=np.int64)
+        self.max_block = at[first]
+        self.max_weight = np.maximum.reduceat(self.weights, first) if len(first) else np.zeros(0, dtype=np.float32)
+        self.max_begin = np.searchsorted(first, self.post).astype(np.int32)
+
+    def _bounds(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What some terms can add at most to an example of each block."""
+        lengths = (self.max_begin[terms + 1] - self.max_begin[terms]).astype(np.int64)
+        at = _ranges(self.max_begin[terms].astype(np.int64), lengths)
+        return np.bincount(self.max_block[at], self.max_weight[at] * np.repeat(weights, lengths), minlength=self.blocks)
+
+    def nearest(self, query: dict[int, float] | tuple, k: int, leave_out: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the k nearest examples with a positive cosine; ties go to the first."""
-        bounds = np.zeros(self.blocks)
-        for t, w in query.items():
-            bounds += w * self.maxima[t]
-        order = np.argsort(-bounds, kind="stable")
-        best_i, best_s = self._best(query, order[:FIRST], k, leave_out)
-        # Only blocks whose bound reaches the k-th best so far can change it.
-        least = best_s[-1] if len(best_s) == k else 0.0
-        rest = order[FIRST:]
-        rest = rest[(bounds[rest] > 0) & (bounds[rest] * (1 + 1e-12) >= least)]
-        if len(rest):
-            i, s = self._best(query, rest, k, leave_out)
-            i, s = np.concatenate([best_i, i]), np.concatenate([best_s, s])
-            keep = np.lexsort((i, -s))[:k]
-            best_i, best_s = i[keep], s[keep]
-        return best_i, best_s
-
-    def _best(self, query: dict[int, float], blocks: np.ndarray, k: int, leave_out: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k best examples of some blocks."""
-        alive = np.zeros(self.blocks, dtype=bool)
-        alive[blocks] = True
-        sums = np.zeros(len(self.labels))
-        for t, w in query.items():
-            some = alive[self.at[t]]
-            sums[self.docs[t][some]] += w * self.weights[t][some]
-        if leave_out >= 0:
-            sums[leave_out] = 0.0
-        i = np.flatnonzero(sums)
-        if len(i) > k:  # the k-th value, then all that reach it, so that ties stay exact
-            i = i[sums[i] >= np.partition(sums[i], len(i) - k)[len(i) - k]]
-        keep = np.lexsort((i, -sums[i]))[:k]
-        return i[keep], sums[i[keep]]
+        terms, weights = _pair(query)
+        lengths = (self.post[terms + 1] - self.post[terms]).astype(np.int64)
+        order = np.argsort(lengths, kind="stable")
+        order = order[lengths[order] > 0]
+        terms, weights, lengths = terms[order], weights[order], lengths[order]
+        total, sums = np.cumsum(lengths), np.zeros(len(self.labels), dtype=np.float32)
+        done, step = 0, FIRST
+        found = np.zeros(0, dtype=np.int64)
+        while done < len(terms):  # rare terms first; long lists are read only while they may matter
+            stop = max(done + 1, int(np.searchsorted(total, step)))
+            short = done + int(np.searchsorted(lengths[done:stop], SHORT))
+            if short > done:
+                at = _ranges(self.post[terms[done:short]].astype(np.int64), lengths[done:short])
+                some = self.weights[at] * np.repeat(weights[done:short], lengths[done:short])
+                sums += np.bincount(self.docs[at], some, minlength=len(sums)).astype(np.float32)
+            for t, w in zip(terms[short:stop].tolist(), weights[short:stop].astype(np.float32), strict=True):
+                if (row := self.rows.get(t)) is not None:
+                    sums += w * row
+                else:
+                    a, b = self.post[t], self.post[t + 1]
+                    sums[self.docs[a:b]] += w * self.weights[a:b]
+            done, step = min(stop, len(terms)), 3 * step
+            if leave_out >= 0:
+                sums[leave_out] = 0.0
+            # Only examples of blocks whose bound reaches the k-th best so far can be among the k best.
+            least = float(np.partition(sums, len(sums) - k)[len(sums) - k]) if len(sums) > k else 0.0
+            least -= 1e-5
+            if done == len(terms):
+                found = np.flatnonzero((sums > 0) & (sums >= least))
+            elif least > 0:
+                bounds = self._bounds(terms[done:], weights[done:])
+                found = np.flatnonzero(sums + np.repeat(bounds.astype(np.float32) + 1e-5, self.block)[: len(sums)] >= least)
+                if len(found) <= ENOUGH:
+                    break
+        found = found[found != leave_out]
+        if not len(found):
+            return found, np.zeros(0)
+        dense = self._dense if getattr(self, "_dense", None) is not None else np.zeros(len(self.post) - 1)
+        self._dense = dense
+        dense[terms] = weights
+        sizes = self.begin[found + 1] - self.begin[found]
+        at = _ranges(self.begin[found], sizes)
+        cosines = np.add.reduceat(dense[self.term[at]] * self.weight[at], np.cumsum(sizes) - sizes)
+        dense[terms] = 0.0
+        keep = np.lexsort((found, -cosines))[:k]
+        keep = keep[cosines[keep] > 0]
+        return found[keep], cosines[keep]
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_dense": None}
+
+
+def _pair(vector: dict[int, float] | tuple) -> tuple[np.ndarray, np.ndarray]:
+    if isinstance(vector, dict):
+        return np.array(list(vector), dtype=np.int64), np.array(list(vector.values()), dtype=np.float64)
+    return vector
 
 
 class Scorer:
-    """Vocabulary, index and calibration: all that a task needs, of bounded size."""
+    """Words, indexes and calibration: all that a task needs, of bounded size.
+
+    One index holds all words of the examples, a second one the features tied to the label; the votes of both are
+    weighed by a logistic regression on the examples, each held against all others."""
 
-    def __init__(self, terms: list[bytes], idf: np.ndarray, rows: list[tuple], k: int = NEIGHBOURS):
-        """rows: id, label and feature counts of each example."""
-        self.number = {t: i for i, t in enumerate(terms)}
-        self.features = Features(frozenset(terms))
-        self.idf, self.k = idf, k
+    def __init__(self, encoder: Encoder, idf: np.ndarray, tied_idf: np.ndarray, rows: list[tuple], k: int = NEIGHBOURS):
+        """rows: id, label, word numbers, word counts and tied counts of each example."""
+        self.encoder, self.idf, self.tied_idf, self.k = encoder, idf, tied_idf, k
         rows = sorted(rows, key=lambda r: str(r[0]))
-        empty = [label for _, label, counts in rows if not counts]
-        some = [(i, label, self.vector(counts)) for i, label, counts in rows if counts]
+        empty = [r[1] for r in rows if not len(r[2])]
+        some = [r for r in rows if len(r[2])]
         overall = float(np.mean([r[1] for r in rows])) if rows else 0.0
         self.base = (sum(empty) + overall) / (len(empty) + 1) if rows else 0.0
-        self.index = BlockMaxIndex([v for _, _, v in some], [x for _, x, _ in some], [i for i, _, _ in some], len(terms))
-        votes = np.array([self.vote(*self.index.nearest(v, k, leave_out=n)) for n, (_, _, v) in enumerate(some)])
-        self.steps, self.levels = _isotonic(votes, self.index.labels)
-
-    def vector(self, counts: dict[int, int]) -> dict[int, float]:
-        raw = {t: (1 + np.log(n)) * self.idf[t] for t, n in sorted(counts.items())}
-        norm = np.sqrt(sum(w * w for w in raw.values()))
-        return {t: float(w / norm) for t, w in raw.items()}
-
-    def vote(self, at: np.ndarray, cosines: np.ndarray) -> float:
+        plain = [r[1] for r in some if not r[4]]
+        self.tied_base = (sum(plain) + overall) / (len(plain) + 1)
+        self.examples = [(r[0], r[1], np.diff(r[2], prepend=np.int32(0)), r[3], r[4]) for r in some]
+        self.index = self.tied_index = self.own = None  # built in the tasks
+        self.calibrate(np.zeros((0, 2)))
+
+    def calibrate(self, votes: np.ndarray) -> None:
+        """votes: those of each example, as far as they are known."""
+        labels = np.array([r[1] for r in self.examples][: len(votes)], dtype=np.float64)
+        self.weights = _logistic(_logits(votes), labels)
+        self.steps, self.levels = _isotonic(self.joined(votes), labels)
+
+    def build(self) -> None:
+        labels, ids = [r[1] for r in self.examples], [r[0] for r in self.examples]
+        vectors = ((np.cumsum(t), _unit(c, self.idf[np.cumsum(t)])) for _, _, t, c, _ in self.examples)
+        self.index = BlockMaxIndex(list(vectors), labels, ids, len(self.idf))
+        own = [n for n, r in enumerate(self.examples) if r[4]]
+        tied = [self.tied_vector(self.examples[n][4]) for n in own]
+        self.tied_index = BlockMaxIndex(tied, [labels[n] for n in own], [ids[n] for n in own], len(self.tied_idf))
+        self.own = {n: i for i, n in enumerate(own)}
+
+    def left_out(self, n: int) -> tuple[float, float]:
+        """The votes of the n-th example by the others."""
+        own = slice(self.index.begin[n], self.index.begin[n + 1])
+        vector = self.index.term[own].astype(np.int64), self.index.weight[own].astype(np.float64)
+        first = self.vote(self.index, *self.index.nearest(vector, self.k, leave_out=n), self.base)
+        if (i := self.own.get(n)) is None:
+            return first, self.tied_base
+        at = slice(self.tied_index.begin[i], self.tied_index.begin[i + 1])
+        vector = self.tied_index.term[at].astype(np.int64), self.tied_index.weight[at].astype(np.float64)
+        return first, self.vote(self.tied_index, *self.tied_index.nearest(vector, self.k, leave_out=i), self.tied_base)
+
+    def __getstate__(self) -> dict:  # a task builds the indexes from numbers and counts, which take far less space
+        packed = zlib.compress(pickle.dumps(self.examples), 1)
+        return {**self.__dict__, "examples": packed, "index": None, "tied_index": None, "own": None}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.examples = pickle.loads(zlib.decompress(self.examples))
+        self.build()
+        self.examples = None
+
+    def tied_vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+        terms = np.array(sorted(counts), dtype=np.int64)
+        return terms, _unit(np.array([counts[t] for t in terms.tolist()]), self.tied_idf[terms])
+
+    def vote(self, index: BlockMaxIndex, at: np.ndarray, cosines: np.ndarray, base: float) -> float:
         """The share of toxic neighbours, each weighted by the inverse of its distance, drawn to the base rate."""
         weights = 1 / (0.05 + np.maximum(0.0, 1 - cosines))
-        return float((weights @ self.index.labels[at] + self.base) / (weights.sum() + 1))
-
-    def counts(self, text: str) -> dict[int, int]:
-        return {self.number[f]: n for f, n in self.features(text).items()}
-
-    def score(self, counts: dict[int, int]) -> tuple[float, list]:
-        if not counts:
+        return float((weights @ index.labels[at] + base) / (weights.sum() + 1))
+
+    def joined(self, votes: np.ndarray) -> np.ndarray:
+        return _logits(votes) @ self.weights
+
+    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray, dict[int, int]]:
+        return self.encoder(text)
+
+    def score(self, counts: tuple[np.ndarray, np.ndarray, dict[int, int]]) -> tuple[float, list]:
+        ids, n, tied = counts
+        votes, at, cosines = np.array([self.base, self.tied_base]), np.zeros(0, dtype=np.int64), np.zeros(0)
+        if len(ids):
+            at, cosines = self.index.nearest((ids.astype(np.int64), _unit(n, self.idf[ids])), self.k)
+            votes[0] = self.vote(self.index, at, cosines, self.base)
+        if tied:
+            votes[1] = self.vote(self.tied_index, *self.tied_index.nearest(self.tied_vector(tied), self.k), self.tied_base)
+        if not len(self.steps) or not (len(at) or tied):
             return self.base, []
-        at, cosines = self.index.nearest(self.vector(counts), self.k)
-        if not len(at):
-            return self.base, []
-        value = float(np.interp(self.vote(at, cosines), self.steps, self.levels)) if len(self.steps) else self.base
+        value = float(np.interp(self.joined(votes), self.steps, self.levels))
         return value, [(self.index.ids[i], float(c)) for i, c in zip(at[:3], cosines[:3], strict=True)]
 
 
+def _unit(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    raw = (1 + np.log(counts)) * idf
+    return raw / np.sqrt(raw @ raw)
+
+
+def _logits(votes: np.ndarray) -> np.ndarray:
+    held = np.clip(votes, 1e-3, 1 - 1e-3)
+    return np.log(held / (1 - held))
+
+
+def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights of a logistic regression with an intercept that is left out here, none below zero, of sum one."""
+    if not len(y):
+        return np.full(x.shape[1], 1 / x.shape[1])
+    wide, at = np.column_stack([x, np.ones(len(y))]), np.zeros(x.shape[1] + 1)
+    for _ in range(25):
+        p = 1 / (1 + np.exp(-np.clip(wide @ at, -30, 30)))
+        slope = wide.T @ (y - p) - at
+        at = at + np.linalg.solve((wide * (p * (1 - p))[:, None]).T @ wide + np.eye(len(at)), slope)
+    found = np.maximum(at[:-1], 0.0)
+    return found / found.sum() if found.sum() > 0 else np.full(x.shape[1], 1 / x.shape[1])
+
+
 def _isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pool adjacent violators: the non-decreasing shares of y over ascending x, each smoothed by one half."""
     pools: list[list[float]] = []  # sum of x, sum of y, size
@@ -242,23 +423,38 @@ def _isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES) -> Scorer:
     sample = materialize(examples(docs, labels, limit), "examples")
-    terms = vocabulary(sample)
-    frequency, n = document_frequencies(docs, terms) if terms else {}, docs.count()
-    idf = np.array([np.log((1 + n) / (1 + frequency.get(t, 0))) + 1 for t in terms])
-    number, known = {t: i for i, t in enumerate(terms)}, frozenset(terms)
+    encoder = Encoder(example_words(sample), vocabulary(sample))
+    model, n = docs.sparkSession.sparkContext.broadcast(encoder), docs.count()
+    idf, tied_idf = (np.log((1 + n) / (1 + f)) + 1 for f in document_frequencies(docs, encoder))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features(known)
+        encoder = model.value
         for batch in batches:
-            found = [{number[f]: n for f, n in features(t).items()} for t in batch.column(1).to_pylist()]
+            found = [encoder(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array([list(c.items()) for c in found], pa.map_(pa.int32(), pa.int32()))],
-                names=["doc_id", "toxic", "counts"],
-            )
+                [batch.column(0), batch.column(2), pa.array([i.tobytes() for i, _, _ in found], pa.binary()),
+                 pa.array([c.tobytes() for _, c, _ in found], pa.binary()),
+                 pa.array([np.array(list(t.items()), dtype=np.int32).tobytes() for _, _, t in found], pa.binary())],
+                names=["doc_id", "toxic", "ids", "counts", "tied"],
+            )
 
     id_type = sample.schema["doc_id"].dataType.simpleString()
-    rows = sample.select("doc_id", "text", "toxic").mapInArrow(count, f"doc_id {id_type}, toxic int, counts map<int,int>")
-    return Scorer(terms, idf, [(r["doc_id"], r["toxic"], r["counts"]) for r in rows.collect()])  # at most ``limit`` rows
+    rows = sample.select("doc_id", "text", "toxic").mapInArrow(count, f"doc_id {id_type}, toxic int, ids binary, counts binary, tied binary")
+    read = lambda x: np.frombuffer(x, dtype=np.int32)
+    scorer = Scorer(encoder, idf, tied_idf, [  # at most ``limit`` rows
+        (r["doc_id"], r["toxic"], read(r["ids"]), read(r["counts"]), dict(read(r["tied"]).reshape(-1, 2).tolist())) for r in rows.collect()
+    ])
+    indexed = docs.sparkSession.sparkContext.broadcast(scorer)
+
+    def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers = batch.column(0).to_pylist()
+            votes = np.array([indexed.value.left_out(n) for n in numbers]).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(votes[:, 0]), pa.array(votes[:, 1])], names=["id", "v", "w"])
+
+    found = docs.sparkSession.range(len(scorer.examples)).mapInArrow(left_out, "id long, v double, w double").orderBy("id").collect()
+    scorer.calibrate(np.array([(r["v"], r["w"]) for r in found]).reshape(-1, 2))
+    return scorer
 
 
 def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
@@ -272,11 +468,10 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
         for batch in batches:
             scores, why = [], []
             for text in batch.column(1).to_pylist():
-                counts = scorer.counts(text)
-                key = tuple(sorted(counts.items()))
+                key = xxhash.xxh3_128_digest(text.encode())
                 if key not in known:
-                    known = {} if len(known) > 50_000 else known
-                    known[key] = scorer.score(counts)
+                    known = {} if len(known) > 20_000 else known
+                    known[key] = scorer.score(scorer.counts(text))
                 value, near = known[key]
                 scores.append(value)
                 why.append([{"doc_id": i if id_type == "bigint" else str(i), "cosine": c} for i, c in near])
