@@ -188,3 +188,17 @@ def test_toxicity_searches_by_all_words_with_few_labels(spark):
     for i in known:  # the tied vocabulary is empty, and still each copy finds its example
         assert rows[1000 + i].evidence[0].doc_id == i and math.isclose(rows[1000 + i].evidence[0].cosine, 1.0, abs_tol=1e-6)
     assert all(len(r.evidence) == 3 for r in rows.values())
+
+
+def test_main_text_takes_the_whole_article(spark):
+    part = lambda n, w: f"<p>{(w + ' ') * n}</p>"
+    whole = "<body><article><h1>Title</h1>{}<div class='wrap'><div class='body'>{}</div></div><section class='more'>{}</section></article></body>"
+    parts = "<body><div class='page'><div class='part-one'>{}</div><div class='part-two'>{}</div></div></body>"
+    odd = "<body><div class='page'><div class='part-one'>{}</div></div><div class='story'>{}</div></body>"
+    rows = [(1, "http://one.example/", whole.format(part(10, "lead"), part(600, "main"), part(80, "more")))]
+    rows += [(10 + i, f"http://two.example/{i}", parts.format(part(600, "first"), part(200, "second"))) for i in range(9)]
+    rows.append((99, "http://two.example/99", odd.format(part(2, "little"), part(500, "story"))))
+    got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(w in got[1] for w in ("Title", "lead", "main", "more"))
+    assert all("first" in got[10 + i] and "second" in got[10 + i] for i in range(9))
+    assert "story" in got[99]

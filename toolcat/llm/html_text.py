@@ -2,8 +2,9 @@
 
 Each page's containers are scored by the text in them; their paths of tags and generalised classes (lower case,
 without digits) get the page's votes, which Spark adds up per host. A host's winning paths, in the order of their
-votes, then say from which containers its pages are extracted again. A page that holds none of them uses its own
-best container.
+votes, then say from which containers its pages are extracted again. A page that holds none of them, or most of its
+unlinked text elsewhere, uses its own best container. An article or main around the container is taken whole; without
+one, all other unlinked text counts too, except in paths that the host's pages usually fill with little text.
 
 Null html counts as empty; a null or odd url has the host ''. Markup that isn't closed runs to where an outer
 element closes, or to the end. Text outside any container belongs to the page itself. Repeated rows are extracted
@@ -27,6 +28,8 @@ from toolcat.llm.common import join_groups, materialize
 VOTES, WIN_SHARE = 3, 0.1
 #: A container's weight falls by this factor for each container between it and the text.
 DECAY, MAIN_BONUS = 0.7, 1.5
+#: A path is minor on a host if over half of its pages, and so many at least, hold it, mostly with less than this share.
+MINOR_SHARE, MINOR_PAGES = 0.1, 3
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -142,34 +145,74 @@ def path_scores(found: list[tuple[str, str, int]]) -> list[tuple[str, float]]:
     return [(p, s / total) for p, s in best]
 
 
-def extract(found: list[tuple[str, str, int]], winners: list[str]) -> str:
-    """The blocks below the first of the ``winners`` that has any, or below the page's own best path."""
-    for path in [*winners, *(p for p, _ in path_scores(found)[:1])]:
-        if lines := [text for at, text, _ in found if at == path or at.startswith(f"{path}/")]:
-            return "\n".join(lines)
+def _below(at: str, path: str) -> bool:
+    return at == path or at.startswith(f"{path}/")
+
+
+def shares(found: list[tuple[str, str, int]]) -> dict[str, float]:
+    """Each path's share of the page's unlinked text, without what lies below it."""
+    sizes: dict[str, int] = {}
+    for at, text, linked in found:
+        sizes[at] = sizes.get(at, 0) + len(text) - linked
+    total = sum(sizes.values()) or 1
+    return {at: n / total for at, n in sizes.items()}
+
+
+def extract(found: list[tuple[str, str, int]], winners: list[str], minor: frozenset | set = frozenset()) -> str:
+    """The main text: from the first of the ``winners`` that holds most of the page's unlinked text outside the
+    ``minor`` paths, or from the page's own best path, up to its article or main, or else all that holds unlinked text
+    outside the minor paths."""
+    own = [p for p, _ in path_scores(found)[:1]]
+    for path in [*winners, *own]:
+        inside = [_below(at, path) for at, _, _ in found]
+        if not any(inside):
+            continue
+        covered = sum(len(text) - linked for (at, text, linked), x in zip(found, inside, strict=True) if x)
+        other = sum(len(text) - linked for (at, text, linked), x in zip(found, inside, strict=True) if not x and at not in minor)
+        if path not in own and covered < other:
+            continue
+        steps = path.split("/")
+        for n in range(len(steps), 0, -1):
+            if re.match(r"(article|main)\b", steps[n - 1]):
+                top = "/".join(steps[:n])
+                return "\n".join(text for at, text, _ in found if _below(at, top))
+        return "\n".join(
+            text for (at, text, linked), x in zip(found, inside, strict=True) if x or (at not in minor and 2 * linked < len(text))
+        )
     return ""
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """``host, size, paths``: each host's number of pages and its winning paths. ``pages``: ``host, html``."""
+    """``host, size, paths, minor``: each host's number of pages, its winning paths, and the paths that most of its
+    pages hold with a small share of their text. ``pages``: ``host, html``."""
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(i, p, s) for i, html in enumerate(batch.column(1).to_pylist()) for p, s in path_scores(blocks(html))]
+            rows = []
+            for i, html in enumerate(batch.column(1).to_pylist()):
+                found = blocks(html)
+                votes, held = dict(path_scores(found)), shares(found)
+                rows += [(i, p, votes.get(p, 0.0), int(p in held), int(held.get(p, 1.0) < MINOR_SHARE)) for p in votes.keys() | held.keys()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array([r[0] for r in rows], pa.int64())), pa.array([r[1] for r in rows], pa.string()),
-                 pa.array([r[2] for r in rows], pa.float64())], names=["host", "path", "votes"],
+                 pa.array([r[2] for r in rows], pa.float64()), pa.array([r[3] for r in rows], pa.int64()),
+                 pa.array([r[4] for r in rows], pa.int64())], names=["host", "path", "votes", "held", "small"],
             )
 
-    votes = pages.select("host", "html").mapInArrow(vote, "host string, path string, votes double")
-    votes = votes.groupBy("host", "path").agg(F.round(F.sum("votes"), 6).alias("votes"))
+    votes = pages.select("host", "html").mapInArrow(vote, "host string, path string, votes double, held long, small long")
+    votes = votes.groupBy("host", "path").agg(F.round(F.sum("votes"), 6).alias("votes"), F.sum("held").alias("held"), F.sum("small").alias("small"))
+    votes = materialize(votes, "votes")
+    sizes = pages.groupBy("host").agg(F.count("*").alias("size"))
+    minor = votes.filter(F.col("held") >= MINOR_PAGES).filter("2 * small > held").join(sizes, "host").filter("2 * held > size")
+    minor = minor.groupBy("host").agg(F.collect_list("path").alias("minor"))
+    votes = votes.filter("votes > 0")
     # Few paths stand for a host, whatever the number of its pages.
     order = W.partitionBy("host").orderBy(F.desc("votes"), "path")
     votes = votes.withColumn("rank", F.row_number().over(order)).withColumn("most", F.max("votes").over(W.partitionBy("host")))
     won = votes.filter(F.col("votes") >= WIN_SHARE * F.col("most"))
     won = won.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("rank", "path"))).alias("paths"))
-    sizes = pages.groupBy("host").agg(F.count("*").alias("size"))
-    return sizes.join(won, "host", "left").select("host", "size", F.transform("paths", lambda x: x["path"]).alias("paths"))
+    paths = F.transform("paths", lambda x: x["path"]).alias("paths")
+    return sizes.join(won, "host", "left").join(minor, "host", "left").select("host", "size", paths, "minor")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -182,13 +225,13 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
-            texts = [extract(blocks(h), winners or []) for h, winners in found]
+            found = zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)
+            texts = [extract(blocks(h), winners or [], set(minor or [])) for h, winners, minor in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
             )
 
-    known = join_groups(rows, paths, "host", "size", total).select("page_id", "url", "html", "paths")
+    known = join_groups(rows, paths, "host", "size", total).select("page_id", "url", "html", "paths", "minor")
     id_type = rows.schema["page_id"].dataType.simpleString()
     texts = known.mapInArrow(run, f"page_id {id_type}, url string, text string")
     return texts.withColumn("n_chars", F.length("text").cast("long"))
