@@ -53,7 +53,7 @@ def op9_token_counts(spark, sf_dir):
 
 
 def op10_sentencepiece(spark, sf_dir):
-    return sample_pieces(table(spark, sf_dir, "documents"), k=2, keep_ids=False)
+    return sample_pieces(table(spark, sf_dir, "documents"), k=2)
 
 
 def queries() -> dict:
