@@ -8,9 +8,10 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from toolcat.llm import packing, pieces, token_counts
-from toolcat.llm.tokens import WordEncoder, split_words, tokenizer_path
+from toolcat.llm.tokens import WordEncoder, tokenizer_path
 
 PATH = tokenizer_path("word_bpe_49k.json")
 ODD = [
@@ -34,7 +35,7 @@ def test_cached_words_equal_the_library(library):
     for size in (3, 500_000):
         enc = WordEncoder(PATH, size)
         for texts in (ODD, ODD[::-1], ["the cat's THE, cat"] * 2):
-            got = [np.frombuffer(b"".join(x), dtype="<u4").tolist() for x in enc.ids([split_words(t) for t in texts])]
+            got = [np.frombuffer(b"".join(x), dtype="<u4").tolist() for x in enc.ids(texts)]
             assert got == [ids_of(library, t) for t in texts]
 
 
@@ -44,7 +45,7 @@ def test_any_text_equals_the_library(text):
     from tokenizers import Tokenizer
 
     enc, lib = WordEncoder(PATH), Tokenizer.from_file(PATH)
-    got = np.frombuffer(b"".join(enc.ids([split_words(text)])[0]), dtype="<u4").tolist()
+    got = np.frombuffer(b"".join(enc.ids([text])[0]), dtype="<u4").tolist()
     assert got == lib.encode(text, add_special_tokens=False).ids
 
 
@@ -116,21 +117,48 @@ def _all_paths(arcs, at, n):
             yield (piece, *rest), w + s
 
 
-def test_samples_follow_the_lattice():
+def _arcs(word, penalty=1.0, temperature=4000.0):
+    """By position: ids, next position and log weight of each piece, by the library's vocabulary."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path("piece_bpe_32k.model"))
+    known = {sp.id_to_piece(i): i for i in range(sp.get_piece_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i))}
+    out = []
+    for at in range(len(word)):
+        here = [((known[p],), at + n, max(-32000.0, sp.get_score(known[p])) / temperature - penalty)
+                for n in range(1, len(word) - at + 1) if (p := word[at : at + n]) in known]
+        if word[at] not in known:
+            spelled = tuple(sp.piece_to_id(f"<0x{b:02X}>") for b in word[at].encode())
+            here.append((spelled, at + 1, -penalty * len(spelled)))
+        out.append(here)
+    return out
+
+
+def _sampled(lattice, text, k, seed):
+    """Ids, log-probability and log inclusion of each sample."""
+    found = lattice.sample(lattice.words([text]), k, np.array([seed], dtype=np.uint64))[0]
+    out = []
+    for arcs, log_p, inclusion in found:
+        ids, _ = lattice.ids([arcs])
+        out.append((tuple(ids.tolist()), log_p, inclusion))
+    return out
+
+
+@pytest.mark.parametrize("text, words", [("the cat", ["▁the", "▁cat"]), ("é漢 a", ["▁é漢", "▁a"])])
+def test_samples_follow_the_lattice(text, words):
     lattice = pieces.Lattice(tokenizer_path("piece_bpe_32k.model"), 4000.0, 1.0)
-    words = ["▁the", "▁cat"]
     paths = [((), 0.0)]
     for w in words:
-        paths = [(a + b, s + t) for a, s in paths for b, t in _all_paths(lattice._arcs(w), 0, len(w))]
+        paths = [(sum(map(tuple, b), a), s + t) for a, s in paths for b, t in _all_paths(_arcs(w), 0, len(w))]
     total = np.logaddexp.reduce([s for _, s in paths])
     prob = {p: float(np.exp(s - total)) for p, s in paths}
     n, first, estimate = 3000, collections.Counter(), collections.Counter()
+    k = min(3, len(prob))
     for seed in range(n):
-        got = lattice.sample(lattice.words("the cat"), 3, np.random.default_rng(seed))
-        seqs = [tuple(np.frombuffer(lattice.ids(a), dtype="<u4").tolist()) for a, _, _ in got]
-        assert len(set(seqs)) == 3
-        first[seqs[0]] += 1
-        for s, (_, log_p, inclusion) in zip(seqs, got, strict=True):
+        got = _sampled(lattice, text, k, 1_000_003 * seed)
+        assert len({s for s, _, _ in got}) == k
+        first[got[0][0]] += 1
+        for s, log_p, inclusion in got:
             assert abs(log_p - np.log(prob[s])) < 1e-9
             estimate[s] += np.exp(log_p - inclusion)  # weighted by inclusion, samples are unbiased
     for p in sorted(prob, key=prob.get)[-4:]:
@@ -139,10 +167,26 @@ def test_samples_follow_the_lattice():
 
 def test_all_segmentations_of_a_short_text():
     lattice = pieces.Lattice(tokenizer_path("piece_bpe_32k.model"))
-    want = {p for p, _ in _all_paths(lattice._arcs("▁ab"), 0, 3)}
-    got = lattice.sample(lattice.words("ab"), 50, np.random.default_rng(0))
-    assert {tuple(np.frombuffer(lattice.ids(a), dtype="<u4").tolist()) for a, _, _ in got} == want and len(got) == len(want)
+    want = {sum(p, ()) for p, _ in _all_paths(_arcs("▁ab"), 0, 3)}
+    got = _sampled(lattice, "ab", 50, 7)
+    assert {s for s, _, _ in got} == want and len(got) == len(want)
     assert all(i == 0.0 for _, _, i in got)  # all are in for sure
+    assert _sampled(lattice, "", 3, 7) == [((), 0.0, 0.0)]
+
+
+def test_samples_do_not_depend_on_the_cache_or_on_other_texts():
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcdé 漢\n.") for _ in range(rng.randrange(300))) for _ in range(80)] + ["x" * 400, "", "  two  spaces ", " ▁a"]
+    small, large = (pieces.Lattice(tokenizer_path("piece_bpe_32k.model"), nodes=n) for n in (50, 10**6))
+    keys = list(range(len(texts)))
+    whole = pieces.sample_texts(large, keys, texts, 3).to_pylist()
+    parts = []
+    for i in range(0, len(texts), 7):
+        parts += [{**r, "at": r["at"] + i} for r in pieces.sample_texts(small, keys[i : i + 7], texts[i : i + 7], 3).to_pylist()]
+    for r, s in zip(whole, parts, strict=True):
+        assert r.pop("log_prob") == pytest.approx(s.pop("log_prob")) and r.pop("log_inclusion") == pytest.approx(s.pop("log_inclusion"))
+        assert r == s and r["round_trip"]
+    assert small.store.nodes < 3000
 
 
 def test_sampling_and_decoding_round_trip(spark):
@@ -151,6 +195,10 @@ def test_sampling_and_decoding_round_trip(spark):
     got = pieces.sample_pieces(docs, k=3)
     again = {(r.doc_id, r["sample"], r.ids_crc32) for r in pieces.sample_pieces(docs.repartition(3), k=3).collect()}
     assert {(r.doc_id, r["sample"], r.ids_crc32) for r in got.collect()} == again
+    assert all(r.round_trip and r.n_pieces == len(r.ids) for r in got.collect())
+    assert pieces.sample_pieces(docs.limit(0)).count() == 0
+    clash = docs.withColumn("ids", F.lit("x")).withColumn("sample", F.lit(0)).withColumn("at", F.lit(0))
+    assert {(r.doc_id, r["sample"], r.ids_crc32) for r in pieces.sample_pieces(clash, k=3).collect()} == again
     back = {(r.doc_id, r.text) for r in pieces.decode(got.select("doc_id", "ids")).collect()}
     assert back == {(i, t or "") for i, t in rows}
     best = {(r.doc_id, r.text) for r in pieces.decode(pieces.encode(docs)).collect()}

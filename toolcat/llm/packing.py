@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from toolcat.llm.common import text_or_empty
-from toolcat.llm.tokens import TEXTS, encoder, split_words, tokenizer_path
+from toolcat.llm.tokens import TEXTS, encoder, tokenizer_path
 
 #: Documents to a group: what one task holds, and what bounds its padding to about a window in GROUP / 5.
 GROUP = 4096
@@ -102,9 +102,9 @@ def pieces(docs: DataFrame, capacity: int, end_id: int, path: str) -> DataFrame:
         for batch in batches:
             at, rows = [], []
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            coded = (x for k in range(0, len(texts), TEXTS) for x in enc.ids([split_words(t) for t in texts[k : k + TEXTS]]))
-            for i, (doc_id, words) in enumerate(zip(keys, coded, strict=True)):
-                ids = b"".join(words) + end
+            coded = (x for k in range(0, len(texts), TEXTS) for x in enc.ids(texts[k : k + TEXTS]))
+            for i, (doc_id, parts) in enumerate(zip(keys, coded, strict=True)):
+                ids = b"".join(parts) + end
                 n = len(ids) // 4
                 starts = list(range(0, n, capacity))
                 if n % capacity and zlib.crc32(f"{doc_id} {zlib.crc32(ids)}".encode()) % FILLERS == 0:

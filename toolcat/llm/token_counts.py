@@ -21,21 +21,22 @@ from toolcat.llm.common import text_or_empty
 from toolcat.llm.tokens import TEXTS, encoder, split_words, tokenizer_path
 
 
-def word_prefixes(texts: list[str], path: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each text the ends of its words in characters, and the token counts of the prefixes that end there."""
-    for at in range(0, len(texts), TEXTS):
-        split = list(map(split_words, texts[at : at + TEXTS]))
-        for words, ids in zip(split, encoder(path).ids(split), strict=True):
-            counts = np.cumsum(np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4)
-            yield np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1, counts
+def word_prefixes(text: str, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ends of the text's words in characters, and the token counts of the prefixes that end there."""
+    words = split_words(text)
+    ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
+    return ends, np.cumsum(np.array(encoder(path).word_counts(text), dtype=np.int64))
 
 
 def character_prefixes(text: str, path: str) -> np.ndarray:
-    """The token count of ``text[:i]`` for each i from 0 to its length."""
+    """The token count of ``text[:i]`` for each i from 0 to its length.
+
+    A prefix ends in whole words, whole parts of its last word, and the beginning of one part. A run of signs or
+    letters is encoded at each of its lengths, which is quadratic in the run's length and in nothing else."""
     enc, out, before = encoder(path), np.zeros(len(text) + 1, dtype=np.int64), 0
     at = 0
     for word in split_words(text):
-        inside = [len(x) // 4 for x in enc.ids([[word[:k] for k in range(1, len(word) + 1)]])[0]]
+        inside = [sum(map(len, x)) // 4 for k in range(0, len(word), TEXTS) for x in enc.ids([word[: j + 1] for j in range(k, min(len(word), k + TEXTS))])]
         out[at + 1 : at + 1 + len(word)] = np.array(inside, dtype=np.int64) + before
         before += inside[-1] if inside else 0
         at += len(word)
@@ -55,12 +56,14 @@ def token_counts(docs: DataFrame, limit: int = 2048, path: str | None = None) ->
         for batch in batches:
             total, within = [], []
             texts = batch.column(1).to_pylist()
-            for text, (ends, counts) in zip(texts, word_prefixes(texts, path), strict=True):
-                n = int(counts[-1])
+            coded = (x for k in range(0, len(texts), TEXTS) for x in encoder(path).ids(texts[k : k + TEXTS]))
+            for text, parts in zip(texts, coded, strict=True):
+                n = sum(map(len, parts)) // 4
                 total.append(n)
                 if n <= limit:
                     within.append(len(text))
                 else:
+                    ends, counts = word_prefixes(text, path)
                     k = int(np.searchsorted(counts, limit, "right"))
                     within.append(int(ends[k - 1]) if k else 0)
             yield pa.RecordBatch.from_arrays(
@@ -89,7 +92,7 @@ def prefix_counts(docs: DataFrame, level: str = "word", path: str | None = None)
                     c = character_prefixes(text, path)
                     e = np.arange(len(c))
                 else:
-                    e, c = next(word_prefixes([text], path))
+                    e, c = word_prefixes(text, path)
                 ends.append(e)
                 counts.append(c)
             lists = [pa.array(x, pa.list_(pa.int64())) for x in (ends, counts)]

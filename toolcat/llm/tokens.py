@@ -1,29 +1,35 @@
-"""Exact token ids of texts through a bounded cache of words.
+"""Exact token ids of texts through a bounded cache of parts of words.
 
 Tokenizers of the ``word_bpe`` kind replace white space by one space, split there and drop it, so the ids of a
-text are those of its white-space separated words, joined. A word is encoded by the tokenizers library when it is
-first seen and looked up after that. Only space, line feed, tab and carriage return separate words here; a word
-that holds any other white space goes to the library as it is.
+text are those of its white-space separated words, joined; a word is split into runs of letters, single digits and
+runs of other signs before pieces are merged. Texts of plain characters are lower-cased and split into such parts at
+once; of other texts each plain word is, and what remains goes to the tokenizers library word by word. Each part is
+encoded when it is first seen and looked up after that. Only space, line feed, tab and carriage return separate
+words here; a word that holds any other white space goes to the library as it is.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
+from itertools import chain, islice
 
 import numpy as np
 
-#: Words longer than this are encoded each time and not kept.
-LONG_WORD = 64
+#: Parts longer than this are encoded each time and not kept.
+LONG_PART = 64
 #: Entries of each cache; beyond that it begins anew, and the old one serves until the next time.
-CACHE_SIZE = 350_000
-#: Texts whose words are looked up together.
+CACHE_SIZE = 400_000
+#: Texts whose parts are looked up together.
 TEXTS = 64
 
 # Characters that no normal form changes and whose lower case is one character, whatever stands next to them.
-_PLAIN = re.compile("[!-~¡-¬®-įı-ŷŹ-ž‐-‧‰-⁞€]*")
+_CHARS = "!-~¡-¬®-įı-ŷŹ-ž‐-‧‰-⁞€"
+_PLAIN = re.compile(f"[{_CHARS}]*")
+_PLAIN_TEXT = re.compile(f"[ \n\t\r{_CHARS}]*")
 _LETTERS = "a-zªµºß-öø-ž"
 _DIGITS = "0-9²³¹¼-¾"
-_PART = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}]+")
+_PART = re.compile(f"[{_LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d|[^{_LETTERS}{_DIGITS} \n\t\r]+|[{_DIGITS}]")
 
 
 def split_words(text: str) -> list[str]:
@@ -31,6 +37,19 @@ def split_words(text: str) -> list[str]:
     return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
 
+def _split(text: str) -> list[str]:
+    """Parts of plain words, and other words whole."""
+    if "<|" not in text and _PLAIN_TEXT.fullmatch(text):
+        return _PART.findall(text.lower())
+    out: list[str] = []
+    for w in split_words(text):
+        if _PLAIN.fullmatch(w) and "<|" not in w:
+            out += _PART.findall(w.lower())
+        else:
+            out.append(w)
+    return out
+
+
 def _byte_letters() -> list[str]:
     """The letter that byte-level models use for each byte: itself if it is printable, else one from 256 on."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -39,7 +58,7 @@ def _byte_letters() -> list[str]:
 
 
 class WordEncoder:
-    """Words' ids, kept in two generations of a cache."""
+    """Parts' ids, kept in two generations of a cache."""
 
     def __init__(self, path: str, cache_size: int = CACHE_SIZE):
         from tokenizers import Tokenizer
@@ -48,58 +67,50 @@ class WordEncoder:
         self.model = self.library.model  # without the steps that plain parts have behind them
         self.letters = _byte_letters()
         self.cache_size = cache_size
-        self.words: dict[str, bytes] = {"": b""}
-        self.before: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
-        self.parts_before: dict[str, bytes] = {}
-
-    def _by_library(self, words: list[str]) -> list[bytes]:
-        found = self.library.encode_batch(words, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
-
-    def _by_model(self, part: str) -> bytes:
-        """The ids of one part that is normal, lower case and isn't split."""
-        if not part.isascii():
-            part = "".join(map(self.letters.__getitem__, part.encode()))
-        return np.array([t.id for t in self.model.tokenize(part)], dtype="<u4").tobytes()
-
-    def _learn(self, missing: set[str]) -> None:
-        """Put words into the cache; those that left it last are still at hand."""
-        if len(self.words) > self.cache_size:
-            self.words, self.before = {"": b""}, self.words
+        self.before: dict[str, bytes] = {}
+
+    def _learn(self, missing: set[str]) -> dict[str, bytes]:
+        """The ids of parts that the cache doesn't hold; those that left it last are still at hand."""
         if len(self.parts) > self.cache_size:
-            self.parts, self.parts_before = {}, self.parts
-        plain, other = {}, []
-        for w in missing:
-            if (known := self.before.get(w)) is not None:
-                self.words[w] = known
-            elif _PLAIN.fullmatch(w) and "<|" not in w:
-                plain[w] = _PART.findall(w.lower())
+            self.parts, self.before = {}, self.parts
+        found, other, before, tokenize = {}, [], self.before.get, self.model.tokenize
+        for p in missing:
+            if (known := before(p)) is not None:
+                found[p] = known
+            elif p.isascii():
+                if "<|" in p or not _PLAIN.fullmatch(p):
+                    other.append(p)
+                else:
+                    found[p] = array("I", [t.id for t in tokenize(p)]).tobytes()
+            elif _PLAIN.fullmatch(p) and "<|" not in p:
+                letters = "".join(map(self.letters.__getitem__, p.encode()))
+                found[p] = array("I", [t.id for t in tokenize(letters)]).tobytes()
             else:
-                other.append(w)
-        parts, before = self.parts, self.parts_before
-        for p in {p for ps in plain.values() for p in ps}.difference(parts):
-            known = before.get(p)
-            parts[p] = self._by_model(p) if known is None else known
-        get = parts.__getitem__
-        for w, ps in plain.items():
-            self.words[w] = get(ps[0]) if len(ps) == 1 else b"".join(map(get, ps))
-        self.words.update(zip(other, self._by_library(other), strict=True))
-
-    def ids(self, texts: list[list[str]]) -> list[list[bytes]]:
-        """The ids of each word of each text, little-endian unsigned 32-bit."""
-        missing = set().union(*texts).difference(self.words)
-        if missing:
-            self._learn(missing)
-            # The cache may have been emptied before they came.
-            if again := set().union(*texts).difference(self.words):
-                self._learn(again)
-        get = self.words.__getitem__
-        out = [list(map(get, words)) for words in texts]
-        for w in missing:
-            if len(w) > LONG_WORD:
-                self.words.pop(w, None)
-        return out
+                other.append(p)
+        if other:
+            coded = self.library.encode_batch(other, add_special_tokens=False)
+            found.update((p, np.array(x.ids, dtype="<u4").tobytes()) for p, x in zip(other, coded, strict=True))
+        self.parts.update(found)
+        for p in missing:
+            if len(p) > LONG_PART:
+                del self.parts[p]
+        return found
+
+    def ids(self, texts: list[str]) -> list[list[bytes]]:
+        """The ids of each part of each text, little-endian unsigned 32-bit."""
+        split = list(map(_split, texts))
+        flat = list(chain.from_iterable(split))
+        got = list(map(self.parts.get, flat))
+        if None in got:
+            learned = self._learn({p for p, x in zip(flat, got, strict=True) if x is None})
+            got = [learned[p] if x is None else x for p, x in zip(flat, got, strict=True)]
+        rest = iter(got)
+        return [list(islice(rest, len(parts))) for parts in split]
+
+    def word_counts(self, text: str) -> list[int]:
+        """The number of tokens of each of the text's ``split_words``."""
+        return [sum(map(len, parts)) // 4 for parts in self.ids(split_words(text))]
 
 
 _encoders: dict[str, WordEncoder] = {}
