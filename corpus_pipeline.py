@@ -26,7 +26,7 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the nearest labelled examples call toxic go."""
-    return toxic_flag(docs, fit(docs, table(spark, sf_dir, "labels"))).filter("_toxic = 0").drop("_toxic")
+    return docs.filter(toxic_flag(fit(docs, table(spark, sf_dir, "labels"))) == 0)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,19 +38,26 @@ def test_topk_with_few_rows_and_large_numbers(spark):
     assert topk.exact_topk(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
-def test_block_max_index_is_exact():
+def test_block_max_index_is_exact(monkeypatch):
     rng = random.Random(1)
     vectors = []
     for _ in range(700):
         v = {t: rng.random() for t in rng.sample(range(40), rng.randrange(1, 6))}
         n = math.sqrt(sum(x * x for x in v.values()))
         vectors.append({t: x / n for t, x in v.items()})
-    index = toxicity.BlockMaxIndex(vectors, [i % 2 for i in range(700)], list(range(700)), 40, block=16)
-    for q in vectors[:60]:
-        at, cosines = index.nearest(q, 9)
-        every = np.array([sum(q[t] * v.get(t, 0.0) for t in q) for v in vectors])
-        best = np.sort(every[every > 0])[::-1][:9]
-        assert np.allclose(cosines, best) and np.allclose(every[at], cosines)
+    begin = np.cumsum([0] + [len(v) for v in vectors])
+    term = np.array([t for v in vectors for t in v], dtype=np.int32)
+    weight = np.array([x for v in vectors for x in v.values()])
+    for frequent in (1024, 5):
+        monkeypatch.setattr(toxicity, "FREQUENT", frequent)
+        index = toxicity.BlockMaxIndex(begin, term, weight, 40, block=4)
+        leave_out = np.arange(700) if frequent == 5 else None
+        for n, (q, (at, cosines)) in enumerate(zip(vectors, index.nearest(begin, term, weight, 9, leave_out), strict=True)):
+            every = np.array([sum(q[t] * v.get(t, 0.0) for t in q) for v in vectors])
+            if leave_out is not None:
+                every[n] = 0.0
+            best = np.sort(every[every > 0])[::-1][:9]
+            assert np.allclose(cosines, best) and np.allclose(every[at], cosines)
 
 
 def toxic_corpus(n=1200):

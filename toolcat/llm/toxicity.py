@@ -2,10 +2,11 @@
 
 Examples are a bounded sample of the labelled documents. Every whole text becomes a TF-IDF vector over all words of
 the examples, whose document frequencies are counted over all documents, and its nearest examples by cosine are found
-exactly: postings lie in blocks of examples with the largest weight of each, and lists are read, the rarest words
-first, until only a few examples of blocks whose bound reaches the k-th best are left. A second vector of the same
-kind holds only the words, and starts of words, that the examples tie to the label. The neighbours' votes, weighted by
-their distance, are weighed against each other and calibrated on the examples themselves, each held against all others.
+exactly: postings lie in blocks of examples with the largest weight of each. Lists of rarer words are added first;
+what the frequent words can still add to a block is bounded by its largest weights, and only groups of blocks whose
+bound reaches the k-th best so far are completed, for many texts at once. A second vector of the same kind holds only
+the words, and starts of words, that the examples tie to the label. The neighbours' votes, weighted by their
+distance, are weighed against each other and calibrated on the examples themselves, each held against all others.
 
 Null texts count as empty. A text that shares no word with an example gets the share of toxic ones among examples without words.
 Null ``doc_id``: scored like any other, never an example, ``held_out`` null. Repeated rows are scored each; a
@@ -15,10 +16,10 @@ are never read; an empty table gives no rows.
 
 from __future__ import annotations
 
-import pickle
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -29,13 +30,11 @@ from pyspark.sql import functions as F
 
 from toolcat.llm.common import materialize, text_or_empty
 
-#: Bounds: labelled examples, label-tied features, neighbours that vote, examples in a block of postings, and words of
-#: toxic examples that may become such features.
-EXAMPLES, TERMS, NEIGHBOURS, BLOCK, CANDIDATES = 20_000, 1024, 25, 64, 50_000
-#: Postings that are added first, to learn what the others have to reach, and candidates that are scored at once.
-FIRST, ENOUGH = 60_000, 1_000
-#: Lists of fewer postings are added together; lists with more than this part of the examples are written out.
-SHORT, DENSE = 500, 16
+#: Bounds: labelled examples, label-tied features, neighbours that vote, and examples in a block of postings.
+EXAMPLES, TERMS, NEIGHBOURS, BLOCK = 20_000, 1024, 25, 64
+#: Blocks that are completed together, texts that are searched together, and the most frequent words, each in more
+#: than one of SPREAD examples, whose lists are completed last.
+GROUP, QUERIES, FREQUENT, SPREAD = 16, 128, 512, 32
 #: A feature is tied to the label from this log-likelihood ratio and this ratio of its rates on.
 MIN_LLR, MIN_RATIO = 20.0, 3.0
 
@@ -46,27 +45,13 @@ _WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum
 _PREFIXES = (4, 5, 6, 7)
 
 
-class Features:
-    """How often each word of a text occurs, and each start of words in some bytes (marked ``^``)."""
+def words_of(text: str) -> list[bytes]:
+    return text.lower().encode().translate(_WORD_BYTES).split()
 
-    def __init__(self, known: frozenset | None = None):
-        """known: the features that are looked for, all if None."""
-        self.known, self.of = known, {}
 
-    def __call__(self, text: str) -> Counter:
-        found: Counter = Counter()
-        of, known = self.of, self.known
-        for w, n in Counter(text.lower().encode().translate(_WORD_BYTES).split()).items():
-            if (own := of.get(w)) is None:
-                own = (w, *(b"^" + w[:k] for k in _PREFIXES if len(w) >= k))
-                if known is not None:
-                    own = tuple(f for f in own if f in known)
-                    if len(of) > 200_000:
-                        of.clear()
-                    of[w] = own
-            for f in own:
-                found[f] += n
-        return found
+def features_of(word: bytes) -> list[bytes]:
+    """The word, and its starts in some bytes (marked ``^``)."""
+    return [word, *(b"^" + word[:k] for k in _PREFIXES if len(word) >= k)]
 
 
 def held_out(doc_id: Column) -> Column:
@@ -92,25 +77,23 @@ def vocabulary(sample: DataFrame, limit: int = TERMS) -> list[bytes]:
     if not bad or not good:
         return []
 
-    def count(rows: DataFrame, known: frozenset | None) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seen, features = Counter(), Features(known)
-            for batch in batches:
-                for text in batch.column(0).to_pylist():
-                    seen.update(features(text).keys())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["term", "n"]
-            )
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(seen: tuple[Counter, Counter]) -> pa.RecordBatch:
+            terms = list(seen[0].keys() | seen[1].keys())
+            numbers = [pa.array([c.get(t, 0) for t in terms], pa.int64()) for c in seen]
+            return pa.RecordBatch.from_arrays([pa.array(terms, pa.binary()), *numbers], names=["term", "good", "bad"])
 
-        return rows.select("text").mapInArrow(run, "term binary, n long").groupBy("term").agg(F.sum("n").alias("n"))
+        seen = Counter(), Counter()
+        for batch in batches:
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                seen[toxic].update(set(chain.from_iterable(map(features_of, set(words_of(text))))))
+                if len(seen[0]) + len(seen[1]) > 300_000:
+                    yield rows(seen)
+                    seen = Counter(), Counter()
+        yield rows(seen)
 
-    # What few toxic examples hold can't reach MIN_LLR; of the rest, the CANDIDATES most frequent are considered.
-    usual = count(sample.filter("toxic = 1"), None).filter(F.col("n") >= 3).orderBy(F.desc("n"), "term").limit(CANDIDATES)
-    usual = {bytes(r["term"]): r["n"] for r in usual.collect()}
-    clean = count(sample.filter("toxic = 0"), frozenset(usual))
-    found = clean.withColumnRenamed("n", "good").join(
-        F.broadcast(sample.sparkSession.createDataFrame(list(usual.items()), "term binary, bad long")), "term", "right"
-    ).fillna(0, ["good"])
+    found = sample.select("text", "toxic").mapInArrow(count, "term binary, good long, bad long")
+    found = found.groupBy("term").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
 
     def part(n: Column, of: int, other: Column) -> Column:  # n log(n / expected)
         expected = (n + other) * (of / (bad + good))
@@ -123,43 +106,69 @@ def vocabulary(sample: DataFrame, limit: int = TERMS) -> list[bytes]:
     return [bytes(r["term"]) for r in best.collect()]
 
 
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), dtype=np.uint64, count=len(words))
+
+
 class Encoder:
     """Texts as counts of words, numbered by their place among sorted hashes, and of label-tied features."""
 
-    def __init__(self, hashes: np.ndarray, tied: list[bytes]):
-        """hashes: the sorted hashes of all words of the examples; other words are passed over."""
-        self.hashes, self.tied, self.of = hashes, {t: i for i, t in enumerate(tied)}, {}
+    def __init__(self, hashes: np.ndarray, tied: list[bytes], slots: int = 200_000):
+        """hashes: the sorted hashes of all words of the examples; other words are passed over. slots: words that are
+        remembered at once."""
+        self.hashes, self.tied, self.slots = hashes, {t: i for i, t in enumerate(tied)}, slots
+        self._forget()
 
-    def __getstate__(self) -> dict:
-        return {**self.__dict__, "of": {}}
-
-    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, dict[int, int]]:
-        """Numbers of the words, ascending, how often each occurs, and the tied features likewise."""
-        words, of = Counter(text.lower().encode().translate(_WORD_BYTES).split()), self.of
-        if fresh := [w for w in words if w not in of]:
-            if len(of) + len(fresh) > 100_000:
-                of.clear()
-                fresh = list(words)
-            hashed = word_hashes(fresh)
-            at = np.minimum(np.searchsorted(self.hashes, hashed), max(0, len(self.hashes) - 1))
-            known = self.hashes[at] == hashed if len(self.hashes) else np.zeros(len(fresh), dtype=bool)
-            for w, i in zip(fresh, np.where(known, at, -1).tolist(), strict=True):
-                starts = (b"^" + w[:k] for k in _PREFIXES if len(w) >= k)
-                of[w] = i, tuple(self.tied[f] for f in (w, *starts) if f in self.tied)
-        ids, counts, tied = [], [], {}
-        for w, n in words.items():
-            i, own = of[w]
-            if i >= 0:
-                ids.append(i)
-                counts.append(n)
-            for f in own:
-                tied[f] = tied.get(f, 0) + n
-        order = np.argsort(np.array(ids, dtype=np.int32))
-        return np.array(ids, dtype=np.int32)[order], np.array(counts, dtype=np.int32)[order], tied
+    def _forget(self) -> None:
+        self.of: dict[bytes, int] = {}
+        self.number = np.full(1024, -1, dtype=np.int32)  # by slot
+        self.own: dict[int, list[int]] = {}  # tied features by slot
 
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), dtype=np.uint64, count=len(words))
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "of": {}, "own": {}, "number": np.full(1024, -1, dtype=np.int32)}
+
+    def _learn(self, fresh: list[bytes]) -> None:
+        hashed = word_hashes(fresh)
+        at = np.minimum(np.searchsorted(self.hashes, hashed), max(0, len(self.hashes) - 1))
+        known = self.hashes[at] == hashed if len(self.hashes) else np.zeros(len(fresh), dtype=bool)
+        begin = len(self.of)
+        if begin + len(fresh) > len(self.number):
+            self.number = np.concatenate([self.number, np.full(len(self.number) + len(fresh), -1, dtype=np.int32)])
+        self.number[begin : begin + len(fresh)] = np.where(known, at, -1)
+        self.of.update(zip(fresh, range(begin, begin + len(fresh)), strict=True))
+        if self.tied:
+            for n, w in enumerate(fresh):
+                if own := [self.tied[f] for f in features_of(w) if f in self.tied]:
+                    self.own[begin + n] = own
+
+    def __call__(self, texts: list[str]) -> tuple[tuple, tuple]:
+        """For words and for tied features: where each text's begin, with the end of the last; their numbers; and how
+        often each occurs."""
+        split = list(map(words_of, texts))
+        sizes = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+        flat = list(chain.from_iterable(split))
+        if len(self.of) > self.slots:
+            self._forget()
+        slots = list(map(self.of.get, flat))
+        if None in slots:
+            self._learn(sorted({w for w, x in zip(flat, slots, strict=True) if x is None}))
+            slots = list(map(self.of.__getitem__, flat))
+        key = np.repeat(np.arange(len(texts)), sizes) << 32 | np.array(slots, dtype=np.int64)
+        key, counts = np.unique(key, return_counts=True)
+        text, slot = key >> 32, key & 0xFFFFFFFF
+        number = self.number[slot]
+        some = number >= 0
+        words = np.searchsorted(text[some], np.arange(len(texts) + 1)), number[some], counts[some].astype(np.int32)
+        tied: list[tuple[int, int]] = []
+        weights: list[int] = []
+        if self.own:
+            for i in np.flatnonzero(np.isin(slot, np.fromiter(self.own, dtype=np.int64, count=len(self.own)))).tolist():
+                for f in self.own[int(slot[i])]:
+                    tied.append(int(text[i]) << 32 | f)
+                    weights.append(int(counts[i]))
+        key, at = np.unique(np.array(tied, dtype=np.int64), return_inverse=True)
+        total = np.bincount(at, np.array(weights, dtype=np.float64), minlength=len(key)).astype(np.int32)
+        return words, (np.searchsorted(key >> 32, np.arange(len(texts) + 1)), (key & 0xFFFFFFFF).astype(np.int32), total)
 
 
 def example_words(sample: DataFrame) -> np.ndarray:
@@ -169,7 +178,7 @@ def example_words(sample: DataFrame) -> np.ndarray:
         seen: set[bytes] = set()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                seen.update(text.lower().encode().translate(_WORD_BYTES).split())
+                seen.update(words_of(text))
         yield pa.RecordBatch.from_arrays([pa.array(word_hashes(list(seen)).view(np.int64))], names=["h"])
 
     found = sample.select("text").mapInArrow(distinct, "h long").distinct().toArrow()
@@ -184,11 +193,11 @@ def document_frequencies(docs: DataFrame, encoder: Encoder) -> tuple[np.ndarray,
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, seen = model.value, np.zeros(words + tied, dtype=np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                ids, _, own = encoder(text)
-                seen[ids] += 1
-                for f in own:
-                    seen[words + f] += 1
+            texts = batch.column(0).to_pylist()
+            for at in range(0, len(texts), QUERIES):
+                (_, some, _), (_, own, _) = encoder(texts[at : at + QUERIES])
+                np.add.at(seen, some, 1)
+                np.add.at(seen, words + own, 1)
         some = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(seen[some])], names=["term", "n"])
 
@@ -206,189 +215,249 @@ def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 class BlockMaxIndex:
-    """An inverted index over unit vectors, with the largest weight of each term in each block of examples that
-    holds it."""
-
-    def __init__(self, vectors: list, labels: list[int], ids: list, terms: int, block: int = BLOCK):
-        """vectors: terms and weights of each example, as two arrays or as a dict."""
-        self.labels, self.ids, self.block = np.array(labels, dtype=np.float64), ids, block
-        self.blocks = -(-len(vectors) // block)
-        pairs = [_pair(v) for v in vectors]
-        sizes = np.array([len(t) for t, _ in pairs], dtype=np.int64)
-        self.begin = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        self.term = np.concatenate([t for t, _ in pairs]).astype(np.int32) if pairs else np.zeros(0, dtype=np.int32)
-        self.weight = np.concatenate([w for _, w in pairs]).astype(np.float32) if pairs else np.zeros(0, dtype=np.float32)
-        order = np.argsort(self.term, kind="stable")
-        self.docs = np.repeat(np.arange(len(pairs), dtype=np.int32), sizes)[order]
-        # Partial sums in single precision find candidates; their cosines are computed again in double precision.
-        self.weights = self.weight[order]
-        lengths = np.bincount(self.term, minlength=terms)
-        self.post = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-        self.rows: dict[int, np.ndarray] = {}  # the lists that hold many of the examples, written out
-        for t in np.flatnonzero(lengths > max(SHORT, len(pairs) // DENSE)).tolist():
-            own = slice(self.post[t], self.post[t + 1])
-            self.rows[t] = np.zeros(len(pairs), dtype=np.float32)
-            self.rows[t][self.docs[own]] = self.weights[own]
-        at, term = self.docs // block, self.term[order]
-        first = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (at[1:] != at[:-1])]) if len(at) else np.zeros(0, dtype=np.int64)
-        self.max_block = at[first]
-        self.max_weight = np.maximum.reduceat(self.weights, first) if len(first) else np.zeros(0, dtype=np.float32)
-        self.max_begin = np.searchsorted(first, self.post).astype(np.int32)
-
-    def _bounds(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """What some terms can add at most to an example of each block."""
-        lengths = (self.max_begin[terms + 1] - self.max_begin[terms]).astype(np.int64)
-        at = _ranges(self.max_begin[terms].astype(np.int64), lengths)
-        return np.bincount(self.max_block[at], self.max_weight[at] * np.repeat(weights, lengths), minlength=self.blocks)
-
-    def nearest(self, query: dict[int, float] | tuple, k: int, leave_out: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and cosines of the k nearest examples with a positive cosine; ties go to the first."""
-        terms, weights = _pair(query)
-        lengths = (self.post[terms + 1] - self.post[terms]).astype(np.int64)
-        order = np.argsort(lengths, kind="stable")
-        order = order[lengths[order] > 0]
-        terms, weights, lengths = terms[order], weights[order], lengths[order]
-        total, sums = np.cumsum(lengths), np.zeros(len(self.labels), dtype=np.float32)
-        done, step = 0, FIRST
-        found = np.zeros(0, dtype=np.int64)
-        while done < len(terms):  # rare terms first; long lists are read only while they may matter
-            stop = max(done + 1, int(np.searchsorted(total, step)))
-            short = done + int(np.searchsorted(lengths[done:stop], SHORT))
-            if short > done:
-                at = _ranges(self.post[terms[done:short]].astype(np.int64), lengths[done:short])
-                some = self.weights[at] * np.repeat(weights[done:short], lengths[done:short])
-                sums += np.bincount(self.docs[at], some, minlength=len(sums)).astype(np.float32)
-            for t, w in zip(terms[short:stop].tolist(), weights[short:stop].astype(np.float32), strict=True):
-                if (row := self.rows.get(t)) is not None:
-                    sums += w * row
-                else:
-                    a, b = self.post[t], self.post[t + 1]
-                    sums[self.docs[a:b]] += w * self.weights[a:b]
-            done, step = min(stop, len(terms)), 3 * step
-            if leave_out >= 0:
-                sums[leave_out] = 0.0
-            # Only examples of blocks whose bound reaches the k-th best so far can be among the k best.
-            least = float(np.partition(sums, len(sums) - k)[len(sums) - k]) if len(sums) > k else 0.0
-            least -= 1e-5
-            if done == len(terms):
-                found = np.flatnonzero((sums > 0) & (sums >= least))
-            elif least > 0:
-                bounds = self._bounds(terms[done:], weights[done:])
-                found = np.flatnonzero(sums + np.repeat(bounds.astype(np.float32) + 1e-5, self.block)[: len(sums)] >= least)
-                if len(found) <= ENOUGH:
-                    break
-        found = found[found != leave_out]
-        if not len(found):
-            return found, np.zeros(0)
-        dense = self._dense if getattr(self, "_dense", None) is not None else np.zeros(len(self.post) - 1)
-        self._dense = dense
-        dense[terms] = weights
-        sizes = self.begin[found + 1] - self.begin[found]
-        at = _ranges(self.begin[found], sizes)
-        cosines = np.add.reduceat(dense[self.term[at]] * self.weight[at], np.cumsum(sizes) - sizes)
-        dense[terms] = 0.0
-        keep = np.lexsort((found, -cosines))[:k]
+    """An inverted index over unit vectors, with the largest weight of each frequent term in each block of vectors."""
+
+    def __init__(self, begin: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int, block: int = BLOCK):
+        """begin: where each vector's entries begin, with the end of the last; term, weight: the entries."""
+        self.begin, self.term, self.weight, self.block = begin, term, weight.astype(np.float32), block
+        self.size = len(begin) - 1
+        self.span = block * GROUP
+        padded = -(-self.size // self.span) * self.span
+        sizes = np.diff(begin)
+        lengths = np.bincount(term, minlength=terms)
+        often = np.argsort(-lengths, kind="stable")[:FREQUENT]
+        often = often[lengths[often] * SPREAD > self.size]
+        self.column = np.full(terms, -1, dtype=np.int32)  # by term: its column among the frequent ones
+        self.column[often] = np.arange(len(often))
+        docs, at = np.repeat(np.arange(self.size, dtype=np.int32), sizes), self.column[term]
+        # Sums in single precision find candidates; their cosines are computed again in double precision.
+        self.rows = np.zeros((padded, len(often)), dtype=np.float32)
+        self.rows[docs[at >= 0], at[at >= 0]] = self.weight[at >= 0]
+        self.most = self.rows.reshape(padded // block, block, len(often)).max(axis=1) if padded else self.rows
+        rare = np.flatnonzero(at < 0)
+        rare = rare[np.argsort(term[rare], kind="stable")]
+        self.docs, self.weights = docs[rare], self.weight[rare]
+        self.post = np.concatenate([[0], np.cumsum(np.where(self.column < 0, lengths, 0))]).astype(np.int64)
+        self.dense = np.zeros(terms)
+
+    def nearest(
+        self, begin: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int, leave_out: np.ndarray | None = None
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query, positions and cosines of the k nearest vectors with a positive cosine; ties go to the
+        first. leave_out: for each query a vector that doesn't count."""
+        out = []
+        for a in range(0, len(begin) - 1, QUERIES):
+            b = min(a + QUERIES, len(begin) - 1)
+            own = slice(begin[a], begin[b])
+            out += self._nearest(begin[a : b + 1] - begin[a], term[own], weight[own], k, None if leave_out is None else leave_out[a:b])
+        return out
+
+    def _nearest(self, begin, term, weight, k, leave_out) -> list[tuple[np.ndarray, np.ndarray]]:
+        n, padded = len(begin) - 1, len(self.rows)
+        if not self.size:
+            return [(np.zeros(0, dtype=np.int64), np.zeros(0))] * n
+        sums, column = np.zeros((n, padded), dtype=np.float32), self.column[term]
+        frequent = np.zeros((n, self.rows.shape[1]), dtype=np.float32)
+        frequent[np.repeat(np.arange(n), np.diff(begin))[column >= 0], column[column >= 0]] = weight[column >= 0]
+        lengths = (self.post[term + 1] - self.post[term])
+        for q in range(n):
+            own = np.flatnonzero(lengths[begin[q] : begin[q + 1]]) + begin[q]
+            at = _ranges(self.post[term[own]], lengths[own])
+            if len(at):
+                sums[q] = np.bincount(self.docs[at], self.weights[at] * np.repeat(weight[own], lengths[own]), minlength=padded)
+        if leave_out is not None:
+            sums[np.arange(n), leave_out] = -np.inf
+        # What a vector of each block can reach at most.
+        bounds = sums.reshape(n, -1, self.block).max(axis=2) + frequent @ self.most.T + np.float32(1e-5)
+        bounds = bounds.reshape(n, -1, GROUP).max(axis=2)
+        least, found = np.zeros(n, dtype=np.float32), [[] for _ in range(n)]
+
+        def complete(group: int, queries: np.ndarray) -> None:
+            own = slice(group * self.span, (group + 1) * self.span)
+            whole = sums[queries, own] + frequent[queries] @ self.rows[own].T
+            if self.span > k:
+                np.maximum.at(least, queries, np.partition(whole, self.span - k, axis=1)[:, self.span - k])
+            q, at = np.nonzero((whole > 0) & (whole >= least[queries][:, None] - 1e-5))
+            cuts = np.searchsorted(q, np.arange(len(queries) + 1))
+            at += own.start
+            for i, (x, y) in zip(queries.tolist(), zip(cuts, cuts[1:], strict=False), strict=True):
+                if y > x:
+                    found[i].append((at[x:y], whole[q[x:y], at[x:y] - own.start]))
+
+        best = bounds.argmax(axis=1)
+        for group in np.unique(best).tolist():  # the most promising group of each query sets what others must reach
+            complete(group, np.flatnonzero(best == group))
+        for group in range(bounds.shape[1]):
+            queries = np.flatnonzero((best != group) & (bounds[:, group] >= least) & (bounds[:, group] > 1e-5))
+            if len(queries):
+                complete(group, queries)
+        out = []
+        for q in range(n):
+            out.append(self._exact(term[begin[q] : begin[q + 1]], weight[begin[q] : begin[q + 1]], found[q], k))
+        return out
+
+    def _exact(self, term, weight, found, k) -> tuple[np.ndarray, np.ndarray]:
+        if not found:
+            return np.zeros(0, dtype=np.int64), np.zeros(0)
+        at, about = (np.concatenate(x) for x in zip(*found, strict=True))
+        if len(at) > k:
+            keep = about >= np.partition(about, len(at) - k)[len(at) - k] - 2e-5
+            at = at[keep]
+        at = np.sort(at)
+        self.dense[term] = weight
+        sizes = self.begin[at + 1] - self.begin[at]
+        entries = _ranges(self.begin[at], sizes)
+        cosines = np.add.reduceat(self.dense[self.term[entries]] * self.weight[entries], np.cumsum(sizes) - sizes)
+        self.dense[term] = 0.0
+        keep = np.lexsort((at, -cosines))[:k]
         keep = keep[cosines[keep] > 0]
-        return found[keep], cosines[keep]
+        return at[keep], cosines[keep]
 
-    def __getstate__(self) -> dict:
-        return {**self.__dict__, "_dense": None}
 
+def _unit(begin: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Weights of vectors of length one; ``idf`` by entry. Vectors may be empty."""
+    raw = (1 + np.log(counts)) * idf
+    squares = np.concatenate([[0.0], np.cumsum(raw * raw)])
+    norms = np.sqrt(np.maximum(squares[begin[1:]] - squares[begin[:-1]], 1e-300))
+    return raw / np.repeat(norms, np.diff(begin))
 
-def _pair(vector: dict[int, float] | tuple) -> tuple[np.ndarray, np.ndarray]:
-    if isinstance(vector, dict):
-        return np.array(list(vector), dtype=np.int64), np.array(list(vector.values()), dtype=np.float64)
-    return vector
 
+class Examples:
+    """The examples as tasks need them, of bounded size: words, frequencies, labels and counts, from which each Python
+    worker builds the two indexes once."""
 
-class Scorer:
-    """Words, indexes and calibration: all that a task needs, of bounded size.
-
-    One index holds all words of the examples, a second one the features tied to the label; the votes of both are
-    weighed by a logistic regression on the examples, each held against all others."""
-
-    def __init__(self, encoder: Encoder, idf: np.ndarray, tied_idf: np.ndarray, rows: list[tuple], k: int = NEIGHBOURS):
-        """rows: id, label, word numbers, word counts and tied counts of each example."""
-        self.encoder, self.idf, self.tied_idf, self.k = encoder, idf, tied_idf, k
-        rows = sorted(rows, key=lambda r: str(r[0]))
-        empty = [r[1] for r in rows if not len(r[2])]
-        some = [r for r in rows if len(r[2])]
-        overall = float(np.mean([r[1] for r in rows])) if rows else 0.0
-        self.base = (sum(empty) + overall) / (len(empty) + 1) if rows else 0.0
-        plain = [r[1] for r in some if not r[4]]
-        self.tied_base = (sum(plain) + overall) / (len(plain) + 1)
-        self.examples = [(r[0], r[1], np.diff(r[2], prepend=np.int32(0)), r[3], r[4]) for r in some]
-        self.index = self.tied_index = self.own = None  # built in the tasks
-        self.calibrate(np.zeros((0, 2)))
-
-    def calibrate(self, votes: np.ndarray) -> None:
-        """votes: those of each example, as far as they are known."""
-        labels = np.array([r[1] for r in self.examples][: len(votes)], dtype=np.float64)
-        self.weights = _logistic(_logits(votes), labels)
-        self.steps, self.levels = _isotonic(self.joined(votes), labels)
-
-    def build(self) -> None:
-        labels, ids = [r[1] for r in self.examples], [r[0] for r in self.examples]
-        vectors = ((np.cumsum(t), _unit(c, self.idf[np.cumsum(t)])) for _, _, t, c, _ in self.examples)
-        self.index = BlockMaxIndex(list(vectors), labels, ids, len(self.idf))
-        own = [n for n, r in enumerate(self.examples) if r[4]]
-        tied = [self.tied_vector(self.examples[n][4]) for n in own]
-        self.tied_index = BlockMaxIndex(tied, [labels[n] for n in own], [ids[n] for n in own], len(self.tied_idf))
-        self.own = {n: i for i, n in enumerate(own)}
-
-    def left_out(self, n: int) -> tuple[float, float]:
-        """The votes of the n-th example by the others."""
-        own = slice(self.index.begin[n], self.index.begin[n + 1])
-        vector = self.index.term[own].astype(np.int64), self.index.weight[own].astype(np.float64)
-        first = self.vote(self.index, *self.index.nearest(vector, self.k, leave_out=n), self.base)
-        if (i := self.own.get(n)) is None:
-            return first, self.tied_base
-        at = slice(self.tied_index.begin[i], self.tied_index.begin[i + 1])
-        vector = self.tied_index.term[at].astype(np.int64), self.tied_index.weight[at].astype(np.float64)
-        return first, self.vote(self.tied_index, *self.tied_index.nearest(vector, self.k, leave_out=i), self.tied_base)
-
-    def __getstate__(self) -> dict:  # a task builds the indexes from numbers and counts, which take far less space
-        packed = zlib.compress(pickle.dumps(self.examples), 1)
-        return {**self.__dict__, "examples": packed, "index": None, "tied_index": None, "own": None}
-
-    def __setstate__(self, state: dict) -> None:
-        self.__dict__.update(state)
-        self.examples = pickle.loads(zlib.decompress(self.examples))
-        self.build()
-        self.examples = None
-
-    def tied_vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        terms = np.array(sorted(counts), dtype=np.int64)
-        return terms, _unit(np.array([counts[t] for t in terms.tolist()]), self.tied_idf[terms])
-
-    def vote(self, index: BlockMaxIndex, at: np.ndarray, cosines: np.ndarray, base: float) -> float:
+    def __init__(self, encoder: Encoder, idf: np.ndarray, tied_idf: np.ndarray, packed: list[bytes], ids: list, labels: list[int], k: int = NEIGHBOURS):
+        """packed: by part of the sample, the arrays that the encoder gives, compressed; ids and labels in that order."""
+        self.encoder, self.idf, self.tied_idf, self.packed = encoder, idf.astype(np.float32), tied_idf, packed
+        self.all_ids, self.all_labels, self.k = ids, labels, k
+        self.index: BlockMaxIndex | None = None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "index": None, "tied_index": None}
+
+    def build(self) -> Examples:
+        if self.index is not None:
+            return self
+        parts = [_unpacked(p) for p in self.packed]
+        words, tied = _joined([p[0] for p in parts]), _joined([p[1] for p in parts])
+        labels, some = np.array(self.all_labels, dtype=np.float64), np.diff(words[0]) > 0
+        overall = float(labels.mean()) if len(labels) else 0.0
+        self.base = (float(labels[~some].sum()) + overall) / (int((~some).sum()) + 1) if len(labels) else 0.0
+        plain = some & (np.diff(tied[0]) == 0)
+        self.tied_base = (float(labels[plain].sum()) + overall) / (int(plain.sum()) + 1)
+        order = np.flatnonzero(some)
+        order = order[np.argsort(np.array([str(self.all_ids[i]) for i in order.tolist()]), kind="stable")] if len(order) else order
+        begin, term, counts = _taken(words, order)
+        weight = _unit(begin, counts, self.idf[term])
+        like = _alike(begin, term, weight, len(self.idf))
+        order, (begin, term, weight) = order[like], _taken((begin, term, weight), like)
+        self.ids, self.labels = [self.all_ids[i] for i in order.tolist()], labels[order]
+        self.index = BlockMaxIndex(begin, term, weight, len(self.idf))
+        begin, term, counts = _taken(tied, order)
+        self.owners = np.flatnonzero(np.diff(begin))
+        self.place = np.full(len(order), -1, dtype=np.int64)  # by example: its place in the second index
+        self.place[self.owners] = np.arange(len(self.owners))
+        begin, term, counts = _taken((begin, term, counts), self.owners)
+        self.tied_index = BlockMaxIndex(begin, term, _unit(begin, counts, self.tied_idf[term]), len(self.tied_idf))
+        return self
+
+    def _vote(self, labels: np.ndarray, cosines: np.ndarray, base: float) -> float:
         """The share of toxic neighbours, each weighted by the inverse of its distance, drawn to the base rate."""
         weights = 1 / (0.05 + np.maximum(0.0, 1 - cosines))
-        return float((weights @ index.labels[at] + base) / (weights.sum() + 1))
-
-    def joined(self, votes: np.ndarray) -> np.ndarray:
-        return _logits(votes) @ self.weights
+        return float((weights @ labels + base) / (weights.sum() + 1))
+
+    def left_out(self, numbers: np.ndarray) -> np.ndarray:
+        """The two votes for some of the examples by the others."""
+        votes = np.full((len(numbers), 2), (self.base, self.tied_base))
+        index, tied = self.index, self.tied_index
+        begin, term, weight = _taken((index.begin, index.term, index.weight), numbers)
+        for n, (at, cosines) in enumerate(index.nearest(begin, term, weight, self.k, numbers)):
+            votes[n, 0] = self._vote(self.labels[at], cosines, self.base)
+        place = self.place[numbers]
+        some = np.flatnonzero(place >= 0)
+        begin, term, weight = _taken((tied.begin, tied.term, tied.weight), place[some])
+        for n, (at, cosines) in zip(some.tolist(), tied.nearest(begin, term, weight, self.k, place[some]), strict=True):
+            votes[n, 1] = self._vote(self.labels[self.owners[at]], cosines, self.tied_base)
+        return votes
+
+    def votes(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[list[tuple]]]:
+        """The two votes for each text, whether it shares anything with an example, and the three nearest examples."""
+        out = np.full((len(texts), 2), (self.base, self.tied_base))
+        known, near = np.zeros(len(texts), dtype=bool), []
+        (begin, term, counts), (tied_begin, tied_term, tied_counts) = self.encoder(texts)
+        found = self.index.nearest(begin, term, _unit(begin, counts, self.idf[term]), self.k)
+        tied = self.tied_index.nearest(tied_begin, tied_term, _unit(tied_begin, tied_counts, self.tied_idf[tied_term]), self.k)
+        for n, ((at, cosines), (own, tied_cosines)) in enumerate(zip(found, tied, strict=True)):
+            if len(at):
+                out[n, 0] = self._vote(self.labels[at], cosines, self.base)
+            if len(own):
+                out[n, 1] = self._vote(self.labels[self.owners[own]], tied_cosines, self.tied_base)
+            known[n] = len(at) or len(own)
+            near.append([(self.ids[i], float(c)) for i, c in zip(at[:3].tolist(), cosines[:3].tolist(), strict=True)])
+        return out, known, near
+
+
+def _packed(arrays: tuple[tuple, tuple]) -> bytes:
+    """Both triples of an ``Encoder``'s result as compressed bytes."""
+    flat = [x.astype("<i4") for triple in arrays for x in triple]
+    sizes = np.array([len(x) for x in flat], dtype="<i4")
+    return zlib.compress(b"".join(x.tobytes() for x in (sizes, *flat)), 1)
+
+
+def _unpacked(packed: bytes) -> tuple[tuple, tuple]:
+    whole = np.frombuffer(zlib.decompress(packed), dtype="<i4")
+    cuts = 6 + np.concatenate([[0], np.cumsum(whole[:6])])
+    six = [whole[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+    return tuple(six[:3]), tuple(six[3:])
+
+
+def _joined(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    ends = np.cumsum([0] + [len(t) for _, t, _ in parts])
+    begin = np.concatenate([[0], *(b[1:].astype(np.int64) + e for (b, _, _), e in zip(parts, ends, strict=False))]).astype(np.int64)
+    term, counts = (np.concatenate([np.zeros(0, dtype=np.int32), *(p[i] for p in parts)]) for i in (1, 2))
+    return begin, term, counts
+
+
+def _taken(vectors: tuple, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Some of the vectors, in the order given."""
+    begin, term, values = vectors
+    sizes = begin[order + 1] - begin[order]
+    at = _ranges(begin[order], sizes)
+    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), term[at], values[at]
+
+
+def _alike(begin: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int, words: int = 96) -> np.ndarray:
+    """An order of vectors that puts those together whose most frequent terms are alike, so that blocks have low bounds."""
+    n = len(begin) - 1
+    often = np.argsort(-np.bincount(term, minlength=terms), kind="stable")[:words]
+    column = np.full(terms, -1, dtype=np.int32)
+    column[often] = np.arange(len(often))
+    rows, at = np.zeros((n, len(often))), column[term]
+    rows[np.repeat(np.arange(n), np.diff(begin))[at >= 0], at[at >= 0]] = weight[at >= 0]
+    _, axes = np.linalg.eigh(rows.T @ rows)
+    sides = rows @ axes[:, ::-1][:, 1:5] if len(often) > 4 else rows
+    marks = tuple((sides[:, i] > 0) for i in range(1, sides.shape[1])) + ((sides[:, 0] > 0),) if sides.shape[1] else ()
+    return np.lexsort((np.arange(n), np.round(sides[:, 0], 6), *marks)) if marks else np.arange(n)
 
-    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray, dict[int, int]]:
-        return self.encoder(text)
 
-    def score(self, counts: tuple[np.ndarray, np.ndarray, dict[int, int]]) -> tuple[float, list]:
-        ids, n, tied = counts
-        votes, at, cosines = np.array([self.base, self.tied_base]), np.zeros(0, dtype=np.int64), np.zeros(0)
-        if len(ids):
-            at, cosines = self.index.nearest((ids.astype(np.int64), _unit(n, self.idf[ids])), self.k)
-            votes[0] = self.vote(self.index, at, cosines, self.base)
-        if tied:
-            votes[1] = self.vote(self.tied_index, *self.tied_index.nearest(self.tied_vector(tied), self.k), self.tied_base)
-        if not len(self.steps) or not (len(at) or tied):
-            return self.base, []
-        value = float(np.interp(self.joined(votes), self.steps, self.levels))
-        return value, [(self.index.ids[i], float(c)) for i, c in zip(at[:3], cosines[:3], strict=True)]
+class Scorer:
+    """The broadcast examples, and how their votes are weighed and calibrated."""
 
+    def __init__(self, model, votes: np.ndarray, labels: np.ndarray):
+        """model: a broadcast ``Examples``; votes: those of each example by the others."""
+        self.model = model
+        self.weights = _logistic(_logits(votes), labels)
+        self.steps, self.levels = _isotonic(_logits(votes) @ self.weights, labels)
 
-def _unit(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    raw = (1 + np.log(counts)) * idf
-    return raw / np.sqrt(raw @ raw)
+    def score(self, texts: list[str]) -> list[tuple[float, list]]:
+        """Score and evidence of each text."""
+        examples = self.model.value.build()
+        votes, known, near = examples.votes(texts)
+        if len(self.steps):
+            scores = np.where(known, np.interp(_logits(votes) @ self.weights, self.steps, self.levels), examples.base)
+        else:
+            scores = np.full(len(texts), examples.base)
+        return [(s, n if k else []) for s, n, k in zip(scores.tolist(), near, known.tolist(), strict=True)]
 
 
 def _logits(votes: np.ndarray) -> np.ndarray:
@@ -424,60 +493,71 @@ def _isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def fit(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES) -> Scorer:
     sample = materialize(examples(docs, labels, limit), "examples")
     encoder = Encoder(example_words(sample), vocabulary(sample))
-    model, n = docs.sparkSession.sparkContext.broadcast(encoder), docs.count()
+    spark, n = docs.sparkSession, docs.count()
+    model = spark.sparkContext.broadcast(encoder)
     idf, tied_idf = (np.log((1 + n) / (1 + f)) + 1 for f in document_frequencies(docs, encoder))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = model.value
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [encoder(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array([i.tobytes() for i, _, _ in found], pa.binary()),
-                 pa.array([c.tobytes() for _, c, _ in found], pa.binary()),
-                 pa.array([np.array(list(t.items()), dtype=np.int32).tobytes() for _, _, t in found], pa.binary())],
-                names=["doc_id", "toxic", "ids", "counts", "tied"],
-            )
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                counted = _packed(model.value(part.column(1).to_pylist()))
+                ids, marks = pa.array([part.column(0).to_pylist()]), pa.array([part.column(2).to_pylist()], pa.list_(pa.int32()))
+                ids = ids.cast(pa.list_(part.schema.field(0).type))
+                yield pa.RecordBatch.from_arrays([ids, marks, pa.array([counted], pa.binary())], names=["ids", "labels", "packed"])
 
     id_type = sample.schema["doc_id"].dataType.simpleString()
-    rows = sample.select("doc_id", "text", "toxic").mapInArrow(count, f"doc_id {id_type}, toxic int, ids binary, counts binary, tied binary")
-    read = lambda x: np.frombuffer(x, dtype=np.int32)
-    scorer = Scorer(encoder, idf, tied_idf, [  # at most ``limit`` rows
-        (r["doc_id"], r["toxic"], read(r["ids"]), read(r["counts"]), dict(read(r["tied"]).reshape(-1, 2).tolist())) for r in rows.collect()
-    ])
-    indexed = docs.sparkSession.sparkContext.broadcast(scorer)
+    parts = sample.select("doc_id", "text", "toxic").mapInArrow(pack, f"ids array<{id_type}>, labels array<int>, packed binary")
+    parts = parts.orderBy(F.element_at("ids", 1)).collect()  # of at most ``limit`` examples, compressed
+    ids, marks = [i for p in parts for i in p["ids"]], [x for p in parts for x in p["labels"]]
+    found = Examples(encoder, idf, tied_idf, [bytes(p["packed"]) for p in parts], ids, marks)
+    del parts
+    indexed = spark.sparkContext.broadcast(found)
 
     def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        built = indexed.value.build()
         for batch in batches:
-            numbers = batch.column(0).to_pylist()
-            votes = np.array([indexed.value.left_out(n) for n in numbers]).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(votes[:, 0]), pa.array(votes[:, 1])], names=["id", "v", "w"])
+            numbers = batch.column(0).to_numpy()
+            numbers = numbers[numbers < len(built.ids)]
+            votes = built.left_out(numbers)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(numbers), pa.array(votes[:, 0]), pa.array(votes[:, 1]), pa.array(built.labels[numbers])], names=["id", "v", "w", "y"]
+            )
+
+    votes = spark.range(len(ids)).mapInArrow(left_out, "id long, v double, w double, y double").orderBy("id").toArrow()
+    v, w, y = (votes.column(c).to_numpy() for c in ("v", "w", "y"))
+    return Scorer(indexed, np.column_stack([v, w]).reshape(-1, 2), y)
 
-    found = docs.sparkSession.range(len(scorer.examples)).mapInArrow(left_out, "id long, v double, w double").orderBy("id").collect()
-    scorer.calibrate(np.array([(r["v"], r["w"]) for r in found]).reshape(-1, 2))
-    return scorer
+
+def _scores(texts: list[str], scorer: Scorer, known: dict) -> list[tuple[float, list]]:
+    """Score and evidence of each text; ``known`` keeps those of some texts, so that copies are scored once."""
+    keys = [xxhash.xxh3_128_digest(t.encode()) for t in texts]
+    fresh = {k: t for k, t in zip(keys, texts, strict=True) if k not in known}
+    if len(known) + len(fresh) > 20_000:
+        known.clear()
+        fresh = dict(zip(keys, texts, strict=True))
+    todo = list(fresh.items())
+    for at in range(0, len(todo), QUERIES):
+        part = todo[at : at + QUERIES]
+        known.update(zip((k for k, _ in part), scorer.score([t for _, t in part]), strict=True))
+    return [known[k] for k in keys]
 
 
 def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
     """``doc_id, held_out, score, predicted, evidence``; evidence: the nearest examples and their cosines."""
-    model = docs.sparkSession.sparkContext.broadcast(scorer)
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer, known = model.value, {}
+        known: dict = {}
         kind = pa.list_(pa.struct([("doc_id", pa.int64() if id_type == "bigint" else pa.string()), ("cosine", pa.float64())]))
-        for batch in batches:
-            scores, why = [], []
-            for text in batch.column(1).to_pylist():
-                key = xxhash.xxh3_128_digest(text.encode())
-                if key not in known:
-                    known = {} if len(known) > 20_000 else known
-                    known[key] = scorer.score(scorer.counts(text))
-                value, near = known[key]
-                scores.append(value)
-                why.append([{"doc_id": i if id_type == "bigint" else str(i), "cosine": c} for i, c in near])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(scores, pa.float64()), pa.array(why, kind)], names=["doc_id", "score", "evidence"]
-            )
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 1000):
+                batch = whole.slice(begin, 1000)
+                found = _scores(batch.column(1).to_pylist(), scorer, known)
+                why = [[{"doc_id": i if id_type == "bigint" else str(i), "cosine": c} for i, c in near] for _, near in found]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array([s for s, _ in found], pa.float64()), pa.array(why, kind)], names=["doc_id", "score", "evidence"]
+                )
 
     rows = docs.select("doc_id", text_or_empty().alias("text"))
     evidence = "array<struct<doc_id: bigint, cosine: double>>" if id_type == "bigint" else "array<struct<doc_id: string, cosine: double>>"
@@ -490,12 +570,11 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return score(docs, fit(docs, labels))
 
 
-def toxic_flag(docs: DataFrame, scorer: Scorer) -> DataFrame:
-    """``docs`` with a last column ``_toxic``: 1 where the score of ``text`` is 0.5 or more, else 0."""
-    model = docs.sparkSession.sparkContext.broadcast(scorer)
+def toxic_flag(scorer: Scorer) -> Column:
+    """1 where the score of ``text`` is 0.5 or more, else 0."""
 
     @F.pandas_udf("int")
     def flag(texts: pd.Series) -> pd.Series:
-        return pd.Series([int(model.value.score(model.value.counts(t))[0] >= 0.5) for t in texts], dtype="int32")
+        return pd.Series([int(s >= 0.5) for s, _ in _scores(texts.tolist(), scorer, {})], dtype="int32")
 
-    return docs.withColumn("_toxic", flag(text_or_empty()))
+    return flag(text_or_empty())
