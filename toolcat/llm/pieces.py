@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 from math import exp, expm1, log
 
 import numpy as np
@@ -37,7 +38,7 @@ TEMPERATURE, PENALTY = 4000.0, 3.0
 #: Lattice nodes that are kept at once in each generation; words of more than WORD characters are not kept.
 NODES, WORD = 1_500_000, 48
 #: Characters of texts that are sampled together.
-CHARS = 400_000
+CHARS = 200_000
 _SPLIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _GOLDEN, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -208,9 +209,9 @@ class Lattice:
         return np.array([self.spelled[c] for c in distinct.tolist()], dtype=np.int32)[at]
 
     def learn(self, words: list[str]) -> None:
-        """Put the arcs of new words, none of them empty, into the store."""
-        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        codes = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32)
+        """Put the arcs of new words, here without the space before them, into the store."""
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1
+        codes = np.frombuffer((SPACE + SPACE.join(words)).encode("utf-32-le"), dtype=np.uint32)
         ends = np.cumsum(sizes)
         left = np.repeat(ends, sizes) - np.arange(len(codes))
         found = self.pieces.matches(codes, left)
@@ -257,31 +258,30 @@ class Lattice:
         self.store.add(words, sizes, counts, emit=emit, to=np.where(last, 0, length), upto=upto, log_p=np.minimum(log_p, 0.0))
 
     def words(self, texts: list[str]) -> list[np.ndarray]:
-        """The first nodes of the words of each text."""
+        """The first nodes of the words of each text. Every word begins with a space, which its name here leaves out."""
         found = [
-            [] if not t else _SPLIT.findall(SPACE + t.replace(" ", SPACE))
-            if "  " in t or t[0] == " " or SPACE in t else [SPACE + w for w in t.split(" ")]
+            [] if not t else [w[1:] for w in _SPLIT.findall(SPACE + t.replace(" ", SPACE))]
+            if "  " in t or t[0] == " " or SPACE in t else t.split(" ")
             for t in texts
         ]
-        store = self.store
-        new = set().union(*found).difference(store.starts)
-        if new and store.nodes > self.limit:
-            self.old, self.store = store, Store()
-            store = self.store
-            new = set().union(*found)
-        if new:
-            kept = [w for w in new if w in self.old.starts]
-            if kept:
-                store.take(kept, np.array([len(w) for w in kept], dtype=np.int64), self.old)
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        flat = list(chain.from_iterable(found))
+        if self.store.nodes > self.limit:
+            self.old, self.store = self.store, Store()
+        starts = self.store.starts
+        nodes = list(map(starts.get, flat))
+        if None in nodes:
+            new = {w for w, x in zip(flat, nodes, strict=True) if x is None}
+            if kept := [w for w in new if w in self.old.starts]:
+                self.store.take(kept, np.fromiter(map(len, kept), dtype=np.int64, count=len(kept)) + 1, self.old)
                 new.difference_update(kept)
             if new:
-                self.learn(sorted(new))
-        get = store.starts.__getitem__
-        out = [np.fromiter(map(get, ws), dtype=np.int64, count=len(ws)) for ws in found]
-        for w in new:
-            if len(w) > WORD:  # its arcs stay until the generation ends, its name goes
-                del store.starts[w]
-        return out
+                self.learn(list(new))
+            nodes = [starts[w] if x is None else x for w, x in zip(flat, nodes, strict=True)]
+            for w in new:
+                if len(w) > WORD:  # its arcs stay until the generation ends, its name goes
+                    del starts[w]
+        return np.split(np.array(nodes, dtype=np.int64), np.cumsum(sizes)[:-1]) if found else []
 
     def draw(self, nodes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """A path from each of the nodes to its word's end: all arcs, and the number of them for each node."""
@@ -432,7 +432,7 @@ def _inclusion(log_p: float, kappa: float) -> float:
 
 def _grown(array: np.ndarray, used: int, new: np.ndarray) -> np.ndarray:
     if used + len(new) > len(array):
-        array = np.concatenate([array[:used], np.zeros(used // 2 + len(new) + 1024, dtype=array.dtype)])
+        array = np.concatenate([array[:used], np.zeros(used + 4 * len(new) + 1024, dtype=array.dtype)])
     array[used : used + len(new)] = new
     return array
 
