@@ -31,7 +31,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Blocks that an earlier document holds are deleted; every document stays."""
-    return _counted(remove_repeated(docs).drop("_removed"))
+    return _counted(remove_repeated(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

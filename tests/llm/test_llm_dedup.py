@@ -132,7 +132,7 @@ def test_line_dedup_removes_later_passages_only(spark):
     assert p not in got[2] and q not in got[2] and own[2] in got[2] and own[3] in got[2]
     assert got[7] == ""
     out = ld.remove_repeated(docs)
-    assert out.columns == [*docs.columns, "_removed"] and out.count() == len(rows)
+    assert out.columns == docs.columns and out.count() == len(rows)
 
 
 def test_a_passage_in_very_many_documents(spark):
@@ -143,7 +143,173 @@ def test_a_passage_in_very_many_documents(spark):
     assert all(passage(1000 + i, 30) in t and passage(5000 + i, 30) in t for i, t in got.items())
 
 
-def test_patience_is_a_longest_rising_run():
-    pairs = [(0, 5), (1, 1), (2, 2), (3, 9), (4, 3)]
+def test_patience_is_a_heaviest_rising_chain():
+    pairs = [(0, 5, 1), (1, 1, 1), (2, 2, 1), (3, 9, 1), (4, 3, 1)]
     assert [pairs[i][1] for i in ld.patience(pairs)] == [1, 2, 3]
+    assert ld.patience([(0, 9, 10), (1, 1, 2), (2, 2, 3)]) == [0]
     assert ld.patience([]) == []
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.permutations(range(7)), st.lists(st.integers(1, 5), min_size=7, max_size=7))
+def test_patience_equals_brute_force(others, weights):
+    runs = [(i, y, w) for i, (y, w) in enumerate(zip(others, weights, strict=True))]
+    best = 0
+    for mask in range(1 << 7):
+        chain = [runs[i] for i in range(7) if mask >> i & 1]
+        if all(a[1] < b[1] for a, b in zip(chain, chain[1:], strict=False)):
+            best = max(best, sum(w for *_, w in chain))
+    found = ld.patience(runs)
+    assert sum(runs[i][2] for i in found) == best and all(runs[a][1] < runs[b][1] for a, b in zip(found, found[1:], strict=False))
+
+
+def words_by_rule(text):
+    import re
+
+    return [m.group() for m in re.finditer(r"[\u0800-\U0010ffff]|[^\x00-\x20\u0800-\U0010ffff]+", text)]
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.text(alphabet="ab é漢😀\n\t", max_size=40))
+def test_words_by_definition(text):
+    data = text.encode()
+    starts, ends, h = ld.words(data)
+    found = [data[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+    assert found == words_by_rule(text)
+    assert len({(w, x) for w, x in zip(found, h.tolist(), strict=True)}) == len(set(found)) == len(set(h.tolist()))
+
+
+def brute_blocks(text, other, block, line):
+    """Patience diff by its definition over runs of ``line`` words, then passages elsewhere; the words that go."""
+    a, b, gone = words_by_rule(text), words_by_rule(other), set()
+    ends, at = [], 0
+    for w in a:
+        at = text.index(w, at) + len(w)
+        ends.append(at)
+    of_line = [text.count("\n", 0, e) for e in ends]
+
+    def runs(x, lo, hi):
+        places = {}
+        for i in range(lo, hi - line + 1):
+            places.setdefault(tuple(x[i : i + line]), []).append(i)
+        return places
+
+    def chain(pairs):  # the longest rising one; of equal ones any
+        best = []
+        for i, (x, y) in enumerate(pairs):
+            n, j = max(((best[j][0], j) for j in range(i) if pairs[j][1] < y), default=(0, -1))
+            best.append((n + 1, j))
+        out, i = [], max(range(len(best)), key=lambda i: best[i][0]) if best else -1
+        while i >= 0:
+            out.append(pairs[i])
+            i = best[i][1]
+        return out[::-1]
+
+    aligned = []
+
+    def align(a0, a1, b0, b1):
+        own, theirs = runs(a, a0, a1), runs(b, b0, b1)
+        pairs = sorted((p[0], theirs[r][0]) for r, p in own.items() if len(p) == 1 and len(theirs.get(r, [])) == 1)
+        before = a0, b0
+        for x, y in chain(pairs):
+            if x < before[0] or y < before[1]:
+                continue
+            while x > before[0] and y > before[1] and a[x - 1] == b[y - 1]:
+                x, y = x - 1, y - 1
+            n = 0
+            while x + n < a1 and y + n < b1 and a[x + n] == b[y + n]:
+                n += 1
+            aligned.append((x, n))
+            align(before[0], x, before[1], y)
+            before = x + n, y + n
+        if before != (a0, b0):
+            align(before[0], a1, before[1], b1)
+
+    align(0, len(a), 0, len(b))
+    def trimmed(x, y):  # up to CHANCE words of one more line at either end
+        heads = [i for i in range(len(a)) if i == 0 or of_line[i] != of_line[i - 1]]
+        inner = [i for i in heads if x < i < y]
+        lo = inner[0] if inner and inner[0] - x <= ld.CHANCE and x not in heads else x
+        hi = inner[-1] if inner and y - inner[-1] <= ld.CHANCE and y < len(a) and y not in heads else y
+        return set(range(lo, hi))
+
+    for x, n in aligned:
+        if n >= block:
+            gone |= trimmed(x, x + n)
+            continue
+        for number in set(of_line[x : x + n]):
+            whole = [i for i in range(len(a)) if of_line[i] == number]
+            if len(whole) >= line and x <= whole[0] and whole[-1] < x + n:
+                gone |= set(whole)
+    inside = {i for x, n in aligned for i in range(x, x + n)}
+    for x in range(len(a)):  # out of order: long passages alone
+        for y in range(len(b)):
+            n = 0
+            while x + n < len(a) and y + n < len(b) and a[x + n] == b[y + n] and x + n not in inside:
+                n += 1
+            if n >= block and not (x and y and a[x - 1] == b[y - 1] and x - 1 not in inside):
+                gone |= trimmed(x, x + n)
+    return [w for i, w in enumerate(a) if i not in gone]
+
+
+def cut(text, found):
+    out, at = [], 0
+    for start, n in found:
+        out.append(text[at:start])
+        at = start + n
+    return "".join([*out, text[at:]])
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_blocks_match_a_brute_force_diff(seed):
+    r = random.Random(seed)
+    pieces = [" ".join(r.choice(WORDS) for _ in range(r.choice([3, 5, 7, 9, 12, 15, 25]))) for _ in range(8)]
+    own = lambda: " ".join(r.choice(WORDS) + "x" for _ in range(r.randrange(1, 6)))
+    make = lambda: "".join(r.choice(pieces) + r.choice(["\n", " "]) + r.choice(["", own() + r.choice(["\n", " "])]) for _ in range(r.randrange(1, 7)))
+    text, other = make(), make()
+    found = ld.blocks(text, other, 10, 4)
+    assert words_by_rule(cut(text, found)) == brute_blocks(text, other, 10, 4), (text, other)
+
+
+def test_short_passages_out_of_order_stay():
+    p, q, r = (passage(s, 20) for s in (31, 32, 33))
+    first, later = f"{p}\n{q}\n{r}", f"{q}\n{p}\n{r}"
+    left = cut(later, ld.blocks(later, first))
+    assert r not in left and (p in left) + (q in left) == 1  # a union of all shared runs would take both
+    long = [passage(s, 60) for s in (34, 35)]
+    assert cut(f"{long[1]} {long[0]}", ld.blocks(f"{long[1]} {long[0]}", f"{long[0]} {long[1]}")) == ""
+
+
+def test_every_long_passage_has_an_anchor():
+    r = random.Random(8)
+    for n in range(200):
+        p = " ".join(r.choice(WORDS) for _ in range(ld.LINE + ld.REACH - 1))
+        texts = [" ".join(r.choice(WORDS) for _ in range(r.randrange(60))) + f" {p} " + " ".join(r.choice(WORDS) for _ in range(r.randrange(60))) for _ in range(2)]
+        of, h = ld.anchors([t.encode() for t in texts])
+        assert set(h[of == 0].tolist()) & set(h[of == 1].tolist()), n
+        alone = [ld.anchors([t.encode()])[1].tolist() for t in texts]
+        assert [h[of == i].tolist() for i in (0, 1)] == alone  # whatever stands in the same batch
+    lines = [f"{passage(i, 15)}\n{passage(99, 14)}\n{passage(50 + i, 15)}" for i in (1, 2)]
+    of, h = ld.anchors([t.encode() for t in lines])
+    assert set(h[of == 0].tolist()) & set(h[of == 1].tolist())
+
+
+def test_line_dedup_odd_rows(spark):
+    p, own = passage(61, 55), passage(62, 30)
+    chinese = "".join(chr(0x4E00 + (i * 7919) % 5000) for i in range(80))
+    rows = [
+        (1, f"{own} {p}", "a"), (2, f"no stop before {p} none after", "b"), (2, f"no stop before {p} none after", "b"), (2, "other text of this id", None),
+        (3, f"前文{chinese}后", "c"), (4, f"别的{chinese}完", "d"), (5, "x" * 40_000, "e"), (6, "x" * 40_000, "f"), (None, p, "g"), (7, None, None),
+        (8, passage(63, 13) + "\nshort", "h"), (9, passage(63, 13) + "\nshort", "i"), (10, f"{p} " * 3, "j"), (11, passage(64, 20_000), "k"), (12, passage(64, 20_000) + " end", "l"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _removed string").withColumn("row", F.lit(1)).withColumn("cut", F.lit(2))
+    out = ld.remove_repeated(docs.repartition(3), removed="n_removed")
+    assert out.columns == [*docs.columns, "n_removed"] and out.count() == len(rows)
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.doc_id, set()).add((r.text, r._removed))
+    assert got[2] == {("no stop before none after", "b"), ("other text of this id", None)}
+    assert got[1] == {(rows[0][1], "a")} and got[3] == {(rows[4][1], "c")} and got[4] == {("别的完", "d")}
+    assert got[5] == {("x" * 40_000, "e")} and got[6] == {("x" * 40_000, "f")} and got[None] == {(p, "g")} and got[7] == {("", None)}
+    assert got[9] == {("short", "i")} and got[10] == {("", "j")} and got[12] == {("end", "l")}
+    assert ld.remove_repeated(docs.limit(0)).columns == docs.columns

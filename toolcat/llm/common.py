@@ -17,12 +17,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or a temporary one of our own where it is unset."""
+    """The folder that all executors share: ``spark.checkpoint.dir``. Where that is unset, a cluster's tables lie in a
+    folder of its warehouse, and a session on one machine gets a temporary folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
+    if not folder and spark.sparkContext.master.startswith("local"):
         folder = getattr(shared_dir, "own", None) or tempfile.mkdtemp(prefix="toolcat-")
         shared_dir.own = folder
-    return folder.rstrip("/")
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/toolcat").rstrip("/")
+
+
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores before it as long as ``docs`` has such a column."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -1,204 +1,393 @@
 """Line deduplication by pairwise alignment.
 
-Lines are split on at sentence ends, so a passage is found inside a longer line too. From each line on, the fewest
-lines with ``WINDOW`` words make a window, whose hash is rare where a single short line's is not. A window belongs
-to the earliest document (smallest ``doc_id``) that holds it; documents that share windows with an owner overlap.
-Each later document is aligned with each of its owners by patience diff: of the shared windows the longest
-increasing run is aligned, then what is left is aligned again, so moved passages count too. Aligned windows that
-touch or overlap make blocks, and blocks of at least ``BLOCK`` words are deleted from the later document. A
-window that very many documents share has one owner, so pairs grow with the text and not with its square.
-
-Null texts count as empty (the returned text is ''). Rows with a null ``doc_id`` stay as they are and own nothing.
-Rows that share a ``doc_id`` are parts of one document and don't delete from each other; equal repeated rows get
-the same result. Texts without repeated blocks come back unchanged. Other columns are ignored by
-``repeated_blocks`` and kept by ``remove_repeated``; an empty table gives no rows.
+A document's lines of ``LINE`` words or more are hashed, and, so that a passage inside a longer line is found as
+well, runs of ``LINE`` words that their own hashes choose: of each ``REACH`` neighbouring runs the one with the least
+hash, so any ``LINE + REACH - 1`` words in a row hold one wherever they stand. A hash leads to the earliest document
+(smallest ``doc_id``) that holds it, and later documents are paired with that one, so pairs grow with the text and
+not with the square of a group. Each pair is aligned by patience diff: of the runs of words that are unique in both
+texts the heaviest rising chain is kept and extended word by word, and the gaps between are aligned in the same
+way. From the later document go
+
+* aligned blocks of at least ``block`` words,
+* whole lines of at least ``line`` words inside smaller aligned blocks, and
+* passages of at least ``block`` words that the earlier document holds elsewhere or that the later one repeats;
+  shorter passages out of order stay.
+
+Words end at white space; signs of three or more bytes in UTF-8 (as in Chinese) are words of their own. Null texts
+count as empty (the returned text is ''). Rows with a null ``doc_id`` stay as they are and own nothing. Rows that
+share a ``doc_id`` are parts of one document and don't delete from each other; equal repeated rows get the same
+result. Texts without repeated blocks come back unchanged. Other columns are ignored by ``repeated_blocks`` and kept
+by ``remove_repeated``; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from toolcat.llm.common import join_groups, materialize, text_or_empty
+from toolcat.llm.common import HEAVY_SHARE, join_groups, materialize, text_or_empty, unused
+
+LINE, BLOCK, REACH = 12, 40, 36
+#: So many words by which a block reaches into one more line are chance and stay.
+CHANCE = 3
+#: Parts into which the pairs of one earlier document are split if they are more than 1/1000 of all.
+SALTS = 64
+#: Bytes of texts whose words are hashed together.
+BYTES = 1 << 20
+
+_SPACE = np.array([b <= 32 for b in range(256)])
+_P, _Q = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
+
+
+class _Powers:
+    """Powers of an odd number and of its inverse, modulo 2^64."""
+
+    up = down = np.ones(1, dtype=np.uint64)
+
+    @classmethod
+    def get(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.up) < n:
+            size = max(n, BYTES)
+            steps = np.full(size, _P, dtype=np.uint64), np.full(size, pow(_P, -1, 1 << 64), dtype=np.uint64)
+            for s in steps:
+                s[0] = 1
+            cls.up, cls.down = (np.multiply.accumulate(s) for s in steps)
+        return cls.up[:n], cls.down[:n]
+
 
-WINDOW, BLOCK = 12, 40
-#: Text without spaces counts as a word for each so many characters.
-CHARS_TO_WORD = 12
+def words(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the words of a UTF-8 text begin and end, in bytes, and their hashes."""
+    b = np.frombuffer(data, dtype=np.uint8)
+    n = len(b)
+    if not n:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+    space = _SPACE[b]
+    begin = np.ones(n + 4, dtype=bool)
+    begin[1:n] = space[:-1]
+    wide = np.flatnonzero(b >= 0xE0)  # each sign of three or four bytes stands alone
+    begin[wide] = True
+    begin[wide + 3 + (b[wide] >= 0xF0)] = True
+    begin = begin[:n] & ~space
+    starts, bounds = np.flatnonzero(begin), np.append(np.flatnonzero(begin | space), n)
+    ends = bounds[np.searchsorted(bounds, starts, "right")]
+    up, down = _Powers.get(n)
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
+    h = (sums[ends] - sums[starts]) * down[starts]
+    h = (h ^ (h >> np.uint64(31))) * _Q
+    return starts, ends, h ^ (h >> np.uint64(29))
 
-_END = re.compile(r"\s*\n\s*|(?<=[.!?。！？])[ \t]+")
 
+def runs_of(h: np.ndarray, size: int = LINE) -> np.ndarray:
+    """The hash of each ``size`` words in a row."""
+    n = len(h) - size + 1
+    if n <= 0:
+        return np.zeros(0, dtype=np.uint64)
+    out = h[:n].copy()
+    for j in range(1, size):
+        out *= _Q
+        out += h[j : j + n]
+    return out ^ (out >> np.uint64(32))
 
-def windows(text: str, least: int = WINDOW) -> list[tuple[int, int, int]]:
-    """Hash, start and length in characters of each window; the length takes in the white space behind it."""
-    starts, ends, nexts, at = [], [], [], 0
-    for m in _END.finditer(text):
-        if m.start() > at:
-            starts.append(at)
-            ends.append(m.start())
-            nexts.append(m.end())
-        at = m.end()
-    if at < len(text):
-        starts.append(at)
-        ends.append(len(text))
-        nexts.append(len(text))
-    lines = [text[a:b] for a, b in zip(starts, ends, strict=True)]
-    sizes = [max(x.count(" ") + 1, len(x) // CHARS_TO_WORD) for x in lines]
-    total = np.concatenate([[0], np.cumsum(sizes)]) if sizes else np.zeros(1, dtype=np.int64)
-    stops = np.searchsorted(total, total[:-1] + least).tolist()
-    coded, digest = [x.encode() for x in lines], xxhash.xxh3_128_intdigest
-    n = len(lines)
-    return [(digest(b" ".join(coded[i:j])), starts[i], nexts[j - 1] - starts[i]) for i, j in enumerate(stops) if j <= n]
 
+def _sliding(values: np.ndarray, size: int, pick) -> np.ndarray:
+    """pick (minimum or maximum) of each ``size`` values in a row."""
+    done, out = 1, values
+    while done < size:
+        step = min(done, size - done)
+        out = pick(out[: len(out) - step], out[step:])
+        done += step
+    return out
 
-def _window_rows(docs: DataFrame) -> DataFrame:
-    """``doc, at, len, h, c``: ``at`` is the text's checksum with the start, ``c`` a second hash."""
+
+def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Text numbers and hashes of the lines and chosen runs of some texts; each hash once a text."""
+    data = b"\n".join(texts)
+    edges = np.cumsum([0] + [len(t) + 1 for t in texts])
+    starts, _, h = words(data)
+    of = np.searchsorted(edges, starts, "right") - 1
+    out = []
+    runs = runs_of(h)
+    if len(runs):
+        last = np.uint64(2**64 - 1)
+        runs = np.where(of[: len(runs)] == of[LINE - 1 :], np.minimum(runs, last - np.uint64(1)), last)
+        inside = np.flatnonzero(runs < last)
+        first = np.flatnonzero(np.diff(of[inside], prepend=-1))  # of each text with a run at all, its least
+        if len(inside):
+            least = np.minimum.reduceat(runs[inside], first)
+            out.append((of[inside][first], least))
+        if len(runs) >= REACH:
+            lowest = _sliding(runs, REACH, np.minimum)
+            lowest[of[: len(lowest)] != of[REACH + LINE - 2 :]] = 0
+            held = np.concatenate([np.zeros(REACH - 1, dtype=np.uint64), lowest, np.zeros(REACH - 1, dtype=np.uint64)])
+            chosen = np.flatnonzero(runs == _sliding(held, REACH, np.maximum))
+            out.append((of[chosen], runs[chosen]))
+        # Lines, too short to hold a chosen run for sure.
+        line = np.cumsum(np.frombuffer(data, dtype=np.uint8) == 10)[starts]
+        first = np.flatnonzero(np.diff(line, prepend=-1))
+        sizes = np.diff(np.append(first, len(line)))
+        some = (sizes >= LINE) & (sizes < LINE + REACH)
+        up, down = _Powers.get(len(h))
+        sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(h * up)])
+        whole = (sums[first + sizes] - sums[first]) * down[first]
+        out.append((of[first[some]], ((whole ^ (whole >> np.uint64(31))) * _Q)[some]))
+    if not out:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+    text, value = (np.concatenate(x) for x in zip(*out, strict=True))
+    order = np.lexsort((value, text))
+    text, value = text[order], value[order]
+    keep = np.r_[True, (text[1:] != text[:-1]) | (value[1:] != value[:-1])] if len(text) else np.zeros(0, dtype=bool)
+    return text[keep], value[keep]
+
+
+def _mark(text: bytes) -> int:
+    return zlib.crc32(text) & 0x7FFFFFFF
+
+
+def _anchor_rows(docs: DataFrame) -> DataFrame:
+    """``doc, mark, h``; ``mark`` is the text's checksum."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for begin in range(0, whole.num_rows, 512):
-                batch = whole.slice(begin, 512)
-                doc, at, length, h, c = [], [], [], [], []
-                for i, text in enumerate(batch.column(1).to_pylist()):
-                    found = windows(text)
-                    base = (zlib.crc32(text.encode()) & 0x7FFFFFFF) << 32
-                    doc += [i] * len(found)
-                    at += [base + start for _, start, _ in found]
-                    length += [n for _, _, n in found]
-                    h += [x & 0xFFFFFFFFFFFFFFFF for x, _, _ in found]
-                    c += [x >> 64 & 0x7FFFFFFF for x, _, _ in found]
+        for batch in batches:
+            texts, begin = [t.encode() for t in batch.column(1).to_pylist()], 0
+            while begin < len(texts):
+                end, size = begin, 0
+                while end < len(texts) and (end == begin or size + len(texts[end]) < BYTES):
+                    size += len(texts[end]) + 1
+                    end += 1
+                of, h = anchors(texts[begin:end])
+                marks = np.array([_mark(t) for t in texts[begin:end]], dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(doc, pa.int64())), pa.array(at, pa.int64()), pa.array(length, pa.int32()),
-                     pa.array(np.array(h, dtype=np.uint64).view(np.int64)), pa.array(c, pa.int32())],
-                    names=["doc", "at", "len", "h", "c"],
-                )
+                    [batch.column(0).take(pa.array(of + begin)), pa.array(marks[of]), pa.array(h.view(np.int64))],
+                    names=["doc", "mark", "h"],
+                )
+                begin = end
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", text_or_empty().alias("text"))
-    return rows.mapInArrow(run, f"doc {id_type}, at long, len int, h long, c int")
+    return docs.mapInArrow(run, f"doc {id_type}, mark int, h long")
 
 
-def patience(pairs: list[tuple[int, int]]) -> list[int]:
-    """Positions in ``pairs`` (later position, owner's position), sorted, of a longest run that rises in both."""
-    tops: list[int] = []
-    at: list[int] = []
-    before = [-1] * len(pairs)
-    for i, (_, y) in enumerate(pairs):
+def patience(runs: list[tuple[int, int, int]]) -> list[int]:
+    """Positions in ``runs`` (start, other start, weight; ascending by start) of the heaviest chain that rises in
+    both."""
+    tops: list[int] = []  # other starts at which lighter and heavier chains end, both ascending
+    best: list[tuple[int, int]] = []  # their weights and last runs
+    before = [-1] * len(runs)
+    for i, (_, y, weight) in enumerate(runs):
         k = bisect_left(tops, y)
-        before[i] = at[k - 1] if k else -1
-        tops[k : k + 1], at[k : k + 1] = [y], [i]
-    out, i = [], at[-1] if at else -1
+        total = weight
+        if k:
+            total, before[i] = weight + best[k - 1][0], best[k - 1][1]
+        stop = k
+        while stop < len(tops) and best[stop][0] <= total:
+            stop += 1
+        if stop > k or k == len(tops) or tops[k] != y:
+            tops[k:stop], best[k:stop] = [y], [(total, i)]
+    out, i = [], best[-1][1] if best else -1
     while i >= 0:
         out.append(i)
         i = before[i]
     return out[::-1]
 
 
-def aligned(anchors: list[tuple]) -> list[tuple[int, int]]:
-    """Blocks ``(start, length)`` of one document from its anchors ``(owner, start, length, owner's start)``."""
-    by_owner: dict = {}
-    for owner, start, length, other in anchors:
-        by_owner.setdefault(owner, []).append((start, other, length))
-    spans: list[tuple[int, int]] = []
-    for left in by_owner.values():
-        left.sort()
-        if all(a[1] < b[1] for a, b in pairwise(left)):  # in the owner's order throughout
-            spans += [(a, n) for a, _, n in left]
+def _same(a: np.ndarray, b: np.ndarray) -> int:
+    """How many values both begin with."""
+    n, done, step = min(len(a), len(b)), 0, 64
+    while done < n:
+        stop = min(n, done + step)
+        differ = a[done:stop] != b[done:stop]
+        if differ.any():
+            return done + int(differ.argmax())
+        done, step = stop, 4 * step
+    return n
+
+
+def _diagonals(at: np.ndarray, other: np.ndarray) -> list[tuple[int, int, int]]:
+    """Runs of matches that go on in both texts, as start, other start and number of matches; ``at`` ascends."""
+    if not len(at):
+        return []
+    first = np.flatnonzero(np.r_[True, (np.diff(at) != 1) | (np.diff(other) != 1)])
+    sizes = np.diff(np.append(first, len(at)))
+    return list(zip(at[first].tolist(), other[first].tolist(), sizes.tolist(), strict=True))
+
+
+def align(a: np.ndarray, b: np.ndarray, size: int = LINE) -> list[tuple[int, int, int]]:
+    """Aligned blocks of two lists of word hashes by patience diff: start, other start, words."""
+    ra, rb = runs_of(a, size), runs_of(b, size)
+    out: list[tuple[int, int, int]] = []
+    todo = [(0, len(a), 0, len(b))]
+    while todo:
+        a0, a1, b0, b1 = todo.pop()
+        if min(a1 - a0, b1 - b0) < size:
+            continue
+        own, own_at, n = np.unique(ra[a0 : a1 - size + 1], return_index=True, return_counts=True)
+        other, other_at, m = np.unique(rb[b0 : b1 - size + 1], return_index=True, return_counts=True)
+        _, i, j = np.intersect1d(own[n == 1], other[m == 1], assume_unique=True, return_indices=True)
+        at, to = own_at[n == 1][i] + a0, other_at[m == 1][j] + b0
+        order = np.argsort(at)
+        runs = _diagonals(at[order], to[order])
+        before = a0, b0
+        for x, y, _ in (runs[i] for i in patience(runs)):
+            if x < before[0] or y < before[1]:
+                continue  # inside the block before, which was extended over it
+            back = _same(a[before[0] : x][::-1], b[before[1] : y][::-1])
+            x, y = x - back, y - back
+            n_same = _same(a[x:a1], b[y:b1])
+            if n_same < size:
+                continue  # hashes of runs agree, words don't
+            out.append((x, y, n_same))
+            todo.append((before[0], x, before[1], y))
+            before = x + n_same, y + n_same
+        if before != (a0, b0):
+            todo.append((before[0], a1, before[1], b1))
+    return sorted(out)
+
+
+def elsewhere(a: np.ndarray, b: np.ndarray, taken: list[tuple[int, int, int]], least: int, size: int = LINE) -> list[tuple[int, int]]:
+    """Passages of at least ``least`` words of ``a`` outside the taken blocks that ``b`` holds at any place."""
+    ra, rb = runs_of(a, size), runs_of(b, size)
+    free = np.ones(len(ra), dtype=bool)
+    for x, _, n in taken:
+        free[x : x + n - size + 1] = False
+    if not free.any() or not len(rb):
+        return []
+    values, places = np.unique(rb, return_index=True)
+    k = np.minimum(np.searchsorted(values, ra), len(values) - 1)
+    at = np.flatnonzero(free & (values[k] == ra))
+    out, end = [], 0
+    for x, y, n in _diagonals(at, places[k[at]]):
+        if x + n <= end:
             continue
-        while left:  # passages that were moved are aligned in a later round
-            taken = set(patience([(a, b) for a, b, _ in left]))
-            spans += [(left[i][0], left[i][2]) for i in taken]
-            left = [x for i, x in enumerate(left) if i not in taken]
-    blocks: list[list[int]] = []
-    for start, length in sorted(spans):
-        if blocks and start <= blocks[-1][0] + blocks[-1][1]:
-            blocks[-1][1] = max(blocks[-1][1], start + length - blocks[-1][0])
+        back = _same(a[end:x][::-1], b[:y][::-1])
+        n_same = _same(a[x - back :], b[y - back :])
+        if n_same >= least:
+            out.append((x - back, n_same))
+            end = x - back + n_same
+    return out
+
+
+def blocks(text: str, other: str, block: int = BLOCK, line: int = LINE) -> list[tuple[int, int]]:
+    """The parts of ``text`` that go because an earlier text is ``other``, as start and length in characters."""
+    data = text.encode()
+    starts, ends, a = words(data)
+    if text == other and len(a) >= block:
+        return [(0, len(text))]
+    _, _, b = words(other.encode())
+    found = align(a, b, line)
+    moved = elsewhere(a, b, found, block, line)
+    if not found and not moved:
+        return []
+    lines = np.cumsum(np.frombuffer(data, dtype=np.uint8) == 10)[starts]
+    first = np.flatnonzero(np.diff(lines, prepend=-1))
+    sizes = np.diff(np.append(first, len(lines)))
+    spans = []
+    for x, n in [(x, n) for x, _, n in found] + moved:
+        y = x + n
+        if n >= block:  # few words of a line at either end are chance
+            edges = first[(first > x) & (first < y)].tolist()
+            if edges and edges[0] - x <= CHANCE and x not in first:
+                x = edges[0]
+            if edges and y - edges[-1] <= CHANCE and y < len(a) and y not in first:
+                y = edges[-1]
+            spans.append((x, y))
         else:
-            blocks.append([start, length])
-    return [(a, b) for a, b in blocks]
+            whole = (first >= x) & (first + sizes <= y) & (sizes >= line)
+            spans += [(int(i), int(i + k)) for i, k in zip(first[whole], sizes[whole], strict=True)]
+    out: list[list[int]] = []
+    for x, y in sorted(spans):
+        if out and x <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], y)
+        else:
+            out.append([x, y])
+    # White space behind a block goes with it.
+    cuts = [(int(starts[x]) if x else 0, int(starts[y]) if y < len(starts) else len(data)) for x, y in out]
+    if len(data) == len(text):
+        return [(a, b - a) for a, b in cuts]
+    place = np.concatenate([[0], np.cumsum(np.frombuffer(data, dtype=np.uint8) & 0xC0 != 0x80)])
+    return [(int(place[a]), int(place[b] - place[a])) for a, b in cuts]
 
 
-def repeated_blocks(docs: DataFrame) -> DataFrame:
-    """``doc, mark, blocks``: for later documents, the aligned blocks as start and length in characters; ``mark``
-    tells apart texts that share an id."""
-    rows = materialize(_window_rows(docs), "windows")
+def _pairs(docs: DataFrame) -> DataFrame:
+    """``doc, mark, owner, owner_mark``: later documents and the earliest ones that share a hash with them."""
+    rows = materialize(_anchor_rows(docs), "anchors")
     owners = rows.groupBy("h").agg(
-        F.count("*").alias("size"), F.min("doc").alias("owner"), F.max("doc").alias("last"),
-        F.min_by("at", "doc").alias("owner_at"), F.min_by("c", "doc").alias("owner_c"),
-    ).filter("owner < last").drop("last")
+        F.count("*").alias("size"), F.min(F.struct("doc", "mark")).alias("owner"), F.max("doc").alias("last")
+    ).filter("owner.doc < last").select("h", "size", F.col("owner.doc").alias("owner"), F.col("owner.mark").alias("owner_mark"))
     shared = join_groups(rows, owners, "h", "size", max(1, rows.count()))
-    low = F.lit(0xFFFFFFFF)
-    anchors = shared.filter("doc > owner AND c = owner_c").select(
-        "doc", F.shiftright("at", 32).alias("mark"), "owner", F.col("at").bitwiseAND(low).alias("start"), "len",
-        F.col("owner_at").bitwiseAND(low).alias("other"),
-    ).distinct()
+    return materialize(shared.filter("doc > owner").select("doc", "mark", "owner", "owner_mark").distinct(), "pairs")
+
+
+def repeated_blocks(docs: DataFrame, block: int = BLOCK, line: int = LINE) -> DataFrame:
+    """``doc, found``: for later documents the blocks that go, as an array of ``mark, start, len`` in characters;
+    ``mark`` tells apart texts that share an id."""
+    texts = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", text_or_empty().alias("text"))
+    pairs = _pairs(texts)
+    sizes = pairs.groupBy("owner").agg(F.count("*").alias("size"))
+    heavy = F.broadcast(materialize(sizes.filter(F.col("size") > HEAVY_SHARE * max(1, pairs.count())).select("owner"), "heavy").withColumn("heavy", F.lit(True)))
+    salt = F.when(F.col("heavy"), F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int")).otherwise(0)
+    salted = pairs.join(heavy, "owner", "left").withColumn("salt", salt).drop("heavy")
+    later = salted.join(texts.withColumnRenamed("doc_id", "doc"), "doc").withColumnRenamed("text", "own")
+    owned = texts.withColumnRenamed("doc_id", "owner").join(sizes.select("owner"), "owner").join(heavy, "owner", "left")
+    salts = F.when(F.col("heavy"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    owned = owned.select("owner", F.col("text").alias("other"), F.explode(salts).alias("salt"))
+    both = later.join(owned, ["owner", "salt"]).select("doc", "mark", "owner_mark", "own", "other")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(key: tuple | None, found: list[tuple]) -> list[tuple]:
-            return [(*key, [{"start": a, "len": b} for a, b in aligned(found)])] if key else []
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 1000):
+                batch = whole.slice(begin, 1000)
+                at, starts, sizes = [], [], []
+                rows = zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True)
+                for i, (mark, owner_mark, own, other) in enumerate(rows):
+                    if mark == _mark(own.encode()) and owner_mark == _mark(other.encode()):
+                        for start, size in blocks(own, other, block, line):
+                            at.append(i)
+                            starts.append(start)
+                            sizes.append(size)
+                places = pa.array(at, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(places), batch.column(1).take(places), pa.array(starts, pa.int32()), pa.array(sizes, pa.int32())],
+                    names=["doc", "mark", "start", "len"],
+                )
 
-        key, found = None, []
-        for batch in batches:
-            done = []
-            for doc, mark, owner, start, length, other in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (doc, mark) != key:
-                    done += out(key, found)
-                    key, found = (doc, mark), []
-                found.append((owner, start, length, other))
-            yield _blocks(done, batch.schema.field("doc").type)
-        if key:
-            yield _blocks(out(key, found), batch.schema.field("doc").type)
-
-    id_type = rows.schema["doc"].dataType.simpleString()
-    anchors = anchors.repartition("doc", "mark").sortWithinPartitions("doc", "mark", "start")
-    return anchors.mapInArrow(run, f"doc {id_type}, mark long, blocks array<struct<start: long, len: long>>")
-
-
-def _blocks(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("len", pa.int64())]))
-    columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate((id_type, pa.int64(), kind))]
-    return pa.RecordBatch.from_arrays(columns, names=["doc", "mark", "blocks"])
-
-
-def _size(text: Column) -> Column:
-    return F.greatest(F.size(F.filter(F.split(text, r"\s+"), lambda w: w != "")), (F.length(text) / CHARS_TO_WORD).cast("int"))
-
-
-def remove_repeated(docs: DataFrame, least: int = BLOCK) -> DataFrame:
-    """``docs`` with the repeated blocks of at least ``least`` words taken out of ``text``, and a last column
-    ``_removed``, the number of characters taken out."""
-    blocks = materialize(repeated_blocks(docs), "blocks").select(
-        F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), F.col("blocks").alias("_blocks")
-    )
-    columns = [F.col(f"_row.`{c}`") for c in docs.columns]
-    text = text_or_empty()
-    rows = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"),
-        F.crc32(text.cast("binary")).bitwiseAND(F.lit(0x7FFFFFFF)).alias("_mark"), F.col("doc_id").alias("_doc"),
-    ).join(blocks, ["_doc", "_mark"], "left")
-    whole = F.coalesce(F.col("_row.text").cast("string"), F.lit(""))
-    long = F.filter("_blocks", lambda b: _size(F.substring(whole, b["start"] + 1, b["len"])) >= least)
-    cut = F.transform("_cut", lambda b, i: F.substring(  # what stands between this block and the one before
-        whole, 1 + F.when(i == 0, 0).otherwise(F.get("_cut", i - 1)["start"] + F.get("_cut", i - 1)["len"]),
-        b["start"] - F.when(i == 0, 0).otherwise(F.get("_cut", i - 1)["start"] + F.get("_cut", i - 1)["len"]),
-    ))
-    last = F.element_at("_cut", -1)
-    rest = F.substring(whole, last["start"] + last["len"] + 1, F.length(whole))
-    kept = F.when(F.coalesce(F.size("_cut"), F.lit(0)) < 1, whole).otherwise(F.rtrim(F.concat(F.array_join(cut, ""), rest), F.lit(" \n\t\r")))
-    rows = rows.withColumn("_cut", long).withColumn("_text", kept)
-    removed = (F.length(whole) - F.length("_text")).cast("long").alias("_removed")
-    out = [F.col("_text").alias("text") if c == "text" else columns[i] for i, c in enumerate(docs.columns)]
-    return rows.select(*out, removed)
+    id_type = texts.schema["doc_id"].dataType.simpleString()
+    found = both.mapInArrow(run, f"doc {id_type}, mark int, start int, len int")
+    return found.groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("mark", "start", "len"))).alias("found"))
+
+
+def remove_repeated(docs: DataFrame, block: int = BLOCK, line: int = LINE, removed: str | None = None) -> DataFrame:
+    """``docs`` with the repeated blocks taken out of ``text``; with ``removed``, also a last column of that name, the
+    number of characters taken out."""
+    found = materialize(repeated_blocks(docs, block, line), "blocks")
+    key, row, cut, text = (unused(docs, n) for n in ("doc", "row", "cut", "new_text"))
+    whole = F.coalesce(F.col(f"{row}.text").cast("string"), F.lit(""))
+    known = docs.filter(F.col("doc_id").isNotNull())
+    rows = known.select(F.col("doc_id").alias(key), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(row))
+    rows = rows.join(found.select(F.col("doc").alias(key), F.col("found").alias(cut)), key, "left").drop(key)
+    none = F.lit(None).cast(found.schema["found"].dataType)
+    unknown = docs.filter(F.col("doc_id").isNull())
+    rows = rows.unionByName(unknown.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(row), none.alias(cut)))
+    mine = F.filter(cut, lambda b: b["mark"] == F.crc32(whole.cast("binary")).bitwiseAND(F.lit(0x7FFFFFFF)))
+
+    def kept(parts):  # what stands between the blocks; blocks that overlap leave nothing between them
+        before = lambda i: F.coalesce(F.array_max(F.transform(F.slice(parts, 1, i), lambda p: p["start"] + p["len"])), F.lit(0))
+        gaps = F.transform(parts, lambda b, i: F.substring(whole, before(i) + 1, F.greatest(F.lit(0), b["start"] - before(i))))
+        rest = F.substring(whole, before(F.size(parts)) + 1, F.length(whole))
+        return F.rtrim(F.concat(F.array_join(gaps, ""), rest), F.lit(" \n\t\r"))
+
+    rows = rows.select(row, F.when(F.col(cut).isNotNull(), mine).alias(cut))
+    rows = rows.select(row, F.when(F.size(cut) > 0, kept(F.col(cut))).otherwise(whole).alias(text))
+    out = [F.col(text).alias("text") if c == "text" else F.col(f"{row}.`{c}`") for c in docs.columns]
+    lost = [(F.length(whole) - F.length(text)).cast("long").alias(removed)] if removed else []
+    return rows.select(*out, *lost)
 
 
 def line_dedup(docs: DataFrame) -> DataFrame:
     """``doc_id, text, n_removed``: every document with its text after deletion and the characters it lost."""
-    return remove_repeated(docs.select("doc_id", "text")).withColumnRenamed("_removed", "n_removed")
+    return remove_repeated(docs.select("doc_id", "text"), removed="n_removed")
