@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from toolcat.plans import queries
+from toolcat.plans import harvest_queries, queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -23,9 +23,10 @@ def as_rows(frame, columns):
     return sorted(map(repr, values.where(values.notna(), None).values.tolist()))
 
 
-@pytest.mark.parametrize("name", sorted(queries.queries()))
+@pytest.mark.parametrize("name", sorted(queries.queries() | harvest_queries.queries()))
 def test_query_equals_sql(spark, oracle, name):
-    got, want = queries.queries()[name](spark, SF).toPandas(), oracle.sql(queries.oracle_sql()[name]).df()
+    made, sql = queries.queries() | harvest_queries.queries(), queries.oracle_sql() | harvest_queries.oracle_sql()
+    got, want = made[name](spark, SF).toPandas(), oracle.sql(sql[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert as_rows(got, sorted(got.columns)) == as_rows(want, sorted(got.columns))
 

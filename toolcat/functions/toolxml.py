@@ -38,6 +38,9 @@ def xml_head(content: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["imports", "tokens", "error"])
 
 
+xml_head = xml_head.asNondeterministic()  # so that it is evaluated once where its fields are used several times
+
+
 def substitute(text: str, tokens: dict[str, str]) -> tuple[str, str | None]:
     """Replace all tokens again and again until nothing changes; the last valid document stays."""
     for _ in range(MAX_PASSES):
@@ -84,6 +87,9 @@ def parse_tool(content: pd.Series, tokens: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=[f.name for f in schemas.tool_xml])
 
 
+parse_tool = parse_tool.asNondeterministic()
+
+
 @F.pandas_udf(schemas.sidecar)
 def parse_sidecar(content: pd.Series) -> pd.DataFrame:
     """Owner, descriptions and categories of a sidecar; nulls where it is empty or no mapping."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import urllib.error
 import urllib.request
 from collections.abc import Iterator
@@ -10,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from toolcat.scratch import written
+
 TIMEOUT_S = 10
 NO_TOKEN_POST, NO_TOKEN_PATCH = 403, 443
 
@@ -18,7 +21,7 @@ def _send(url: str, body: str, token: str | None, method: str, no_token: int, ti
     """success, status, response, error."""
     if not token:
         return False, no_token, None, "no token"
-    head = {"Authorization": f"Bearer {token}", "Content-Type": "application/json"}
+    head = {"Authorization": f"Bearer {token}", "Content-Type": "application/json", "Idempotency-Key": hashlib.sha256(f"{method} {url} {body}".encode()).hexdigest()}
     request = urllib.request.Request(url, body.encode(), head, method=method)
     try:
         with urllib.request.urlopen(request, timeout=timeout) as reply:
@@ -54,6 +57,12 @@ def patch(changes: DataFrame, url: str, token: str | None, timeout: float = TIME
     return _sent(changes, key, url, token, "PATCH", NO_TOKEN_PATCH, timeout)
 
 
+def publish(records: DataFrame, url: str, token: str | None, timeout: float = TIMEOUT_S, key: str = "uri") -> tuple[DataFrame, DataFrame]:
+    """What was published and what wasn't. Every record is sent once, as the results are written down before
+    they are split; a task that runs again sends the same key, by which a registry can tell."""
+    return split(written(post(records, url, token, timeout, key), "published"))
+
+
 def split(results: DataFrame) -> tuple[DataFrame, DataFrame]:
     """published records and failures."""
     return results.filter("success"), results.filter("NOT coalesce(success, false)")

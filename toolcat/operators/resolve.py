@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toolcat import schemas
-from toolcat.functions.text import clean_categories, first_text, or_default, resolve_path, shed_uri_parts, sorted_set, split_formats
+from toolcat.functions.text import clean_categories, first_text, or_default, resolve_path, shed_uri_parts, sorted_set, split_formats, strip_http
 from toolcat.functions.toolxml import parse_sidecar, parse_tool, xml_head
 from toolcat.operators.repotree import MARKER, REPO
 
@@ -71,6 +71,14 @@ def resolve(uris: DataFrame, info: DataFrame, tools: DataFrame) -> DataFrame:
     return best.select("tool", "name", "repo_url", "t.*", (~F.col("t.version").eqNullSafe(F.col("revision"))).alias("version_mismatch"))
 
 
+def tool_versions(uris: DataFrame, versions: DataFrame) -> DataFrame:
+    """Tool ids, with or without a scheme before them, with what the tool service says about that very version.
+    ``uris``: tool; ``versions``: owner, repo, name, revision, body."""
+    rows = uris.select("tool").distinct().withColumn("u", shed_uri_parts(strip_http(F.col("tool")))).filter("u IS NOT NULL")
+    rows = rows.select("tool", "u.owner", "u.repo", "u.name", "u.revision")
+    return rows.join(versions, ["owner", "repo", "name", "revision"])
+
+
 def attach(endpoints: DataFrame, resolved: DataFrame) -> tuple[DataFrame, DataFrame]:
     """End points with their tools, and those whose tool isn't known."""
     return endpoints.join(resolved, "tool"), endpoints.join(resolved.select("tool"), "tool", "left_anti")

@@ -8,19 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from toolcat.functions.text import or_default
+from toolcat.scratch import written
 
 _ITEMS = "array<string>"
 _PORT = "name string, type string, extensions array<string>, collection_types array<string>, cases array<string>, inputs array<string>"
-DEPTH = 6
+#: Levels that are worked off before what is left is written down.
+LEVELS = 6
 
 
-def data_inputs(io: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """Data ports at any level, down to ``depth``, in document order; cases of conditionals and sections are
-    entered, repeats are not. ``place`` is the port's path of positions."""
-    items = F.from_json(F.get_json_object("io_json", "$.inputs"), _ITEMS)
-    level = io.select("tool_id", F.array().cast("array<int>").alias("at"), items.alias("items"))
+def _levels(level: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """The data ports of the next n levels, and the level below them."""
     found = []
-    for _ in range(depth):
+    for _ in range(n):
         rows = level.select("tool_id", "at", F.posexplode("items").alias("i", "item"))
         rows = rows.select("tool_id", F.concat("at", F.array("i")).alias("place"), F.from_json("item", _PORT).alias("p"))
         found.append(rows.filter(F.col("p.type").isin("data", "data_collection")).select("tool_id", "place", "p.name", "p.type", "p.extensions", "p.collection_types"))
@@ -29,7 +28,20 @@ def data_inputs(io: DataFrame, depth: int = DEPTH) -> DataFrame:
         section = F.array(F.struct(F.col("place").alias("at"), F.col("p.inputs").alias("items")))
         below = F.when(F.col("p.type") == "section", section).when(F.col("p.type") == "conditional", case)
         level = rows.select("tool_id", F.explode(below).alias("b")).select("tool_id", "b.at", "b.items")
-    return reduce(DataFrame.unionByName, found)
+    return reduce(DataFrame.unionByName, found), level
+
+
+def data_inputs(io: DataFrame) -> DataFrame:
+    """Data ports at any level, in document order; cases of conditionals and sections are entered, repeats are
+    not. ``place`` is the port's path of positions."""
+    items = F.from_json(F.get_json_object("io_json", "$.inputs"), _ITEMS)
+    level, parts = io.select("tool_id", F.array().cast("array<int>").alias("at"), items.alias("items")), []
+    while True:
+        found, below = _levels(level, LEVELS)
+        parts.append(found)
+        level = written(below, "ports")
+        if level.isEmpty():
+            return reduce(DataFrame.unionByName, parts)
 
 
 def outputs(io: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TOOL_PREFIX = "toolshed.example.org/repos"
@@ -12,12 +12,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def workflows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def workflows(spark: SparkSession, sf_dir: str, tool: Column | None = None) -> DataFrame:
     """``url, ga``: one workflow per conversation, one step per turn. Roles give the step types; a step is fed by the
-    turn before it (odd turns) or the two turns before it (even turns), but for turn 0 and each fourth."""
+    turn before it (odd turns) or the two turns before it (even turns), but for turn 0 and each fourth. ``tool``: the
+    tools' ids over ``conv_id`` and ``turn``."""
     t, previous = F.col("turn"), F.col("turn") - 1
     kind = F.when(F.col("role") == "system", "parameter_input").when(F.col("role") == "user", "data_input").otherwise("tool")
-    tool = F.concat(F.lit(f"{TOOL_PREFIX}/o/r/tool"), (t % 3).cast("string"), F.lit("/1.0"))
+    tool = F.concat(F.lit(f"{TOOL_PREFIX}/o/r/tool"), (t % 3).cast("string"), F.lit("/1.0")) if tool is None else tool
     one = F.concat(F.lit('{"id": '), previous.cast("string"), F.lit(', "output_name": "out"}'))
     two = F.concat(F.lit("["), one, F.when(t > 1, F.concat(F.lit(', {"id": '), (t - 2).cast("string"), F.lit("}"))).otherwise(""), F.lit("]"))
     link = F.when((t == 0) | (t % 4 == 3), "{}").otherwise(F.concat(F.lit('{"in": '), F.when(t % 2 == 1, one).otherwise(two), F.lit("}")))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toolcat.operators import catalog, descriptors, hub, ledger, repotree, resolve, workflow
+from toolcat.scratch import written
 
 
 def harvest_workflows(
@@ -39,19 +39,25 @@ def harvest_descriptors(files: DataFrame, index: DataFrame, owner: str, repo: st
     return known.drop("path"), descriptors.errors(parsed).unionByName(missing)
 
 
-def crawl_repositories(listing: DataFrame, tree: DataFrame, contents: DataFrame, state: DataFrame, now: Column) -> dict[str, DataFrame]:
-    """Repository listing and trees to tools, errors and the next ledger. ``contents``: place, name, content."""
+def crawl_repositories(
+    listing: DataFrame, tree: DataFrame, contents: DataFrame, state: DataFrame, now: Column, failures: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Repository listing and trees to tools, errors and the next ledger. ``contents``: place, name, content;
+    ``failures``: ``url, error_code`` of folders that could not be fetched."""
     seeded = ledger.seed(state, repotree.unique_repositories(listing), now)
     folders = repotree.tool_folders(tree)
     todo = ledger.pending(folders.select(F.col("folder_url").alias("url")), seeded)
-    due = folders.join(todo.withColumnRenamed("url", "folder_url"), "folder_url", "left_semi").persist(StorageLevel.DISK_ONLY)
+    due = written(folders.join(todo.withColumnRenamed("url", "folder_url"), "folder_url", "left_semi"), "due")
     files = repotree.crawl(tree).join(due.select(*repotree.REPO, F.col("folder").alias("dir"), "folder_url"), [*repotree.REPO, "dir"])
+    if failures is not None:
+        files = files.join(failures.select(F.col("url").alias("folder_url")), "folder_url", "left_anti")
     texts = files.join(contents.select(*repotree.REPO, "dir", "name", "content"), [*repotree.REPO, "dir", "name"])
     place = [*repotree.REPO, "dir", "path"]
     good, bad = resolve.tools(texts.select(*place, "content"), contents)
-    good = good.join(files.select(*place, "folder_url"), place).persist(StorageLevel.DISK_ONLY)  # parsed once, used below
-    none = good.select(F.col("folder_url").alias("url"), F.lit(None).cast("string").alias("error_code")).limit(0)
-    found = ledger.outcomes(good.select(F.col("folder_url").alias("url")), none).persist(StorageLevel.DISK_ONLY)
-    idle = due.select(F.col("folder_url").alias("url")).join(found.select("url"), "url", "left_anti")
+    good = written(good.join(files.select(*place, "folder_url"), place), "tools")  # parsed once, used below
+    urls = due.select(F.col("folder_url").alias("url"))
+    failed = urls.withColumn("error_code", F.lit(None).cast("string")).limit(0) if failures is None else failures.join(urls, "url", "left_semi")
+    found = written(ledger.outcomes(good.select(F.col("folder_url").alias("url")), failed), "outcomes")
+    idle = urls.join(found.select("url"), "url", "left_anti")
     found = found.unionByName(idle.select("url", F.lit(0).cast("bigint").alias("tools"), F.lit(None).cast("string").alias("error_code")))
     return {"tools": good, "errors": bad, "ledger": ledger.transition(seeded, found, now)}

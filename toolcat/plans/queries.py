@@ -9,6 +9,7 @@ from toolcat.functions.text import base_path, git_url_to_api, name_variants, sor
 from toolcat.functions.toolxml import parse_tool
 from toolcat.operators import catalog, descriptors, hub, ledger, repair, repotree, resolve, workflow
 from toolcat.plans import lifts
+from toolcat.scratch import written
 
 
 def _steps(spark, sf):
@@ -133,7 +134,7 @@ def registry_inserts(spark, sf):
     rows = lifts.registry_batches(spark, sf)
     target = rows.filter("batch < 0")
     for b in range(3):
-        target = catalog.insert_if_absent(rows.filter(F.col("batch") == b), target, order="id")
+        target = written(catalog.insert_if_absent(rows.filter(F.col("batch") == b), target, order="id"), "registry")
     return target.select("uri", "id", "name")
 
 

@@ -21,8 +21,12 @@ def hub_listing(spark: SparkSession, path: str) -> DataFrame:
 
 def archives(spark: SparkSession, path: str) -> DataFrame:
     """``path, entry, position, ga, error`` of each workflow archive."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(first_workflow, "path string, entry string, position int, ga string, error string")
+    return first_workflows(spark.read.format("binaryFile").load(path))
+
+
+def first_workflows(files: DataFrame) -> DataFrame:
+    """L2: the first workflow of each archive. ``files``: path, content."""
+    return files.select("path", "content").mapInPandas(first_workflow, "path string, entry string, position int, ga string, error string")
 
 
 def repositories(spark: SparkSession, path: str) -> DataFrame:
@@ -53,7 +57,7 @@ def directory_listing(tree: DataFrame) -> DataFrame:
 
 def text_files(spark: SparkSession, path: str, root: str) -> DataFrame:
     """``path`` below ``root``, ``dir, name, content`` of whole files."""
-    rows = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("at"), F.col("value").alias("content"))
+    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("at"), F.col("value").alias("content"))
     inside = F.substring_index(F.col("at"), f"{root.rstrip('/')}/", -1)
     return directory_listing(rows.select(inside.alias("path"), "content")).select("path", "dir", "name", "content")
 
