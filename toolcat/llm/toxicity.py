@@ -34,7 +34,7 @@ from toolcat.llm.common import materialize, text_or_empty
 EXAMPLES, TERMS, NEIGHBOURS, BLOCK = 20_000, 1024, 25, 64
 #: Blocks that are completed together, texts that are searched together, and the most frequent words, each in more
 #: than one of SPREAD examples, whose lists are completed last.
-GROUP, QUERIES, FREQUENT, SPREAD = 16, 128, 512, 32
+GROUP, QUERIES, FREQUENT, SPREAD = 8, 128, 512, 32
 #: A feature is tied to the label from this log-likelihood ratio and this ratio of its rates on.
 MIN_LLR, MIN_RATIO = 20.0, 3.0
 
@@ -107,7 +107,7 @@ def vocabulary(sample: DataFrame, limit: int = TERMS) -> list[bytes]:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), dtype=np.uint64, count=len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
 
 
 class Encoder:
@@ -117,6 +117,7 @@ class Encoder:
         """hashes: the sorted hashes of all words of the examples; other words are passed over. slots: words that are
         remembered at once."""
         self.hashes, self.tied, self.slots = hashes, {t: i for i, t in enumerate(tied)}, slots
+        self.heads = {t.removeprefix(b"^")[: _PREFIXES[0]] for t in tied}  # words that begin otherwise have no tied feature
         self._forget()
 
     def _forget(self) -> None:
@@ -136,10 +137,10 @@ class Encoder:
             self.number = np.concatenate([self.number, np.full(len(self.number) + len(fresh), -1, dtype=np.int32)])
         self.number[begin : begin + len(fresh)] = np.where(known, at, -1)
         self.of.update(zip(fresh, range(begin, begin + len(fresh)), strict=True))
-        if self.tied:
-            for n, w in enumerate(fresh):
-                if own := [self.tied[f] for f in features_of(w) if f in self.tied]:
-                    self.own[begin + n] = own
+        heads, short = self.heads, _PREFIXES[0]
+        for n, w in enumerate(fresh):
+            if w[:short] in heads and (own := [self.tied[f] for f in features_of(w) if f in self.tied]):
+                self.own[begin + n] = own
 
     def __call__(self, texts: list[str]) -> tuple[tuple, tuple]:
         """For words and for tied features: where each text's begin, with the end of the last; their numbers; and how
@@ -151,8 +152,9 @@ class Encoder:
             self._forget()
         slots = list(map(self.of.get, flat))
         if None in slots:
-            self._learn(sorted({w for w, x in zip(flat, slots, strict=True) if x is None}))
-            slots = list(map(self.of.__getitem__, flat))
+            self._learn(list({w for w, x in zip(flat, slots, strict=True) if x is None}))
+            of = self.of
+            slots = [of[w] if x is None else x for w, x in zip(flat, slots, strict=True)]
         key = np.repeat(np.arange(len(texts)), sizes) << 32 | np.array(slots, dtype=np.int64)
         key, counts = np.unique(key, return_counts=True)
         text, slot = key >> 32, key & 0xFFFFFFFF
@@ -275,8 +277,9 @@ class BlockMaxIndex:
         def complete(group: int, queries: np.ndarray) -> None:
             own = slice(group * self.span, (group + 1) * self.span)
             whole = sums[queries, own] + frequent[queries] @ self.rows[own].T
-            if self.span > k:
-                np.maximum.at(least, queries, np.partition(whole, self.span - k, axis=1)[:, self.span - k])
+            many = np.flatnonzero((whole > least[queries][:, None]).sum(axis=1) >= k)
+            if len(many) and self.span > k:
+                least[queries[many]] = np.partition(whole[many], self.span - k, axis=1)[:, self.span - k]
             q, at = np.nonzero((whole > 0) & (whole >= least[queries][:, None] - 1e-5))
             cuts = np.searchsorted(q, np.arange(len(queries) + 1))
             at += own.start
