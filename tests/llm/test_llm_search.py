@@ -162,19 +162,52 @@ def test_redaction(spark):
     assert {r.doc_id: r.text for r in out.collect()} == {1: "Mail <email> or <ip>!", None: "", 2: "none"}
 
 
-def test_boosted_trees_add_numbers_that_look_like_base_spans(spark):
+def test_boosted_trees_add_what_looks_like_base_spans(spark):
     rng = random.Random(4)
-    rows = []
+    digit = lambda k: "".join(str(rng.randrange(10)) for _ in range(k))
+    rows, hidden, clean = [], {}, set()
     for i in range(900):
-        n = "".join(str(rng.randrange(10)) for _ in range(10))
-        good = f"call +1 ({n[:3]}) {n[3:6]}-{n[6:]} now"
-        bad = f"batch {n[:4]} {n[4:]}000 ref {n}7"
-        rows.append((i, good if i % 2 else bad))
-    rows.append((5000, "call 1 (262) 555-3752 now"))
+        area, mid, end = digit(3), digit(3), digit(4)
+        kind = i % 6
+        if kind == 0:
+            text = f"word call +1 ({area}) {mid}-{end} now"
+        elif kind == 1:
+            text = f"batch {digit(4)} {digit(9)} ref {digit(11)} id{digit(9)}x"
+        elif kind == 2:
+            text = f"please call ({area}) {mid}-{end} or 1 ({area}) {mid}-{end} soon"
+            hidden[i] = [f"({area}) {mid}-{end}", f"1 ({area}) {mid}-{end}"]
+        elif kind == 3:
+            text = f"mail me at u{digit(3)}@host{digit(2)}.example.com please"
+        elif kind == 4:
+            text = f"mail me at u{digit(3)} (at) host{digit(2)} (dot) example (dot) com please"
+        else:
+            text = f"on 2024-0{rng.randrange(1, 9)}-1{rng.randrange(9)} host 300.{rng.randrange(300)}.1.2 code {digit(16)}0"
+        rows.append((i, text))
+        if kind in (1, 5):
+            clean.add(i)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: r.spans for r in pii.pii(docs).collect()}
-    assert all(bool(got[i]) == bool(i % 2) for i in range(900))
-    assert got[5000].startswith("phone:")
+    got = {r.doc_id: [x.split(":") for x in r.spans.split(",") if x] for r in pii.pii(docs).collect()}
+    texts = dict(rows)
+    phones = sum(any(k == "phone" and texts[i][int(a) : int(b)] in h for k, a, b in got[i]) for i, h in hidden.items())
+    spelled = [i for i in got if i % 6 == 4]
+    assert phones >= 0.95 * len(hidden)
+    assert sum(any(k == "email" for k, *_ in got[i]) for i in spelled) >= 0.95 * len(spelled)
+    base = {i: base_of(texts[i]) for i in clean}
+    added = [i for i in clean if {":".join(x) for x in got[i]} - base[i]]
+    assert len(added) <= 0.02 * len(clean)
+
+
+def base_of(text):
+    return set(filter(None, base(text).split(",")))
+
+
+def test_redaction_odd_rows(spark):
+    rows = [(1, "a@b.co 10.0.0.1", 5), (1, "a@b.co 10.0.0.1", 5), (None, "x@y.org", 1), (2, "a@b.co" * 3000, 1), (3, "+1 " * 5000, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").withColumn("base", F.lit(1)).withColumn("_text", F.lit("t")).withColumn("kind", F.lit(0))
+    out = pii.redact(docs)
+    assert out.columns == docs.columns and out.count() == len(rows)
+    assert sorted(r.text for r in out.filter("doc_id = 1").collect()) == ["<email> <ip>"] * 2
+    assert pii.redact(docs.limit(0)).count() == 0
 
 
 @pytest.mark.parametrize("html", ["<", "<p", "<!--", "<a b='", "</p></p>", "<script>", "<p>&#x110000;&bogus;&amp;"])
