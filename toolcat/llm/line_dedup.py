@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from toolcat.llm.common import HEAVY_SHARE, join_groups, materialize, text_or_empty, unused
 
-LINE, BLOCK, REACH = 12, 40, 36
+LINE, BLOCK, REACH = 12, 40, 39
 #: So many words by which a block reaches into one more line are chance and stay.
 CHANCE = 3
 #: Parts into which the pairs of one earlier document are split if they are more than 1/1000 of all.
@@ -151,7 +151,7 @@ def _mark(text: bytes) -> int:
 
 
 def _anchor_rows(docs: DataFrame) -> DataFrame:
-    """``doc, mark, h``; ``mark`` is the text's checksum."""
+    """``doc, h``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,15 +162,11 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
                     size += len(texts[end]) + 1
                     end += 1
                 of, h = anchors(texts[begin:end])
-                marks = np.array([_mark(t) for t in texts[begin:end]], dtype=np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(of + begin)), pa.array(marks[of]), pa.array(h.view(np.int64))],
-                    names=["doc", "mark", "h"],
-                )
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of + begin)), pa.array(h.view(np.int64))], names=["doc", "h"])
                 begin = end
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc {id_type}, mark int, h long")
+    return docs.mapInArrow(run, f"doc {id_type}, h long")
 
 
 def patience(runs: list[tuple[int, int, int]]) -> list[int]:
@@ -314,13 +310,12 @@ def blocks(text: str, other: str, block: int = BLOCK, line: int = LINE) -> list[
 
 
 def _pairs(docs: DataFrame) -> DataFrame:
-    """``doc, mark, owner, owner_mark``: later documents and the earliest ones that share a hash with them."""
+    """``doc, owner``: later documents and the earliest ones that share a hash with them."""
     rows = materialize(_anchor_rows(docs), "anchors")
-    owners = rows.groupBy("h").agg(
-        F.count("*").alias("size"), F.min(F.struct("doc", "mark")).alias("owner"), F.max("doc").alias("last")
-    ).filter("owner.doc < last").select("h", "size", F.col("owner.doc").alias("owner"), F.col("owner.mark").alias("owner_mark"))
+    owners = rows.groupBy("h").agg(F.count("*").alias("size"), F.min("doc").alias("owner"), F.max("doc").alias("last"))
+    owners = owners.filter("owner < last").drop("last")
     shared = join_groups(rows, owners, "h", "size", max(1, rows.count()))
-    return materialize(shared.filter("doc > owner").select("doc", "mark", "owner", "owner_mark").distinct(), "pairs")
+    return materialize(shared.filter("doc > owner").select("doc", "owner").distinct(), "pairs")
 
 
 def repeated_blocks(docs: DataFrame, block: int = BLOCK, line: int = LINE) -> DataFrame:
@@ -336,25 +331,21 @@ def repeated_blocks(docs: DataFrame, block: int = BLOCK, line: int = LINE) -> Da
     owned = texts.withColumnRenamed("doc_id", "owner").join(sizes.select("owner"), "owner").join(heavy, "owner", "left")
     salts = F.when(F.col("heavy"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     owned = owned.select("owner", F.col("text").alias("other"), F.explode(salts).alias("salt"))
-    both = later.join(owned, ["owner", "salt"]).select("doc", "mark", "owner_mark", "own", "other")
+    both = later.join(owned, ["owner", "salt"]).select("doc", "own", "other")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for begin in range(0, whole.num_rows, 1000):
                 batch = whole.slice(begin, 1000)
-                at, starts, sizes = [], [], []
-                rows = zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True)
-                for i, (mark, owner_mark, own, other) in enumerate(rows):
-                    if mark == _mark(own.encode()) and owner_mark == _mark(other.encode()):
-                        for start, size in blocks(own, other, block, line):
-                            at.append(i)
-                            starts.append(start)
-                            sizes.append(size)
-                places = pa.array(at, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(places), batch.column(1).take(places), pa.array(starts, pa.int32()), pa.array(sizes, pa.int32())],
-                    names=["doc", "mark", "start", "len"],
-                )
+                at, marks, starts, sizes = [], [], [], []
+                for i, (own, other) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+                    for start, size in blocks(own, other, block, line):
+                        at.append(i)
+                        marks.append(_mark(own.encode()))
+                        starts.append(start)
+                        sizes.append(size)
+                numbers = [pa.array(x, pa.int32()) for x in (marks, starts, sizes)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *numbers], names=["doc", "mark", "start", "len"])
 
     id_type = texts.schema["doc_id"].dataType.simpleString()
     found = both.mapInArrow(run, f"doc {id_type}, mark int, start int, len int")
