@@ -14,10 +14,12 @@ each. Other columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -31,13 +33,10 @@ DECAY, MAIN_BONUS = 0.7, 1.5
 #: A path is minor on a host if over half of its pages, and so many at least, hold it, mostly with less than this share.
 MINOR_SHARE, MINOR_PAGES = 0.1, 3
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|math|textarea|select|iframe|object|canvas|video|audio|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>"""
-    r"|<[!?/][^>]*>",
-    re.S | re.I,
-)
+_START = re.compile(r"<(?:(/?)([a-zA-Z][a-zA-Z0-9:-]*)|[!?/])")
+_STOP = re.compile("[>\"']")
+#: Elements whose content isn't text of the page.
+_RAW = frozenset("script style noscript template svg math textarea select iframe object canvas video audio title".split())
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd link mark meta nobr q rp rt ruby s samp "
@@ -70,33 +69,93 @@ def _labels(attributes: str) -> tuple[str, bool]:
     return "".join(f".{c}" for c in classes), noise
 
 
-def blocks(html: str) -> list[tuple[str, str, int]]:
-    """Path, text and length of linked text of each block outside dropped elements, in page order."""
-    out: list[tuple[str, str, int]] = []
-    stack: list[tuple[str, str, bool]] = []  # tag, path, kept
+def _tags(html: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """Start, end, name, whether it closes, and attributes of each tag; raw elements and comments go as one nameless
+    tag. A quote that is never closed is an ordinary sign; what never ends is text."""
+    last_end, last_quote = html.rfind(">"), {q: html.rfind(q) for q in "\"'"}
+    pos = 0
+    while m := _START.search(html, pos):
+        begin = m.start()
+        if html.startswith("<!--", begin):
+            end = html.find("-->", begin + 4)
+            pos = len(html) if end < 0 else end + 3
+            yield begin, pos, "", False, ""
+            continue
+        if begin > last_end:
+            return
+        end = m.end()
+        while stop := _STOP.search(html, end):
+            sign, end = stop[0], stop.end()
+            if sign == ">":
+                break
+            if end <= last_quote[sign]:
+                end = html.index(sign, end) + 1
+        if not stop:  # quotes that don't match
+            end = html.index(">", m.end()) + 1
+        name = (m[2] or "").lower()
+        if name in _RAW and not m[1]:
+            closing = re.compile(rf"</{name}\s*>", re.I).search(html, end)
+            pos = closing.end() if closing else len(html)
+            yield begin, pos, "", False, ""
+            continue
+        pos = end
+        yield begin, end, name, bool(m[1]), html[m.end() : end - 1]
+
+
+class Page:
+    """A page's blocks of text, and the tree of its containers' paths: a node for each path of generalised labels,
+    with its parent, which comes before it, and a key that is the same on every page."""
+
+    def __init__(self) -> None:
+        self.parent, self.key, self.main = [-1], [0], [False]
+        self.children: dict[tuple[int, str], int] = {}
+        self.blocks: list[tuple[int, str, int]] = []  # node, text, length of linked text
+
+    def child(self, node: int, label: str, main: bool) -> int:
+        if (node, label) not in self.children:
+            self.children[node, label] = len(self.parent)
+            self.parent.append(node)
+            self.key.append(xxhash.xxh64_intdigest(f"{self.key[node]}/{label}") - (1 << 63))
+            self.main.append(main)
+        return self.children[node, label]
+
+    def below(self, node: int) -> list[bool]:
+        """Of each node whether it is the given one or below it."""
+        out = [n == node for n in range(len(self.parent))]
+        for n in range(1, len(out)):
+            out[n] = out[n] or out[self.parent[n]]
+        return out
+
+
+def parse(html: str) -> Page:
+    """The blocks outside dropped elements, in page order."""
+    page, stack = Page(), []  # the stack holds tag, node, kept
     parts: list[str] = []
-    linked = in_link = at = 0
-    path, kept, header_in_main, in_heading = "", True, 0, 0
+    open_tags: Counter = Counter()
+    linked = in_link = at = node = in_heading = 0
+    kept = True
 
     def flush() -> None:
         nonlocal linked, parts
         if parts:
             text = " ".join("".join(parts).split())
             if text and kept:
-                out.append((path, text, min(linked, len(text))))
+                page.blocks.append((node, text, min(linked, len(text))))
             parts = []
         linked = 0
 
-    for m in _TAG.finditer(html):
-        if m.start() > at and kept and (not header_in_main or in_heading):
-            text = html[at : m.start()]
+    def read(text: str) -> None:
+        nonlocal linked
+        if text and kept and (not open_tags["header"] or in_heading):  # of an article's header only headings are text
             text = unescape(text) if "&" in text else text
             parts.append(text)
             linked += len(text) * (in_link > 0)
-        at = m.end()
-        if m[3] is None:
+
+    for begin, end, tag, closing, attributes in _tags(html):
+        read(html[at:begin])
+        at = end
+        if not tag:
             continue
-        tag, closing = m[3].lower(), bool(m[2])
         if tag in _INLINE:
             if tag == "a":
                 in_link = max(0, in_link + (-1 if closing else 1))
@@ -108,98 +167,96 @@ def blocks(html: str) -> list[tuple[str, str, int]]:
             continue
         in_link = in_heading = 0
         if closing:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if depth is not None:
-                del stack[depth:]
-        elif not m[4].endswith("/"):
+            while open_tags[tag]:
+                name = stack.pop()[0]
+                open_tags[name] -= 1
+                if name == tag:
+                    break
+        elif not attributes.endswith("/"):
             if tag == "body":
                 stack = [x for x in stack if x[0] == "html"]  # a head that wasn't closed ends here
-            labels, noise = _labels(m[4]) if m[4].strip() else ("", False)
-            above, ok = (stack[-1][1], stack[-1][2]) if stack else ("", True)
-            inside = any(x[0] in ("article", "main") for x in stack)
+                open_tags = Counter(x[0] for x in stack)
+            labels, noise = _labels(attributes) if attributes.strip() else ("", False)
+            above, ok = stack[-1][1:] if stack else (0, True)
             ok = ok and tag not in _DROPPED and not (noise and tag not in ("html", "body", "article", "main"))
-            ok = ok and (tag != "header" or inside)
-            stack.append((tag, f"{above}/{tag}{labels}" if tag in _LAYOUT else above, ok))
-        path, kept = (stack[-1][1], stack[-1][2]) if stack else ("", True)
-        header_in_main = sum(x[0] == "header" for x in stack)  # of an article's header only headings are text
-    if at < len(html) and kept:
-        text = html[at:]
-        parts.append(unescape(text) if "&" in text else text)
+            ok = ok and (tag != "header" or open_tags["article"] + open_tags["main"] > 0)
+            own = page.child(above, tag + labels, tag in ("article", "main")) if tag in _LAYOUT else above
+            stack.append((tag, own, ok))
+            open_tags[tag] += 1
+        node, kept = stack[-1][1:] if stack else (0, True)
+    read(html[at:])
     flush()
-    return out
-
-
-def path_scores(found: list[tuple[str, str, int]]) -> list[tuple[str, float]]:
-    """The best paths of a page with their shares of its votes, the best first."""
-    scores: dict[str, float] = {}
-    for path, text, linked in found:
-        weight, steps = float(len(text) - linked) or 0.01, path.split("/")
-        for n in range(len(steps), 0, -1):
-            scores["/".join(steps[:n])] = scores.get("/".join(steps[:n]), 0.0) + weight
-            weight *= DECAY
-    for path in scores:
-        if re.match(r"(article|main)\b", path.rpartition("/")[2]):
-            scores[path] *= MAIN_BONUS
-    best = sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:VOTES]
-    total = sum(s for _, s in best)
-    return [(p, s / total) for p, s in best]
-
-
-def _below(at: str, path: str) -> bool:
-    return at == path or at.startswith(f"{path}/")
-
-
-def shares(found: list[tuple[str, str, int]]) -> dict[str, float]:
-    """Each path's share of the page's unlinked text, without what lies below it."""
-    sizes: dict[str, int] = {}
-    for at, text, linked in found:
-        sizes[at] = sizes.get(at, 0) + len(text) - linked
+    return page
+
+
+def path_scores(page: Page) -> list[tuple[int, float]]:
+    """The nodes of the best paths with their shares of the page's votes, the best first."""
+    scores = [0.0] * len(page.parent)
+    held = [False] * len(page.parent)
+    for node, text, linked in page.blocks:
+        scores[node] += float(len(text) - linked) or 0.01
+        held[node] = True
+    for n in range(len(scores) - 1, 0, -1):
+        scores[page.parent[n]] += DECAY * scores[n]
+        held[page.parent[n]] = held[page.parent[n]] or held[n]
+    found = [(s * (MAIN_BONUS if page.main[n] else 1.0), page.key[n], n) for n, s in enumerate(scores) if held[n]]
+    best = sorted(found, key=lambda x: (-x[0], x[1]))[:VOTES]
+    total = sum(s for s, _, _ in best)
+    return [(n, s / total) for s, _, n in best]
+
+
+def shares(page: Page) -> dict[int, float]:
+    """Each node's share of the page's unlinked text, without what lies below it."""
+    sizes: dict[int, int] = {}
+    for node, text, linked in page.blocks:
+        sizes[node] = sizes.get(node, 0) + len(text) - linked
     total = sum(sizes.values()) or 1
-    return {at: n / total for at, n in sizes.items()}
+    return {n: size / total for n, size in sizes.items()}
 
 
-def extract(found: list[tuple[str, str, int]], winners: list[str], minor: frozenset | set = frozenset()) -> str:
-    """The main text: from the first of the ``winners`` that holds most of the page's unlinked text outside the
-    ``minor`` paths, or from the page's own best path, up to its article or main, or else all that holds unlinked text
-    outside the minor paths."""
-    own = [p for p, _ in path_scores(found)[:1]]
-    for path in [*winners, *own]:
-        inside = [_below(at, path) for at, _, _ in found]
-        if not any(inside):
-            continue
-        covered = sum(len(text) - linked for (at, text, linked), x in zip(found, inside, strict=True) if x)
-        other = sum(len(text) - linked for (at, text, linked), x in zip(found, inside, strict=True) if not x and at not in minor)
-        if path not in own and covered < other:
+def extract(page: Page, winners: list[int], minor: frozenset | set = frozenset()) -> str:
+    """The main text: from the first of the ``winners`` (keys of paths) that holds most of the page's unlinked text
+    outside the ``minor`` paths, or from the page's own best path, up to its article or main, or else all that holds
+    unlinked text outside the minor paths."""
+    own = [n for n, _ in path_scores(page)[:1]]
+    place = {key: n for n, key in enumerate(page.key)}
+    counted = [(node, len(text) - linked, page.key[node] in minor) for node, text, linked in page.blocks]
+    for node in [*(place[k] for k in winners if k in place), *own]:
+        below = page.below(node)
+        covered = sum(size for n, size, _ in counted if below[n])
+        other = sum(size for n, size, small in counted if not below[n] and not small)
+        if node not in own and (covered < other or not any(below[n] for n, _, _ in counted)):
             continue
-        steps = path.split("/")
-        for n in range(len(steps), 0, -1):
-            if re.match(r"(article|main)\b", steps[n - 1]):
-                top = "/".join(steps[:n])
-                return "\n".join(text for at, text, _ in found if _below(at, top))
+        top = node
+        while top > 0 and not page.main[top]:
+            top = page.parent[top]
+        if page.main[top]:
+            whole = page.below(top)
+            return "\n".join(text for n, text, _ in page.blocks if whole[n])
         return "\n".join(
-            text for (at, text, linked), x in zip(found, inside, strict=True) if x or (at not in minor and 2 * linked < len(text))
+            text for (n, text, linked), (_, _, small) in zip(page.blocks, counted, strict=True) if below[n] or (not small and 2 * linked < len(text))
         )
     return ""
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """``host, size, paths, minor``: each host's number of pages, its winning paths, and the paths that most of its
-    pages hold with a small share of their text. ``pages``: ``host, html``."""
+    """``host, size, paths, minor``: each host's number of pages, the keys of its winning paths, and of the paths that
+    most of its pages hold with a small share of their text. ``pages``: ``host, html``."""
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for i, html in enumerate(batch.column(1).to_pylist()):
-                found = blocks(html)
-                votes, held = dict(path_scores(found)), shares(found)
-                rows += [(i, p, votes.get(p, 0.0), int(p in held), int(held.get(p, 1.0) < MINOR_SHARE)) for p in votes.keys() | held.keys()]
+                page = parse(html)
+                votes, held = dict(path_scores(page)), shares(page)
+                rows += [(i, page.key[n], votes.get(n, 0.0), int(n in held), int(held.get(n, 1.0) < MINOR_SHARE)) for n in votes.keys() | held.keys()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array([r[0] for r in rows], pa.int64())), pa.array([r[1] for r in rows], pa.string()),
+                [batch.column(0).take(pa.array([r[0] for r in rows], pa.int64())), pa.array([r[1] for r in rows], pa.int64()),
                  pa.array([r[2] for r in rows], pa.float64()), pa.array([r[3] for r in rows], pa.int64()),
                  pa.array([r[4] for r in rows], pa.int64())], names=["host", "path", "votes", "held", "small"],
             )
 
-    votes = pages.select("host", "html").mapInArrow(vote, "host string, path string, votes double, held long, small long")
+    votes = pages.select("host", "html").mapInArrow(vote, "host string, path long, votes double, held long, small long")
     votes = votes.groupBy("host", "path").agg(F.round(F.sum("votes"), 6).alias("votes"), F.sum("held").alias("held"), F.sum("small").alias("small"))
     votes = materialize(votes, "votes")
     sizes = pages.groupBy("host").agg(F.count("*").alias("size"))
@@ -226,7 +283,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)
-            texts = [extract(blocks(h), winners or [], set(minor or [])) for h, winners, minor in found]
+            texts = [extract(parse(h), winners or [], set(minor or [])) for h, winners, minor in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
             )
