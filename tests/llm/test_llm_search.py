@@ -212,7 +212,7 @@ def test_redaction_odd_rows(spark):
 
 @pytest.mark.parametrize("html", ["<", "<p", "<!--", "<a b='", "</p></p>", "<script>", "<p>&#x110000;&bogus;&amp;"])
 def test_broken_markup_does_not_stop(html):
-    html_text.extract(html_text.blocks(html), ["/body"])
+    html_text.extract(html_text.parse(html), [0])
 
 
 def test_toxicity_searches_by_all_words_with_few_labels(spark):
@@ -242,3 +242,97 @@ def test_main_text_takes_the_whole_article(spark):
     assert all(w in got[1] for w in ("Title", "lead", "main", "more"))
     assert all("first" in got[10 + i] and "second" in got[10 + i] for i in range(9))
     assert "story" in got[99]
+
+
+def test_deep_and_broken_pages_take_linear_time():
+    import time
+
+    n = 4000
+    pages = ["<div>x " * n, "<div>x " * n + "</div>" * n, "</p></span></div>" * n + "<div>" * n + "</ul>" * n, '<a "' * n, '<a "' * n + ">", "<a '>" * n + "t",
+             "<script" * n, "<!-" * n, "<p class='" * n, "<x y=\"" * n + ">z", "<" * n * 5, "<div class=" + "a " * n + ">t", "&amp" * n]
+    for html in pages:
+        began = time.process_time()
+        html_text.extract(html_text.parse(html), [1, 2, 3], {0})
+        assert time.process_time() - began < 2, html[:20]
+    deep = html_text.parse("<div>x " * 500)
+    assert html_text.extract(deep, []).count("x") == 500
+
+
+def brute_scores(html):
+    """Scores by definition: each block counts in full at its own container, and by DECAY less at each one around it."""
+    page, scores = html_text.parse(html), {}
+    for node, text, linked in page.blocks:
+        weight = float(len(text) - linked) or 0.01
+        while node >= 0:
+            scores[node] = scores.get(node, 0.0) + weight
+            node, weight = page.parent[node], weight * html_text.DECAY
+    scores = {n: s * (html_text.MAIN_BONUS if page.main[n] else 1) for n, s in scores.items()}
+    best = sorted(scores, key=lambda n: (-scores[n], page.key[n]))[: html_text.VOTES]
+    return [(n, scores[n] / sum(scores[b] for b in best)) for n in best]
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_container_scores_match_brute_force(seed):
+    rng = random.Random(seed)
+    html = "".join(rng.choice(["<div class=a1>", "<div class='b'>", "<article>", "</div>", "</article>", "<p>", "some words ", "<a>link text</a>", "<section>", "</section>"]) for _ in range(60))
+    for (n, share), (m, want) in zip(html_text.path_scores(html_text.parse(html)), brute_scores(html), strict=True):
+        assert n == m and math.isclose(share, want, rel_tol=1e-9)
+
+
+def test_main_text_odd_rows(spark):
+    rows = [(1, "http://a.example/x", PAGE), (1, "http://a.example/x", PAGE), (None, "http://a.example/q", PAGE), (2, "http://a.example/w", "<div>" * 3000 + "deep"),
+            (3, "http://a.example/l", "<p>" + "long text " * 30_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("t")).withColumn("host", F.lit("h")).withColumn("path", F.lit(1))
+    got = html_text.main_text(pages.repartition(3)).collect()
+    assert len(got) == len(rows) and len({r.text for r in got if r.page_id in (1, None)}) == 1
+    assert [r.text for r in got if r.page_id == 2] == ["deep"] and [r.n_chars for r in got if r.page_id == 3] == [299_999]
+
+
+def brute_toxicity_votes(examples, idf, texts, k):
+    """The neighbours' vote over all words by definition."""
+    def vector(text):
+        counts = {}
+        for w in toxicity.words_of(text):
+            counts[w] = counts.get(w, 0) + 1
+        raw = {w: (1 + math.log(n)) * idf[w] for w, n in counts.items() if w in idf}
+        norm = math.sqrt(sum(x * x for x in raw.values())) or 1.0
+        return {w: x / norm for w, x in raw.items()}
+
+    vectors = [(y, vector(t)) for _, t, y in examples]
+    some = [(y, v) for y, v in vectors if v]
+    overall = sum(y for _, _, y in examples) / len(examples)
+    empty = [y for y, v in vectors if not v]
+    base = (sum(empty) + overall) / (len(empty) + 1)
+    out = []
+    for text in texts:
+        v = vector(text)
+        near = sorted(((sum(x * u.get(w, 0.0) for w, x in v.items()), y) for y, u in some), reverse=True)[:k]
+        near = [(c, y) for c, y in near if c > 0]
+        weights = [1 / (0.05 + max(0.0, 1 - c)) for c, _ in near]
+        out.append((sum(w * y for w, (_, y) in zip(weights, near, strict=True)) + base) / (sum(weights) + 1) if near else base)
+    return out
+
+
+def test_toxicity_votes_match_brute_force(spark):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(400)]
+    docs = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(1, 40))), i % 3 == 0) for i in range(150)] + [(999, "", True)]
+    frame = spark.createDataFrame([d[:2] for d in docs], "doc_id long, text string")
+    scorer = toxicity.fit(frame, spark.createDataFrame([(i, int(y)) for i, _, y in docs], "doc_id long, toxic int"))
+    model = scorer.model.value.build()
+    known = {r.doc_id: (r.text, r.toxic) for r in toxicity.examples(frame, spark.createDataFrame([(i, int(y)) for i, _, y in docs], "doc_id long, toxic int")).collect()}
+    used = {w for t, _ in known.values() for w in toxicity.words_of(t)}
+    idf = {w: math.log((1 + len(docs)) / (1 + sum(w in set(toxicity.words_of(t)) for _, t, _ in docs))) + 1 for w in used}
+    texts = [t for _, t, _ in docs[:60]] + ["nothing known here", "W1 w2, w3!"]
+    votes, _, _ = model.votes(texts)
+    want = brute_toxicity_votes([(i, t, y) for i, (t, y) in known.items()], idf, texts, toxicity.NEIGHBOURS)
+    assert np.allclose(votes[:, 0], want, atol=1e-4)
+    scores = [s for s, _ in scorer.score(texts)]
+    assert all(0 <= s <= 1 for s in scores)
+
+
+def test_toxicity_of_repeated_rows(spark):
+    docs, labels = toxic_corpus(400)
+    frame = spark.createDataFrame(docs + docs[:50], "doc_id long, text string")
+    rows = toxicity.toxicity(frame, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    assert len(rows) == 450 and len({(r.doc_id, r.score) for r in rows}) == 400

@@ -320,9 +320,9 @@ class BlockMaxIndex:
 def _unit(begin: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """Weights of vectors of length one; ``idf`` by entry. Vectors may be empty."""
     raw = (1 + np.log(counts)) * idf
-    squares = np.concatenate([[0.0], np.cumsum(raw * raw)])
-    norms = np.sqrt(np.maximum(squares[begin[1:]] - squares[begin[:-1]], 1e-300))
-    return raw / np.repeat(norms, np.diff(begin))
+    of = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
+    norms = np.sqrt(np.bincount(of, raw * raw, minlength=len(begin) - 1))  # the same whatever stands in the batch
+    return raw / norms[of]
 
 
 class Examples:
