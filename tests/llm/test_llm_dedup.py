@@ -313,3 +313,52 @@ def test_line_dedup_odd_rows(spark):
     assert got[5] == {("x" * 40_000, "e")} and got[6] == {("x" * 40_000, "f")} and got[None] == {(p, "g")} and got[7] == {("", None)}
     assert got[9] == {("short", "i")} and got[10] == {("", "j")} and got[12] == {("end", "l")}
     assert ld.remove_repeated(docs.limit(0)).columns == docs.columns
+
+
+def near_corpus():
+    """Originals, copies with a Jaccard similarity on both sides of 0.8, and many copies of one."""
+    r = random.Random(21)
+    texts, i = {}, 0
+    for g in range(60):
+        base = [r.choice(WORDS) + str(g) for _ in range(r.choice([40, 120, 400]))]
+        texts[i] = base
+        for _ in range(3):
+            i += 1
+            copy = list(base)
+            for _ in range(r.randrange(1, max(2, len(base) // 18))):
+                copy[r.randrange(len(copy))] = f"new{r.randrange(10**6)}"
+            texts[i] = copy
+        i += 1
+    base = [r.choice(WORDS) + "big" for _ in range(150)]
+    for _ in range(400):
+        copy = list(base)
+        copy[r.randrange(150)] = f"other{r.randrange(10**6)}"
+        texts[i] = copy
+        i += 1
+    return {k: " ".join(v) for k, v in texts.items()}
+
+
+def test_near_copies_match_brute_force(spark):
+    texts = near_corpus()
+    sets = {k: sh._shingles(t.encode().lower().split(), 5) for k, t in texts.items()}
+    parent = {k: k for k in texts}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    small = [k for k in texts if k < 240]
+    pairs = [(a, b) for group in (range(g, g + 4) for g in range(0, 240, 4)) for a in group for b in group if a < b]
+    pairs += [(a, b) for a in texts if a >= 240 for b in texts if a < b]
+    linked = 0
+    for a, b in pairs:
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            linked += a < 240
+            x, y = find(a), find(b)
+            parent[max(x, y)] = min(x, y)
+    want = {k for k in texts if find(k) == k}
+    docs = spark.createDataFrame([(k, t.upper() if k % 2 else t, "x") for k, t in texts.items()], "doc_id long, text string, same string")
+    kept = {r.doc_id for r in sh.simhash_keep(docs.repartition(3)).collect()}
+    assert linked > 60 and want <= kept  # nothing goes that is no near copy
+    assert len(kept - want) <= 0.02 * (len(texts) - len(want)) and len(small) == 240

@@ -31,13 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from toolcat.llm.common import HEAVY_SHARE, join_groups, materialize, text_or_empty, unused
+from toolcat.llm.common import join_groups, materialize, text_or_empty, unused, with_texts
 
 LINE, BLOCK, REACH = 12, 40, 39
 #: So many words by which a block reaches into one more line are chance and stay.
 CHANCE = 3
-#: Parts into which the pairs of one earlier document are split if they are more than 1/1000 of all.
-SALTS = 64
 #: Bytes of texts whose words are hashed together.
 BYTES = 1 << 20
 
@@ -213,19 +211,45 @@ def _diagonals(at: np.ndarray, other: np.ndarray) -> list[tuple[int, int, int]]:
     return list(zip(at[first].tolist(), other[first].tolist(), sizes.tolist(), strict=True))
 
 
-def align(a: np.ndarray, b: np.ndarray, size: int = LINE) -> list[tuple[int, int, int]]:
-    """Aligned blocks of two lists of word hashes by patience diff: start, other start, words."""
-    ra, rb = runs_of(a, size), runs_of(b, size)
+class Text:
+    """A text as alignment needs it: where its words begin and end, their hashes, those of its runs, and the distinct
+    runs with their first places and numbers."""
+
+    kept: dict[tuple[str, int], Text] = {}
+
+    def __init__(self, text: str, size: int = LINE):
+        self.data = text.encode()
+        self.starts, self.ends, self.words = words(self.data)
+        self.runs = runs_of(self.words, size)
+        self.distinct = np.unique(self.runs, return_index=True, return_counts=True)
+
+    @classmethod
+    def of(cls, text: str, size: int) -> Text:
+        """The same object for a text that came not long ago; pairs of one document come together."""
+        key = text, size
+        if key not in cls.kept:
+            if len(cls.kept) >= 32:
+                cls.kept.clear()
+            cls.kept[key] = cls(text, size)
+        return cls.kept[key]
+
+
+def align(one: Text, other: Text, size: int = LINE) -> list[tuple[int, int, int]]:
+    """Aligned blocks of two texts by patience diff: start, other start, words."""
+    a, b = one.words, other.words
     out: list[tuple[int, int, int]] = []
     todo = [(0, len(a), 0, len(b))]
     while todo:
         a0, a1, b0, b1 = todo.pop()
         if min(a1 - a0, b1 - b0) < size:
             continue
-        own, own_at, n = np.unique(ra[a0 : a1 - size + 1], return_index=True, return_counts=True)
-        other, other_at, m = np.unique(rb[b0 : b1 - size + 1], return_index=True, return_counts=True)
-        _, i, j = np.intersect1d(own[n == 1], other[m == 1], assume_unique=True, return_indices=True)
-        at, to = own_at[n == 1][i] + a0, other_at[m == 1][j] + b0
+        (own, own_at, n), (their, their_at, m) = (
+            t.distinct if (x, y) == (0, len(t.words)) else np.unique(t.runs[x : y - size + 1], return_index=True, return_counts=True)
+            for t, x, y in ((one, a0, a1), (other, b0, b1))
+        )
+        k = np.minimum(np.searchsorted(their, own), len(their) - 1)
+        unique = np.flatnonzero((their[k] == own) & (n == 1) & (m[k] == 1))
+        at, to = own_at[unique] + a0, their_at[k[unique]] + b0
         order = np.argsort(at)
         runs = _diagonals(at[order], to[order])
         before = a0, b0
@@ -245,19 +269,23 @@ def align(a: np.ndarray, b: np.ndarray, size: int = LINE) -> list[tuple[int, int
     return sorted(out)
 
 
-def elsewhere(a: np.ndarray, b: np.ndarray, taken: list[tuple[int, int, int]], least: int, size: int = LINE) -> list[tuple[int, int]]:
-    """Passages of at least ``least`` words of ``a`` outside the taken blocks that ``b`` holds at any place."""
-    ra, rb = runs_of(a, size), runs_of(b, size)
-    free = np.ones(len(ra), dtype=bool)
+def elsewhere(one: Text, other: Text, taken: list[tuple[int, int, int]], least: int, size: int = LINE) -> list[tuple[int, int]]:
+    """Passages of at least ``least`` words outside the taken blocks that the other text holds at any place."""
+    a, b = one.words, other.words
+    free = np.ones(len(one.runs), dtype=bool)
     for x, _, n in taken:
         free[x : x + n - size + 1] = False
-    if not free.any() or not len(rb):
+    values, places, _ = other.distinct
+    own, _, _ = one.distinct
+    if not free.any() or not len(values):
+        return []
+    shared = own[values[np.minimum(np.searchsorted(values, own), len(values) - 1)] == own]
+    if not len(shared):
         return []
-    values, places = np.unique(rb, return_index=True)
-    k = np.minimum(np.searchsorted(values, ra), len(values) - 1)
-    at = np.flatnonzero(free & (values[k] == ra))
+    at = np.flatnonzero(free & np.isin(one.runs, shared))
+    k = np.searchsorted(values, one.runs[at])
     out, end = [], 0
-    for x, y, n in _diagonals(at, places[k[at]]):
+    for x, y, n in _diagonals(at, places[k]):
         if x + n <= end:
             continue
         back = _same(a[end:x][::-1], b[:y][::-1])
@@ -270,13 +298,13 @@ def elsewhere(a: np.ndarray, b: np.ndarray, taken: list[tuple[int, int, int]], l
 
 def blocks(text: str, other: str, block: int = BLOCK, line: int = LINE) -> list[tuple[int, int]]:
     """The parts of ``text`` that go because an earlier text is ``other``, as start and length in characters."""
-    data = text.encode()
-    starts, ends, a = words(data)
+    one = Text.of(text, line)
+    data, starts, a = one.data, one.starts, one.words
     if text == other and len(a) >= block:
         return [(0, len(text))]
-    _, _, b = words(other.encode())
-    found = align(a, b, line)
-    moved = elsewhere(a, b, found, block, line)
+    owner = Text.of(other, line)
+    found = align(one, owner, line)
+    moved = elsewhere(one, owner, found, block, line)
     if not found and not moved:
         return []
     lines = np.cumsum(np.frombuffer(data, dtype=np.uint8) == 10)[starts]
@@ -323,15 +351,7 @@ def repeated_blocks(docs: DataFrame, block: int = BLOCK, line: int = LINE) -> Da
     ``mark`` tells apart texts that share an id."""
     texts = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", text_or_empty().alias("text"))
     pairs = _pairs(texts)
-    sizes = pairs.groupBy("owner").agg(F.count("*").alias("size"))
-    heavy = F.broadcast(materialize(sizes.filter(F.col("size") > HEAVY_SHARE * max(1, pairs.count())).select("owner"), "heavy").withColumn("heavy", F.lit(True)))
-    salt = F.when(F.col("heavy"), F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int")).otherwise(0)
-    salted = pairs.join(heavy, "owner", "left").withColumn("salt", salt).drop("heavy")
-    later = salted.join(texts.withColumnRenamed("doc_id", "doc"), "doc").withColumnRenamed("text", "own")
-    owned = texts.withColumnRenamed("doc_id", "owner").join(sizes.select("owner"), "owner").join(heavy, "owner", "left")
-    salts = F.when(F.col("heavy"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    owned = owned.select("owner", F.col("text").alias("other"), F.explode(salts).alias("salt"))
-    both = later.join(owned, ["owner", "salt"]).select("doc", "own", "other")
+    both = with_texts(pairs, texts).select("doc", "own", "other")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -356,14 +376,14 @@ def remove_repeated(docs: DataFrame, block: int = BLOCK, line: int = LINE, remov
     """``docs`` with the repeated blocks taken out of ``text``; with ``removed``, also a last column of that name, the
     number of characters taken out."""
     found = materialize(repeated_blocks(docs, block, line), "blocks")
-    key, row, cut, text = (unused(docs, n) for n in ("doc", "row", "cut", "new_text"))
-    whole = F.coalesce(F.col(f"{row}.text").cast("string"), F.lit(""))
-    known = docs.filter(F.col("doc_id").isNotNull())
-    rows = known.select(F.col("doc_id").alias(key), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(row))
-    rows = rows.join(found.select(F.col("doc").alias(key), F.col("found").alias(cut)), key, "left").drop(key)
-    none = F.lit(None).cast(found.schema["found"].dataType)
-    unknown = docs.filter(F.col("doc_id").isNull())
-    rows = rows.unionByName(unknown.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(row), none.alias(cut)))
+    key, cut, text = (unused(docs, n) for n in ("doc", "cut", "new_text"))
+    # The same columns as in ``repeated_blocks`` where there are no others, so that texts are shuffled once.
+    rows = docs.select(*(text_or_empty().alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns))
+    known = rows.filter(F.col("doc_id").isNotNull())
+    found = found.select(F.col("doc").alias(key), F.col("found").alias(cut))
+    marked = known.join(found, known["doc_id"] == found[key], "left").drop(key)
+    unknown = rows.filter(F.col("doc_id").isNull()).withColumn(cut, F.lit(None).cast(found.schema[cut].dataType))
+    rows, whole = marked.unionByName(unknown), F.col("text")
     mine = F.filter(cut, lambda b: b["mark"] == F.crc32(whole.cast("binary")).bitwiseAND(F.lit(0x7FFFFFFF)))
 
     def kept(parts):  # what stands between the blocks; blocks that overlap leave nothing between them
@@ -372,9 +392,9 @@ def remove_repeated(docs: DataFrame, block: int = BLOCK, line: int = LINE, remov
         rest = F.substring(whole, before(F.size(parts)) + 1, F.length(whole))
         return F.rtrim(F.concat(F.array_join(gaps, ""), rest), F.lit(" \n\t\r"))
 
-    rows = rows.select(row, F.when(F.col(cut).isNotNull(), mine).alias(cut))
-    rows = rows.select(row, F.when(F.size(cut) > 0, kept(F.col(cut))).otherwise(whole).alias(text))
-    out = [F.col(text).alias("text") if c == "text" else F.col(f"{row}.`{c}`") for c in docs.columns]
+    rows = rows.withColumn(cut, F.when(F.col(cut).isNotNull(), mine))
+    rows = rows.withColumn(text, F.when(F.size(cut) > 0, kept(F.col(cut))).otherwise(whole))
+    out = [F.col(text).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
     lost = [(F.length(whole) - F.length(text)).cast("long").alias(removed)] if removed else []
     return rows.select(*out, *lost)
 

@@ -23,10 +23,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from toolcat.llm.common import join_groups, materialize, text_or_empty
+from toolcat.llm.common import join_groups, materialize, text_or_empty, with_texts
 from toolcat.llm.components import connected_components
 
 SHARD, LEVELS = 256, 5
+#: For near copies: bits by which fingerprints may differ, orders of shingles, nodes in a shard, and how often it is dealt.
+NEAR_RADIUS, KEYS, NEAR_SHARD, NEAR_LEVELS = 18, 6, 96, 3
 _BLOCK = 65_000  # shingles whose bits are counted at once
 
 
@@ -109,24 +111,31 @@ class BKTree:
     def __init__(self) -> None:
         self.root: list | None = None  # [value, index, {distance: child}]
 
-    def add(self, value: int, index: int, radius: int) -> list[int]:
-        """Insert a value; return the indexes of those within the radius that are there already."""
-        if self.root is None:
-            self.root = [value, index, {}]
-            return []
-        near, todo = [], [self.root]
+    def search(self, value: int, radius: int) -> list[int]:
+        """The indexes of the values within the radius; only edges that can lead to one are followed."""
+        near, todo = [], [self.root] if self.root else []
         while todo:
             other, i, children = todo.pop()
             d = (value ^ other).bit_count()
             if d <= radius:
                 near.append(i)
-            for k in range(d - radius, d + radius + 1):
-                if k in children:
-                    todo.append(children[k])
+            if children:
+                todo += [child for k, child in children.items() if d - radius <= k <= d + radius]
+        return near
+
+    def insert(self, value: int, index: int) -> None:
+        if self.root is None:
+            self.root = [value, index, {}]
+            return
         node = self.root
         while (d := (value ^ node[0]).bit_count()) in node[2]:
             node = node[2][d]
         node[2][d] = [value, index, {}]
+
+    def add(self, value: int, index: int, radius: int) -> list[int]:
+        """Insert a value; return the indexes of those within the radius that are there already."""
+        near = self.search(value, radius)
+        self.insert(value, index)
         return near
 
 
@@ -190,14 +199,125 @@ def simhash_groups(docs: DataFrame, width: int = 3, radius: int = 3, seed: int =
     )
 
 
-def simhash_keep(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the one with its smallest ``doc_id``, and all rows without
-    an id; of rows that share an id that stays, the least."""
-    rows = materialize(simhash_groups(docs).select("doc_id", "component_id").filter("doc_id IS NOT NULL"), "groups")
-    ids = rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("stays"))
-    gone = ids.filter("stays = 0").select(F.col("doc_id").alias("_gone"))
+def _shingles(words: list[bytes], width: int) -> set:
+    return set(zip(*(words[k:] for k in range(width)), strict=False)) if len(words) >= width else {tuple(words)}
+
+
+def _sketches(docs: DataFrame, width: int, seed: int) -> DataFrame:
+    """``doc_id, fp, same, keys``: the fingerprint, a digest of the words, and the least shingle hash in each of KEYS
+    orders."""
+    id_type = docs.schema["doc_id"].dataType
+    odd = np.array([2 * xxhash.xxh64_intdigest(bytes([j]), seed) + 1 & (1 << 64) - 1 for j in range(KEYS)], dtype=np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps, same, keys = [], [], []
+            for text in batch.column(1).to_pylist():
+                words = text.lower().split()
+                fps.append(fingerprint(text, width, seed))
+                same.append(xxhash.xxh3_128_digest(b" ".join(words)))
+                n, digest = max(1, len(words) - width + 1), xxhash.xxh64_intdigest
+                h = np.fromiter((digest(b" ".join(words[i : i + width]), seed) for i in range(n)), dtype=np.uint64, count=n)
+                least = [(x ^ (x >> np.uint64(32))).min() for x in (h * m for m in odd)]
+                keys.append(np.array(least, dtype=np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(np.array(fps, dtype="<u8").view("<i8")), pa.array(same, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["doc_id", "fp", "same", "keys"],
+            )
+
+    rows = docs.select("doc_id", text_or_empty().cast("binary").alias("text"))
+    return rows.mapInArrow(run, f"doc_id {id_type.simpleString()}, fp long, same binary, keys array<long>")
+
+
+def near_pairs(texts: list[tuple], radius: int, dense: bool) -> list[tuple]:
+    """Pairs of ``(id, fingerprint)`` within the radius, the larger id first. In a dense shard an entry is paired with
+    those alone that lie within the radius of none before them."""
+    tree, out, held = BKTree(), [], []
+    for node, fp in texts:
+        near = tree.search(fp & (1 << 64) - 1, radius)
+        out += [(max(node, held[i]), min(node, held[i])) for i in near if node != held[i]]
+        if not (dense and near):
+            tree.insert(fp & (1 << 64) - 1, len(held))
+            held.append(node)
+    return out
+
+
+def near_candidates(nodes: DataFrame, radius: int) -> DataFrame:
+    """``doc, owner``: nodes that share a least shingle and whose fingerprints lie within the radius. ``nodes``: doc, fp,
+    keys. A shard of more than NEAR_SHARD nodes is dealt again by the other least shingles; what is still larger after
+    NEAR_LEVELS holds documents that share several of them, and is searched by leaders."""
+    id_type = nodes.schema["doc"].dataType
+    rows = nodes.select("doc", "fp", "keys", F.array().cast("array<int>").alias("used"), F.lit(0).cast("long").alias("key"))
+    parts = []
+    for level in range(NEAR_LEVELS):
+        rows = rows.select("doc", "fp", "keys", "used", "key", F.posexplode("keys").alias("j", "least")).filter(~F.array_contains("used", F.col("j")))
+        key = F.xxhash64("key", F.col("j"), F.col("least")).alias("key")
+        rows = rows.select("doc", "fp", "keys", F.array_append("used", F.col("j")).alias("used"), key)
+        sizes = rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+        rows = materialize(join_groups(rows, sizes, "key", "size", max(1, rows.count())), f"near{level}")
+        last = level == NEAR_LEVELS - 1
+        big = F.col("size") > NEAR_SHARD
+        parts.append((rows if last else rows.filter(~big)).select("key", "doc", "fp", big.alias("dense")))
+        rows = rows.filter(big).select("doc", "fp", "keys", "used", "key")
+        if last or rows.isEmpty():
+            break
+    shards = parts[0]
+    for more in parts[1:]:
+        shards = shards.unionByName(more)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(own: list[tuple], dense: bool) -> pa.RecordBatch:
+            found = near_pairs(own, radius, dense)
+            columns = [pa.array([p[i] for p in found], kind) for i in (0, 1)]
+            return pa.RecordBatch.from_arrays(columns, names=["doc", "owner"])
+
+        key, own, dense, kind = None, [], False, None
+        for batch in batches:
+            kind = batch.schema.field("doc").type
+            for k, doc, fp, d in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if k != key:
+                    if len(own) > 1:
+                        yield done(own, dense)
+                    key, own, dense = k, [], d
+                own.append((doc, fp))
+        if len(own) > 1:
+            yield done(own, dense)
+
+    shards = shards.repartition("key").sortWithinPartitions("key", "doc")
+    return shards.mapInArrow(run, f"doc {id_type.simpleString()}, owner {id_type.simpleString()}").distinct()
+
+
+def simhash_keep(docs: DataFrame, width: int = 5, radius: int = NEAR_RADIUS, similarity: float = 0.8, seed: int = 42) -> DataFrame:
+    """The rows of ``docs`` that stay: of each group of near copies the one with the smallest ``doc_id``, and all rows
+    without an id; of rows that share an id that stays, the least.
+
+    Texts of the same words, in any case, are one group. Others are candidates if they share a least shingle and their
+    fingerprints lie within ``radius`` bits, and are linked if the Jaccard similarity of their sets of ``width``-word
+    shingles is ``similarity`` or more."""
+    known = docs.filter(F.col("doc_id").isNotNull())
+    rows = materialize(_sketches(known, width, seed), "sketches")
+    first = rows.groupBy("same").agg(F.min("doc_id").alias("first"), F.count("*").alias("size"))
+    rows_first = materialize(join_groups(rows, first, "same", "size", max(1, rows.count())), "first")
+    nodes = rows_first.filter("doc_id = first").groupBy(F.col("doc_id").alias("doc")).agg(F.min_by("fp", "same").alias("fp"), F.min_by("keys", "same").alias("keys"))
+    pairs = materialize(near_candidates(nodes, radius), "candidates")
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                x, y = _shingles(a.encode().lower().split(), width), _shingles(b.encode().lower().split(), width)
+                both = len(x & y)
+                keep.append(both >= similarity * (len(x) + len(y) - both))
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    texts = known.select("doc_id", text_or_empty().alias("text"))
+    both = with_texts(pairs, texts).select(F.col("doc").alias("a"), F.col("owner").alias("b"), "own", "other")
+    links = both.mapInArrow(alike, f"a {id_type}, b {id_type}")
+    copies = rows_first.filter("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
+    gone = connected_components(links.unionByName(copies)).select(F.col("node").alias("_gone"))
     kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
-    repeated = ids.filter("stays = 1 AND n > 1").select(F.col("doc_id").alias("_twice"))
+    repeated = rows.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("_twice"))
     if repeated.isEmpty():
         return kept
     columns = docs.columns
