@@ -2,7 +2,7 @@
 
 Queries are taken in blocks of bounded size. For a block, every task scores its vectors against all queries and
 counts the scores in bins; the summed histograms tell in which bin each query's k-th best score lies, and that bin
-is refined until few rows reach it. Then one more pass keeps the rows from there on, each task its own k best at
+is refined until it is one value. Then one more pass keeps the rows from there on, each task its own k best at
 most, and ties go to the smaller ``vec_id``. No score is stored and no row pairs are shuffled.
 
 Components become ``floor(scale * x)``; scores are exact integers (beyond the range of a long they saturate).
@@ -23,10 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from toolcat.llm.common import shared_dir
+from toolcat.llm.common import materialize, shared_dir
 
 #: Queries in a block, bins of a histogram, and scores that a task holds at once.
-BLOCK, BINS, CELLS = 2048, 512, 1 << 21
+BLOCK, DIGIT, CELLS = 2048, 9, 1 << 21
+BINS = 1 << DIGIT
 _LONG = 2**63 - 1
 
 
@@ -73,46 +74,44 @@ def _chunks(batches: Iterator[pa.RecordBatch], queries: int, scale: float) -> It
 def _select(base: DataFrame, ids: np.ndarray, asked: np.ndarray, k: int, scale: float, bound: int) -> DataFrame:
     """``query_id, rank, vec_id, score`` of one block of queries."""
     sc, n = base.sparkSession.sparkContext, len(ids)
-    block = sc.broadcast((ids, asked))
-    low, high = np.full(n, -bound, dtype=np.int64), np.full(n, bound + 1, dtype=np.int64)
-    above, live = np.zeros(n, dtype=np.int64), np.ones(n, dtype=bool)
-    if bound >= _LONG // 4:  # too wide for sums of longs; each task's own k best are few enough
-        live[:], low[:] = False, -_LONG
-    while live.any():
-        width = np.maximum(1, -(-(high - low) // BINS))
-        state = sc.broadcast((low, high, width, k - above, live))
+    block, offset = sc.broadcast((ids, asked)), np.uint64(bound)
+    bits = (2 * bound).bit_length()
+    # Scores count from -bound on. Digit by digit, from the highest, the k-th best score of each query is found.
+    prefix, need, live = np.zeros(n, dtype=np.uint64), np.full(n, k, dtype=np.int64), np.ones(n, dtype=bool)
+    for shift in range(max(0, -(-bits // DIGIT) - 1) * DIGIT, -1, -DIGIT):
+        if not live.any():
+            break
+        state = sc.broadcast((prefix, need, live, shift))
 
         def histogram(batches: Iterator[pa.RecordBatch], block=block, state=state) -> Iterator[pa.RecordBatch]:
-            (ids, asked), (low, high, width, need, live) = block.value, state.value
+            (ids, asked), (prefix, need, live, shift) = block.value, state.value
             q = np.flatnonzero(live)
             counts = np.zeros((len(q), BINS), dtype=np.int64)
             for vec_ids, vectors in _chunks(batches, len(q), scale):
-                s = _scores(asked[q], vectors)
-                bins = (high[q, None] - 1 - s) // width[q, None]  # bin 0 holds the highest scores
-                inside = (s >= low[q, None]) & (s < high[q, None]) & (ids[q, None] != vec_ids[None, :])
-                flat = (np.arange(len(q))[:, None] * BINS + bins)[inside]
+                u = _scores(asked[q], vectors).view(np.uint64) + offset
+                digits = ((u >> np.uint64(shift)) & np.uint64(BINS - 1)).astype(np.int64)
+                above = u >> np.uint64(shift + DIGIT) if shift + DIGIT < 64 else np.zeros_like(u)
+                inside = (above == prefix[q, None]) & (ids[q, None] != vec_ids[None, :])
+                flat = (np.arange(len(q))[:, None] * BINS + digits)[inside]
                 counts += np.bincount(flat, minlength=counts.size).reshape(counts.shape)
-            before = np.cumsum(counts, axis=1) - counts
+            before = np.cumsum(counts[:, ::-1], axis=1)[:, ::-1] - counts  # what lies in higher bins
             at, bins = np.nonzero((counts > 0) & (before < need[q, None]))  # below these no k-th score can lie
             yield pa.RecordBatch.from_arrays(
                 [pa.array(q[at]), pa.array(bins), pa.array(counts[at, bins])], names=["q", "bin", "n"]
             )
 
-        found = base.mapInArrow(histogram, "q long, bin long, n long").groupBy("q", "bin").agg(F.sum("n").alias("n"))
-        whole = np.zeros((n, BINS), dtype=np.int64)
-        for q, b, count in found.collect():  # at most BINS numbers for each query of the block
-            whole[q, b] = count
-        total = np.cumsum(whole, axis=1)
+        found = base.mapInArrow(histogram, "q long, bin long, n long").groupBy("q", "bin").agg(F.sum("n").alias("n")).toArrow()
+        whole = np.zeros((n, BINS), dtype=np.int64)  # at most BINS numbers for each query of the block
+        whole[found.column(0).to_numpy(), found.column(1).to_numpy()] = found.column(2).to_numpy()
+        total = np.cumsum(whole[:, ::-1], axis=1)  # from the highest bin down
         for q in np.flatnonzero(live):
-            need = k - above[q]
-            if total[q, -1] < need:  # fewer rows than k: all of them
+            if total[q, -1] < need[q]:  # fewer rows than k: all of them
                 live[q] = False
                 continue
-            b = int(np.searchsorted(total[q], need))
-            top = high[q] - b * width[q]
-            low[q], high[q] = max(low[q], top - width[q]), top
-            above[q] += total[q, b] - whole[q, b]
-            live[q] = width[q] > 1 and above[q] + whole[q, b] > max(4 * k, 64)
+            b = int(np.searchsorted(total[q], need[q]))
+            need[q] -= total[q, b - 1] if b else 0
+            prefix[q] = (prefix[q] << np.uint64(DIGIT)) | np.uint64(BINS - 1 - b)
+    low = np.where(live, (prefix - offset).view(np.int64), -_LONG)
     limits = sc.broadcast(low)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,12 +143,14 @@ def exact_topk(
     spark = candidates.sparkSession
     base = _usable(candidates).select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
     asked = _usable(queries).groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(F.min("embedding").alias("embedding"))
+    asked = materialize(asked, "asked")
     largest = lambda x: F.aggregate(
         x, F.lit(0.0), lambda s, e: s + F.floor(F.lit(scale) * e.cast("double")).cast("double") ** 2
     )
     norm = base.agg(F.max(largest(F.col("embedding")))).first()[0] or 0.0
     wide = asked.agg(F.max(largest(F.col("embedding"))), F.count("*")).first()
-    bound = int(min(_LONG // 4, np.sqrt(norm) * np.sqrt(wide[0] or 0.0) * 1.001 + 2))
+    bound = int(min(float(_LONG), np.sqrt(norm) * np.sqrt(wide[0] or 0.0) * 1.001 + 2))
+    bound = min(bound, _LONG)
     blocks = max(1, -(-wide[1] // block))
     path = f"{shared_dir(spark)}/topk-{uuid.uuid4().hex}"
     schema = "query_id long, rank int, vec_id long, score long"
