@@ -26,7 +26,8 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the nearest labelled examples call toxic go."""
-    return docs.filter(toxic_flag(fit(docs, table(spark, sf_dir, "labels"))) == 0)
+    scorer, _ = fit(docs, table(spark, sf_dir, "labels"))
+    return docs.filter(toxic_flag(scorer) == 0)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +36,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
+    """Of each group of near copies (five words, similarity of 0.8) the document with the smallest id stays."""
     return simhash_keep(docs)
 
 

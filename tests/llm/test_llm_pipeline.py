@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from toolcat.llm import toxicity
 
@@ -53,3 +55,43 @@ def test_examples_are_bounded(spark):
     frame = spark.createDataFrame([d[:2] for d in docs], "doc_id long, text string")
     marks = spark.createDataFrame([(i, t) for i, _, t in labels], "doc_id long, toxic int")
     assert toxicity.examples(frame, marks, limit=50).count() <= 50
+
+
+def test_stages_keep_columns_of_any_name_and_repeated_rows(spark, tmp_path):
+    docs, labels, shared = corpus()
+    docs = docs[:200] + [docs[3], docs[3]]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    for name in ("_toxic", "_removed", "_row", "cut", "doc", "new_text", "base", "owner", "keys"):
+        frame = frame.withColumn(name, F.concat(F.lit("k"), F.col("doc_id").cast("string")))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    at = frame
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        at = stage(spark, at, str(tmp_path))
+        assert at.columns == frame.columns
+        at.write.parquet(str(tmp_path / name))
+        at = spark.read.parquet(str(tmp_path / name))
+        rows = at.collect()
+        assert all(r._toxic == r._removed == r.keys == f"k{r.doc_id}" for r in rows if r.doc_id is not None)
+        assert sum(r.doc_id == 3 for r in rows) == (3 if name in ("toxicity", "line_dedup") else 1)
+    assert "doc_id" in corpus_pipeline.STAGES[-1][1](spark, at, str(tmp_path)).columns
+
+
+def test_empty_tables(spark, tmp_path):
+    frame = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_copies_go_in_their_stage(spark):
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(500)]
+    docs = []
+    for i in range(40):
+        base = [rng.choice(words) for _ in range(100)]
+        copy = list(base)
+        copy[rng.randrange(20, 80)] = "changed"
+        docs += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(copy))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    kept = {r.doc_id for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, frame, "").collect()}
+    assert kept == set(range(0, 80, 2))

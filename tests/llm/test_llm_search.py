@@ -318,13 +318,13 @@ def test_toxicity_votes_match_brute_force(spark):
     words = [f"w{i}" for i in range(400)]
     docs = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(1, 40))), i % 3 == 0) for i in range(150)] + [(999, "", True)]
     frame = spark.createDataFrame([d[:2] for d in docs], "doc_id long, text string")
-    scorer = toxicity.fit(frame, spark.createDataFrame([(i, int(y)) for i, _, y in docs], "doc_id long, toxic int"))
+    scorer, _ = toxicity.fit(frame, spark.createDataFrame([(i, int(y)) for i, _, y in docs], "doc_id long, toxic int"))
     model = scorer.model.value.build()
     known = {r.doc_id: (r.text, r.toxic) for r in toxicity.examples(frame, spark.createDataFrame([(i, int(y)) for i, _, y in docs], "doc_id long, toxic int")).collect()}
     used = {w for t, _ in known.values() for w in toxicity.words_of(t)}
     idf = {w: math.log((1 + len(docs)) / (1 + sum(w in set(toxicity.words_of(t)) for _, t, _ in docs))) + 1 for w in used}
     texts = [t for _, t, _ in docs[:60]] + ["nothing known here", "W1 w2, w3!"]
-    votes, _, _ = model.votes(texts)
+    votes, _, _ = model.votes(*model.encoder(texts))
     want = brute_toxicity_votes([(i, t, y) for i, (t, y) in known.items()], idf, texts, toxicity.NEIGHBOURS)
     assert np.allclose(votes[:, 0], want, atol=1e-4)
     scores = [s for s, _ in scorer.score(texts)]

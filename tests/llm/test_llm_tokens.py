@@ -203,3 +203,30 @@ def test_sampling_and_decoding_round_trip(spark):
     assert back == {(i, t or "") for i, t in rows}
     best = {(r.doc_id, r.text) for r in pieces.decode(pieces.encode(docs)).collect()}
     assert best == back
+
+
+def test_packing_at_the_real_capacity_and_odd_rows(spark, library):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(1, 9)))
+    rows = [(i, " ".join(word() for _ in range(rng.choice([5, 200, 900, 7000])))) for i in range(60)]
+    rows += [(3, rows[3][1]), (3, rows[3][1]), (900, " ".join(word() for _ in range(30_000)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("length", F.lit("x")).withColumn("start", F.lit(0)).withColumn("offset", F.lit(1))
+    got = packing.pack(docs.repartition(4)).collect()
+    want = collections.Counter()
+    for i, t in rows:
+        want[i] += len(ids_of(library, t)) + 1
+    have, windows, full = collections.Counter(), collections.Counter(), 0
+    for r in got:
+        have[r.doc_id] += r.length
+        windows[r.sequence_id] += r.length
+        assert r.length <= 4096 and r.offset + r.length <= 4096
+        full += r.length == 4096
+    assert have == want and max(windows.values()) == 4096 and full >= 20
+    assert len(windows) * 4096 <= sum(want.values()) * 1.1 + 4096
+
+
+def test_character_prefixes_of_long_texts(library):
+    text = "word " * 120 + "x" * 90 + " 1234567890 end!!! " + "é" * 40
+    got = token_counts.character_prefixes(text, PATH)
+    for i in (0, 1, 599, 600, 640, 690, 691, 700, len(text) - 1, len(text)):
+        assert got[i] == len(ids_of(library, text[:i]))

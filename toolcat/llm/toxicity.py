@@ -187,23 +187,56 @@ def example_words(sample: DataFrame) -> np.ndarray:
     return np.sort(found.column(0).to_numpy().view(np.uint64))
 
 
-def document_frequencies(docs: DataFrame, encoder: Encoder) -> tuple[np.ndarray, np.ndarray]:
-    """How many of all documents hold each word of the examples, and each tied feature."""
-    words, tied = len(encoder.hashes), len(encoder.tied)
+def _least_type(counts: np.ndarray) -> np.ndarray:
+    top = int(counts.max(initial=0))
+    return counts.astype("u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4")
+
+
+def encoded(docs: DataFrame, encoder: Encoder) -> DataFrame:
+    """``doc_id, digest, words, counts, tied, tied_counts``: every whole text as the encoder gives it, written down, so
+    that texts are read and split once. ``digest`` tells equal texts."""
     model = docs.sparkSession.sparkContext.broadcast(encoder)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, QUERIES):
+                batch = whole.slice(at, QUERIES)
+                texts = batch.column(1).to_pylist()
+                columns = [[xxhash.xxh3_128_digest(t.encode()) for t in texts]]
+                for begin, terms, counts in model.value(texts):
+                    cuts = list(zip(begin.tolist(), begin[1:].tolist(), strict=False))
+                    columns.append([terms[a:b].astype("<i4").tobytes() for a, b in cuts])
+                    columns.append([_least_type(counts[a:b]).tobytes() for a, b in cuts])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), *(pa.array(c, pa.binary()) for c in columns)], names=["doc_id", "digest", "words", "counts", "tied", "tied_counts"]
+                )
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", text_or_empty().alias("text"))
+    return materialize(rows.mapInArrow(run, f"doc_id {id_type}, digest binary, words binary, counts binary, tied binary, tied_counts binary"), "encoded")
+
+
+def _vectors(terms: list[bytes], counts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``encoded`` wrote, as the encoder gave it."""
+    begin = np.cumsum([0] + [len(t) // 4 for t in terms])
+    read = [np.frombuffer(c, dtype=f"<u{4 * len(c) // len(t)}") for t, c in zip(terms, counts, strict=True) if t]
+    whole = np.concatenate(read).astype(np.int32) if read else np.zeros(0, dtype=np.int32)
+    return begin, np.frombuffer(b"".join(terms), dtype="<i4"), whole
+
+
+def document_frequencies(rows: DataFrame, encoder: Encoder) -> tuple[np.ndarray, np.ndarray]:
+    """How many of all documents hold each word of the examples, and each tied feature. ``rows``: words, tied."""
+    words, tied = len(encoder.hashes), len(encoder.tied)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, seen = model.value, np.zeros(words + tied, dtype=np.int64)
+        seen = np.zeros(words + tied, dtype=np.int64)
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for at in range(0, len(texts), QUERIES):
-                (_, some, _), (_, own, _) = encoder(texts[at : at + QUERIES])
-                np.add.at(seen, some, 1)
-                np.add.at(seen, words + own, 1)
+            for column, offset in ((0, 0), (1, words)):
+                np.add.at(seen, np.frombuffer(b"".join(batch.column(column).to_pylist()), dtype="<i4") + offset, 1)
         some = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(seen[some])], names=["term", "n"])
 
-    found = docs.select(text_or_empty().alias("text")).mapInArrow(count, "term int, n long")
+    found = rows.select("words", "tied").mapInArrow(count, "term int, n long")
     found = found.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(words + tied, dtype=np.int64)
     out[found.column(0).to_numpy()] = found.column(1).to_numpy()
@@ -261,12 +294,16 @@ class BlockMaxIndex:
         sums, column = np.zeros((n, padded), dtype=np.float32), self.column[term]
         frequent = np.zeros((n, self.rows.shape[1]), dtype=np.float32)
         frequent[np.repeat(np.arange(n), np.diff(begin))[column >= 0], column[column >= 0]] = weight[column >= 0]
-        lengths = (self.post[term + 1] - self.post[term])
+        first, last = self.post[term], self.post[term + 1]
+        rare = np.flatnonzero(last > first)
+        cuts = np.searchsorted(rare, begin)
         for q in range(n):
-            own = np.flatnonzero(lengths[begin[q] : begin[q + 1]]) + begin[q]
-            at = _ranges(self.post[term[own]], lengths[own])
-            if len(at):
-                sums[q] = np.bincount(self.docs[at], self.weights[at] * np.repeat(weight[own], lengths[own]), minlength=padded)
+            own = rare[cuts[q] : cuts[q + 1]]
+            if len(own):
+                parts = list(map(slice, first[own].tolist(), last[own].tolist()))
+                docs, weights = (np.concatenate([x[p] for p in parts]) for x in (self.docs, self.weights))
+                weights *= np.repeat(weight[own].astype(np.float32), last[own] - first[own])
+                sums[q] = np.bincount(docs, weights, minlength=padded)
         if leave_out is not None:
             sums[np.arange(n), leave_out] = -np.inf
         # What a vector of each block can reach at most.
@@ -276,16 +313,21 @@ class BlockMaxIndex:
 
         def complete(group: int, queries: np.ndarray) -> None:
             own = slice(group * self.span, (group + 1) * self.span)
-            whole = sums[queries, own] + frequent[queries] @ self.rows[own].T
-            many = np.flatnonzero((whole > least[queries][:, None]).sum(axis=1) >= k)
+            whole = frequent[queries] @ self.rows[own].T
+            whole += sums[queries, own]
+            reach = whole >= np.maximum(least[queries] - np.float32(1e-5), np.float32(1e-9))[:, None]
+            many = np.flatnonzero(reach.sum(axis=1) >= k)
             if len(many) and self.span > k:
-                least[queries[many]] = np.partition(whole[many], self.span - k, axis=1)[:, self.span - k]
-            q, at = np.nonzero((whole > 0) & (whole >= least[queries][:, None] - 1e-5))
+                kth = np.partition(whole[many], self.span - k, axis=1)[:, self.span - k]
+                least[queries[many]] = np.maximum(least[queries[many]], kth)
+                reach[many] &= whole[many] >= (kth - np.float32(1e-5))[:, None]
+            q, at = np.nonzero(reach)
             cuts = np.searchsorted(q, np.arange(len(queries) + 1))
+            values = whole[q, at]
             at += own.start
-            for i, (x, y) in zip(queries.tolist(), zip(cuts, cuts[1:], strict=False), strict=True):
+            for i, (x, y) in zip(queries.tolist(), zip(cuts.tolist(), cuts[1:].tolist(), strict=False), strict=True):
                 if y > x:
-                    found[i].append((at[x:y], whole[q[x:y], at[x:y] - own.start]))
+                    found[i].append((at[x:y], values[x:y]))
 
         best = bounds.argmax(axis=1)
         for group in np.unique(best).tolist():  # the most promising group of each query sets what others must reach
@@ -308,9 +350,10 @@ class BlockMaxIndex:
             at = at[keep]
         at = np.sort(at)
         self.dense[term] = weight
+        parts = list(map(slice, self.begin[at].tolist(), self.begin[at + 1].tolist()))
         sizes = self.begin[at + 1] - self.begin[at]
-        entries = _ranges(self.begin[at], sizes)
-        cosines = np.add.reduceat(self.dense[self.term[entries]] * self.weight[entries], np.cumsum(sizes) - sizes)
+        terms, weights = (np.concatenate([x[p] for p in parts]) for x in (self.term, self.weight))
+        cosines = np.add.reduceat(self.dense[terms] * weights, np.cumsum(sizes) - sizes)
         self.dense[term] = 0.0
         keep = np.lexsort((at, -cosines))[:k]
         keep = keep[cosines[keep] > 0]
@@ -383,11 +426,12 @@ class Examples:
             votes[n, 1] = self._vote(self.labels[self.owners[at]], cosines, self.tied_base)
         return votes
 
-    def votes(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[list[tuple]]]:
-        """The two votes for each text, whether it shares anything with an example, and the three nearest examples."""
-        out = np.full((len(texts), 2), (self.base, self.tied_base))
-        known, near = np.zeros(len(texts), dtype=bool), []
-        (begin, term, counts), (tied_begin, tied_term, tied_counts) = self.encoder(texts)
+    def votes(self, words: tuple, own: tuple) -> tuple[np.ndarray, np.ndarray, list[list[tuple]]]:
+        """The two votes for each text, whether it shares anything with an example, and the three nearest examples.
+        words, own: what the encoder gives for some texts."""
+        (begin, term, counts), (tied_begin, tied_term, tied_counts) = words, own
+        out = np.full((len(begin) - 1, 2), (self.base, self.tied_base))
+        known, near = np.zeros(len(out), dtype=bool), []
         found = self.index.nearest(begin, term, _unit(begin, counts, self.idf[term]), self.k)
         tied = self.tied_index.nearest(tied_begin, tied_term, _unit(tied_begin, tied_counts, self.tied_idf[tied_term]), self.k)
         for n, ((at, cosines), (own, tied_cosines)) in enumerate(zip(found, tied, strict=True)):
@@ -454,12 +498,15 @@ class Scorer:
 
     def score(self, texts: list[str]) -> list[tuple[float, list]]:
         """Score and evidence of each text."""
+        return self.score_encoded(*self.model.value.encoder(texts))
+
+    def score_encoded(self, words: tuple, own: tuple) -> list[tuple[float, list]]:
         examples = self.model.value.build()
-        votes, known, near = examples.votes(texts)
+        votes, known, near = examples.votes(words, own)
         if len(self.steps):
             scores = np.where(known, np.interp(_logits(votes) @ self.weights, self.steps, self.levels), examples.base)
         else:
-            scores = np.full(len(texts), examples.base)
+            scores = np.full(len(votes), examples.base)
         return [(s, n if k else []) for s, n, k in zip(scores.tolist(), near, known.tolist(), strict=True)]
 
 
@@ -493,12 +540,14 @@ def _isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array([p[0] / p[2] for p in pools]), np.maximum.accumulate(levels)
 
 
-def fit(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES) -> Scorer:
+def fit(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES) -> tuple[Scorer, DataFrame]:
+    """The scorer, and all of ``docs`` as ``encoded`` for it."""
     sample = materialize(examples(docs, labels, limit), "examples")
     encoder = Encoder(example_words(sample), vocabulary(sample))
     spark, n = docs.sparkSession, docs.count()
     model = spark.sparkContext.broadcast(encoder)
-    idf, tied_idf = (np.log((1 + n) / (1 + f)) + 1 for f in document_frequencies(docs, encoder))
+    rows = encoded(docs, encoder)
+    idf, tied_idf = (np.log((1 + n) / (1 + f)) + 1 for f in document_frequencies(rows, encoder))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -529,26 +578,27 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES) -> Scorer:
 
     votes = spark.range(len(ids)).mapInArrow(left_out, "id long, v double, w double, y double").orderBy("id").toArrow()
     v, w, y = (votes.column(c).to_numpy() for c in ("v", "w", "y"))
-    return Scorer(indexed, np.column_stack([v, w]).reshape(-1, 2), y)
+    return Scorer(indexed, np.column_stack([v, w]).reshape(-1, 2), y), rows
 
 
-def _scores(texts: list[str], scorer: Scorer, known: dict) -> list[tuple[float, list]]:
-    """Score and evidence of each text; ``known`` keeps those of some texts, so that copies are scored once."""
-    keys = [xxhash.xxh3_128_digest(t.encode()) for t in texts]
-    fresh = {k: t for k, t in zip(keys, texts, strict=True) if k not in known}
+def _scores(keys: list[bytes], score, known: dict) -> list[tuple[float, list]]:
+    """Score and evidence of each text; ``known`` keeps those of some texts, so that copies are scored once. ``score``
+    gives them for some positions."""
+    fresh = {k: i for i, k in enumerate(keys) if k not in known}
     if len(known) + len(fresh) > 20_000:
         known.clear()
-        fresh = dict(zip(keys, texts, strict=True))
+        fresh = {k: i for i, k in enumerate(keys)}
     todo = list(fresh.items())
     for at in range(0, len(todo), QUERIES):
         part = todo[at : at + QUERIES]
-        known.update(zip((k for k, _ in part), scorer.score([t for _, t in part]), strict=True))
+        known.update(zip((k for k, _ in part), score([i for _, i in part]), strict=True))
     return [known[k] for k in keys]
 
 
-def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
-    """``doc_id, held_out, score, predicted, evidence``; evidence: the nearest examples and their cosines."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+def score(rows: DataFrame, scorer: Scorer) -> DataFrame:
+    """``doc_id, held_out, score, predicted, evidence`` of what ``fit`` encoded; evidence: the nearest examples and
+    their cosines."""
+    id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict = {}
@@ -556,13 +606,18 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
         for whole in batches:
             for begin in range(0, whole.num_rows, 1000):
                 batch = whole.slice(begin, 1000)
-                found = _scores(batch.column(1).to_pylist(), scorer, known)
+                digests, words, counts, tied, tied_counts = (c.to_pylist() for c in batch.columns[1:])
+
+                def some(at: list[int], columns=(words, counts, tied, tied_counts)) -> list[tuple[float, list]]:
+                    w, c, t, d = ([x[i] for i in at] for x in columns)
+                    return scorer.score_encoded(_vectors(w, c), _vectors(t, d))
+
+                found = _scores(digests, some, known)
                 why = [[{"doc_id": i if id_type == "bigint" else str(i), "cosine": c} for i, c in near] for _, near in found]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array([s for s, _ in found], pa.float64()), pa.array(why, kind)], names=["doc_id", "score", "evidence"]
                 )
 
-    rows = docs.select("doc_id", text_or_empty().alias("text"))
     evidence = "array<struct<doc_id: bigint, cosine: double>>" if id_type == "bigint" else "array<struct<doc_id: string, cosine: double>>"
     scored = rows.mapInArrow(run, f"doc_id {id_type}, score double, evidence {evidence}")
     predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
@@ -570,7 +625,8 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    return score(docs, fit(docs, labels))
+    scorer, rows = fit(docs, labels)
+    return score(rows, scorer)
 
 
 def toxic_flag(scorer: Scorer) -> Column:
@@ -578,6 +634,8 @@ def toxic_flag(scorer: Scorer) -> Column:
 
     @F.pandas_udf("int")
     def flag(texts: pd.Series) -> pd.Series:
-        return pd.Series([int(s >= 0.5) for s, _ in _scores(texts.tolist(), scorer, {})], dtype="int32")
+        texts = texts.tolist()
+        found = _scores([xxhash.xxh3_128_digest(t.encode()) for t in texts], lambda at: scorer.score([texts[i] for i in at]), {})
+        return pd.Series([int(s >= 0.5) for s, _ in found], dtype="int32")
 
     return flag(text_or_empty())
