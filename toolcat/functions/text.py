@@ -133,7 +133,7 @@ def name_variants(name: Column) -> Column:
 def tool_id(uri: Column) -> Column:
     """C14: an id of nine letters and digits that depends on the uri alone."""
     digest = F.lower(F.conv(F.substring(F.sha2(uri, 256), 1, 15), 16, 36))
-    return F.concat(F.lit("edc:tool:"), F.substring(F.lpad(digest, 9, "0"), -9, 9))
+    return F.concat(F.lit("edc:tool:"), F.substring(F.lpad(digest, 12, "0"), -9, 9))
 
 
 def resolve_path(folder: Column, relative: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from toolcat import schemas
-from toolcat.functions.text import is_shed_uri, shed_uri_parts, strip_http, tool_uri
+from toolcat.functions.text import is_shed_uri, shed_uri_parts, strip_http, tool_id, tool_uri
 from toolcat.operators import catalog, hub, ledger, publish, repair, repotree, resolve, toolio, workflow
 from toolcat.plans import lifts, pipelines
 from toolcat.plans import repository_lifts as repos
@@ -27,6 +27,18 @@ def macro_tools(spark, sf):
     )
 
 
+def rejected_tools(spark, sf):
+    files = repos.contents(spark, sf).filter("name = 't.xml'")
+    k = F.regexp_extract("dir", r"d(\d+)$", 1).cast("long")
+    broken = F.when(k % 5 == 0, F.substring("content", 1, 40)).when(k % 3 == 0, F.concat(F.lit("<macros>"), "content", F.lit("</macros>"))).otherwise(F.col("content"))
+    files = files.select("repo_owner", "repo", "dir", "path", broken.alias("content"))
+    return resolve.tools(files, files.select("repo_owner", "repo", "dir", F.lit("t.xml").alias("name"), "content"))[1].select("stage", "key", "reason")
+
+
+def tool_ids(spark, sf):
+    return lifts.hub(spark, sf).select("url", tool_id(F.col("url")).alias("id"))
+
+
 def _resolved(spark, sf):
     steps = workflow.steps(workflow.parse(repos.part_workflows(spark, sf)))
     ends = workflow.endpoint_tools(steps)
@@ -293,7 +305,7 @@ def tool_tables_outputs(spark, sf):
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        macro_tools, resolved_tools, unresolved_tools, workflow_tool_parameters, tool_uri_parts, tool_version_lookup, harvested_workflows,
+        macro_tools, rejected_tools, tool_ids, resolved_tools, unresolved_tools, workflow_tool_parameters, tool_uri_parts, tool_version_lookup, harvested_workflows,
         harvest_failures, archived_workflows, landed_hub, landed_repositories, landed_install_info, landed_tree, landed_descriptors, landed_app_index,
         landed_texts, landed_tool_io, tool_io_outputs, crawl_many, crawl_many_smart, tool_folders_below, crawl_many_counts, crawled_ledger,
         crawled_tools, stored_ledger_pending, stored_registry, registry_without_newlines, repaired_versions, converter_differences,
@@ -352,6 +364,10 @@ def oracle_sql() -> dict[str, str]:
         "macro_tools": f"WITH {_TOOLS} SELECT 't' || k AS id, version, array_to_string(list_sort(list_distinct([f, w[2]])), '|') AS formats, f AS out_format, "
         "CASE WHEN k % 4 = 1 THEN 'own' WHEN k % 4 = 0 THEN '' ELSE 'short' END AS description, CASE WHEN k % 4 = 0 THEN '' ELSE 'own' || k END AS owner, "
         "CASE WHEN k % 4 = 0 THEN '' ELSE 'a' || r || '|bb' END AS categories FROM t",
+        "rejected_tools": "SELECT 'tool' AS stage, 'lib/d' || p_partkey || '/t.xml' AS key, CASE WHEN p_partkey % 5 = 0 THEN 'not_xml' ELSE 'not_a_tool' END AS reason "
+        "FROM part WHERE p_partkey % 5 = 0 OR p_partkey % 3 = 0",
+        "tool_ids": "SELECT url, 'edc:tool:' || right(lpad(lower(to_base(CAST('0x' || substr(sha256(url), 1, 15) AS BIGINT), 36)), 12, '0'), 9) AS id "
+        "FROM (SELECT 'https://hub.example.org/' || o_orderkey AS url FROM orders)",
         "resolved_tools": f"WITH {_TOOLS}, {_ENDS} SELECT DISTINCT tool, 't' || k AS name, 'https://github.com/o/r' || (k % 20) AS repo_url, 'lib/d' || k AS dir, "
         "version, version <> split_part(tool, '/', 6) AS version_mismatch FROM known",
         "unresolved_tools": f"WITH {_TOOLS}, {_ENDS} SELECT CAST(c AS VARCHAR) AS url, side, tool FROM ends WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.k = ends.k AND t.r <> 13)",
