@@ -59,7 +59,8 @@ def test_token_counts(spark, library):
     texts = {i: t for i, t, _ in rows[: len(ODD)]}
     for r in got:
         if r.doc_id:
-            assert len(ids_of(library, texts[r.doc_id][: r.limit_chars])) <= 3
+            begin, rest = texts[r.doc_id][: r.limit_chars], texts[r.doc_id][r.limit_chars :]
+            assert len(ids_of(library, begin)) <= 3 and len(ids_of(library, begin)) + len(ids_of(library, rest)) == r.n_tokens
     assert token_counts.token_counts(docs.limit(0)).count() == 0
 
 
@@ -205,6 +206,17 @@ def test_sampling_and_decoding_round_trip(spark):
     assert best == back
 
 
+def test_packing_of_several_groups_a_task(spark, monkeypatch):
+    monkeypatch.setattr(packing, "TASKS", 1)
+    docs = spark.range(2000).selectExpr("id AS doc_id", "repeat('word ', CAST(id % 90 AS INT)) AS text").repartition(4)
+    got = packing.pack(docs, capacity=256, group=64).collect()
+    windows = collections.Counter()
+    for r in got:
+        windows[r.sequence_id] += r.length
+    assert sum(windows.values()) == sum(i % 90 + 1 for i in range(2000)) and max(windows.values()) <= 256
+    assert len(windows) * 256 < 1.1 * sum(windows.values())
+
+
 def test_packing_at_the_real_capacity_and_odd_rows(spark, library):
     rng = random.Random(2)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(1, 9)))

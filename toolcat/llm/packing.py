@@ -28,6 +28,8 @@ from toolcat.llm.tokens import TEXTS, encoder, tokenizer_path
 
 #: Documents to a group: what one task holds, and what bounds its padding to about a window in GROUP / 5.
 GROUP = 4096
+#: Tasks at most; beyond GROUP times as many documents a task packs several groups, one after the other.
+TASKS = 20_000
 FILLERS, FILLER_TOKENS = 8, 128
 
 
@@ -131,17 +133,25 @@ def pack(
     groups = max(1, -(-docs.count() // group))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sequence, rest = TaskContext.get().partitionId() << 32, []
+        sequence, rest, held = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
             full = np.asarray(batch.column(2)) == capacity
             rest.append(batch.filter(pa.array(~full)))
+            held += rest[-1].num_rows
             if n := int(full.sum()):
                 own = [pa.array(np.arange(sequence, sequence + n)), pa.array(np.zeros(n, dtype=np.int64))]
                 sequence += n
                 yield pa.RecordBatch.from_arrays([*batch.filter(pa.array(full)).columns, *own], names=names)
-        whole = pa.Table.from_batches(rest).combine_chunks() if rest else None
-        if whole is None or not whole.num_rows:
-            return
+            if held > 4 * group:  # a task of several groups
+                packed, sequence = packed_group(rest, sequence)
+                rest, held = [], 0
+                yield from packed
+        if held:
+            yield from packed_group(rest, sequence)[0]
+
+    def packed_group(rest: list[pa.RecordBatch], sequence: int) -> tuple[list[pa.RecordBatch], int]:
+        """The pieces of one group with their places, and the next sequence's number."""
+        whole = pa.Table.from_batches(rest).combine_chunks()
         lengths = np.asarray(whole.column(2))
         order, ids, offsets = [], [], []
         for window in pack_lengths(lengths, capacity):
@@ -151,9 +161,9 @@ def pack(
             sequence += 1
         packed = whole.take(pa.array(order, pa.int64())).combine_chunks()
         packed = packed.append_column("sequence_id", pa.array(ids, pa.int64()))
-        yield from packed.append_column("offset", pa.array(offsets, pa.int64())).to_batches()
+        return packed.append_column("offset", pa.array(offsets, pa.int64())).to_batches(), sequence
 
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     cut = pieces(docs, capacity, end_id, path)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.schema) + ", sequence_id long, offset long"
-    return cut.repartition(groups).mapInArrow(assign, schema)
+    return cut.repartition(min(groups, TASKS)).mapInArrow(assign, schema)

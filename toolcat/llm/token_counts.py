@@ -1,8 +1,8 @@
 """Token counts by prefix dynamic programming.
 
-``count[i] = count[i - 1] + tokens of word i`` gives the exact token count of every prefix that ends with a word.
-One pass stores these counts; total counts, truncations and budgets are then looked up and nothing is encoded
-again. Inside a word the counts of its own prefixes are added (``level="character"``).
+``count[i] = count[i - 1] + tokens of part i`` gives the exact token count of every prefix that ends with a part of a
+word. One pass makes these counts; total counts, truncations and budgets are then looked up and nothing is encoded
+again. ``prefix_counts`` stores them by words, or for every prefix (``level="character"``).
 
 Null texts count as empty: no bytes, no tokens. Null or repeated ``doc_id``: each row is answered by itself. Other
 columns are ignored; an empty table gives no rows.
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toolcat.llm.common import text_or_empty
-from toolcat.llm.tokens import TEXTS, encoder, split_words, tokenizer_path
+from toolcat.llm.tokens import TEXTS, encoder, part_end, split_words, tokenizer_path
 
 
 def word_prefixes(text: str, path: str) -> tuple[np.ndarray, np.ndarray]:
@@ -48,7 +48,7 @@ def character_prefixes(text: str, path: str) -> np.ndarray:
 
 def token_counts(docs: DataFrame, limit: int = 2048, path: str | None = None) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit, limit_chars``; the last is the length of the longest prefix, ending
-    with a word, of at most ``limit`` tokens."""
+    with a part of a word, of at most ``limit`` tokens."""
     path = path or tokenizer_path("word_bpe_49k.json")
     id_type = docs.schema["doc_id"].dataType
 
@@ -58,14 +58,9 @@ def token_counts(docs: DataFrame, limit: int = 2048, path: str | None = None) ->
             texts = batch.column(1).to_pylist()
             coded = (x for k in range(0, len(texts), TEXTS) for x in encoder(path).ids(texts[k : k + TEXTS]))
             for text, parts in zip(texts, coded, strict=True):
-                n = sum(map(len, parts)) // 4
-                total.append(n)
-                if n <= limit:
-                    within.append(len(text))
-                else:
-                    ends, counts = word_prefixes(text, path)
-                    k = int(np.searchsorted(counts, limit, "right"))
-                    within.append(int(ends[k - 1]) if k else 0)
+                counts = np.cumsum(np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))) // 4
+                total.append(int(counts[-1]) if len(parts) else 0)
+                within.append(len(text) if total[-1] <= limit else part_end(text, int(np.searchsorted(counts, limit, "right"))))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(total, pa.int64()), pa.array(within, pa.int64())],
                 names=["doc_id", "n_bytes", "n_tokens", "limit_chars"],

@@ -50,6 +50,22 @@ def _split(text: str) -> list[str]:
     return out
 
 
+def part_end(text: str, k: int) -> int:
+    """Where the k-th of the text's parts ends, in characters."""
+    if k < 1:
+        return 0
+    if "<|" not in text and _PLAIN_TEXT.fullmatch(text):
+        return next(islice(_PART.finditer(text.lower()), k - 1, k)).end()
+    at = 0
+    for w in split_words(text):
+        plain = _PLAIN.fullmatch(w) and "<|" not in w
+        ends = [m.end() for m in _PART.finditer(w.lower())] if plain else [len(w)]
+        if k <= len(ends):
+            return at + ends[k - 1]
+        k, at = k - len(ends), at + len(w) + 1
+    return len(text)
+
+
 def _byte_letters() -> list[str]:
     """The letter that byte-level models use for each byte: itself if it is printable, else one from 256 on."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
