@@ -68,14 +68,15 @@ SALTS = 64
 
 def with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """``doc, owner, own, other``: pairs of documents with the texts of both. ``pairs``: doc, owner, without nulls;
-    ``texts``: doc_id, text. An owner of very many pairs is copied, so that no task gets them all."""
+    ``texts``: doc_id, text, shuffled once for both sides. An owner of very many pairs is copied, so that no task gets
+    them all."""
     sizes = pairs.groupBy("owner").agg(F.count("*").alias("size"))
     heavy = sizes.filter(F.col("size") > HEAVY_SHARE * max(1, pairs.count())).select("owner")
     heavy = F.broadcast(materialize(heavy, "heavy").withColumn("heavy", F.lit(True)))
     salt = F.when(F.col("heavy"), F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int")).otherwise(0)
     salted = pairs.join(heavy, "owner", "left").withColumn("salt", salt).drop("heavy")
-    later = salted.join(texts.withColumnRenamed("doc_id", "doc"), "doc").withColumnRenamed("text", "own")
-    owned = texts.withColumnRenamed("doc_id", "owner").join(sizes.select("owner"), "owner").join(heavy, "owner", "left")
+    later = salted.withColumnRenamed("doc", "doc_id").join(texts, "doc_id").withColumnsRenamed({"doc_id": "doc", "text": "own"})
+    owned = texts.join(sizes.select(F.col("owner").alias("doc_id")), "doc_id").withColumnRenamed("doc_id", "owner").join(heavy, "owner", "left")
     salts = F.when(F.col("heavy"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     owned = owned.select("owner", F.col("text").alias("other"), F.explode(salts).alias("salt"))
     return later.join(owned, ["owner", "salt"]).select("doc", "owner", "own", "other")

@@ -375,9 +375,9 @@ def repeated_blocks(docs: DataFrame, block: int = BLOCK, line: int = LINE) -> Da
 def remove_repeated(docs: DataFrame, block: int = BLOCK, line: int = LINE, removed: str | None = None) -> DataFrame:
     """``docs`` with the repeated blocks taken out of ``text``; with ``removed``, also a last column of that name, the
     number of characters taken out."""
-    found = materialize(repeated_blocks(docs, block, line), "blocks")
+    found = repeated_blocks(docs, block, line)
     key, cut, text = (unused(docs, n) for n in ("doc", "cut", "new_text"))
-    # The same columns as in ``repeated_blocks`` where there are no others, so that texts are shuffled once.
+    # The same columns as in ``repeated_blocks`` where there are no others, so that texts are shuffled once in all.
     rows = docs.select(*(text_or_empty().alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns))
     known = rows.filter(F.col("doc_id").isNotNull())
     found = found.select(F.col("doc").alias(key), F.col("found").alias(cut))
