@@ -35,6 +35,8 @@ EXAMPLES, TERMS, NEIGHBOURS, BLOCK = 20_000, 1024, 25, 64
 #: Blocks that are completed together, texts that are searched together, and the most frequent words, each in more
 #: than one of SPREAD examples, whose lists are completed last.
 GROUP, QUERIES, FREQUENT, SPREAD = 8, 128, 512, 32
+#: Examples whose weights are computed at a time.
+CHUNK = 2048
 #: A feature is tied to the label from this log-likelihood ratio and this ratio of its rates on.
 MIN_LLR, MIN_RATIO = 20.0, 3.0
 
@@ -254,7 +256,7 @@ class BlockMaxIndex:
 
     def __init__(self, begin: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int, block: int = BLOCK):
         """begin: where each vector's entries begin, with the end of the last; term, weight: the entries."""
-        self.begin, self.term, self.weight, self.block = begin, term, weight.astype(np.float32), block
+        self.begin, self.term, self.weight, self.block = begin, term, weight.astype(np.float32, copy=False), block
         self.size = len(begin) - 1
         self.span = block * GROUP
         padded = -(-self.size // self.span) * self.span
@@ -264,12 +266,14 @@ class BlockMaxIndex:
         often = often[lengths[often] * SPREAD > self.size]
         self.column = np.full(terms, -1, dtype=np.int32)  # by term: its column among the frequent ones
         self.column[often] = np.arange(len(often))
-        docs, at = np.repeat(np.arange(self.size, dtype=np.int32), sizes), self.column[term]
+        docs, at = np.repeat(np.arange(self.size, dtype=np.int32), sizes), self.column[term].astype(np.int16)
         # Sums in single precision find candidates; their cosines are computed again in double precision.
         self.rows = np.zeros((padded, len(often)), dtype=np.float32)
-        self.rows[docs[at >= 0], at[at >= 0]] = self.weight[at >= 0]
+        held = np.flatnonzero(at >= 0)
+        self.rows[docs[held], at[held]] = self.weight[held]
+        del held
         self.most = self.rows.reshape(padded // block, block, len(often)).max(axis=1) if padded else self.rows
-        rare = np.flatnonzero(at < 0)
+        rare = np.flatnonzero(at < 0).astype(np.int32)
         rare = rare[np.argsort(term[rare], kind="stable")]
         self.docs, self.weights = docs[rare], self.weight[rare]
         self.post = np.concatenate([[0], np.cumsum(np.where(self.column < 0, lengths, 0))]).astype(np.int64)
@@ -360,12 +364,17 @@ class BlockMaxIndex:
         return at[keep], cosines[keep]
 
 
-def _unit(begin: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """Weights of vectors of length one; ``idf`` by entry. Vectors may be empty."""
-    raw = (1 + np.log(counts)) * idf
-    of = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
-    norms = np.sqrt(np.bincount(of, raw * raw, minlength=len(begin) - 1))  # the same whatever stands in the batch
-    return raw / norms[of]
+def _unit(begin: np.ndarray, term: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Weights of vectors of length one. Vectors may be empty; some are done at a time, to need little memory."""
+    out = np.empty(len(term), dtype=np.float32)
+    for a in range(0, len(begin) - 1, CHUNK):
+        cuts = begin[a : a + CHUNK + 1]
+        own = slice(cuts[0], cuts[-1])
+        raw = (1 + np.log(counts[own])) * idf[term[own]]
+        of = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+        norms = np.sqrt(np.bincount(of, raw * raw, minlength=len(cuts) - 1))  # the same whatever stands in the batch
+        out[own] = raw / norms[of]
+    return out
 
 
 class Examples:
@@ -385,7 +394,8 @@ class Examples:
         if self.index is not None:
             return self
         parts = [_unpacked(p) for p in self.packed]
-        words, tied = _joined([p[0] for p in parts]), _joined([p[1] for p in parts])
+        words, tied = (_joined([p[i] for p in parts]) for i in (0, 1))
+        del parts
         labels, some = np.array(self.all_labels, dtype=np.float64), np.diff(words[0]) > 0
         overall = float(labels.mean()) if len(labels) else 0.0
         self.base = (float(labels[~some].sum()) + overall) / (int((~some).sum()) + 1) if len(labels) else 0.0
@@ -393,18 +403,19 @@ class Examples:
         self.tied_base = (float(labels[plain].sum()) + overall) / (int(plain.sum()) + 1)
         order = np.flatnonzero(some)
         order = order[np.argsort(np.array([str(self.all_ids[i]) for i in order.tolist()]), kind="stable")] if len(order) else order
-        begin, term, counts = _taken(words, order)
-        weight = _unit(begin, counts, self.idf[term])
-        like = _alike(begin, term, weight, len(self.idf))
-        order, (begin, term, weight) = order[like], _taken((begin, term, weight), like)
+        begin, term, weight = words[0], words[1], _unit(*words, self.idf)
+        del words
+        order = order[_alike(begin, term, weight, len(self.idf), order)]
+        begin, term, weight = _taken((begin, term, weight), order)
         self.ids, self.labels = [self.all_ids[i] for i in order.tolist()], labels[order]
         self.index = BlockMaxIndex(begin, term, weight, len(self.idf))
-        begin, term, counts = _taken(tied, order)
-        self.owners = np.flatnonzero(np.diff(begin))
+        del begin, term, weight
+        tied = _taken(tied, order)
+        self.owners = np.flatnonzero(np.diff(tied[0]))
         self.place = np.full(len(order), -1, dtype=np.int64)  # by example: its place in the second index
         self.place[self.owners] = np.arange(len(self.owners))
-        begin, term, counts = _taken((begin, term, counts), self.owners)
-        self.tied_index = BlockMaxIndex(begin, term, _unit(begin, counts, self.tied_idf[term]), len(self.tied_idf))
+        begin, term, counts = _taken(tied, self.owners)
+        self.tied_index = BlockMaxIndex(begin, term, _unit(begin, term, counts, self.tied_idf), len(self.tied_idf))
         return self
 
     def _vote(self, labels: np.ndarray, cosines: np.ndarray, base: float) -> float:
@@ -432,8 +443,8 @@ class Examples:
         (begin, term, counts), (tied_begin, tied_term, tied_counts) = words, own
         out = np.full((len(begin) - 1, 2), (self.base, self.tied_base))
         known, near = np.zeros(len(out), dtype=bool), []
-        found = self.index.nearest(begin, term, _unit(begin, counts, self.idf[term]), self.k)
-        tied = self.tied_index.nearest(tied_begin, tied_term, _unit(tied_begin, tied_counts, self.tied_idf[tied_term]), self.k)
+        found = self.index.nearest(begin, term, _unit(begin, term, counts, self.idf), self.k)
+        tied = self.tied_index.nearest(tied_begin, tied_term, _unit(tied_begin, tied_term, tied_counts, self.tied_idf), self.k)
         for n, ((at, cosines), (own, tied_cosines)) in enumerate(zip(found, tied, strict=True)):
             if len(at):
                 out[n, 0] = self._vote(self.labels[at], cosines, self.base)
@@ -466,25 +477,32 @@ def _joined(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _taken(vectors: tuple, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Some of the vectors, in the order given."""
+    """Some of the vectors, in the order given; some are copied at a time, to need little memory."""
     begin, term, values = vectors
     sizes = begin[order + 1] - begin[order]
-    at = _ranges(begin[order], sizes)
-    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), term[at], values[at]
-
-
-def _alike(begin: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int, words: int = 96) -> np.ndarray:
-    """An order of vectors that puts those together whose most frequent terms are alike, so that blocks have low bounds."""
-    n = len(begin) - 1
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    out = np.empty(ends[-1], dtype=term.dtype), np.empty(ends[-1], dtype=values.dtype)
+    for a in range(0, len(order), CHUNK):
+        at = _ranges(begin[order[a : a + CHUNK]], sizes[a : a + CHUNK])
+        own = slice(ends[a], ends[min(a + CHUNK, len(order))])
+        out[0][own], out[1][own] = term[at], values[at]
+    return ends, *out
+
+
+def _alike(begin: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int, some: np.ndarray, words: int = 96) -> np.ndarray:
+    """An order of ``some`` of the vectors that puts those together whose most frequent terms are alike, so that blocks
+    have low bounds."""
     often = np.argsort(-np.bincount(term, minlength=terms), kind="stable")[:words]
-    column = np.full(terms, -1, dtype=np.int32)
+    column = np.full(terms, -1, dtype=np.int16)
     column[often] = np.arange(len(often))
-    rows, at = np.zeros((n, len(often))), column[term]
-    rows[np.repeat(np.arange(n), np.diff(begin))[at >= 0], at[at >= 0]] = weight[at >= 0]
+    rows = np.zeros((len(begin) - 1, len(often)), dtype=np.float32)
+    at = np.flatnonzero(column[term] >= 0)
+    rows[np.searchsorted(begin, at, "right") - 1, column[term[at]]] = weight[at]
+    rows = rows[some].astype(np.float64)
     _, axes = np.linalg.eigh(rows.T @ rows)
     sides = rows @ axes[:, ::-1][:, 1:5] if len(often) > 4 else rows
     marks = tuple((sides[:, i] > 0) for i in range(1, sides.shape[1])) + ((sides[:, 0] > 0),) if sides.shape[1] else ()
-    return np.lexsort((np.arange(n), np.round(sides[:, 0], 6), *marks)) if marks else np.arange(n)
+    return np.lexsort((np.arange(len(some)), np.round(sides[:, 0], 6), *marks)) if marks else np.arange(len(some))
 
 
 class Scorer:
