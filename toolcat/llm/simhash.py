@@ -247,20 +247,24 @@ def near_candidates(nodes: DataFrame, radius: int) -> DataFrame:
     keys. A shard of more than NEAR_SHARD nodes is dealt again by the other least shingles; what is still larger after
     NEAR_LEVELS holds documents that share several of them, and is searched by leaders."""
     id_type = nodes.schema["doc"].dataType
-    rows = nodes.select("doc", "fp", "keys", F.array().cast("array<int>").alias("used"), F.lit(0).cast("long").alias("key"))
-    parts = []
+    orders = F.sequence(F.lit(0), F.lit(KEYS - 1))
+    rows, parts = nodes.select("doc", "fp", "keys", F.transform(orders, lambda j: F.array(j)).alias("sets")), []
     for level in range(NEAR_LEVELS):
-        rows = rows.select("doc", "fp", "keys", "used", "key", F.posexplode("keys").alias("j", "least")).filter(~F.array_contains("used", F.col("j")))
-        key = F.xxhash64("key", F.col("j"), F.col("least")).alias("key")
-        rows = rows.select("doc", "fp", "keys", F.array_append("used", F.col("j")).alias("used"), key)
+        rows = rows.select("doc", "fp", "keys", F.explode("sets").alias("used"))
+        key = F.xxhash64(F.transform("used", lambda j: F.struct(j.alias("j"), F.get("keys", j).alias("least"))))
+        rows = rows.withColumn("key", key)
         sizes = rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
         rows = materialize(join_groups(rows, sizes, "key", "size", max(1, rows.count())), f"near{level}")
         last = level == NEAR_LEVELS - 1
         big = F.col("size") > NEAR_SHARD
         parts.append((rows if last else rows.filter(~big)).select("key", "doc", "fp", big.alias("dense")))
-        rows = rows.filter(big).select("doc", "fp", "keys", "used", "key")
+        rows = rows.filter(big)
         if last or rows.isEmpty():
             break
+        # Each set of one more order once, whichever of its parts was too large.
+        rows = rows.groupBy("doc").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.collect_list("used").alias("sets"))
+        wider = lambda s: F.transform(F.filter(orders, lambda j: ~F.array_contains(s, j)), lambda j: F.array_sort(F.array_append(s, j)))
+        rows = rows.withColumn("sets", F.array_distinct(F.flatten(F.transform("sets", wider))))
     shards = parts[0]
     for more in parts[1:]:
         shards = shards.unionByName(more)
