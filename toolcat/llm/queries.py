@@ -5,6 +5,7 @@ from __future__ import annotations
 from toolcat.llm.common import table
 from toolcat.llm.exact_dedup import exact_dedup
 from toolcat.llm.html_text import main_text
+from toolcat.llm.lexical import ranked_search
 from toolcat.llm.line_dedup import line_dedup
 from toolcat.llm.packing import pack
 from toolcat.llm.pieces import sample_pieces
@@ -13,6 +14,7 @@ from toolcat.llm.simhash import simhash_groups
 from toolcat.llm.token_counts import token_counts
 from toolcat.llm.topk import exact_topk
 from toolcat.llm.toxicity import toxicity
+from toolcat.llm.word_runs import periodic_runs, run_digests, spread
 
 
 def op1_toxicity(spark, sf_dir):
@@ -56,6 +58,14 @@ def op10_sentencepiece(spark, sf_dir):
     return sample_pieces(table(spark, sf_dir, "documents"), k=2)
 
 
+def op12_periodic_runs(spark, sf_dir):
+    return run_digests(periodic_runs(table(spark, sf_dir, "documents"), prepare=spread))
+
+
+def op13_ranked_search(spark, sf_dir):
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
     return {
         "op1_toxicity": op1_toxicity,
@@ -68,6 +78,8 @@ def queries() -> dict:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_token_counts": op9_token_counts,
         "op10_sentencepiece": op10_sentencepiece,
+        "op12_periodic_runs": op12_periodic_runs,
+        "op13_ranked_search": op13_ranked_search,
     }
 
 
@@ -94,4 +106,30 @@ def oracle_sql() -> dict[str, str]:
                          count(*) OVER (PARTITION BY t) AS group_size
                   FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents))
         """,
+        "op13_ranked_search": r"""
+            WITH t AS (
+                SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+                FROM documents
+            ), q AS (
+                SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                FROM benchmark
+            ), n AS (
+                SELECT count(*) AS docs, CAST(sum(len(ts)) AS BIGINT) AS tokens FROM t WHERE len(ts) > 0
+            ), p AS (
+                SELECT doc_id, len(ts) AS n, unnest(ts) AS term FROM t
+            ), tf AS (
+                SELECT doc_id, n, term, count(*) AS tf FROM p WHERE term IN (SELECT term FROM q) GROUP BY ALL
+            ), w AS (
+                SELECT term, CAST(floor(CAST(1000 AS DOUBLE) * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+                FROM tf, n GROUP BY term, docs
+            ), s AS (
+                SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // tokens)))) AS BIGINT) AS score
+                FROM tf JOIN w USING (term) JOIN q USING (term), n GROUP BY item_id, doc_id
+            )
+            SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+            FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+            WHERE rank <= 50
+        """,
     }
