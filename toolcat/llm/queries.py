@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from toolcat.llm.common import table
 from toolcat.llm.exact_dedup import exact_dedup
 from toolcat.llm.html_text import main_text
@@ -10,6 +12,7 @@ from toolcat.llm.line_dedup import line_dedup
 from toolcat.llm.packing import pack
 from toolcat.llm.pieces import sample_pieces
 from toolcat.llm.pii import pii
+from toolcat.llm.prefix_parse import remove_repeats
 from toolcat.llm.simhash import simhash_groups
 from toolcat.llm.token_counts import token_counts
 from toolcat.llm.topk import exact_topk
@@ -58,6 +61,11 @@ def op10_sentencepiece(spark, sf_dir):
     return sample_pieces(table(spark, sf_dir, "documents"), k=2)
 
 
+def op11_repeated_bytes(spark, sf_dir):
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_periodic_runs(spark, sf_dir):
     return run_digests(periodic_runs(table(spark, sf_dir, "documents"), prepare=spread))
 
@@ -78,6 +86,7 @@ def queries() -> dict:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_token_counts": op9_token_counts,
         "op10_sentencepiece": op10_sentencepiece,
+        "op11_repeated_bytes": op11_repeated_bytes,
         "op12_periodic_runs": op12_periodic_runs,
         "op13_ranked_search": op13_ranked_search,
     }
