@@ -110,7 +110,7 @@ def build(docs: DataFrame) -> Index:
             kind = batch.schema.field(0).type
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = text.as_py()
-                if doc_id is None or not (found := terms(text)):
+                if not (found := terms(text)):
                     continue
                 ids.append(doc_id)
                 counts.append(len(found))
@@ -129,6 +129,7 @@ class Shard:
     def __init__(self, data):
         lists = {k: v.values for k, v in unpack(data).items()}
         self.terms, self.docs = lists.pop("terms"), lists.pop("docs")
+        self.named = self.docs.is_valid().to_numpy(zero_copy_only=False)
         for k, v in lists.items():
             setattr(self, k, v.to_numpy(zero_copy_only=False))
 
@@ -169,7 +170,7 @@ class Shard:
                 scores[found] += np.repeat(impact[chosen], size)
                 hit.append(found)
             rows = np.unique(np.concatenate(hit))
-            rows = rows[scores[rows] > 0]
+            rows = rows[(scores[rows] > 0) & self.named[rows]]
             if len(rows) > k:
                 least = max(least, int(np.partition(scores[rows], len(rows) - k)[len(rows) - k]))
                 rows = rows[scores[rows] >= least]
