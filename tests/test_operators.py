@@ -1,12 +1,13 @@
 """Operators on hand-written rows."""
 
 import json
+import random
 
 from pyspark.sql import functions as F
 
 from toolcat import schemas
 from toolcat.functions import text, toolxml
-from toolcat.operators import catalog, descriptors, hub, ledger, repair, repotree, resolve, toolio, workflow
+from toolcat.operators import catalog, descriptors, hub, keyfilter, ledger, repair, repotree, resolve, toolio, workflow
 from toolcat.plans import pipelines
 
 
@@ -116,7 +117,60 @@ def test_tool_xml_with_macros(spark):
 def test_token_rules():
     assert toolxml.substitute("<a>@X@</a>", {"@X@": "@Y@", "@Y@": "1"}) == ("<a>1</a>", None)
     assert toolxml.substitute("<a>@X@</a>", {"@X@": "<b>"}) == ("<a>@X@</a>", "token_breaks_xml")
-    assert toolxml.substitute("<a>@X@</a>", {"@X@": "@X@x"})[1] == "token_cycle"
+    assert toolxml.substitute("<a>@X@</a>", {"@X@": "@X@x"}) == ("<a>@X@</a>", "token_cycle")
+    # A cycle leaves other tokens alone; one that comes back to itself within a pass stands still.
+    assert toolxml.substitute("<a>@X@@N@</a>", {"@X@": "@Y@x", "@N@": "n", "@Y@": "@X@"}) == ("<a>@X@n</a>", "token_cycle")
+    assert toolxml.substitute("<a>@X@</a>", {"@X@": "@Y@", "@Y@": "@X@"}) == ("<a>@X@</a>", None)
+    # Names that hold each other: what is defined first is replaced first.
+    assert toolxml.substitute("<a>@VER@</a>", {"@V": "1", "@VER@": "2"}) == ("<a>1ER@</a>", None)
+    assert toolxml.substitute("<a>@VER@</a>", {"@VER@": "2", "@V": "1"}) == ("<a>2</a>", None)
+    chain = {f"@{i}@": f"@{i + 1}@" for i in range(40)}
+    assert toolxml.substitute("<a>@0@</a>", chain | {"@40@": "end"}) == ("<a>end</a>", None)
+    assert toolxml.substitute("<a>@0@</a>", dict(reversed(chain.items())) | {"@40@": "end"}) == ("<a>end</a>", None)
+    assert toolxml.cyclic({"a": "b", "b": "c", "c": "b", "d": "d", "e": "a"}) == {"b", "c", "d"}
+
+
+def test_tokens_against_the_plain_loop(monkeypatch):
+    monkeypatch.setattr(toolxml, "LONGEST", 5000)
+    rnd, ended = random.Random(4), 0
+    for _ in range(1000):
+        names = rnd.sample(["@A@", "@A", "@B@", "B@", "@AB@", "@C@", "C"], rnd.randint(1, 5))
+        tokens = {n: "".join(rnd.choice([*names, "x", "y", "@"]) for _ in range(rnd.randint(0, 2))) for n in names}
+        text = "<a>" + "".join(rnd.choice([*names, "z"]) for _ in range(rnd.randint(0, 4))) + "</a>"
+        before, now = None, text
+        for _ in range(14):
+            before = now
+            for n, v in tokens.items():
+                now = now.replace(n, v)
+            if now == before or len(now) > 5000:
+                break
+        got = toolxml.substitute(text, tokens)
+        if now == before and len(now) <= 5000:
+            ended += 1
+            assert got == (now, None), (text, tokens)
+        else:
+            assert got[1] == "token_cycle", (text, tokens)
+    assert 500 < ended < 1000
+
+
+def test_token_order_over_files(spark):
+    place = lambda d, n, c: ("o", "r", d, n, c)
+    tool = '<tool id="{}" version="@VER@"><macros>{}</macros><inputs/><outputs/></tool>'
+    imports = "<import>{}.xml</import><import>{}.xml</import>".format
+    rows = [
+        place("a", "t.xml", tool.format("a", imports("v", "w"))), place("b", "t.xml", tool.format("b", imports("w", "v"))), place("c", "t.xml", tool.format("c", '<token name="@VER@">own</token>')),
+        *(place(d, n, f'<macros><token name="{k}">{v}</token></macros>') for d in "ab" for n, k, v in (("v.xml", "@V", "1"), ("w.xml", "@VER@", "2"))),
+    ]
+    contents = spark.createDataFrame(rows, "repo_owner string, repo string, dir string, name string, content string")
+    files = contents.filter("name = 't.xml'").select("repo_owner", "repo", "dir", F.concat_ws("/", "dir", "name").alias("path"), "content")
+    assert {(r.id, r.version) for r in resolve.tools(files, contents)[0].collect()} == {("a", "1ER@"), ("b", "2"), ("c", "own")}
+
+
+def test_prefilter(spark):
+    rows = spark.range(5000).select("id", (F.col("id") % 7).alias("k"), F.lit("wide").alias("text"))
+    keys = spark.createDataFrame([(5, 5), (6, 0), (None, 1), (9999, 3)], "id long, k long")
+    got = keyfilter.prefilter(rows, keys, ["id", "k"])
+    assert got.columns == rows.columns and {5} <= {r.id for r in got.collect()} and got.count() < 20
 
 
 def test_crawls(spark):

@@ -8,38 +8,54 @@ from pyspark.sql import functions as F
 from toolcat import schemas
 from toolcat.functions.text import clean_categories, first_text, or_default, resolve_path, shed_uri_parts, sorted_set, split_formats, strip_http
 from toolcat.functions.toolxml import parse_sidecar, parse_tool, xml_head
+from toolcat.operators.keyfilter import prefilter
 from toolcat.operators.repotree import MARKER, REPO
+from toolcat.scratch import written
 
 PLACE = [*REPO, "dir"]
 
 
-def macro_tokens(files: DataFrame, contents: DataFrame) -> DataFrame:
-    """By tool file the token map: a later macro file overrides an earlier one, the tool's own tokens
-    override all. ``files``: place, path, content; ``contents``: place, name, content of every file."""
-    heads = files.select(*PLACE, "path", xml_head("content").alias("head"))
-    wanted = heads.select(*PLACE, "path", F.posexplode("head.imports").alias("pos", "name"))
-    names = wanted.select(*PLACE, "name").distinct()
-    macros = contents.join(names, [*PLACE, "name"], "left_semi").select(*PLACE, "name", "content")
-    # A macro file that isn't XML may be the relative path of one.
+def _redirected(macros: DataFrame, contents: DataFrame) -> DataFrame:
+    """Macro files, those that hold nothing but the relative path of another replaced by that one, if it is there.
+    Only they are joined, with the files that they lead to."""
     target = F.when(F.col("content").startswith("../"), resolve_path(F.col("dir"), F.trim("content")))
-    macros = macros.withColumn("target", target)
-    others = contents.select(*REPO, F.concat_ws("/", F.nullif("dir", F.lit("")), "name").alias("target"), F.col("content").alias("there"))
-    macros = macros.join(others, [*REPO, "target"], "left")
-    macros = macros.select(*PLACE, "name", xml_head(F.coalesce("there", "content")).alias("head"))
-    own = heads.select(*PLACE, "path", F.lit(1_000_000).alias("pos"), "head.tokens")
-    all_tokens = wanted.join(macros, [*PLACE, "name"]).select(*PLACE, "path", "pos", "head.tokens").unionByName(own)
-    one = all_tokens.select(*PLACE, "path", "pos", F.explode("tokens").alias("k", "v"))
-    best = one.groupBy(*PLACE, "path", "k").agg(F.max_by("v", "pos").alias("v"))
-    return best.groupBy(*PLACE, "path").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("k", "v")))).alias("tokens"))
+    macros = written(macros.withColumn("target", target), "macros")
+    moved, direct = macros.filter("target IS NOT NULL"), macros.filter("target IS NULL").drop("target")
+    path = F.concat_ws("/", F.nullif("dir", F.lit("")), "name")
+    there = prefilter(contents.select(*REPO, path.alias("target"), "content"), moved, [*REPO, "target"]).withColumnRenamed("content", "there")
+    moved = moved.join(there, [*REPO, "target"], "left").select(*PLACE, "name", F.coalesce("there", "content").alias("content"))
+    return direct.select(*PLACE, "name", "content").unionByName(moved)
+
+
+def macro_tokens(heads: DataFrame, contents: DataFrame) -> DataFrame:
+    """By tool file its tokens in order of definition: those of its macro files, as it imports them, then its
+    own. A name keeps its first place and takes its last value. ``heads``: place, path, head; ``contents``: place, name,
+    content of every file, of which only the files named in an import move."""
+    wanted = heads.select(*PLACE, "path", F.posexplode("head.imports").alias("file", "name"))
+    names = wanted.select(*PLACE, "name").distinct()
+    near = prefilter(contents.select(*PLACE, "name", "content"), names, [*PLACE, "name"])
+    macros = _redirected(near.join(names, [*PLACE, "name"], "left_semi"), contents)
+    macros = macros.select(*PLACE, "name", xml_head("content").alias("head")).select(*PLACE, "name", "head.tokens")
+    own = heads.select(*PLACE, "path", F.lit(None).cast("int").alias("file"), "head.tokens")
+    lists = wanted.join(macros, [*PLACE, "name"]).select(*PLACE, "path", "file", "tokens").unionByName(own)
+    one = lists.select(*PLACE, "path", F.coalesce("file", F.lit(2**31 - 1)).alias("file"), F.posexplode("tokens").alias("pos", "t"))
+    at = F.struct("file", "pos")
+    named = one.groupBy(*PLACE, "path", "t.name").agg(F.min(at).alias("at"), F.max_by("t.value", at).alias("value"))
+    ordered = F.sort_array(F.collect_list(F.struct("at", "name", "value")))
+    return named.groupBy(*PLACE, "path").agg(F.transform(ordered, lambda t: F.struct(t["name"].alias("name"), t["value"].alias("value"))).alias("tokens"))
 
 
 def tools(files: DataFrame, contents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The tools of ``files`` and the files that are none, as errors."""
-    tokens = macro_tokens(files, contents)
-    rows = files.join(tokens, [*PLACE, "path"], "left")
-    rows = rows.withColumn("t", parse_tool("content", F.coalesce("tokens", F.create_map().cast("map<string,string>"))))
-    bad = rows.filter("t.id IS NULL AND t.inputs IS NULL").select(F.lit("tool").alias("stage"), F.col("path").alias("key"), F.col("t.error").alias("reason"))
-    sides = contents.filter(F.lower("name") == MARKER).groupBy(*PLACE).agg(F.min("content").alias("yml"))
+    """The tools of ``files`` (place, path, content) and the files that are none, as errors. Heads and tools are
+    parsed once and written."""
+    heads = written(files.select(*PLACE, "path", "content", xml_head("content").alias("head")), "heads")
+    tokens = macro_tokens(heads.select(*PLACE, "path", "head"), contents)
+    # Dealt out by number, as parsing takes long for few bytes, and by the keys that joins and groups need anyway.
+    n = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = heads.select(*PLACE, "path", "content").repartition(n, *PLACE, "path").join(tokens, [*PLACE, "path"], "left")
+    rows = written(rows.select(*PLACE, "path", parse_tool("content", F.coalesce("tokens", F.array().cast(schemas.tokens))).alias("t")), "parsed")
+    bad = rows.filter("t.inputs IS NULL").select(F.lit("tool").alias("stage"), F.col("path").alias("key"), F.col("t.error").alias("reason"))
+    sides = contents.filter(F.lower("name") == MARKER).repartition(n, *PLACE).groupBy(*PLACE).agg(F.min("content").alias("yml"))
     sides = sides.select(*PLACE, parse_sidecar("yml").alias("side"))
     good = rows.filter("t.inputs IS NOT NULL").join(sides, PLACE, "left")
     empty = F.lit("")
@@ -49,6 +65,7 @@ def tools(files: DataFrame, contents: DataFrame) -> tuple[DataFrame, DataFrame]:
         or_default(F.col("t.help"), "").alias("help"), or_default(F.col("side.owner"), "").alias("owner"),
         clean_categories(F.col("side.categories")).alias("categories"), F.col("t.inputs").alias("inputs"),
         F.col("t.outputs").alias("outputs"), F.lit(schemas.SHED_TOOL).alias("archetype"),
+        F.col("t.error").alias("note"),
     ), bad
 
 

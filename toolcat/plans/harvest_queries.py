@@ -14,7 +14,7 @@ from toolcat.sources import landing
 
 
 def _tools(spark, sf):
-    files = repos.contents(spark, sf)
+    files = written(repos.contents(spark, sf), "contents")
     found, bad = resolve.tools(files.filter("name = 't.xml'").select("repo_owner", "repo", "dir", "path", "content"), files.drop("path"))
     return found, bad
 
@@ -27,6 +27,12 @@ def macro_tools(spark, sf):
     )
 
 
+def token_expansions(spark, sf):
+    files = written(repos.token_files(spark, sf), "contents")
+    rows = resolve.tools(files.filter("name = 't.xml'").select("repo_owner", "repo", "dir", "path", "content"), files.drop("path"))[0]
+    return rows.select("id", "version", "description", "help", F.coalesce("note", F.lit("")).alias("note"))
+
+
 def rejected_tools(spark, sf):
     files = repos.contents(spark, sf).filter("name = 't.xml'")
     k = F.regexp_extract("dir", r"d(\d+)$", 1).cast("long")
@@ -305,7 +311,7 @@ def tool_tables_outputs(spark, sf):
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        macro_tools, rejected_tools, tool_ids, resolved_tools, unresolved_tools, workflow_tool_parameters, tool_uri_parts, tool_version_lookup, harvested_workflows,
+        macro_tools, token_expansions, rejected_tools, tool_ids, resolved_tools, unresolved_tools, workflow_tool_parameters, tool_uri_parts, tool_version_lookup, harvested_workflows,
         harvest_failures, archived_workflows, landed_hub, landed_repositories, landed_install_info, landed_tree, landed_descriptors, landed_app_index,
         landed_texts, landed_tool_io, tool_io_outputs, crawl_many, crawl_many_smart, tool_folders_below, crawl_many_counts, crawled_ledger,
         crawled_tools, stored_ledger_pending, stored_registry, registry_without_newlines, repaired_versions, converter_differences,
@@ -364,6 +370,9 @@ def oracle_sql() -> dict[str, str]:
         "macro_tools": f"WITH {_TOOLS} SELECT 't' || k AS id, version, array_to_string(list_sort(list_distinct([f, w[2]])), '|') AS formats, f AS out_format, "
         "CASE WHEN k % 4 = 1 THEN 'own' WHEN k % 4 = 0 THEN '' ELSE 'short' END AS description, CASE WHEN k % 4 = 0 THEN '' ELSE 'own' || k END AS owner, "
         "CASE WHEN k % 4 = 0 THEN '' ELSE 'a' || r || '|bb' END AS categories FROM t",
+        "token_expansions": "SELECT 't' || p_partkey AS id, CASE WHEN p_partkey % 2 = 0 THEN 'eER@' ELSE CAST(p_size AS VARCHAR) END AS version, "
+        "CASE WHEN p_partkey % 7 = 0 THEN 'late-a' ELSE lower(replace(p_brand, '#', '')) || 'b-a' END AS description, "
+        "CASE WHEN p_partkey % 5 < 2 THEN '@P@' ELSE 'p' END AS help, CASE WHEN p_partkey % 5 = 0 THEN 'token_cycle' ELSE '' END AS note FROM part",
         "rejected_tools": "SELECT 'tool' AS stage, 'lib/d' || p_partkey || '/t.xml' AS key, CASE WHEN p_partkey % 5 = 0 THEN 'not_xml' ELSE 'not_a_tool' END AS reason "
         "FROM part WHERE p_partkey % 5 = 0 OR p_partkey % 3 = 0",
         "tool_ids": "SELECT url, 'edc:tool:' || right(lpad(lower(to_base(CAST('0x' || substr(sha256(url), 1, 15) AS BIGINT), 36)), 12, '0'), 9) AS id "

@@ -75,7 +75,7 @@ def tool_tables_inputs(spark, sf):
 
 
 def html_rejected(spark, sf):
-    pages = lifts.read(spark, sf, "pages").withColumn("t", parse_tool("html", F.create_map().cast("map<string,string>")))
+    pages = lifts.read(spark, sf, "pages").withColumn("t", parse_tool("html", F.array().cast(schemas.tokens)))
     return pages.filter("t.inputs IS NULL").select("page_id", F.col("t.error").alias("reason"))
 
 

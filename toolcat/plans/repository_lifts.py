@@ -56,6 +56,26 @@ def contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``repo_owner, repo, dir, name, path, content``: a tool per part whose tokens depend on their order. ``@V`` is part of
+    the name ``@VER@`` and defined before it for even keys, behind it for odd ones. ``@A@`` leads to ``@B@`` in the first macro
+    file and that to ``@C@`` in the second, which gives ``@B@`` another value for each seventh. ``@P@`` and ``@Q@`` lead to
+    each other for each fifth key, growing, and for the next one without growth."""
+    p, k = _part(spark, sf_dir), F.col("k")
+    token = lambda name, *value: _text(f'<token name="{name}">', *value, "</token>")
+    v, ver = token("@V", F.when(k % 2 == 0, "e").otherwise("o")), token("@VER@", F.col("size"))
+    first = _text("<macros>", F.when(k % 2 == 0, v).otherwise(ver), token("@B@", "@C@b"), "</macros>")
+    second = _text("<macros>", F.when(k % 2 == 0, ver).otherwise(v), token("@C@", F.col("brand")), F.when(k % 7 == 0, token("@B@", "late")).otherwise(""), "</macros>")
+    pair = F.when(k % 5 == 0, _text(token("@P@", "@Q@x"), token("@Q@", "@P@y"))).when(k % 5 == 1, _text(token("@P@", "@Q@"), token("@Q@", "@P@"))).otherwise(token("@P@", "p"))
+    tool = _text(
+        '<tool id="t', F.col("ks"), '" name="n" version="@VER@"><macros><import>a.xml</import><import>b.xml</import>', token("@A@", "@B@-a"), pair,
+        "</macros><description>@A@</description><help>@P@</help><inputs/><outputs/></tool>",
+    )
+    files = F.array(*(F.struct(F.lit(n).alias("name"), c.alias("content")) for n, c in (("t.xml", tool), ("a.xml", first), ("b.xml", second))))
+    rows = p.select("r", _text("tok/d", F.col("ks")).alias("dir"), F.explode(files).alias("f"))
+    return rows.select(F.lit("o").alias("repo_owner"), _text("r", F.col("r")).alias("repo"), "dir", "f.name", F.concat_ws("/", "dir", "f.name").alias("path"), "f.content")
+
+
 def tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``repo_owner, repo, branch, path, type``: trees of 20 repositories. Each part is a folder below ``lib`` (even keys)
     or ``tools``, each seventh in one that is out of use; two in three are marked; each tenth has a marked folder

@@ -30,7 +30,8 @@ parameter = struct(name=S, tag=S, type=S, format=S, label=S)
 tool_xml = struct(
     id=S, name=S, version=S, description=S, help=S, inputs=T.ArrayType(parameter), outputs=T.ArrayType(parameter), error=S
 )
-xml_head = struct(imports=A, tokens=T.MapType(S, S), error=S)
+tokens = T.ArrayType(struct(name=S, value=S))
+xml_head = struct(imports=A, tokens=tokens, error=S)
 sidecar = struct(owner=S, description=S, long_description=S, categories=A)
 publish_result = struct(success=T.BooleanType(), status=T.IntegerType(), response=S, error=S)
 harvest_errors = struct(stage=S, key=S, reason=S)
