@@ -362,3 +362,34 @@ def test_near_copies_match_brute_force(spark):
     kept = {r.doc_id for r in sh.simhash_keep(docs.repartition(3)).collect()}
     assert linked > 60 and want <= kept  # nothing goes that is no near copy
     assert len(kept - want) <= 0.02 * (len(texts) - len(want)) and len(small) == 240
+
+
+@pytest.mark.parametrize("members", [500, 3000])
+def test_near_copies_of_one_template(spark, members):
+    """2 to 5 of 300 words changed: similarities on both sides of 0.8 in one dense cluster."""
+    r = random.Random(members)
+    base, texts = [f"{r.choice(WORDS)}{i}" for i in range(300)], {}
+    for k in range(members):
+        copy = list(base)
+        for at in r.sample(range(300), r.randint(2, 5)):
+            copy[at] = f"new{r.randrange(10**7)}"
+        texts[k] = " ".join(copy)
+    texts |= {members + k: " ".join(f"{r.choice(WORDS)}{r.randrange(10**6)}" for _ in range(200)) for k in range(50)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    kept = {row.doc_id for row in sh.simhash_keep(docs).collect()}
+    assert {k for k in texts if k >= members} <= kept
+    if members <= 800:  # brute force: all but those without any link are one component
+        sets = [sh._shingles(texts[k].encode().split(), 5) for k in range(members)]
+        alone = {k for k in range(1, members) if not any(j != k and len(sets[k] & sets[j]) >= 0.8 * len(sets[k] | sets[j]) for j in range(members))}
+        assert len({k for k in kept if k < members} - alone) <= 2
+    else:
+        assert len({k for k in kept if k < members}) <= 0.02 * members
+
+
+def test_near_copies_keep_parts_and_maps(spark):
+    r = random.Random(2)
+    a, b, c = (" ".join(r.choice(WORDS) + str(r.randrange(10**6)) for _ in range(60)) for _ in range(3))
+    docs = spark.createDataFrame([(1, a), (2, b), (2, c), (2, b), (3, f"{b} more"), (4, f"{a} more"), (5, None), (6, ""), (None, a)], "doc_id long, text string")
+    docs = docs.withColumn("tags", F.create_map(F.lit("k"), F.col("text")))
+    got = sorted(((row.doc_id, row.text) for row in sh.simhash_keep(docs).collect()), key=repr)
+    assert got == sorted([(1, a), (2, b), (2, c), (5, None), (None, a)] + ([(3, f"{b} more")] if (3, f"{b} more") in got else []), key=repr)

@@ -20,15 +20,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from toolcat.llm.common import join_groups, materialize, text_or_empty, with_texts
 from toolcat.llm.components import connected_components
 
 SHARD, LEVELS = 256, 5
-#: For near copies: bits by which fingerprints may differ, orders of shingles, nodes in a shard, and how often it is dealt.
-NEAR_RADIUS, KEYS, NEAR_SHARD, NEAR_LEVELS = 18, 6, 96, 3
+#: For near copies: bits by which fingerprints may differ, orders of shingles, and nodes in a shard.
+NEAR_RADIUS, KEYS, NEAR_SHARD = 18, 6, 96
+#: Pairs of orders by which larger shards are dealt again; those by which dense shards are; what a task gets of these:
+#: nodes of a part, as many of the core, and bytes of their shingles.
+PAIRS = [(i, j) for i in range(KEYS) for j in range(i + 1, KEYS) if j - i != KEYS // 2]
+DENSE_PAIRS, PART, PART_BYTES = [(0, 1), (2, 3), (4, 5)], 1024, 32 << 20
 _BLOCK = 65_000  # shingles whose bits are counted at once
 
 
@@ -204,106 +208,187 @@ def _shingles(words: list[bytes], width: int) -> set:
 
 
 def _sketches(docs: DataFrame, width: int, seed: int) -> DataFrame:
-    """``doc_id, fp, same, keys``: the fingerprint, a digest of the words, and the least shingle hash in each of KEYS
-    orders."""
+    """``doc_id, fp, same, keys, n``: the fingerprint, a digest of the words, the least shingle hash in each of KEYS
+    orders, and the number of shingles."""
     id_type = docs.schema["doc_id"].dataType
     odd = np.array([2 * xxhash.xxh64_intdigest(bytes([j]), seed) + 1 & (1 << 64) - 1 for j in range(KEYS)], dtype=np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps, same, keys = [], [], []
+            fps, same, keys, sizes = [], [], [], []
             for text in batch.column(1).to_pylist():
                 words = text.lower().split()
                 fps.append(fingerprint(text, width, seed))
                 same.append(xxhash.xxh3_128_digest(b" ".join(words)))
                 n, digest = max(1, len(words) - width + 1), xxhash.xxh64_intdigest
                 h = np.fromiter((digest(b" ".join(words[i : i + width]), seed) for i in range(n)), dtype=np.uint64, count=n)
+                sizes.append(n)
                 least = [(x ^ (x >> np.uint64(32))).min() for x in (h * m for m in odd)]
                 keys.append(np.array(least, dtype=np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(fps, dtype="<u8").view("<i8")), pa.array(same, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "fp", "same", "keys"],
+                [batch.column(0), pa.array(np.array(fps, dtype="<u8").view("<i8")), pa.array(same, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sizes, pa.int64())],
+                names=["doc_id", "fp", "same", "keys", "n"],
             )
 
     rows = docs.select("doc_id", text_or_empty().cast("binary").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {id_type.simpleString()}, fp long, same binary, keys array<long>")
-
-
-def near_pairs(texts: list[tuple], radius: int, dense: bool) -> list[tuple]:
-    """Pairs of ``(id, fingerprint)`` within the radius, the larger id first. In a dense shard an entry is paired with
-    those alone that lie within the radius of none before them."""
-    tree, out, held = BKTree(), [], []
-    for node, fp in texts:
-        near = tree.search(fp & (1 << 64) - 1, radius)
-        out += [(max(node, held[i]), min(node, held[i])) for i in near if node != held[i]]
-        if not (dense and near):
-            tree.insert(fp & (1 << 64) - 1, len(held))
-            held.append(node)
+    return rows.mapInArrow(run, f"doc_id {id_type.simpleString()}, fp long, same binary, keys array<long>, n long")
+
+
+def near_pairs(members: list[tuple], radius: int) -> list[tuple]:
+    """Pairs of ``(id, fingerprint)`` within the radius, the larger id first."""
+    tree, out = BKTree(), []
+    for i, (node, fp) in enumerate(members):
+        near = tree.add(fp & (1 << 64) - 1, i, radius)
+        out += [(max(node, members[j][0]), min(node, members[j][0])) for j in near if node != members[j][0]]
     return out
 
 
-def near_candidates(nodes: DataFrame, radius: int) -> DataFrame:
-    """``doc, owner``: nodes that share a least shingle and whose fingerprints lie within the radius. ``nodes``: doc, fp,
-    keys. A shard of more than NEAR_SHARD nodes is dealt again by the other least shingles; what is still larger after
-    NEAR_LEVELS holds documents that share several of them, and is searched by leaders."""
-    id_type = nodes.schema["doc"].dataType
-    orders = F.sequence(F.lit(0), F.lit(KEYS - 1))
-    rows, parts = nodes.select("doc", "fp", "keys", F.transform(orders, lambda j: F.array(j)).alias("sets")), []
-    for level in range(NEAR_LEVELS):
-        rows = rows.select("doc", "fp", "keys", F.explode("sets").alias("used"))
-        key = F.xxhash64(F.transform("used", lambda j: F.struct(j.alias("j"), F.get("keys", j).alias("least"))))
-        rows = rows.withColumn("key", key)
-        sizes = rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-        rows = materialize(join_groups(rows, sizes, "key", "size", max(1, rows.count())), f"near{level}")
-        last = level == NEAR_LEVELS - 1
-        big = F.col("size") > NEAR_SHARD
-        parts.append((rows if last else rows.filter(~big)).select("key", "doc", "fp", big.alias("dense")))
-        rows = rows.filter(big)
-        if last or rows.isEmpty():
-            break
-        # Each set of one more order once, whichever of its parts was too large.
-        rows = rows.groupBy("doc").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.collect_list("used").alias("sets"))
-        wider = lambda s: F.transform(F.filter(orders, lambda j: ~F.array_contains(s, j)), lambda j: F.array_sort(F.array_append(s, j)))
-        rows = rows.withColumn("sets", F.array_distinct(F.flatten(F.transform("sets", wider))))
-    shards = parts[0]
-    for more in parts[1:]:
-        shards = shards.unionByName(more)
+def near_links(members: list[tuple], radius: int, similarity: float) -> list[tuple]:
+    """Spanning pairs of the verified links between ``(id, fingerprint, sorted shingle hashes)``, the larger id first:
+    what a BK-tree finds within the radius is compared exactly unless it is linked already."""
+    tree, out, parent = BKTree(), [], list(range(len(members)))
+
+    def find(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for i, (node, fp, own) in enumerate(members):
+        for j in tree.add(fp & (1 << 64) - 1, i, radius):
+            a, b, (other, _, their) = find(i), find(j), members[j]
+            if a == b or min(len(own), len(their)) < similarity * max(len(own), len(their)):
+                continue
+            at = np.searchsorted(their, own)
+            both = int(np.count_nonzero(their[np.minimum(at, len(their) - 1)] == own))
+            if both >= similarity * (len(own) + len(their) - both):
+                parent[max(a, b)] = min(a, b)
+                if node != other:
+                    out.append((max(node, other), min(node, other)))
+    return out
+
+
+def _by_shard(found, columns: list[str]):
+    """The rows of each shard, which come sorted by its key (the first columns of ``columns``), handed to ``found``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(own: list[tuple], dense: bool) -> pa.RecordBatch:
-            found = near_pairs(own, radius, dense)
-            columns = [pa.array([p[i] for p in found], kind) for i in (0, 1)]
-            return pa.RecordBatch.from_arrays(columns, names=["doc", "owner"])
+        def done() -> pa.RecordBatch:
+            pairs = found(own)
+            return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], kind) for i in (0, 1)], names=["doc", "owner"])
 
-        key, own, dense, kind = None, [], False, None
+        key, own, kind = None, [], None
         for batch in batches:
             kind = batch.schema.field("doc").type
-            for k, doc, fp, d in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if k != key:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[: len(columns)] != key:
                     if len(own) > 1:
-                        yield done(own, dense)
-                    key, own, dense = k, [], d
-                own.append((doc, fp))
+                        yield done()
+                    key, own = row[: len(columns)], []
+                own.append(row[len(columns) :])
         if len(own) > 1:
-            yield done(own, dense)
+            yield done()
+
+    return run
+
+
+def _dealt(rows: DataFrame, sets: list[tuple[int, ...]], some: Column, label: str) -> DataFrame:
+    """``rows`` once for each of ``some`` of the sets of orders: with ``key``, their least shingles, and its ``size``."""
+    names = F.array(*(F.array(*map(F.lit, s)) for s in sets))
+    rows = rows.select("*", F.explode(F.filter(names, lambda s: F.forall(s, lambda j: F.array_contains(some, j)))).alias("used"))
+    key = F.xxhash64(F.transform("used", lambda j: F.struct(j.alias("j"), F.get("keys", j).alias("least"))))
+    rows = rows.withColumn("key", key)
+    sizes = rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    return materialize(join_groups(rows, sizes, "key", "size", max(1, rows.count())), label)
+
+
+def near_shards(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Shards of nodes that share a least shingle, ``key, doc, fp``, and dense ones, with ``n`` and ``size`` besides.
+    ``nodes``: doc, fp, keys, n. A shard of more than NEAR_SHARD nodes is dealt again by pairs of such orders."""
+    every = F.array(*map(F.lit, range(KEYS)))
+    first = _dealt(nodes, [(j,) for j in range(KEYS)], every, "near0")
+    small = first.filter(F.col("size") <= NEAR_SHARD).select("key", "doc", "fp")
+    large = first.filter(F.col("size") > NEAR_SHARD)
+    large = large.groupBy("doc").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.first("n").alias("n"), F.flatten(F.collect_list("used")).alias("large"))
+    second = _dealt(large, PAIRS, F.col("large"), "near1")
+    dense = F.col("used").isin(*(F.array(*map(F.lit, p)) for p in DENSE_PAIRS))
+    return small.unionByName(second.filter(F.col("size") <= NEAR_SHARD).select("key", "doc", "fp")), second.filter(dense & (F.col("size") > NEAR_SHARD)).select("key", "doc", "fp", "n", "size")
+
+
+def near_candidates(shards: DataFrame, radius: int) -> DataFrame:
+    """``doc, owner``: nodes of one shard whose fingerprints lie within the radius."""
+    id_type = shards.schema["doc"].dataType.simpleString()
+    dealt = shards.repartition("key").sortWithinPartitions("key", "doc")
+    return dealt.mapInArrow(_by_shard(lambda own: near_pairs(own, radius), ["key"]), f"doc {id_type}, owner {id_type}").distinct()
+
+
+def _parts(dense: DataFrame) -> DataFrame:
+    """``key, part, doc, fp``: dense shards in parts that fit a task. Where a shard has several parts, each gets its core
+    besides: about PART nodes whose fingerprints differ least from the majority of the shard's."""
+    total = max(1, dense.count())
+    ones = [F.sum(F.shiftrightunsigned("fp", i).bitwiseAND(F.lit(1))).alias(f"b{i}") for i in range(64)]
+    stats = dense.groupBy("key").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"), *ones)
+    value = lambda i: F.lit((1 << i) if i < 63 else -(1 << 63))
+    centre = sum((F.when(2 * F.col(f"b{i}") > F.col("members"), value(i)).otherwise(F.lit(0).cast("long")) for i in range(1, 64)), F.when(2 * F.col("b0") > F.col("members"), value(0)).otherwise(F.lit(0).cast("long")))
+    parts = F.ceil(F.greatest(F.col("members") / PART, F.col("shingles") * 8 / PART_BYTES)).cast("int")
+    parts = F.when((F.col("members") <= 2 * PART) & (F.col("shingles") * 8 <= 2 * PART_BYTES), 1).otherwise(parts)
+    stats = stats.select("key", "members", centre.alias("centre"), parts.alias("parts"))
+    rows = join_groups(dense.select("key", "doc", "fp"), stats, "key", "members", total)
+    rows = rows.withColumn("off", F.bit_count(F.col("fp").bitwiseXOR(F.col("centre"))))
+    rows = materialize(rows, "dense")
+    whole, split = rows.filter("parts = 1"), rows.filter("parts > 1")
+    near = split.groupBy("key", "off").agg(F.count("*").alias("c"), F.first("members").alias("members"))  # at most 65 rows a key
+    before = F.sum("c").over(Window.partitionBy("key").orderBy("off")) - F.col("c")
+    shares = near.withColumn("share", F.greatest(F.lit(0.0), F.least(F.lit(1.0), (PART - before) / F.col("c"))))
+    shares = shares.groupBy("key").agg(F.max("members").alias("size"), F.map_from_entries(F.collect_list(F.struct("off", "share"))).alias("shares"))
+    split = join_groups(split, shares, "key", "size", total)
+    core = F.pmod(F.xxhash64("doc", "key"), F.lit(1_000_003)) < F.try_element_at("shares", "off") * 1_000_003
+    own = F.array(F.pmod(F.xxhash64("key", "doc"), "parts").cast("int"))
+    split = split.withColumn("part", F.explode(F.when(core, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(own)))
+    return whole.select("key", F.lit(0).alias("part"), "doc", "fp").unionByName(split.select("key", "part", "doc", "fp"))
+
+
+def dense_links(dense: DataFrame, texts: DataFrame, width: int, radius: int, similarity: float, seed: int) -> DataFrame:
+    """``a, b``: verified links that connect the nodes of dense shards. ``texts``: doc_id, text."""
+    id_type = dense.schema["doc"].dataType.simpleString()
+    placed = _parts(dense)
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text in batch.column(1).to_pylist():
+                words, digest = text.encode().lower().split(), xxhash.xxh64_intdigest
+                n = max(1, len(words) - width + 1)
+                out.append(np.unique(np.fromiter((digest(b" ".join(words[i : i + width]), seed) for i in range(n)), dtype=np.uint64, count=n)).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["doc", "hashes"])
+
+    wanted = dense.select(F.col("doc").alias("doc_id")).distinct()
+    shingles = texts.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, f"doc {id_type}, hashes binary")
+    dealt = placed.join(shingles, "doc").select("key", "part", "doc", "fp", "hashes").repartition("key", "part").sortWithinPartitions("key", "part", "doc")
+
+    def found(own: list[tuple]) -> list[tuple]:
+        return near_links([(doc, fp, np.frombuffer(h, dtype=np.uint64)) for doc, fp, h in own], radius, similarity)
 
-    shards = shards.repartition("key").sortWithinPartitions("key", "doc")
-    return shards.mapInArrow(run, f"doc {id_type.simpleString()}, owner {id_type.simpleString()}").distinct()
+    links = dealt.mapInArrow(_by_shard(found, ["key", "part"]), f"doc {id_type}, owner {id_type}").distinct()
+    return links.select(F.col("doc").alias("a"), F.col("owner").alias("b"))
 
 
 def simhash_keep(docs: DataFrame, width: int = 5, radius: int = NEAR_RADIUS, similarity: float = 0.8, seed: int = 42) -> DataFrame:
     """The rows of ``docs`` that stay: of each group of near copies the one with the smallest ``doc_id``, and all rows
-    without an id; of rows that share an id that stays, the least.
+    without an id. Rows that share an id are parts of one document, which stays or goes as a whole and is compared by one of
+    its texts; of its rows with equal texts one stays.
 
     Texts of the same words, in any case, are one group. Others are candidates if they share a least shingle and their
     fingerprints lie within ``radius`` bits, and are linked if the Jaccard similarity of their sets of ``width``-word
-    shingles is ``similarity`` or more."""
+    shingles is ``similarity`` or more. In dense shards, where nearly all are candidates of all, links are verified where
+    they are found and only those that connect go on."""
     known = docs.filter(F.col("doc_id").isNotNull())
     rows = materialize(_sketches(known, width, seed), "sketches")
     first = rows.groupBy("same").agg(F.min("doc_id").alias("first"), F.count("*").alias("size"))
     rows_first = materialize(join_groups(rows, first, "same", "size", max(1, rows.count())), "first")
-    nodes = rows_first.filter("doc_id = first").groupBy(F.col("doc_id").alias("doc")).agg(F.min_by("fp", "same").alias("fp"), F.min_by("keys", "same").alias("keys"))
-    pairs = materialize(near_candidates(nodes, radius), "candidates")
+    one = F.min_by(F.struct("fp", "keys", "n"), "same").alias("x")
+    nodes = rows_first.filter("doc_id = first").groupBy(F.col("doc_id").alias("doc")).agg(one).select("doc", "x.*")
+    shards, dense = near_shards(nodes)
+    pairs = materialize(near_candidates(shards, radius), "candidates")
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -318,14 +403,16 @@ def simhash_keep(docs: DataFrame, width: int = 5, radius: int = NEAR_RADIUS, sim
     texts = known.select("doc_id", text_or_empty().alias("text"))
     both = with_texts(pairs, texts).select(F.col("doc").alias("a"), F.col("owner").alias("b"), "own", "other")
     links = both.mapInArrow(alike, f"a {id_type}, b {id_type}")
+    if not dense.isEmpty():
+        links = links.unionByName(materialize(dense_links(dense, texts, width, radius, similarity, seed), "dense_links"))
     copies = rows_first.filter("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     gone = connected_components(links.unionByName(copies)).select(F.col("node").alias("_gone"))
     kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
     repeated = rows.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("_twice"))
     if repeated.isEmpty():
         return kept
-    columns = docs.columns
     twice = kept.join(repeated, kept["doc_id"] == repeated["_twice"], "left_semi")
-    once = twice.groupBy(F.col("doc_id").alias("_key")).agg(F.min(F.struct(*(F.col(f"`{c}`") for c in columns))).alias("_row"))
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    once = twice.select(F.col("doc_id").alias("_id"), text_or_empty().alias("_text"), whole.alias("_row")).groupBy("_id", "_text").agg(F.any_value("_row").alias("_row"))
     single = kept.join(repeated, kept["doc_id"] == repeated["_twice"], "left_anti")
-    return single.unionByName(once.select(*(F.col(f"_row.`{c}`") for c in columns)))
+    return single.unionByName(once.select(*(F.col(f"_row.`{c}`") for c in docs.columns)))
