@@ -393,3 +393,22 @@ def test_near_copies_keep_parts_and_maps(spark):
     docs = docs.withColumn("tags", F.create_map(F.lit("k"), F.col("text")))
     got = sorted(((row.doc_id, row.text) for row in sh.simhash_keep(docs).collect()), key=repr)
     assert got == sorted([(1, a), (2, b), (2, c), (5, None), (None, a)] + ([(3, f"{b} more")] if (3, f"{b} more") in got else []), key=repr)
+
+
+def test_passage_whose_runs_an_earlier_document_quotes(spark):
+    """The first document holds only runs of 12 words of a passage that the two others share."""
+    r = random.Random(8)
+    rows, passages = [], {}
+    for case in range(60):
+        own = lambda n, tag: [f"{tag}{case}x{r.randrange(10**6)}" for _ in range(n)]  # noqa: B023, E731
+        p = own(60, "p")
+        quotes = []
+        for at in range(0, 49):
+            quotes += p[at : at + 12] + own(3, "q")
+        rows += [(3 * case, " ".join(quotes)), (3 * case + 1, " ".join(own(30, "b") + p + own(30, "b"))), (3 * case + 2, " ".join(own(30, "c") + p + own(30, "c")))]
+        passages[3 * case + 2] = " ".join(p)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {row.doc_id: row.text for row in ld.remove_repeated(docs).collect()}
+    assert not [k for k, p in passages.items() if p in got[k]]
+    assert all(got[k] == t for k, t in rows if k % 3 < 2)  # nothing goes from the other two
+    assert all(len(got[k].split()) == 60 for k in passages)

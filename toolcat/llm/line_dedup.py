@@ -4,7 +4,10 @@ A document's lines of ``LINE`` words or more are hashed, and, so that a passage
 well, runs of ``LINE`` words that their own hashes choose: of each ``REACH`` neighbouring runs the one with the least
 hash, so any ``LINE + REACH - 1`` words in a row hold one wherever they stand. A hash leads to the earliest document
 (smallest ``doc_id``) that holds it, and later documents are paired with that one, so pairs grow with the text and
-not with the square of a group. Each pair is aligned by patience diff: of the runs of words that are unique in both
+not with the square of a group. That one may hold no more than the short run, while a document between the two holds
+the whole passage. So what a pair shares without a block that goes is looked up once more in a second round, by chosen
+runs of ``BLOCK`` words around it: any ``BLOCK + SPARE`` words in a row hold one, and the earliest document that has it
+holds a whole block. Each pair is aligned by patience diff: of the runs of words that are unique in both
 texts the heaviest rising chain is kept and extended word by word, and the gaps between are aligned in the same
 way. From the later document go
 
@@ -34,6 +37,8 @@ from pyspark.sql import functions as F
 from toolcat.llm.common import join_groups, materialize, text_or_empty, unused, with_texts
 
 LINE, BLOCK, REACH = 12, 40, 39
+#: Of so many neighbouring runs of BLOCK words, and one more, the second round chooses one.
+SPARE = 10
 #: So many words by which a block reaches into one more line are chance and stay.
 CHANCE = 3
 #: Bytes of texts whose words are hashed together.
@@ -296,13 +301,11 @@ def elsewhere(one: Text, other: Text, taken: list[tuple[int, int, int]], least:
     return out
 
 
-def blocks(text: str, other: str, block: int = BLOCK, line: int = LINE) -> list[tuple[int, int]]:
-    """The parts of ``text`` that go because an earlier text is ``other``, as start and length in characters."""
-    one = Text.of(text, line)
+def _gone(one: Text, owner: Text, block: int, line: int) -> list[list[int]]:
+    """The words of ``one`` that go because an earlier text is ``owner``, as starts and ends."""
     data, starts, a = one.data, one.starts, one.words
-    if text == other and len(a) >= block:
-        return [(0, len(text))]
-    owner = Text.of(other, line)
+    if data == owner.data and len(a) >= block:
+        return [[0, len(a)]]
     found = align(one, owner, line)
     moved = elsewhere(one, owner, found, block, line)
     if not found and not moved:
@@ -329,46 +332,87 @@ def blocks(text: str, other: str, block: int = BLOCK, line: int = LINE) -> list[
             out[-1][1] = max(out[-1][1], y)
         else:
             out.append([x, y])
-    # White space behind a block goes with it.
+    return out
+
+
+def _places(one: Text, out: list[list[int]]) -> list[tuple[int, int]]:
+    """Starts and lengths in characters of such words; white space behind a block goes with it."""
+    data, starts = one.data, one.starts
     cuts = [(int(starts[x]) if x else 0, int(starts[y]) if y < len(starts) else len(data)) for x, y in out]
-    if len(data) == len(text):
+    if not cuts or data.isascii():
         return [(a, b - a) for a, b in cuts]
     place = np.concatenate([[0], np.cumsum(np.frombuffer(data, dtype=np.uint8) & 0xC0 != 0x80)])
     return [(int(place[a]), int(place[b] - place[a])) for a, b in cuts]
 
 
-def _pairs(docs: DataFrame) -> DataFrame:
-    """``doc, owner``: later documents and the earliest ones that share a hash with them."""
-    rows = materialize(_anchor_rows(docs), "anchors")
+def blocks(text: str, other: str, block: int = BLOCK, line: int = LINE) -> list[tuple[int, int]]:
+    """The parts of ``text`` that go because an earlier text is ``other``, as start and length in characters."""
+    one = Text.of(text, line)
+    return _places(one, _gone(one, Text.of(other, line), block, line))
+
+
+def unexplained(one: Text, owner: Text, out: list[list[int]], block: int = BLOCK, line: int = LINE) -> np.ndarray:
+    """Hashes of chosen runs of ``block`` words of ``one`` around those runs of ``line`` words that the owner holds as well,
+    but as part of no block that goes: another document may hold more of them."""
+    runs = runs_of(one.words, block)
+    free = np.ones(len(one.runs), dtype=bool)
+    for x, y in out:
+        free[x : max(x, y - line + 1)] = False
+    at = np.flatnonzero(free & np.isin(one.runs, owner.distinct[0]))
+    if not len(at) or not len(runs):
+        return np.zeros(0, dtype=np.uint64)
+    reach = min(SPARE + 1, len(runs))
+    lowest = _sliding(runs, reach, np.minimum)
+    pad = np.zeros(reach - 1, dtype=np.uint64)
+    chosen = np.flatnonzero(runs == _sliding(np.concatenate([pad, lowest, pad]), reach, np.maximum))
+    k = np.searchsorted(at, chosen)
+    away = np.minimum(np.abs(at[np.minimum(k, len(at) - 1)] - chosen), np.abs(at[np.maximum(k - 1, 0)] - chosen))
+    return np.unique(runs[chosen[away <= block + SPARE]])
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    """``doc, owner``: later documents and the earliest ones that share a hash with them. ``rows``: doc, h."""
     owners = rows.groupBy("h").agg(F.count("*").alias("size"), F.min("doc").alias("owner"), F.max("doc").alias("last"))
     owners = owners.filter("owner < last").drop("last")
     shared = join_groups(rows, owners, "h", "size", max(1, rows.count()))
     return materialize(shared.filter("doc > owner").select("doc", "owner").distinct(), "pairs")
 
 
-def repeated_blocks(docs: DataFrame, block: int = BLOCK, line: int = LINE) -> DataFrame:
-    """``doc, found``: for later documents the blocks that go, as an array of ``mark, start, len`` in characters;
-    ``mark`` tells apart texts that share an id."""
-    texts = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", text_or_empty().alias("text"))
-    pairs = _pairs(texts)
-    both = with_texts(pairs, texts).select("doc", "own", "other")
+def _aligned(pairs: DataFrame, texts: DataFrame, block: int, line: int) -> DataFrame:
+    """``doc, mark, start, len, h``: for each pair the blocks that go, and rows of ``h`` alone, the hashes of longer runs by
+    which ``doc`` may belong to another document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for begin in range(0, whole.num_rows, 1000):
                 batch = whole.slice(begin, 1000)
-                at, marks, starts, sizes = [], [], [], []
+                at, rows = [], []
                 for i, (own, other) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
-                    for start, size in blocks(own, other, block, line):
-                        at.append(i)
-                        marks.append(_mark(own.encode()))
-                        starts.append(start)
-                        sizes.append(size)
-                numbers = [pa.array(x, pa.int32()) for x in (marks, starts, sizes)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *numbers], names=["doc", "mark", "start", "len"])
+                    one, owner = Text.of(own, line), Text.of(other, line)
+                    out = _gone(one, owner, block, line)
+                    new = [(_mark(one.data), start, size, None) for start, size in _places(one, out)]
+                    new += [(None, None, None, h) for h in unexplained(one, owner, out, block, line).view(np.int64).tolist()]
+                    rows += new
+                    at += [i] * len(new)
+                numbers = [pa.array([r[j] for r in rows], pa.int32() if j < 3 else pa.int64()) for j in range(4)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *numbers], names=["doc", "mark", "start", "len", "h"])
 
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    found = both.mapInArrow(run, f"doc {id_type}, mark int, start int, len int")
+    both = with_texts(pairs, texts).select("doc", "own", "other")
+    return both.mapInArrow(run, f"doc {id_type}, mark int, start int, len int, h long")
+
+
+def repeated_blocks(docs: DataFrame, block: int = BLOCK, line: int = LINE) -> DataFrame:
+    """``doc, found``: for later documents the blocks that go, as an array of ``mark, start, len`` in characters;
+    ``mark`` tells apart texts that share an id."""
+    texts = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", text_or_empty().alias("text"))
+    pairs = _pairs(materialize(_anchor_rows(texts), "anchors"))
+    found = materialize(_aligned(pairs, texts, block, line), "aligned")
+    # Second round: what an owner shares only in short runs leads to the earliest document with a long one.
+    more = _pairs(found.filter("h IS NOT NULL").select("doc", "h").distinct()).join(pairs, ["doc", "owner"], "left_anti")
+    if not (more := materialize(more, "more_pairs")).isEmpty():
+        found = found.unionByName(_aligned(more, texts, block, line))
+    found = found.filter("mark IS NOT NULL")
     return found.groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("mark", "start", "len"))).alias("found"))
 
 
