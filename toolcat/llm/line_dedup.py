@@ -227,6 +227,17 @@ class Text:
         self.starts, self.ends, self.words = words(self.data)
         self.runs = runs_of(self.words, size)
         self.distinct = np.unique(self.runs, return_index=True, return_counts=True)
+        self._longer: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def longer(self, block: int) -> tuple[np.ndarray, np.ndarray]:
+        """The hash of each ``block`` words in a row, and where those start that their hashes choose."""
+        if block not in self._longer:
+            runs = runs_of(self.words, block)
+            reach = min(SPARE + 1, len(runs))
+            lowest = _sliding(runs, reach, np.minimum)
+            pad = np.zeros(reach - 1, dtype=np.uint64)
+            self._longer[block] = runs, np.flatnonzero(runs == _sliding(np.concatenate([pad, lowest, pad]), reach, np.maximum))
+        return self._longer[block]
 
     @classmethod
     def of(cls, text: str, size: int) -> Text:
@@ -354,20 +365,21 @@ def blocks(text: str, other: str, block: int = BLOCK, line: int = LINE) -> list[
 def unexplained(one: Text, owner: Text, out: list[list[int]], block: int = BLOCK, line: int = LINE) -> np.ndarray:
     """Hashes of chosen runs of ``block`` words of ``one`` around those runs of ``line`` words that the owner holds as well,
     but as part of no block that goes: another document may hold more of them."""
-    runs = runs_of(one.words, block)
-    free = np.ones(len(one.runs), dtype=bool)
+    values, places, counts = one.distinct
+    their = owner.distinct[0]
+    if not len(values) or not len(their) or len(one.words) < block or out == [[0, len(one.words)]]:
+        return np.zeros(0, dtype=np.uint64)
+    shared = their[np.minimum(np.searchsorted(their, values), len(their) - 1)] == values
+    at = np.flatnonzero(np.isin(one.runs, values[shared])) if (counts[shared] > 1).any() else np.sort(places[shared])
     for x, y in out:
-        free[x : max(x, y - line + 1)] = False
-    at = np.flatnonzero(free & np.isin(one.runs, owner.distinct[0]))
-    if not len(at) or not len(runs):
+        at = at[(at < x) | (at > y - line)]
+    if not len(at):
         return np.zeros(0, dtype=np.uint64)
-    reach = min(SPARE + 1, len(runs))
-    lowest = _sliding(runs, reach, np.minimum)
-    pad = np.zeros(reach - 1, dtype=np.uint64)
-    chosen = np.flatnonzero(runs == _sliding(np.concatenate([pad, lowest, pad]), reach, np.maximum))
-    k = np.searchsorted(at, chosen)
-    away = np.minimum(np.abs(at[np.minimum(k, len(at) - 1)] - chosen), np.abs(at[np.maximum(k - 1, 0)] - chosen))
-    return np.unique(runs[chosen[away <= block + SPARE]])
+    runs, chosen = one.longer(block)
+    # Any BLOCK + SPARE words around a run of ``line`` words hold a chosen one that overlaps it.
+    k = np.searchsorted(at, chosen - line + 1)
+    near = at[np.minimum(k, len(at) - 1)] - chosen
+    return np.unique(runs[chosen[(near > -line) & (near < block)]])
 
 
 def _pairs(rows: DataFrame) -> DataFrame:

@@ -558,13 +558,13 @@ def _isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array([p[0] / p[2] for p in pools]), np.maximum.accumulate(levels)
 
 
-def fit(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES) -> tuple[Scorer, DataFrame]:
-    """The scorer, and all of ``docs`` as ``encoded`` for it."""
+def fit(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES, texts: DataFrame | None = None) -> tuple[Scorer, DataFrame]:
+    """The scorer, and all of ``docs`` as ``encoded`` for it; ``texts`` may give its texts under other ids."""
     sample = materialize(examples(docs, labels, limit), "examples")
     encoder = Encoder(example_words(sample), vocabulary(sample))
     spark, n = docs.sparkSession, docs.count()
     model = spark.sparkContext.broadcast(encoder)
-    rows = encoded(docs, encoder)
+    rows = encoded(docs if texts is None else texts, encoder)
     idf, tied_idf = (np.log((1 + n) / (1 + f)) + 1 for f in document_frequencies(rows, encoder))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -647,6 +647,13 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return score(rows, scorer)
 
 
+def toxic_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``digest``: MD5 of the texts whose score is 0.5 or more. Each text is encoded once, whatever its row's id."""
+    digest = F.md5(text_or_empty().cast("binary")).alias("doc_id")
+    scorer, rows = fit(docs, labels, texts=docs.select(digest, "text"))
+    return materialize(score(rows, scorer).filter("predicted = 1").select(F.col("doc_id").alias("digest")).distinct(), "toxic")
+
+
 def toxic_flag(scorer: Scorer) -> Column:
     """1 where the score of ``text`` is 0.5 or more, else 0."""
 
