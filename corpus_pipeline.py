@@ -15,7 +15,7 @@ from toolcat.llm.line_dedup import remove_repeated
 from toolcat.llm.packing import pack
 from toolcat.llm.pii import redact
 from toolcat.llm.simhash import simhash_keep
-from toolcat.llm.toxicity import fit, toxic_flag
+from toolcat.llm.toxicity import toxic_texts
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -25,9 +25,10 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the nearest labelled examples call toxic go."""
-    scorer, _ = fit(docs, table(spark, sf_dir, "labels"))
-    return docs.filter(toxic_flag(scorer) == 0)
+    """Documents that the nearest labelled examples call toxic go. Null texts count as empty; equal texts share their
+    fate, however long."""
+    toxic = toxic_texts(docs, table(spark, sf_dir, "labels"))
+    return docs.join(toxic, F.md5(F.coalesce("text", F.lit("")).cast("binary")) == toxic["digest"], "left_anti")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
