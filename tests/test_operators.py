@@ -337,3 +337,37 @@ def test_hub_without_kind(spark):
 def test_record_defaults(spark):
     row = descriptors.to_registry_record(spark.range(1), {}, "a", "m").first()
     assert len(row) == 14 and row.name == "" and row.input_file_formats == [] and row.archetype == "a"
+
+
+def test_ports_at_any_depth(spark):
+    def nested(depth):
+        item = {"name": "deep", "type": "data", "extensions": ["x", 1], "collection_types": None}
+        for i in range(depth):
+            item = {"type": "section", "inputs": [item]} if i % 2 else {"type": "conditional", "cases": [{"inputs": []}, {"inputs": [item]}]}
+        return {"inputs": [{"name": "first", "type": "data_collection"}, item, {"type": "repeat", "inputs": [{"name": "no", "type": "data"}]}, {"name": "last", "type": "data"}]}
+
+    rows = [(f"t{d}", json.dumps(nested(d))) for d in (0, 1, 5, 200)] + [("bad", "{"), ("none", None), ("odd", '{"inputs": {"type": "data"}}'), ("list", "[1]"), ("mixed", '{"inputs": [1, null, {"type": "data", "extensions": "x"}]}')]
+    found = toolio.data_inputs(spark.createDataFrame(rows, "tool_id string, io_json string"))
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.tool_id, []).append((r.name, len(r.place), r.extensions))
+    for d in (0, 1, 5, 200):
+        assert got[f"t{d}"] == [("first", 1, None), ("deep", 1 + d + (d + 1) // 2, ["x", "1"]), ("last", 1, None)]
+    assert got["mixed"] == [(None, 1, None)] and set(got) == {"t0", "t1", "t5", "t200", "mixed"}
+    assert found._jdf.queryExecution().executedPlan().toString().count("Generate explode") == 1
+
+
+def test_early_stop(spark):
+    listing, opened = spark.range(15_000).select(F.col("id").alias("hub_pos")), []
+
+    def attempt(entries):
+        opened.append(entries.count())
+        return entries.filter("hub_pos % 3 > 0"), entries.filter("hub_pos % 3 = 0")
+
+    good, bad = hub.take_successful(listing, 10, attempt)
+    assert [r.hub_pos for r in good.orderBy("hub_pos").collect()] == [i for i in range(15) if i % 3] and [r.hub_pos for r in bad.orderBy("hub_pos").collect()] == [0, 3, 6, 9, 12]
+    assert sum(opened) < 100
+    good, bad = hub.take_successful(listing.limit(7), 10, attempt)
+    assert good.count() == 4 and bad.count() == 3 and hub.take_successful(listing.limit(0), 10, attempt)[0].isEmpty()
+    far = lambda e: (e.filter("hub_pos >= 100"), e.filter("hub_pos < 100"))
+    assert [r.hub_pos for r in hub.take_successful(listing, 2, far)[0].collect()] == [100, 101]

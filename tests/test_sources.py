@@ -9,7 +9,7 @@ from http.server import BaseHTTPRequestHandler, HTTPServer
 import pytest
 
 from toolcat import schemas
-from toolcat.operators import publish
+from toolcat.operators import catalog, publish, versions
 from toolcat.sources import landing, rest
 from toolcat.streaming import incremental
 
@@ -98,6 +98,56 @@ def test_publishing(spark, server):
     assert not dead.success and dead.status is None and dead.error
 
 
+def test_publishing_sink(spark, server, tmp_path):
+    rows = spark.createDataFrame([(f"u{i}", 201 if i % 3 else 400) for i in range(50)], "uri string, status int").repartition(4)
+    good, bad = publish.publish_batches(rows, f"{server}/tools", "t", str(tmp_path / "answers"), batch=20)
+    assert {r.key for r in good.collect()} == {f"u{i}" for i in range(50) if i % 3} and {r.status for r in bad.collect()} == {400}
+    assert bad.count() == 17 and len(list((tmp_path / "answers").glob("*.parquet"))) == 3  # a file a job
+    none, failed = publish.publish_batches(rows, f"{server}/tools", None, str(tmp_path / "none"))
+    assert none.isEmpty() and {r.status for r in failed.collect()} == {403}
+    assert publish.publish_batches(rows.limit(0), server, "t", str(tmp_path / "empty"))[0].isEmpty()
+
+
+def test_publishing_sink_keeps_what_a_broken_task_sent(spark, server, tmp_path):
+    spark.dataSource.register(publish.Registry)
+    rows = spark.createDataFrame([(f"u{i}", '{"status": 201}' if i != 5 else None) for i in range(10)], "key string, body string").coalesce(1)
+    results = str(tmp_path / "answers")
+    with pytest.raises(Exception, match="broke off"):
+        rows.write.format("registry").mode("append").options(url=f"{server}/tools", token="t", results=results).save()
+    assert sorted(r.key for r in spark.read.parquet(results).collect()) == [f"u{i}" for i in range(5)]
+
+
+def test_versions(spark, tmp_path):
+    schema = "uri string, n long"
+    store = versions.Versions(spark, str(tmp_path / "store"), schema)
+    assert store.latest() == 0 and store.read().isEmpty()
+    insert = lambda *uris: lambda t: catalog.insert_if_absent(spark.createDataFrame([(u, len(u)) for u in uris], schema), t)
+    assert store.update(insert("a", "b")) == 1
+    pinned = store.read()
+    base = store.read(1)
+    assert store.commit(insert("c")(base), 1) == 2
+    with pytest.raises(versions.Conflict):
+        store.commit(insert("d")(base), 1)  # its base isn't the last version any more
+    calls, late = [], threading.Barrier(2, timeout=60)
+
+    def change(uri):
+        def run(target):
+            calls.append(uri)
+            if calls.count(uri) == 1:
+                late.wait()  # both start from one version
+            return insert(uri)(target)
+
+        return run
+
+    threads = [threading.Thread(target=store.update, args=(change(u),)) for u in "ef"]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert store.latest() == 4 and len(calls) == 3 and {r.uri for r in store.read().collect()} == set("abcef")
+    assert {r.uri for r in pinned.collect()} == set("ab") and [tuple(r) for r in store.history().orderBy("version").collect()] == [(1, 2), (2, 3), (3, 4), (4, 5)]
+    store.tidy(2)
+    assert store.read(3).count() == 4 and len(list((tmp_path / "store" / "data").iterdir())) == 2
+
+
 def test_incremental_ingest(spark, tmp_path):
     target, landed = str(tmp_path / "registry"), tmp_path / "landing"
     landed.mkdir()

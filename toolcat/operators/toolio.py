@@ -2,46 +2,68 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import json
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from toolcat.functions.text import or_default
-from toolcat.scratch import written
+from toolcat.schemas import A, S, struct
 
-_ITEMS = "array<string>"
-_PORT = "name string, type string, extensions array<string>, collection_types array<string>, cases array<string>, inputs array<string>"
-#: Levels that are worked off before what is left is written down.
-LEVELS = 6
+_PORT = T.StructType([T.StructField("place", T.ArrayType(T.IntegerType())), *struct(name=S, type=S, extensions=A, collection_types=A).fields])
 
 
-def _levels(level: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
-    """The data ports of the next n levels, and the level below them."""
-    found = []
-    for _ in range(n):
-        rows = level.select("tool_id", "at", F.posexplode("items").alias("i", "item"))
-        rows = rows.select("tool_id", F.concat("at", F.array("i")).alias("place"), F.from_json("item", _PORT).alias("p"))
-        found.append(rows.filter(F.col("p.type").isin("data", "data_collection")).select("tool_id", "place", "p.name", "p.type", "p.extensions", "p.collection_types"))
-        case = F.transform("p.cases", lambda c, i: F.struct(
-            F.concat("place", F.array(i)).alias("at"), F.from_json(F.get_json_object(c, "$.inputs"), _ITEMS).alias("items")))
-        section = F.array(F.struct(F.col("place").alias("at"), F.col("p.inputs").alias("items")))
-        below = F.when(F.col("p.type") == "section", section).when(F.col("p.type") == "conditional", case)
-        level = rows.select("tool_id", F.explode(below).alias("b")).select("tool_id", "b.at", "b.items")
-    return reduce(DataFrame.unionByName, found), level
+def _text(value) -> str | None:
+    return value if value is None or isinstance(value, str) else json.dumps(value, separators=(",", ":"), ensure_ascii=False)
+
+
+def _texts(value) -> list | None:
+    return [_text(v) for v in value] if isinstance(value, list) else None
+
+
+def ports_of(description: str | None) -> list[dict]:
+    """The data ports of one description in document order. What is still to be visited lies on a stack, each list with
+    the path of positions that leads to it."""
+    try:
+        doc = json.loads(description or "null")
+    except (ValueError, RecursionError):
+        return []
+    found, stack = [], [((), doc["inputs"])] if isinstance(doc, dict) and isinstance(doc.get("inputs"), list) else []
+    while stack:
+        at, items = stack.pop()
+        if isinstance(items, dict):  # one item
+            items, entries = None, [(at, items)]
+        else:
+            entries = [((*at, i), item) for i, item in enumerate(items)] if isinstance(items, list) else []
+        for k, (place, item) in enumerate(entries):
+            if not isinstance(item, dict):
+                continue
+            kind, below = item.get("type"), []
+            if kind in ("data", "data_collection"):
+                found.append({"place": list(place), "name": _text(item.get("name")), "type": kind, "extensions": _texts(item.get("extensions")), "collection_types": _texts(item.get("collection_types"))})
+            elif kind == "section":
+                below = [(place, item.get("inputs"))]
+            elif kind == "conditional" and isinstance(item.get("cases"), list):
+                below = [((*place, i), case.get("inputs")) for i, case in enumerate(item["cases"]) if isinstance(case, dict)]
+            if below:  # first what lies below, then the rest of this list
+                stack += [(p, x) for p, x in reversed(entries[k + 1 :])]
+                stack += [(p, x) for p, x in reversed(below) if isinstance(x, list)]
+                break
+    return found
+
+
+@F.pandas_udf(T.ArrayType(_PORT))
+def _ports(descriptions: pd.Series) -> pd.Series:
+    return descriptions.map(ports_of)
 
 
 def data_inputs(io: DataFrame) -> DataFrame:
     """Data ports at any level, in document order; cases of conditionals and sections are entered, repeats are
-    not. ``place`` is the port's path of positions."""
-    items = F.from_json(F.get_json_object("io_json", "$.inputs"), _ITEMS)
-    level, parts = io.select("tool_id", F.array().cast("array<int>").alias("at"), items.alias("items")), []
-    while True:
-        found, below = _levels(level, LEVELS)
-        parts.append(found)
-        level = written(below, "ports")
-        if level.isEmpty():
-            return reduce(DataFrame.unionByName, parts)
+    not. ``place`` is the port's path of positions. Each description is parsed once; one that is no JSON has no ports."""
+    rows = io.select("tool_id", F.explode(_ports("io_json")).alias("p"))
+    return rows.select("tool_id", "p.*")
 
 
 def outputs(io: DataFrame) -> DataFrame:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import threading
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+
 from pyspark.sql import functions as F
 
 from toolcat import schemas
 from toolcat.functions.text import is_shed_uri, shed_uri_parts, strip_http, tool_id, tool_uri
-from toolcat.operators import catalog, hub, ledger, publish, repair, repotree, resolve, toolio, workflow
+from toolcat.operators import catalog, hub, ledger, publish, repair, repotree, resolve, toolio, versions, workflow
 from toolcat.plans import lifts, pipelines
 from toolcat.plans import repository_lifts as repos
 from toolcat.scratch import new_path, written
@@ -152,7 +156,7 @@ def landed_app_index(spark, sf):
     names = lifts.read(spark, sf, "nation").select(F.col("n_name").alias("name"))
     rows = landing.app_index(spark, repos.landed_json(names, "index", F.lit(0)))
     parts = lifts.read(spark, sf, "supplier").join(lifts.read(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    return parts.join(rows.filter("name < 'K'"), F.col("n_name") == F.col("name"), "left_semi").select("s_suppkey", "n_name")
+    return parts.join(rows.filter("name < 'NATION_2'"), F.col("n_name") == F.col("name"), "left_semi").select("s_suppkey", "n_name")
 
 
 def landed_texts(spark, sf):
@@ -285,6 +289,55 @@ def published_without_token(spark, sf):
     return failed.select("key", F.col("status").cast("long").alias("status")).unionByName(sent.select("key", F.col("status").cast("long").alias("status")))
 
 
+class _Answers(BaseHTTPRequestHandler):
+    """A registry that knows uris which end in 1 already, fails for those in 2 and takes all others."""
+
+    def do_POST(self):
+        uri = json.loads(self.rfile.read(int(self.headers["Content-Length"])))["uri"]
+        body = f"got {uri[-1]}".encode()
+        self.send_response({"1": 409, "2": 500}.get(uri[-1], 201))
+        self.send_header("Content-Length", str(len(body)))
+        self.end_headers()
+        self.wfile.write(body)
+
+    def log_message(self, *_):
+        pass
+
+
+def published_records(spark, sf):
+    server = ThreadingHTTPServer(("", 0), _Answers)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url = f"http://{spark.conf.get('spark.driver.host')}:{server.server_port}/tools"
+    try:  # the answers are written when this returns
+        sent, failed = publish.publish_batches(_registry(spark, sf), url, "token", new_path(spark, "answers"))
+    finally:
+        server.shutdown()
+        server.server_close()
+    rows = sent.withColumn("side", F.lit("sent")).unionByName(failed.withColumn("side", F.lit("failed")))
+    return rows.select("key", "side", F.col("status").cast("long").alias("status"), F.coalesce("response", "error").alias("answer"))
+
+
+def registry_versions(spark, sf):
+    rows = lifts.registry_batches(spark, sf)
+    store = versions.Versions(spark, new_path(spark, "store"), rows.schema)
+    for b in range(3):
+        store.update(lambda target, b=b: catalog.insert_if_absent(rows.filter(F.col("batch") == b), target, order="id"))
+    second = store.read(2).agg(F.sum("id").alias("ids"), F.count("*").alias("rows")).select(F.lit(-2).cast("long").alias("version"), "rows", "ids")
+    return store.history().withColumn("ids", F.lit(None).cast("long")).unionByName(second)
+
+
+def early_stopped_workflows(spark, sf):
+    raw = repos.archives(spark, sf)
+    listing = lifts.read(spark, sf, "orders").select(F.col("o_orderkey").alias("hub_pos"), F.concat(F.col("o_orderkey").cast("string"), F.lit(".zip")).alias("path"))
+
+    def attempt(entries):
+        opened = landing.first_workflows(raw.join(entries.select("path"), "path", "left_semi")).join(entries, "path")
+        return opened.filter("ga IS NOT NULL").select("hub_pos", "path", "entry"), opened.filter("ga IS NULL").select("hub_pos", "path", "error")
+
+    good, bad = hub.take_successful(listing, 25, attempt)
+    return good.select("hub_pos", "path", "entry").unionByName(bad.select("hub_pos", "path", F.lit("failed").alias("entry")))
+
+
 def _five_tables(spark, sf):
     tools = written(_tools(spark, sf)[0], "tools")
     rows = tools.select(F.col("id").alias("url"), F.col("tool_name").alias("name"), "version", "description", F.lit("{}").alias("ga"), F.lit(None).cast("string").alias("format_version"), "inputs", "outputs")
@@ -315,7 +368,7 @@ def queries() -> dict:
         harvest_failures, archived_workflows, landed_hub, landed_repositories, landed_install_info, landed_tree, landed_descriptors, landed_app_index,
         landed_texts, landed_tool_io, tool_io_outputs, crawl_many, crawl_many_smart, tool_folders_below, crawl_many_counts, crawled_ledger,
         crawled_tools, stored_ledger_pending, stored_registry, registry_without_newlines, repaired_versions, converter_differences,
-        repointed_ledger, backfilled_tools, published_without_token, normalized_artifacts, normalized_outputs, tool_tables_outputs,
+        repointed_ledger, backfilled_tools, published_without_token, published_records, registry_versions, early_stopped_workflows, normalized_artifacts, normalized_outputs, tool_tables_outputs,
     )}
 
 
@@ -408,7 +461,7 @@ def oracle_sql() -> dict[str, str]:
                   UNION ALL SELECT repo, dir || '/sub', '.Shed.yml' FROM d WHERE k % 10 = 0)
             SELECT repo, name, count(*) AS n, count(DISTINCT dir) AS dirs FROM x GROUP BY ALL""",
         "landed_descriptors": "SELECT s_suppkey % 50 AS app, max(s_name) AS name FROM supplier GROUP BY s_suppkey % 50",
-        "landed_app_index": "SELECT s_suppkey, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_name < 'K'",
+        "landed_app_index": "SELECT s_suppkey, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_name < 'NATION_2'",
         "landed_texts": """WITH p AS (SELECT p_partkey % 20 AS r, arg_max(p_partkey, 'lib/d' || p_partkey || '/') AS k FROM part WHERE p_partkey % 4 <> 0 GROUP BY 1)
             SELECT 'r' || r AS repo, md5('owner: own' || k || chr(10) || CASE WHEN k % 8 = 0 THEN 'long_description: long' || chr(10) ELSE '' END
                    || 'description: short' || chr(10) || 'categories: [" A' || r || '", "  ", Bb]') AS content_md5 FROM p""",
@@ -441,6 +494,14 @@ def oracle_sql() -> dict[str, str]:
         "backfilled_tools": """SELECT CAST(k AS VARCHAR) AS folder_url, CASE WHEN e THEN CASE WHEN k % 4 = 0 THEN 'short' ELSE p_type END WHEN k % 2 = 0 THEN '' ELSE 'has' END AS description,
             CASE WHEN e THEN p_brand WHEN k % 3 = 0 THEN 'me' ELSE '' END AS owner, CASE WHEN e THEN lower(p_brand) ELSE '' END AS categories
             FROM (SELECT *, p_partkey AS k, p_partkey % 2 = 0 AND p_partkey % 3 <> 0 AND p_partkey % 5 <> 0 AS e FROM part)""",
+        "published_records": f"SELECT {_URI} AS key, CASE WHEN doc_id % 10 IN (1, 2) THEN 'failed' ELSE 'sent' END AS side, "
+        "CAST(CASE doc_id % 10 WHEN 1 THEN 409 WHEN 2 THEN 500 ELSE 201 END AS BIGINT) AS status, 'got ' || (doc_id % 10) AS answer FROM documents",
+        "registry_versions": """WITH b AS (SELECT md5(text) AS uri, min(doc_id % 3) AS batch, arg_min(doc_id, (doc_id % 3, doc_id)) AS id FROM documents GROUP BY 1)
+            SELECT CAST(v + 1 AS BIGINT) AS version, CAST((SELECT count(*) FROM b WHERE batch <= v) AS BIGINT) AS rows, CAST(NULL AS BIGINT) AS ids FROM range(3) t(v)
+            UNION ALL SELECT CAST(-2 AS BIGINT), count(*), CAST(sum(id) AS BIGINT) FROM b WHERE batch <= 1""",
+        "early_stopped_workflows": """WITH k AS (SELECT o_orderkey AS k, o_orderkey % 5 = 0 OR o_orderkey % 11 = 0 AS bad FROM orders),
+            r AS (SELECT *, sum(CASE WHEN bad THEN 0 ELSE 1 END) OVER (ORDER BY k) AS n FROM k)
+            SELECT k AS hub_pos, k || '.zip' AS path, CASE WHEN bad THEN 'failed' ELSE 'z/second.ga' END AS entry FROM r WHERE n < 25 OR (n = 25 AND NOT bad)""",
         "published_without_token": f"SELECT {_URI} AS key, CAST(403 AS BIGINT) AS status FROM documents WHERE doc_id % 2 = 0",
         "normalized_artifacts": f"WITH {_TOOLS} SELECT 't' || k AS location, p_name AS name, version, 'unknown' AS metadata_version, version AS contract_version, "
         "CASE WHEN k % 4 = 1 THEN 'own' WHEN k % 4 = 0 THEN '' ELSE 'short' END AS description FROM t",
