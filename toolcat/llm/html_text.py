@@ -47,26 +47,47 @@ _OPEN = _LAYOUT | frozenset(
     "html head nav header footer aside form ul ol li dl dd dt table thead tbody tfoot tr th blockquote figure figcaption "
     "details summary fieldset button dialog menu label pre".split()
 )
-_DROPPED = frozenset("head nav footer aside form button dialog menu label".split())
-# Words in a class, id or role that mark what isn't the article.
+_DROPPED = frozenset("head nav footer aside button dialog menu label".split())
+# Words in a class, id or role that mark what isn't the article wherever they stand, those that do so only
+# alone or beside words of the same kinds, and words that may stand beside them.
 _NOISE = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent contentinfo "
-    "cookie cookies disqus footer header masthead menu modal nav navbar navigation newsletter notice notices outbrain "
-    "pagination popup promo promoted promotion recommended related replies reply search share sharing sidebar signup social "
-    "sponsor sponsored subscribe subscription taboola toolbar widget widgets".split()
+    "advert adverts advertisement advertising breadcrumb breadcrumbs consent contentinfo cookie cookies disqus masthead modal nav navbar "
+    "newsletter outbrain pagination popup promo promoted promotion sidebar signup sponsor sponsored subscribe subscription taboola toolbar".split()
 )
+_WEAK = frozenset(
+    "ad ads adv banner comment comments footer header menu navigation notice notices recommended related replies reply responses search share "
+    "sharing social widget widgets".split()
+)
+_BESIDE = frozenset(
+    "area article articles bar block bottom box button buttons col column container content count entry footer form global group icon icons inner "
+    "item items left link links list main media mobile more news outer page panel post posts primary reader right row section secondary site slot "
+    "space story stories sub text thread top topics unit user wrap wrapper".split()
+)
+_ARTICLE = frozenset("article entry post single story".split())
+_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 _WORDS = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
 
 
-def _labels(attributes: str) -> tuple[str, bool]:
-    """The generalised classes, and whether class, id or role marks noise."""
-    classes, noise = [], False
+def _kind(token: str) -> str:
+    """noise, header (an article's own) or nothing, for one class, id or role."""
+    words = [w.lower() for w in _WORDS.findall(token)]
+    if any(w in _NOISE or w.startswith("comment") and len(w) > 8 for w in words):
+        return "noise"
+    weak = [w for w in words if w in _WEAK]
+    if not weak or any(w not in _WEAK and w not in _BESIDE for w in words):
+        return ""
+    return "header" if weak == ["header"] and not _ARTICLE.isdisjoint(words) else "noise"
+
+
+def _labels(attributes: str) -> tuple[str, str]:
+    """The generalised classes, and whether class, id or role marks noise or an article's header."""
+    classes, kinds = [], set()
     for m in _NAMED.finditer(attributes):
         value = m[2] or m[3] or m[4] or ""
-        noise = noise or any(w.lower() in _NOISE for w in _WORDS.findall(value))
+        kinds |= {_kind(x) for x in value.split()}
         if m[1].lower() == "class":
             classes = sorted({c for x in value.lower().split() if (c := re.sub(r"\d+", "", x).strip("-_"))})
-    return "".join(f".{c}" for c in classes), noise
+    return "".join(f".{c}" for c in classes), "noise" if "noise" in kinds else "header" if "header" in kinds else ""
 
 
 def _tags(html: str) -> Iterator[tuple[int, int, str, bool, str]]:
@@ -127,26 +148,30 @@ class Page:
         return out
 
 
-def parse(html: str) -> Page:
-    """The blocks outside dropped elements, in page order."""
-    page, stack = Page(), []  # the stack holds tag, node, kept
+def parse(html: str, forms: bool = False) -> Page:
+    """The blocks outside dropped elements, in page order. A form is dropped, but where forms hold most of the page's
+    unlinked text the page lies in them, and only their controls are."""
+    page, stack = Page(), []  # the stack holds tag, node, kept, inside a form, inside an article's header
     parts: list[str] = []
     open_tags: Counter = Counter()
-    linked = in_link = at = node = in_heading = 0
-    kept = True
+    linked = in_link = at = node = in_heading = in_forms = 0
+    kept, form, header, skipped = True, False, False, False
+    inline, depth = "", 0  # the inline element of noise that is open, and how many of its kind
 
     def flush() -> None:
-        nonlocal linked, parts
+        nonlocal linked, parts, in_forms
         if parts:
             text = " ".join("".join(parts).split())
-            if text and kept:
+            if text and form and not forms:
+                in_forms += len(text) - min(linked, len(text))
+            elif text:
                 page.blocks.append((node, text, min(linked, len(text))))
             parts = []
         linked = 0
 
     def read(text: str) -> None:
         nonlocal linked
-        if text and kept and (not open_tags["header"] or in_heading):  # of an article's header only headings are text
+        if text and kept and not skipped and not inline and (not header or in_heading):  # of an article's header only headings are text
             text = unescape(text) if "&" in text else text
             parts.append(text)
             linked += len(text) * (in_link > 0)
@@ -159,11 +184,18 @@ def parse(html: str) -> Page:
         if tag in _INLINE:
             if tag == "a":
                 in_link = max(0, in_link + (-1 if closing else 1))
+            if inline:
+                depth += (tag == inline) * (-1 if closing else 1)
+                inline = inline if depth else ""
+            elif not closing and "=" in attributes and not attributes.endswith("/") and _labels(attributes)[1] == "noise":
+                inline, depth = tag, 1
             continue
         flush()
-        if tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
+        inline, skipped = "", False
+        if tag in _HEADINGS:
             in_heading = 0 if closing else 1
-        if tag not in _OPEN:
+        if tag not in _OPEN:  # a paragraph of noise ends with the next tag of a block
+            skipped = not closing and "=" in attributes and _labels(attributes)[1] == "noise"
             continue
         in_link = in_heading = 0
         if closing:
@@ -176,16 +208,18 @@ def parse(html: str) -> Page:
             if tag == "body":
                 stack = [x for x in stack if x[0] == "html"]  # a head that wasn't closed ends here
                 open_tags = Counter(x[0] for x in stack)
-            labels, noise = _labels(attributes) if attributes.strip() else ("", False)
-            above, ok = stack[-1][1:] if stack else (0, True)
-            ok = ok and tag not in _DROPPED and not (noise and tag not in ("html", "body", "article", "main"))
+            labels, kind = _labels(attributes) if attributes.strip() else ("", "")
+            above, ok, inside, top = stack[-1][1:] if stack else (0, True, False, False)
+            ok = ok and tag not in _DROPPED and not (kind == "noise" and tag not in ("html", "body", "article", "main"))
             ok = ok and (tag != "header" or open_tags["article"] + open_tags["main"] > 0)
             own = page.child(above, tag + labels, tag in ("article", "main")) if tag in _LAYOUT else above
-            stack.append((tag, own, ok))
+            stack.append((tag, own, ok, inside or tag == "form", top or tag == "header" or kind == "header"))
             open_tags[tag] += 1
-        node, kept = stack[-1][1:] if stack else (0, True)
+        node, kept, form, header = stack[-1][1:] if stack else (0, True, False, False)
     read(html[at:])
     flush()
+    if in_forms > sum(len(text) - size for _, text, size in page.blocks):
+        return parse(html, forms=True)
     return page
 
 
