@@ -99,6 +99,17 @@ def runs_of(h: np.ndarray, size: int = LINE) -> np.ndarray:
     return out ^ (out >> np.uint64(32))
 
 
+def long_runs(h: np.ndarray, size: int) -> np.ndarray:
+    """As ``runs_of``, other values, by sums from the start, which take as long for any size."""
+    n = len(h) - size + 1
+    if n <= 0:
+        return np.zeros(0, dtype=np.uint64)
+    up, down = _Powers.get(len(h))
+    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(h * up)])
+    out = (sums[size:] - sums[:n]) * down[:n]
+    return (out ^ (out >> np.uint64(31))) * _Q
+
+
 def _sliding(values: np.ndarray, size: int, pick) -> np.ndarray:
     """pick (minimum or maximum) of each ``size`` values in a row."""
     done, out = 1, values
@@ -232,7 +243,7 @@ class Text:
     def longer(self, block: int) -> tuple[np.ndarray, np.ndarray]:
         """The hash of each ``block`` words in a row, and where those start that their hashes choose."""
         if block not in self._longer:
-            runs = runs_of(self.words, block)
+            runs = long_runs(self.words, block)
             reach = min(SPARE + 1, len(runs))
             lowest = _sliding(runs, reach, np.minimum)
             pad = np.zeros(reach - 1, dtype=np.uint64)
