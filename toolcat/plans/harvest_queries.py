@@ -323,7 +323,7 @@ def registry_versions(spark, sf):
     for b in range(3):
         store.update(lambda target, b=b: catalog.insert_if_absent(rows.filter(F.col("batch") == b), target, order="id"))
     second = store.read(2).agg(F.sum("id").alias("ids"), F.count("*").alias("rows")).select(F.lit(-2).cast("long").alias("version"), "rows", "ids")
-    return store.history().withColumn("ids", F.lit(None).cast("long")).unionByName(second)
+    return store.history().withColumn("ids", F.lit(0).cast("long")).unionByName(second)
 
 
 def early_stopped_workflows(spark, sf):
@@ -497,7 +497,7 @@ def oracle_sql() -> dict[str, str]:
         "published_records": f"SELECT {_URI} AS key, CASE WHEN doc_id % 10 IN (1, 2) THEN 'failed' ELSE 'sent' END AS side, "
         "CAST(CASE doc_id % 10 WHEN 1 THEN 409 WHEN 2 THEN 500 ELSE 201 END AS BIGINT) AS status, 'got ' || (doc_id % 10) AS answer FROM documents",
         "registry_versions": """WITH b AS (SELECT md5(text) AS uri, min(doc_id % 3) AS batch, arg_min(doc_id, (doc_id % 3, doc_id)) AS id FROM documents GROUP BY 1)
-            SELECT CAST(v + 1 AS BIGINT) AS version, CAST((SELECT count(*) FROM b WHERE batch <= v) AS BIGINT) AS rows, CAST(NULL AS BIGINT) AS ids FROM range(3) t(v)
+            SELECT CAST(v + 1 AS BIGINT) AS version, CAST((SELECT count(*) FROM b WHERE batch <= v) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS ids FROM range(3) t(v)
             UNION ALL SELECT CAST(-2 AS BIGINT), count(*), CAST(sum(id) AS BIGINT) FROM b WHERE batch <= 1""",
         "early_stopped_workflows": """WITH k AS (SELECT o_orderkey AS k, o_orderkey % 5 = 0 OR o_orderkey % 11 = 0 AS bad FROM orders),
             r AS (SELECT *, sum(CASE WHEN bad THEN 0 ELSE 1 END) OVER (ORDER BY k) AS n FROM k)
