@@ -2,16 +2,18 @@
 
 import io
 import json
+import random
 import threading
 import zipfile
-from http.server import BaseHTTPRequestHandler, HTTPServer
+from http.server import BaseHTTPRequestHandler, HTTPServer, ThreadingHTTPServer
 
 import pytest
+from pyspark.sql import functions as F
 
 from toolcat import schemas
-from toolcat.operators import catalog, publish, versions
+from toolcat.operators import catalog, ledger, publish, versions
 from toolcat.sources import landing, rest
-from toolcat.streaming import incremental
+from toolcat.streaming import incremental, ledger_state
 
 
 def archive(*entries):
@@ -83,7 +85,7 @@ def test_rest_pages(spark, server):
     rows = spark.read.format("rest_pages").option("urls", f"{server}/list").option("token", "t").load().collect()
     assert [json.loads(r.body) for r in sorted(rows)] == [{"page": 1, "auth": "Bearer t"}, {"page": 2, "auth": "Bearer t"}]
     with pytest.raises(Exception, match="500"):
-        spark.read.format("rest_pages").option("urls", f"{server}/fail").load().collect()
+        spark.read.format("rest_pages").options(urls=f"{server}/fail", attempts=2, pauseSeconds=0).load().collect()
 
 
 def test_publishing(spark, server):
@@ -157,3 +159,100 @@ def test_incremental_ingest(spark, tmp_path):
         incremental.ingest(spark, str(landed), target, str(tmp_path / "checkpoint"), schemas.tool_generic)
     incremental.ingest(spark, str(landed), target, str(tmp_path / "checkpoint"), schemas.tool_generic)
     assert sorted((r.uri, r.name) for r in landing.registry(spark, target).collect()) == [("a", "a0"), ("b", "b0"), ("c", "c1")]
+
+
+@pytest.fixture
+def listing():
+    """Pages of two entries; each status in ``refusals`` is given once instead of page 3."""
+
+    class Handler(BaseHTTPRequestHandler):
+        def log_message(self, *_):
+            pass
+
+        def do_GET(self):
+            page, held = int(self.path.rpartition("=")[2]), self.server.held
+            if page == 3 and self.server.refusals:
+                self.send_response(self.server.refusals.pop())
+                self.send_header("Retry-After", "0")
+                return self.end_headers()
+            self.send_response(200)
+            if len(held) > 2 * page:
+                self.send_header("next_page", f"http://127.0.0.1:{self.server.server_port}/list?page={page + 1}")
+            self.end_headers()
+            self.wfile.write(json.dumps(held[2 * page - 2 : 2 * page]).encode())
+
+    http = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    http.held, http.refusals = [], []
+    threading.Thread(target=http.serve_forever, daemon=True).start()
+    yield http
+    http.shutdown()
+
+
+def test_rest_stream_resumes(spark, listing, tmp_path):
+    spark.dataSource.register(rest.RestSource)
+    target, url = str(tmp_path / "entries"), f"http://127.0.0.1:{listing.server_port}/list?page=1"
+
+    def harvest():
+        rows = spark.readStream.format("rest_pages").options(urls=url, pauseSeconds=0).load()
+        job = rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", str(tmp_path / "checkpoint"))
+        job.trigger(availableNow=True).start().awaitTermination()
+
+    listing.held = list(range(7))
+    listing.refusals = [500, 403]  # page 3 fails twice
+    harvest()
+    assert listing.refusals == []
+    for more in (0, 1, 4):  # nothing new, the last page fills up, pages follow
+        listing.held += range(len(listing.held), len(listing.held) + more)
+        harvest()
+    rows = spark.read.parquet(target).collect()
+    assert sorted(int(r.body) for r in rows) == list(range(12)) and all(r.page.endswith(f"={int(r.body) // 2 + 1}") for r in rows)
+    listing.refusals = [403] * 9
+    with pytest.raises(Exception, match="403"):
+        spark.read.format("rest_pages").options(urls=url, pauseSeconds=0, attempts=3).load().collect()
+
+
+def test_ledger_as_state(spark, tmp_path):
+    """Equal to ``ledger.transition`` over the same outcomes, a step at a time, however they are cut into batches."""
+    rng = random.Random(5)
+    urls = [f"u{i}" for i in range(12)]
+    rows = [(u, rng.choice([0, 0, 0, 3, None]), rng.choice([None, None, "403", "500"]), n, 0) for n in range(8) for u in rng.sample(urls, 7)]
+    state = spark.createDataFrame([("u0", "processed"), ("u1", "error"), ("x", "pending")], "url string, status string")
+    then, none = F.timestamp_seconds(F.lit(0)), F.lit(None).cast("string")
+    state = state.select(
+        "url", "status", F.when(F.col("status") == "error", "500").alias("error_code"), F.lit("toolshed").alias("source_type"),
+        F.lit("galaxy_shed_tool").alias("artifact_type"), none.alias("stored_id"), none.alias("stored_table"), then.alias("created_at"), then.alias("updated_at"),
+    )
+    outcomes = spark.createDataFrame(rows, "url string, tools long, error_code string, n long, seq long")
+    outcomes = outcomes.withColumn("at", F.timestamp_seconds(F.col("n") + 1))
+    landed = tmp_path / "outcomes"
+    landed.mkdir()
+
+    def run(retry_ms):
+        stream = spark.readStream.schema(outcomes.schema).parquet(str(landed / "*"))
+        ledger_state.run(stream, str(tmp_path / "changes"), str(tmp_path / "checkpoint"), retry_ms, state)
+
+    for i, (a, b) in enumerate(((0, 2), (2, 6), (6, 8))):
+        outcomes.filter(f"n >= {a} AND n < {b}").repartition(1).write.parquet(str(landed / str(i)))
+        run(3_600_000)
+    after = state
+    for n in range(8):
+        now = F.timestamp_seconds(F.lit(n + 1))
+        after = spark.createDataFrame(ledger.transition(after, outcomes.filter(F.col("n") == n), now).collect(), state.schema)
+    want = {r.url: (r.status, r.error_code, r.updated_at) for r in after.collect()}
+    changed = spark.read.parquet(str(tmp_path / "changes"))
+    got = {r.url: (r.status, r.error_code, r.updated_at) for r in ledger_state.latest(changed).collect()}
+    untouched = {r.url: (r.status, r.error_code, r.updated_at) for r in state.collect() if r.url not in got}
+    assert got | untouched == want and "x" in untouched and "u0" in untouched and not changed.filter("retry").count()
+
+
+def test_errors_are_due_again(spark, tmp_path):
+    schema = "url string, tools long, error_code string, at timestamp, seq long"
+    landed = tmp_path / "outcomes"
+    landed.mkdir()
+    for i, (url, tools, code) in enumerate((("a", 0, "403"), ("b", 1, None), ("a", 2, None), ("c", 0, None))):
+        one = spark.createDataFrame([(url, tools, code, i, i)], "url string, tools long, error_code string, n long, seq long")
+        one.select("url", "tools", "error_code", F.timestamp_seconds("n").alias("at"), "seq").write.parquet(str(landed / str(i)))
+        ledger_state.run(spark.readStream.schema(schema).parquet(str(landed / "*")), str(tmp_path / "changes"), str(tmp_path / "checkpoint"), 0)
+    rows = spark.read.parquet(str(tmp_path / "changes")).collect()
+    assert {r.url for r in rows if r.retry} == {"a"}
+    assert {(r.url, r.status) for r in rows if not r.retry} == {("a", "error"), ("b", "completed"), ("a", "completed"), ("c", "pending")}
