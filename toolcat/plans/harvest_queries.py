@@ -15,6 +15,7 @@ from toolcat.plans import lifts, pipelines
 from toolcat.plans import repository_lifts as repos
 from toolcat.scratch import new_path, written
 from toolcat.sources import landing
+from toolcat.streaming import ledger_state
 
 
 def _tools(spark, sf):
@@ -71,6 +72,19 @@ def workflow_tool_parameters(spark, sf):
     return rows.select(F.col("url").cast("string").alias("url"), F.array_join(F.transform("inputs", lambda p: p["name"]), "|").alias("names"))
 
 
+def rival_tools(spark, sf):
+    """Tools at both ends where several files claim one id and steps carry two ids."""
+    ends = workflow.endpoint_tools(workflow.steps(workflow.parse(repos.rival_workflows(spark, sf))))
+    found = resolve.resolve(ends, repos.install_info(spark, sf), repos.rival_tools(spark, sf))
+    return resolve.attach(ends, found)[0].select("url", "side", "name", "dir", "path", "version")
+
+
+def strict_workflows(spark, sf):
+    parsed = workflow.parse(repos.rival_workflows(spark, sf))
+    kept = workflow.reject_defective(parsed).select(F.lit("kept").alias("stage"), F.col("url").alias("key"), F.lit("").alias("reason"))
+    return kept.unionByName(workflow.defects(parsed))
+
+
 def tool_uri_parts(spark, sf):
     tools = workflow.tool_steps(workflow.steps(workflow.parse(repos.part_workflows(spark, sf))))
     u = shed_uri_parts(F.col("tool"))
@@ -223,6 +237,22 @@ def stored_ledger_pending(spark, sf):
     return rows.groupBy("url").agg(F.count("*").alias("n"))
 
 
+def streamed_ledger(spark, sf):
+    """The ledger as keyed state: an outcome per event, landed and taken in three parts by time."""
+    seen = lifts.read(spark, sf, "events").filter("user_id IS NOT NULL AND ts IS NOT NULL").select(
+        F.col("user_id").cast("string").alias("url"), (F.col("event_type") == "purchase").cast("long").alias("tools"),
+        F.when(F.col("event_type") == "error", F.concat(F.lit("e"), (F.col("event_id") % 3).cast("string"))).alias("error_code"),
+        F.col("ts").cast("timestamp").alias("at"), F.col("event_id").alias("seq"),
+    )
+    root, days = new_path(spark, "outcomes"), F.dayofmonth("at")
+    for i, part in enumerate((days <= 10, (days > 10) & (days <= 20), days > 20)):
+        seen.filter(part).write.parquet(f"{root}/landed/{i}")
+        stream = spark.readStream.schema(seen.schema).parquet(f"{root}/landed/*")
+        ledger_state.run(stream, f"{root}/changes", f"{root}/checkpoint")
+    rows = ledger_state.latest(spark.read.schema(ledger_state.changes).parquet(f"{root}/changes"))
+    return rows.select("url", "status", F.coalesce("error_code", F.lit("")).alias("code"), *(F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("created_at", "updated_at")))
+
+
 def stored_registry(spark, sf):
     root = new_path(spark, "registry")
     catalog.create_tables(spark, root)
@@ -364,7 +394,7 @@ def tool_tables_outputs(spark, sf):
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        macro_tools, token_expansions, rejected_tools, tool_ids, resolved_tools, unresolved_tools, workflow_tool_parameters, tool_uri_parts, tool_version_lookup, harvested_workflows,
+        macro_tools, token_expansions, rejected_tools, rival_tools, strict_workflows, streamed_ledger, tool_ids, resolved_tools, unresolved_tools, workflow_tool_parameters, tool_uri_parts, tool_version_lookup, harvested_workflows,
         harvest_failures, archived_workflows, landed_hub, landed_repositories, landed_install_info, landed_tree, landed_descriptors, landed_app_index,
         landed_texts, landed_tool_io, tool_io_outputs, crawl_many, crawl_many_smart, tool_folders_below, crawl_many_counts, crawled_ledger,
         crawled_tools, stored_ledger_pending, stored_registry, registry_without_newlines, repaired_versions, converter_differences,
@@ -383,7 +413,7 @@ _TOOLS = """
 # A part's own workflow steps: ends, tools and what they resolve to.
 _ENDS = """
     s AS (SELECT conv_id AS c, turn, min(role) AS role FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL),
-    p AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn) - 1 AS pos, (c * 13 + turn) % 260 + 1 AS k FROM s),
+    p AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn) - 1 AS pos, (c * 7919 + turn) % (SELECT max(p_partkey) + 60 FROM part) + 1 AS k FROM s),
     u AS (SELECT *, CASE WHEN role NOT IN ('system', 'user') THEN 'toolshed.example.org/repos/o/r' || (k % 20) || '/t' || k || '/' ||
           CASE WHEN turn % 4 = 1 THEN '9.9' WHEN k % 3 = 0 THEN '1.0' ELSE '2.0' END END AS tool FROM p),
     e AS (SELECT c, turn AS dst, turn - 1 AS src FROM s WHERE turn > 0 AND turn % 4 <> 3
@@ -428,6 +458,25 @@ def oracle_sql() -> dict[str, str]:
         "CASE WHEN p_partkey % 5 < 2 THEN '@P@' ELSE 'p' END AS help, CASE WHEN p_partkey % 5 = 0 THEN 'token_cycle' ELSE '' END AS note FROM part",
         "rejected_tools": "SELECT 'tool' AS stage, 'lib/d' || p_partkey || '/t.xml' AS key, CASE WHEN p_partkey % 5 = 0 THEN 'not_xml' ELSE 'not_a_tool' END AS reason "
         "FROM part WHERE p_partkey % 5 = 0 OR p_partkey % 3 = 0",
+        "rival_tools": """WITH f AS (SELECT p_partkey % 100 AS x, 'lib/d' || p_partkey AS dir, 'lib/d' || p_partkey || '/t.xml' AS path, 't' || p_size AS version FROM part
+                UNION ALL SELECT p_partkey % 100, 'lib/d' || p_partkey, 'lib/d' || p_partkey || '/b.xml', 'b' || p_size FROM part WHERE p_partkey % 2 = 0),
+            b AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY x ORDER BY dir, path) = 1),
+            e AS (SELECT o_orderkey AS k, 'in' AS side, CASE WHEN o_orderkey % 4 < 2 THEN 0 ELSE 1 END AS d FROM orders WHERE o_orderkey % 4 <> 3
+                  UNION ALL SELECT o_orderkey, 'out', CASE WHEN o_orderkey % 4 = 1 THEN 0 ELSE 1 END FROM orders)
+            SELECT CAST(k AS VARCHAR) AS url, side, 't' || x AS name, dir, path, version FROM e JOIN b ON x = (k + d) % 100 WHERE x % 20 <> 13""",
+        "strict_workflows": """SELECT 'kept' AS stage, CAST(o_orderkey AS VARCHAR) AS key, '' AS reason FROM orders WHERE o_orderkey % 6 <> 0 AND o_orderkey % 10 <> 0
+            UNION ALL SELECT 'workflow', CAST(o_orderkey AS VARCHAR), CASE WHEN o_orderkey % 10 = 0 THEN 'step without type' ELSE 'step without connections' END
+            FROM orders WHERE o_orderkey % 6 = 0 OR o_orderkey % 10 = 0""",
+        "streamed_ledger": """WITH o AS (SELECT user_id AS u, ts, event_id AS i, event_type = 'purchase' AS p, CASE WHEN event_type = 'error' THEN 'e' || (event_id % 3) END AS code
+                       FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL),
+            d AS (SELECT u, min((ts, i)) AS at, arg_min(ts, (ts, i)) AS ts FROM o WHERE p GROUP BY u),
+            e AS (SELECT o.u, o.ts, o.i, code, lag(code) OVER (PARTITION BY o.u ORDER BY o.ts, o.i) AS b FROM o WHERE code IS NOT NULL),
+            c AS (SELECT u, arg_max(code, (ts, i)) AS code, arg_max(ts, (ts, i)) AS ts FROM e WHERE b IS NULL OR b <> code GROUP BY u),
+            f AS (SELECT u, min(ts) AS ts FROM o GROUP BY u)
+            SELECT CAST(f.u AS VARCHAR) AS url, CASE WHEN d.u IS NOT NULL THEN 'completed' WHEN c.u IS NOT NULL THEN 'error' ELSE 'pending' END AS status,
+                   CASE WHEN d.u IS NULL THEN coalesce(c.code, '') ELSE '' END AS code, strftime(f.ts, '%Y-%m-%d %H:%M:%S') AS created_at,
+                   strftime(CASE WHEN d.u IS NOT NULL THEN d.ts ELSE coalesce(c.ts, f.ts) END, '%Y-%m-%d %H:%M:%S') AS updated_at
+            FROM f LEFT JOIN d ON d.u = f.u LEFT JOIN c ON c.u = f.u""",
         "tool_ids": "SELECT url, 'edc:tool:' || right(lpad(lower(to_base(CAST('0x' || substr(sha256(url), 1, 15) AS BIGINT), 36)), 12, '0'), 9) AS id "
         "FROM (SELECT 'https://hub.example.org/' || o_orderkey AS url FROM orders)",
         "resolved_tools": f"WITH {_TOOLS}, {_ENDS} SELECT DISTINCT tool, 't' || k AS name, 'https://github.com/o/r' || (k % 20) AS repo_url, 'lib/d' || k AS dir, "

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from toolcat.plans.lifts import TOOL_PREFIX, read, workflows
+from toolcat.schemas import tool_xml
 from toolcat.scratch import new_path
 
 REPOS = 20
@@ -94,12 +95,44 @@ def tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def part_workflows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``url, ga``: workflows whose steps use the tools of ``contents``; for each fourth turn a version that differs, and
-    keys beyond the parts there are."""
-    k = (F.col("conv_id") * 13 + F.col("turn")) % 260 + 1
+    60 keys beyond the parts there are."""
+    last = read(spark, sf_dir, "part").agg(F.max("p_partkey")).first()[0] or 0
+    k = (F.col("conv_id") * 7919 + F.col("turn")) % (last + 60) + 1
     version = F.when(F.col("turn") % 4 == 1, "9.9").otherwise(F.when(k % 3 == 0, "1.0").otherwise("2.0"))
     return workflows(spark, sf_dir, _text(TOOL_PREFIX, "/o/r", (k % REPOS).cast("string"), "/t", k.cast("string"), "/", version))
 
 
+def rival_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``repo_url, id, dir, path, version, ...``: tools of which many folders of a repository, and two files of each folder with
+    an even key, claim the same id."""
+    p, k = _part(spark, sf_dir), F.col("k")
+    file = F.explode(F.when(k % 2 == 0, F.array(F.lit("t.xml"), F.lit("b.xml"))).otherwise(F.array(F.lit("t.xml"))))
+    rows = p.select("k", "r", "size", _text("lib/d", F.col("ks")).alias("dir"), file.alias("file"))
+    none = F.array().cast(tool_xml["inputs"].dataType)
+    return rows.select(
+        _text("https://github.com/o/r", F.col("r")).alias("repo_url"), _text("t", (k % 100).cast("string")).alias("id"), "dir",
+        F.concat_ws("/", "dir", "file").alias("path"), F.concat(F.substring("file", 1, 1), "size").alias("version"),
+        none.alias("inputs"), none.alias("outputs"), F.lit("").alias("description"),
+    )
+
+
+def rival_workflows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``url, ga``: a workflow per order, an input step and two tool steps, whose steps name one tool in ``tool_id`` and the
+    next one in ``content_id`` (keys 0 by 4), leave out either (1, 2), or have a tool of no repository first (3). For each sixth
+    the last step's connections aren't there, and for each tenth its type."""
+    k = F.col("o_orderkey")
+    uri = lambda x, v: _text('"', TOOL_PREFIX, "/o/r", (x % 100 % REPOS).cast("string"), "/t", (x % 100).cast("string"), f'/{v}"')
+    ids = _text(
+        '"tool_id": ', F.when(k % 4 < 2, uri(k, "1.0")).when(k % 4 == 2, '""').otherwise('"Filter1"'),
+        ', "content_id": ', F.when(k % 4 == 1, "null").otherwise(uri(k + 1, "2.0")),
+    )
+    steps = _text(
+        '{"0": {"type": "data_input", "input_connections": {}}, "1": {"type": "tool", "input_connections": {"in": {"id": 0}}, ', ids,
+        '}, "2": {', F.when(k % 10 != 0, '"type": "tool", ').otherwise(""), F.when(k % 6 != 0, '"input_connections": {"in": {"id": 1}}, ').otherwise(""), ids, "}}",
+    )
+    return read(spark, sf_dir, "orders").select(k.cast("string").alias("url"), _text('{"uuid": "u", "steps": ', steps, "}").alias("ga"))
+
+
 def install_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``owner, repo, revision, info``: where each revision of a repository comes from; repository 13 isn't known."""
     rows = _part(spark, sf_dir).select("r", F.explode(F.array(F.lit("1.0"), F.lit("2.0"), F.lit("9.9"))).alias("revision")).distinct().filter("r <> '13'")
