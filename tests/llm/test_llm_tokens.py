@@ -59,19 +59,35 @@ def test_token_counts(spark, library):
     texts = {i: t for i, t, _ in rows[: len(ODD)]}
     for r in got:
         if r.doc_id:
-            begin, rest = texts[r.doc_id][: r.limit_chars], texts[r.doc_id][r.limit_chars :]
-            assert len(ids_of(library, begin)) <= 3 and len(ids_of(library, begin)) + len(ids_of(library, rest)) == r.n_tokens
+            assert len(ids_of(library, texts[r.doc_id][: r.limit_chars])) <= 3
+            words = texts[r.doc_id].replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            assert r.limit_words == sum(len(ids_of(library, " ".join(words[: k + 1]))) <= 3 for k in range(len(words)))
     assert token_counts.token_counts(docs.limit(0)).count() == 0
 
 
 def test_every_prefix(spark, library):
-    text = "Don't  stop, 12 tokenizers!\nEnd"
-    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
-    rows = token_counts.prefix_counts(docs, "character")
-    r = rows.first()
-    assert r.counts == [len(ids_of(library, text[:i])) for i in range(len(text) + 1)]
-    cut = rows.select(token_counts.truncation_point(4).alias("cut"), token_counts.tokens_before(10).alias("n")).first()
-    assert len(ids_of(library, text[: cut.cut])) <= 4 and cut.n == r.counts[10]
+    texts = ["Don't  stop, 12 tokenizers!\nEnd", *ODD]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = token_counts.prefix_counts(docs, "character", limit=5)
+    got = {r.doc_id: r for r in rows.collect()}
+    for i, text in enumerate(texts):
+        assert got[i].counts == [len(ids_of(library, text[:j])) for j in range(len(text) + 1)], text
+        plain = all(map(token_counts.is_plain, text.split()))
+        best = max(j for j, n in enumerate(got[i].counts) if n <= 5)
+        # white space behind the last token is left out
+        assert text[: got[i].limit_chars].rstrip() == text[:best].rstrip() if plain else got[i].counts[got[i].limit_chars] <= 5
+    cut = rows.filter("doc_id = 0").select(token_counts.truncation_point(4).alias("cut"), token_counts.tokens_before(10).alias("n")).first()
+    assert len(ids_of(library, texts[0][: cut.cut])) <= 4 and cut.n == got[0].counts[10]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="abcdeilnorstu-'é½.!", min_size=1, max_size=30))
+def test_prefixes_of_parts_equal_the_library(text):
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(PATH)
+    want = [len(lib.encode(text[:j], add_special_tokens=False).ids) for j in range(len(text) + 1)]
+    assert token_counts.character_prefixes(text, PATH).tolist() == want
 
 
 def test_packing(spark, library):

@@ -50,20 +50,9 @@ def _split(text: str) -> list[str]:
     return out
 
 
-def part_end(text: str, k: int) -> int:
-    """Where the k-th of the text's parts ends, in characters."""
-    if k < 1:
-        return 0
-    if "<|" not in text and _PLAIN_TEXT.fullmatch(text):
-        return next(islice(_PART.finditer(text.lower()), k - 1, k)).end()
-    at = 0
-    for w in split_words(text):
-        plain = _PLAIN.fullmatch(w) and "<|" not in w
-        ends = [m.end() for m in _PART.finditer(w.lower())] if plain else [len(w)]
-        if k <= len(ends):
-            return at + ends[k - 1]
-        k, at = k - len(ends), at + len(w) + 1
-    return len(text)
+def is_plain(part: str) -> bool:
+    """Whether the part is looked up letter by letter, and doesn't go to the library as a whole word."""
+    return "<|" not in part and bool(_PLAIN.fullmatch(part))
 
 
 def _byte_letters() -> list[str]:
@@ -115,6 +104,10 @@ class WordEncoder:
 
     def ids(self, texts: list[str]) -> list[list[bytes]]:
         """The ids of each part of each text, little-endian unsigned 32-bit."""
+        return self.coded(texts)[1]
+
+    def coded(self, texts: list[str]) -> tuple[list[list[str]], list[list[bytes]]]:
+        """The parts of each text and their ids."""
         split = list(map(_split, texts))
         flat = list(chain.from_iterable(split))
         got = list(map(self.parts.get, flat))
@@ -122,7 +115,7 @@ class WordEncoder:
             learned = self._learn({p for p, x in zip(flat, got, strict=True) if x is None})
             got = [learned[p] if x is None else x for p, x in zip(flat, got, strict=True)]
         rest = iter(got)
-        return [list(islice(rest, len(parts))) for parts in split]
+        return split, [list(islice(rest, len(parts))) for parts in split]
 
     def word_counts(self, text: str) -> list[int]:
         """The number of tokens of each of the text's ``split_words``."""
