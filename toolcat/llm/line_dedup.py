@@ -26,7 +26,7 @@ by ``remove_repeated``; an empty table gives no rows.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,7 +44,6 @@ CHANCE = 3
 #: Bytes of texts whose words are hashed together.
 BYTES = 1 << 20
 
-_SPACE = np.array([b <= 32 for b in range(256)])
 _P, _Q = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -70,15 +69,16 @@ def words(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(b)
     if not n:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
-    space = _SPACE[b]
+    space = b <= 32
     begin = np.ones(n + 4, dtype=bool)
     begin[1:n] = space[:-1]
     wide = np.flatnonzero(b >= 0xE0)  # each sign of three or four bytes stands alone
     begin[wide] = True
     begin[wide + 3 + (b[wide] >= 0xF0)] = True
     begin = begin[:n] & ~space
-    starts, bounds = np.flatnonzero(begin), np.append(np.flatnonzero(begin | space), n)
-    ends = bounds[np.searchsorted(bounds, starts, "right")]
+    bounds = np.append(np.flatnonzero(begin | space), n)
+    word = np.flatnonzero(begin[bounds[:-1]])
+    starts, ends = bounds[word], bounds[word + 1]
     up, down = _Powers.get(n)
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
@@ -92,11 +92,18 @@ def runs_of(h: np.ndarray, size: int = LINE) -> np.ndarray:
     n = len(h) - size + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    out = h[:n].copy()
-    for j in range(1, size):
-        out *= _Q
-        out += h[j : j + n]
-    return out ^ (out >> np.uint64(32))
+    out, done, part, k = None, 0, h, 1  # part: runs of k words, a power of two
+    while True:
+        if size & k:
+            out = part if out is None else part[: len(part) - done] * _power(done) + out[k:]
+            done += k
+        if done == size:
+            return out ^ (out >> np.uint64(32))
+        part, k = part[: len(part) - k] * _power(k) + part[k:], 2 * k
+
+
+def _power(n: int) -> np.uint64:
+    return np.uint64(pow(int(_Q), n, 1 << 64))
 
 
 def long_runs(h: np.ndarray, size: int) -> np.ndarray:
@@ -120,12 +127,21 @@ def _sliding(values: np.ndarray, size: int, pick) -> np.ndarray:
     return out
 
 
+def _lines(data: bytes, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first word of each line that has words, and how many it has."""
+    if not len(starts):
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    after = np.append(0, np.searchsorted(starts, np.flatnonzero(np.frombuffer(data, dtype=np.uint8) == 10)))
+    first = after[np.append(after[1:] != after[:-1], True) & (after < len(starts))]
+    return first, np.diff(np.append(first, len(starts)))
+
+
 def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Text numbers and hashes of the lines and chosen runs of some texts; each hash once a text."""
     data = b"\n".join(texts)
     edges = np.cumsum([0] + [len(t) + 1 for t in texts])
     starts, _, h = words(data)
-    of = np.searchsorted(edges, starts, "right") - 1
+    of = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(starts, edges)))
     out = []
     runs = runs_of(h)
     if len(runs):
@@ -143,9 +159,7 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             chosen = np.flatnonzero(runs == _sliding(held, REACH, np.maximum))
             out.append((of[chosen], runs[chosen]))
         # Lines, too short to hold a chosen run for sure.
-        line = np.cumsum(np.frombuffer(data, dtype=np.uint8) == 10)[starts]
-        first = np.flatnonzero(np.diff(line, prepend=-1))
-        sizes = np.diff(np.append(first, len(line)))
+        first, sizes = _lines(data, starts)
         some = (sizes >= LINE) & (sizes < LINE + REACH)
         up, down = _Powers.get(len(h))
         sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(h * up)])
@@ -212,8 +226,9 @@ def _same(a: np.ndarray, b: np.ndarray) -> int:
     while done < n:
         stop = min(n, done + step)
         differ = a[done:stop] != b[done:stop]
-        if differ.any():
-            return done + int(differ.argmax())
+        at = int(differ.argmax())
+        if differ[at]:
+            return done + at
         done, step = stop, 4 * step
     return n
 
@@ -222,9 +237,10 @@ def _diagonals(at: np.ndarray, other: np.ndarray) -> list[tuple[int, int, int]]:
     """Runs of matches that go on in both texts, as start, other start and number of matches; ``at`` ascends."""
     if not len(at):
         return []
-    first = np.flatnonzero(np.r_[True, (np.diff(at) != 1) | (np.diff(other) != 1)])
-    sizes = np.diff(np.append(first, len(at)))
-    return list(zip(at[first].tolist(), other[first].tolist(), sizes.tolist(), strict=True))
+    new = (at[1:] - at[:-1] != 1) | (other[1:] - other[:-1] != 1)
+    first = [0, *(new.nonzero()[0] + 1).tolist()]
+    sizes = [y - x for x, y in zip(first, [*first[1:], len(at)], strict=True)]
+    return list(zip(at[first].tolist(), other[first].tolist(), sizes, strict=True))
 
 
 class Text:
@@ -237,7 +253,15 @@ class Text:
         self.data = text.encode()
         self.starts, self.ends, self.words = words(self.data)
         self.runs = runs_of(self.words, size)
-        self.distinct = np.unique(self.runs, return_index=True, return_counts=True)
+        order = self.runs.argsort(kind="stable")
+        ascending = self.runs[order]
+        first = np.ones(len(order), dtype=bool)
+        first[1:] = ascending[1:] != ascending[:-1]
+        edges = first.nonzero()[0]
+        #: Distinct runs, their first places and numbers, and for each run which of them it is.
+        self.distinct = ascending[edges], order[edges], np.diff(np.append(edges, len(order)))
+        self.which = np.empty(len(order), dtype=np.int64)
+        self.which[order] = first.cumsum() - 1
         self._longer: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def longer(self, block: int) -> tuple[np.ndarray, np.ndarray]:
@@ -261,24 +285,70 @@ class Text:
         return cls.kept[key]
 
 
-def align(one: Text, other: Text, size: int = LINE) -> list[tuple[int, int, int]]:
+class Shared:
+    """The runs that two texts share: where they stand in each, ascending, and their numbers among the other's distinct
+    runs."""
+
+    def __init__(self, one: Text, other: Text):
+        own, their = one.distinct[0], other.distinct[0]
+        self.at = self.number = self.to = self.other_number = np.zeros(0, dtype=np.int64)
+        if not len(own) or not len(their):
+            return
+        k = np.minimum(their.searchsorted(own), len(their) - 1)
+        same = their[k] == own
+        if not same.any():
+            return
+        self.at = same[one.which].nonzero()[0]
+        self.number = k[one.which[self.at]]
+        held = np.zeros(len(their), dtype=bool)
+        held[k[same]] = True
+        self.to = held[other.which].nonzero()[0]
+        self.other_number = other.which[self.to]
+
+    def unique(self, a0: int, a1: int, b0: int, b1: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the runs that start once in ``a0:a1`` and once in ``b0:b1``, ascending by the first."""
+        i, j = self.at.searchsorted((a0, a1)).tolist()
+        k, m = self.to.searchsorted((b0, b1)).tolist()
+        none = np.zeros(0, dtype=np.int64)
+        if i == j or k == m:
+            return none, none
+        own, their = self.number[i:j], self.other_number[k:m]
+        a, b = _once(own), _once(their)
+        if not len(a) or not len(b):
+            return none, none
+        own, their = own[a], their[b]
+        n = np.minimum(their.searchsorted(own), len(their) - 1)
+        both = their[n] == own
+        at, to = self.at[i:j][a[both]], self.to[k:m][b[n[both]]]
+        order = at.argsort()
+        return at[order], to[order]
+
+
+def _once(values: np.ndarray) -> np.ndarray:
+    """Where those values stand that occur once, ascending by value."""
+    order = values.argsort(kind="stable")
+    ascending = values[order]
+    new = ascending[1:] != ascending[:-1]
+    once = np.ones(len(order), dtype=bool)
+    once[1:] = new
+    once[:-1] &= new
+    return order[once]
+
+
+def align(one: Text, other: Text, size: int = LINE, shared: Shared | None = None) -> list[tuple[int, int, int]]:
     """Aligned blocks of two texts by patience diff: start, other start, words."""
     a, b = one.words, other.words
+    shared = shared or Shared(one, other)
     out: list[tuple[int, int, int]] = []
     todo = [(0, len(a), 0, len(b))]
     while todo:
         a0, a1, b0, b1 = todo.pop()
         if min(a1 - a0, b1 - b0) < size:
             continue
-        (own, own_at, n), (their, their_at, m) = (
-            t.distinct if (x, y) == (0, len(t.words)) else np.unique(t.runs[x : y - size + 1], return_index=True, return_counts=True)
-            for t, x, y in ((one, a0, a1), (other, b0, b1))
-        )
-        k = np.minimum(np.searchsorted(their, own), len(their) - 1)
-        unique = np.flatnonzero((their[k] == own) & (n == 1) & (m[k] == 1))
-        at, to = own_at[unique] + a0, their_at[k[unique]] + b0
-        order = np.argsort(at)
-        runs = _diagonals(at[order], to[order])
+        at, to = shared.unique(a0, a1 - size + 1, b0, b1 - size + 1)
+        if not len(at):
+            continue
+        runs = _diagonals(at, to)
         before = a0, b0
         for x, y, _ in (runs[i] for i in patience(runs)):
             if x < before[0] or y < before[1]:
@@ -296,23 +366,18 @@ def align(one: Text, other: Text, size: int = LINE) -> list[tuple[int, int, int]
     return sorted(out)
 
 
-def elsewhere(one: Text, other: Text, taken: list[tuple[int, int, int]], least: int, size: int = LINE) -> list[tuple[int, int]]:
+def elsewhere(one: Text, other: Text, taken: list[tuple[int, int, int]], least: int, size: int = LINE, shared: Shared | None = None) -> list[tuple[int, int]]:
     """Passages of at least ``least`` words outside the taken blocks that the other text holds at any place."""
     a, b = one.words, other.words
-    free = np.ones(len(one.runs), dtype=bool)
+    shared = shared or Shared(one, other)
+    free = np.ones(len(shared.at), dtype=bool)
     for x, _, n in taken:
-        free[x : x + n - size + 1] = False
-    values, places, _ = other.distinct
-    own, _, _ = one.distinct
-    if not free.any() or not len(values):
-        return []
-    shared = own[values[np.minimum(np.searchsorted(values, own), len(values) - 1)] == own]
-    if not len(shared):
+        free[slice(*shared.at.searchsorted((x, x + n - size + 1)))] = False
+    if not free.any():
         return []
-    at = np.flatnonzero(free & np.isin(one.runs, shared))
-    k = np.searchsorted(values, one.runs[at])
+    at = shared.at[free]
     out, end = [], 0
-    for x, y, n in _diagonals(at, places[k]):
+    for x, y, n in _diagonals(at, other.distinct[1][shared.number[free]]):
         if x + n <= end:
             continue
         back = _same(a[end:x][::-1], b[:y][::-1])
@@ -323,26 +388,26 @@ def elsewhere(one: Text, other: Text, taken: list[tuple[int, int, int]], least:
     return out
 
 
-def _gone(one: Text, owner: Text, block: int, line: int) -> list[list[int]]:
+def _gone(one: Text, owner: Text, block: int, line: int, shared: Shared | None = None) -> list[list[int]]:
     """The words of ``one`` that go because an earlier text is ``owner``, as starts and ends."""
-    data, starts, a = one.data, one.starts, one.words
-    if data == owner.data and len(a) >= block:
+    a = one.words
+    if one.data == owner.data and len(a) >= block:
         return [[0, len(a)]]
-    found = align(one, owner, line)
-    moved = elsewhere(one, owner, found, block, line)
+    shared = shared or Shared(one, owner)
+    found = align(one, owner, line, shared)
+    moved = elsewhere(one, owner, found, block, line, shared)
     if not found and not moved:
         return []
-    lines = np.cumsum(np.frombuffer(data, dtype=np.uint8) == 10)[starts]
-    first = np.flatnonzero(np.diff(lines, prepend=-1))
-    sizes = np.diff(np.append(first, len(lines)))
-    spans = []
+    first, sizes = _lines(one.data, one.starts)
+    lines, spans = first.tolist(), []
+    begin = set(lines)
     for x, n in [(x, n) for x, _, n in found] + moved:
         y = x + n
         if n >= block:  # few words of a line at either end are chance
-            edges = first[(first > x) & (first < y)].tolist()
-            if edges and edges[0] - x <= CHANCE and x not in first:
+            edges = lines[bisect_right(lines, x) : bisect_left(lines, y)]
+            if edges and edges[0] - x <= CHANCE and x not in begin:
                 x = edges[0]
-            if edges and y - edges[-1] <= CHANCE and y < len(a) and y not in first:
+            if edges and y - edges[-1] <= CHANCE and y < len(a) and y not in begin:
                 y = edges[-1]
             spans.append((x, y))
         else:
@@ -373,15 +438,12 @@ def blocks(text: str, other: str, block: int = BLOCK, line: int = LINE) -> list[
     return _places(one, _gone(one, Text.of(other, line), block, line))
 
 
-def unexplained(one: Text, owner: Text, out: list[list[int]], block: int = BLOCK, line: int = LINE) -> np.ndarray:
+def unexplained(one: Text, owner: Text, out: list[list[int]], block: int = BLOCK, line: int = LINE, shared: Shared | None = None) -> np.ndarray:
     """Hashes of chosen runs of ``block`` words of ``one`` around those runs of ``line`` words that the owner holds as well,
     but as part of no block that goes: another document may hold more of them."""
-    values, places, counts = one.distinct
-    their = owner.distinct[0]
-    if not len(values) or not len(their) or len(one.words) < block or out == [[0, len(one.words)]]:
+    if len(one.words) < block or out == [[0, len(one.words)]]:
         return np.zeros(0, dtype=np.uint64)
-    shared = their[np.minimum(np.searchsorted(their, values), len(their) - 1)] == values
-    at = np.flatnonzero(np.isin(one.runs, values[shared])) if (counts[shared] > 1).any() else np.sort(places[shared])
+    at = (shared or Shared(one, owner)).at
     for x, y in out:
         at = at[(at < x) | (at > y - line)]
     if not len(at):
@@ -412,9 +474,10 @@ def _aligned(pairs: DataFrame, texts: DataFrame, block: int, line: int) -> DataF
                 at, rows = [], []
                 for i, (own, other) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
                     one, owner = Text.of(own, line), Text.of(other, line)
-                    out = _gone(one, owner, block, line)
+                    shared = None if own == other and len(one.words) >= block else Shared(one, owner)
+                    out = _gone(one, owner, block, line, shared)
                     new = [(_mark(one.data), start, size, None) for start, size in _places(one, out)]
-                    new += [(None, None, None, h) for h in unexplained(one, owner, out, block, line).view(np.int64).tolist()]
+                    new += [(None, None, None, h) for h in unexplained(one, owner, out, block, line, shared).view(np.int64).tolist()]
                     rows += new
                     at += [i] * len(new)
                 numbers = [pa.array([r[j] for r in rows], pa.int32() if j < 3 else pa.int64()) for j in range(4)]
