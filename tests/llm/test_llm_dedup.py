@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -386,6 +387,49 @@ def test_near_copies_of_one_template(spark, members):
         assert len({k for k in kept if k < members}) <= 0.02 * members
 
 
+def test_large_shards_lose_no_link(spark, monkeypatch):
+    """Couples of one template, each only like its other half: in large shards of many parts the groups are those of all
+    links, by brute force."""
+    monkeypatch.setattr(sh, "NEAR_SHARD", 8)
+    monkeypatch.setattr(sh, "PART", 16)
+    monkeypatch.setattr(sh, "CELL", 32, raising=False)
+    r = random.Random(31)
+    base, texts = [f"{r.choice(WORDS)}{i}" for i in range(300)], {}
+    for k in range(60):
+        words = list(base)
+        for i in range(6):
+            words[50 * i + r.randrange(5, 45)] = f"new{r.randrange(10**7)}"
+        texts[k] = " ".join(words)
+        words[r.randrange(300)] = f"own{k}"
+        texts[60 + k] = " ".join(words)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    sketches = {row.doc_id: row for row in sh._sketches(docs, 5, 42).collect()}
+    sets = {k: sh._shingles(t.encode().lower().split(), 5) for k, t in texts.items()}
+    least = {k: k for k in texts}
+    for a in texts:
+        for b in range(a):
+            x, y = sketches[a], sketches[b]
+            if any(p == q for p, q in zip(x["keys"], y["keys"], strict=True)) and ((x.fp ^ y.fp) & (1 << 64) - 1).bit_count() <= sh.NEAR_RADIUS:
+                if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                    own, other = least[a], least[b]
+                    least = {k: min(own, other) if v in (own, other) else v for k, v in least.items()}
+    kept = {row.doc_id for row in sh.simhash_keep(docs).collect()}
+    assert kept == set(least.values()) and 50 <= len(kept) <= 60
+
+
+def test_possible_pairs_hold_all_similar_ones():
+    r = np.random.default_rng(5)
+    sets = [np.unique(r.integers(0, 400, r.integers(1, 300))).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) for _ in range(90)]
+    sets += [np.unique(np.concatenate([s[: int(len(s) * 0.93)], s[:2] + np.uint64(1)])) for s in sets]
+    fps, roots = r.integers(0, 1 << 16, len(sets)).astype(np.uint64), np.arange(len(sets)) // 3
+    bits = np.stack([sh.shingle_bits(s) for s in sets]).view(np.uint64)
+    held = fps, roots, np.array([len(s) for s in sets]), bits
+    found = {(a, b) for x, y in sh.possible_pairs(held, held, 18, 0.8) for a, b in zip(x.tolist(), y.tolist(), strict=True)}
+    every = {(a, b) for a in range(len(sets)) for b in range(len(sets)) if roots[a] != roots[b]}
+    true = {(a, b) for a, b in every if len(np.intersect1d(sets[a], sets[b])) >= 0.8 * len(np.union1d(sets[a], sets[b]))}
+    assert len(true) > 60 and true <= found and len(found) < len(every) / 4
+
+
 def test_near_copies_keep_parts_and_maps(spark):
     r = random.Random(2)
     a, b, c = (" ".join(r.choice(WORDS) + str(r.randrange(10**6)) for _ in range(60)) for _ in range(3))

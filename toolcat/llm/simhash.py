@@ -29,10 +29,9 @@ from toolcat.llm.components import connected_components
 SHARD, LEVELS = 256, 5
 #: For near copies: bits by which fingerprints may differ, orders of shingles, and nodes in a shard.
 NEAR_RADIUS, KEYS, NEAR_SHARD = 18, 6, 96
-#: Pairs of orders by which larger shards are dealt again; those by which dense shards are; what a task gets of these:
-#: nodes of a part, as many of the core, and bytes of their shingles.
-PAIRS = [(i, j) for i in range(KEYS) for j in range(i + 1, KEYS) if j - i != KEYS // 2]
-DENSE_PAIRS, PART, PART_BYTES = [(0, 1), (2, 3), (4, 5)], 1024, 32 << 20
+#: What a task gets of a larger shard: nodes of a part, as many of the core, and bytes of their shingles; where parts
+#: are compared, nodes on either side of a cell, and bits of a set's signature.
+PART, PART_BYTES, CELL, BITS = 1024, 32 << 20, 8192, 2048
 _BLOCK = 65_000  # shingles whose bits are counted at once
 
 
@@ -291,27 +290,14 @@ def _by_shard(found, columns: list[str]):
     return run
 
 
-def _dealt(rows: DataFrame, sets: list[tuple[int, ...]], some: Column, label: str) -> DataFrame:
-    """``rows`` once for each of ``some`` of the sets of orders: with ``key``, their least shingles, and its ``size``."""
-    names = F.array(*(F.array(*map(F.lit, s)) for s in sets))
-    rows = rows.select("*", F.explode(F.filter(names, lambda s: F.forall(s, lambda j: F.array_contains(some, j)))).alias("used"))
-    key = F.xxhash64(F.transform("used", lambda j: F.struct(j.alias("j"), F.get("keys", j).alias("least"))))
-    rows = rows.withColumn("key", key)
-    sizes = rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    return materialize(join_groups(rows, sizes, "key", "size", max(1, rows.count())), label)
-
-
 def near_shards(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Shards of nodes that share a least shingle, ``key, doc, fp``, and dense ones, with ``n`` and ``size`` besides.
-    ``nodes``: doc, fp, keys, n. A shard of more than NEAR_SHARD nodes is dealt again by pairs of such orders."""
-    every = F.array(*map(F.lit, range(KEYS)))
-    first = _dealt(nodes, [(j,) for j in range(KEYS)], every, "near0")
-    small = first.filter(F.col("size") <= NEAR_SHARD).select("key", "doc", "fp")
-    large = first.filter(F.col("size") > NEAR_SHARD)
-    large = large.groupBy("doc").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.first("n").alias("n"), F.flatten(F.collect_list("used")).alias("large"))
-    second = _dealt(large, PAIRS, F.col("large"), "near1")
-    dense = F.col("used").isin(*(F.array(*map(F.lit, p)) for p in DENSE_PAIRS))
-    return small.unionByName(second.filter(F.col("size") <= NEAR_SHARD).select("key", "doc", "fp")), second.filter(dense & (F.col("size") > NEAR_SHARD)).select("key", "doc", "fp", "n", "size")
+    """All nodes that share a least shingle in one of the orders, as shards of at most NEAR_SHARD nodes, ``key, doc, fp``,
+    and larger ones, with ``n`` and ``size`` besides. ``nodes``: doc, fp, keys, n."""
+    rows = nodes.select("doc", "fp", "n", F.posexplode("keys").alias("order", "least"))
+    rows = rows.select("doc", "fp", "n", F.xxhash64("order", "least").alias("key"))
+    sizes = rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    dealt = materialize(join_groups(rows, sizes, "key", "size", max(1, KEYS * nodes.count())), "near")
+    return dealt.filter(F.col("size") <= NEAR_SHARD).select("key", "doc", "fp"), dealt.filter(F.col("size") > NEAR_SHARD)
 
 
 def near_candidates(shards: DataFrame, radius: int) -> DataFrame:
@@ -321,36 +307,127 @@ def near_candidates(shards: DataFrame, radius: int) -> DataFrame:
     return dealt.mapInArrow(_by_shard(lambda own: near_pairs(own, radius), ["key"]), f"doc {id_type}, owner {id_type}").distinct()
 
 
-def _parts(dense: DataFrame) -> DataFrame:
-    """``key, part, doc, fp``: dense shards in parts that fit a task. Where a shard has several parts, each gets its core
-    besides: about PART nodes whose fingerprints differ least from the majority of the shard's."""
-    total = max(1, dense.count())
+def _parts(large: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``key, part, doc, fp``: large shards in parts that fit a task, and ``key, doc, fp`` of those that have several. Each
+    of several parts gets its shard's core besides: about PART nodes, fewer if they are long, whose fingerprints differ
+    least from the majority of the shard's."""
+    total = max(1, large.count())
     ones = [F.sum(F.shiftrightunsigned("fp", i).bitwiseAND(F.lit(1))).alias(f"b{i}") for i in range(64)]
-    stats = dense.groupBy("key").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"), *ones)
+    stats = large.groupBy("key").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"), *ones)
     value = lambda i: F.lit((1 << i) if i < 63 else -(1 << 63))
     centre = sum((F.when(2 * F.col(f"b{i}") > F.col("members"), value(i)).otherwise(F.lit(0).cast("long")) for i in range(1, 64)), F.when(2 * F.col("b0") > F.col("members"), value(0)).otherwise(F.lit(0).cast("long")))
     parts = F.ceil(F.greatest(F.col("members") / PART, F.col("shingles") * 8 / PART_BYTES)).cast("int")
     parts = F.when((F.col("members") <= 2 * PART) & (F.col("shingles") * 8 <= 2 * PART_BYTES), 1).otherwise(parts)
-    stats = stats.select("key", "members", centre.alias("centre"), parts.alias("parts"))
-    rows = join_groups(dense.select("key", "doc", "fp"), stats, "key", "members", total)
+    core = F.least(F.lit(float(PART)), PART_BYTES * F.col("members") / (8 * F.col("shingles")))
+    stats = stats.select("key", "members", centre.alias("centre"), parts.alias("parts"), core.alias("core"))
+    rows = join_groups(large.select("key", "doc", "fp"), stats, "key", "members", total)
     rows = rows.withColumn("off", F.bit_count(F.col("fp").bitwiseXOR(F.col("centre"))))
-    rows = materialize(rows, "dense")
-    whole, split = rows.filter("parts = 1"), rows.filter("parts > 1")
-    near = split.groupBy("key", "off").agg(F.count("*").alias("c"), F.first("members").alias("members"))  # at most 65 rows a key
+    rows = materialize(rows, "large")
+    whole, several = rows.filter("parts = 1"), rows.filter("parts > 1")
+    near = several.groupBy("key", "off").agg(F.count("*").alias("c"), F.first("members").alias("members"), F.first("core").alias("core"))  # at most 65 rows a key
     before = F.sum("c").over(Window.partitionBy("key").orderBy("off")) - F.col("c")
-    shares = near.withColumn("share", F.greatest(F.lit(0.0), F.least(F.lit(1.0), (PART - before) / F.col("c"))))
+    shares = near.withColumn("share", F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("core") - before) / F.col("c"))))
     shares = shares.groupBy("key").agg(F.max("members").alias("size"), F.map_from_entries(F.collect_list(F.struct("off", "share"))).alias("shares"))
-    split = join_groups(split, shares, "key", "size", total)
+    split = join_groups(several, shares, "key", "size", total)
     core = F.pmod(F.xxhash64("doc", "key"), F.lit(1_000_003)) < F.try_element_at("shares", "off") * 1_000_003
     own = F.array(F.pmod(F.xxhash64("key", "doc"), "parts").cast("int"))
     split = split.withColumn("part", F.explode(F.when(core, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(own)))
-    return whole.select("key", F.lit(0).alias("part"), "doc", "fp").unionByName(split.select("key", "part", "doc", "fp"))
+    placed = whole.select("key", F.lit(0).alias("part"), "doc", "fp").unionByName(split.select("key", "part", "doc", "fp"))
+    return placed, several.select("key", "doc", "fp")
+
+
+def shingle_bits(hashes: np.ndarray) -> np.ndarray:
+    """BITS bits, those set which the remainders of a set's hashes name."""
+    out = np.zeros(BITS, dtype=np.uint8)
+    out[(hashes % np.uint64(BITS)).astype(np.int64)] = 1
+    return np.packbits(out)
+
+
+def possible_pairs(first: tuple, second: tuple, radius: int, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places in ``first`` and ``second`` of all pairs of different roots within the radius whose similarity can reach the
+    one asked for. Both hold arrays: fingerprint, number of the root, number of shingles, ``shingle_bits`` as words. A bit
+    that only one side has set stands for a shingle at least that the other side lacks, so no true link is left out."""
+    (fps, roots, sizes, bits), (other_fps, other_roots, other_sizes, other_bits) = first, second
+    for a in range(0, len(fps), 128):
+        near = np.bitwise_count(fps[a : a + 128, None] ^ other_fps) <= radius
+        near &= roots[a : a + 128, None] != other_roots
+        i, j = np.nonzero(near)
+        i += a
+        for c in range(0, len(i), 16_384):
+            x, y = i[c : c + 16_384], j[c : c + 16_384]
+            own, other = bits[x], other_bits[y]
+            lone = np.bitwise_count(own & ~other).sum(axis=1, dtype=np.int64), np.bitwise_count(other & ~own).sum(axis=1, dtype=np.int64)
+            both = np.minimum(sizes[x] - lone[0], other_sizes[y] - lone[1])
+            keep = both >= similarity * (sizes[x] + other_sizes[y] - both)
+            yield x[keep], y[keep]
+
+
+def _across_parts(split: DataFrame, shingles: DataFrame, found: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """``doc, owner``: the pairs of nodes of one shard that ``found`` (a, b) doesn't connect and that can be links.
+    ``split``: key, doc, fp; ``shingles``: doc, hashes. Of two such nodes one lies outside the shard's largest component,
+    so each node outside is compared with all, in cells of at most CELL by CELL nodes."""
+    id_type = split.schema["doc"].dataType.simpleString()
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(h, dtype=np.uint64) for h in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([shingle_bits(s).tobytes() for s in sets], pa.binary())], names=["doc", "m", "bits"]
+            )
 
+    roots = connected_components(found).withColumnRenamed("node", "doc")
+    nodes = materialize(split.join(roots, "doc", "left").withColumn("root", F.coalesce("root", "doc")), "rooted")
+    parts = nodes.groupBy("key", "root").agg(F.count("*").alias("c"))
+    parts = parts.groupBy("key").agg(F.max_by("root", "c").alias("main"), F.sum("c").alias("members"), (F.sum("c") - F.max("c")).alias("rest"))
+    parts = parts.filter("rest > 0").withColumns({"wide": F.ceil(F.col("members") / CELL).cast("int"), "high": F.ceil(F.col("rest") / CELL).cast("int")})
+    rows = join_groups(nodes, parts, "key", "members", max(1, nodes.count()))
+    wanted = rows.select("doc").distinct()
+    signed = shingles.join(wanted, "doc", "left_semi").mapInArrow(marks, f"doc {id_type}, m long, bits binary")
+    rows = materialize(rows.join(signed, "doc"), "across")
+    place = lambda n: F.pmod(F.xxhash64("key", "doc"), n).cast("int")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ("key", "doc", "fp", "root", "m", "bits")
+    outside = rows.filter("root <> main").select(*columns, F.lit(0).alias("side"), place("high").alias("row"), upto("wide").alias("col"))
+    every = rows.select(*columns, F.lit(1).alias("side"), upto("high").alias("row"), place("wide").alias("col"))
+
+    def cell(held: pa.Table) -> pa.Table:
+        held = held.combine_chunks()
+        root = held.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
+        bits = np.frombuffer(b"".join(held.column("bits").to_pylist()), dtype=np.uint64).reshape(-1, BITS // 64)
+        arrays = held.column("fp").to_numpy().view(np.uint64), root, held.column("m").to_numpy(), bits
+        at = [np.flatnonzero(held.column("side").to_numpy() == s) for s in (0, 1)]
+        pairs = list(possible_pairs(*(tuple(x[own] for x in arrays) for own in at), radius, similarity))
+        x, y = (np.concatenate([np.zeros(0, dtype=np.int64), *(p[i] for p in pairs)]) for i in (0, 1))
+        doc = held.column("doc")
+        return pa.table({"a": doc.take(pa.array(at[0][x])), "b": doc.take(pa.array(at[1][y]))})
+
+    pairs = outside.unionByName(every).groupBy("key", "row", "col").applyInArrow(cell, f"a {id_type}, b {id_type}")
+    return pairs.select(F.greatest("a", "b").alias("doc"), F.least("a", "b").alias("owner")).distinct()
+
+
+def verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """``a, b``: those of the pairs ``doc, owner`` whose sets of shingles have the similarity."""
 
-def dense_links(dense: DataFrame, texts: DataFrame, width: int, radius: int, similarity: float, seed: int) -> DataFrame:
-    """``a, b``: verified links that connect the nodes of dense shards. ``texts``: doc_id, text."""
-    id_type = dense.schema["doc"].dataType.simpleString()
-    placed = _parts(dense)
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                x, y = _shingles(a.encode().lower().split(), width), _shingles(b.encode().lower().split(), width)
+                both = len(x & y)
+                keep.append(both >= similarity * (len(x) + len(y) - both))
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+
+    id_type = pairs.schema["doc"].dataType.simpleString()
+    both = with_texts(pairs, texts).select(F.col("doc").alias("a"), F.col("owner").alias("b"), "own", "other")
+    return both.mapInArrow(alike, f"a {id_type}, b {id_type}")
+
+
+def large_links(large: DataFrame, texts: DataFrame, others: DataFrame, width: int, radius: int, similarity: float, seed: int) -> DataFrame:
+    """``a, b``: verified links that, with ``others`` (a, b), connect the nodes of large shards as all their links do. A
+    shard in one part is searched by its task. Of a shard in several parts each is searched with the core; then all
+    pairs that aren't connected yet are. ``texts``: doc_id, text."""
+    id_type = large.schema["doc"].dataType.simpleString()
+    placed, split = _parts(large)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -361,15 +438,20 @@ def dense_links(dense: DataFrame, texts: DataFrame, width: int, radius: int, sim
                 out.append(np.unique(np.fromiter((digest(b" ".join(words[i : i + width]), seed) for i in range(n)), dtype=np.uint64, count=n)).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["doc", "hashes"])
 
-    wanted = dense.select(F.col("doc").alias("doc_id")).distinct()
+    wanted = large.select(F.col("doc").alias("doc_id")).distinct()
     shingles = texts.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, f"doc {id_type}, hashes binary")
+    shingles = materialize(shingles, "shingles")
     dealt = placed.join(shingles, "doc").select("key", "part", "doc", "fp", "hashes").repartition("key", "part").sortWithinPartitions("key", "part", "doc")
 
     def found(own: list[tuple]) -> list[tuple]:
         return near_links([(doc, fp, np.frombuffer(h, dtype=np.uint64)) for doc, fp, h in own], radius, similarity)
 
     links = dealt.mapInArrow(_by_shard(found, ["key", "part"]), f"doc {id_type}, owner {id_type}").distinct()
-    return links.select(F.col("doc").alias("a"), F.col("owner").alias("b"))
+    links = materialize(links.select(F.col("doc").alias("a"), F.col("owner").alias("b")), "large_links")
+    if split.isEmpty():
+        return links
+    pairs = materialize(_across_parts(split, shingles, links.unionByName(others), radius, similarity), "across_pairs")
+    return links.unionByName(materialize(verified(pairs, texts, width, similarity), "across_links"))
 
 
 def simhash_keep(docs: DataFrame, width: int = 5, radius: int = NEAR_RADIUS, similarity: float = 0.8, seed: int = 42) -> DataFrame:
@@ -377,35 +459,26 @@ def simhash_keep(docs: DataFrame, width: int = 5, radius: int = NEAR_RADIUS, sim
     without an id. Rows that share an id are parts of one document, which stays or goes as a whole and is compared by one of
     its texts; of its rows with equal texts one stays.
 
-    Texts of the same words, in any case, are one group. Others are candidates if they share a least shingle and their
-    fingerprints lie within ``radius`` bits, and are linked if the Jaccard similarity of their sets of ``width``-word
-    shingles is ``similarity`` or more. In dense shards, where nearly all are candidates of all, links are verified where
-    they are found and only those that connect go on."""
+    Texts of the same words, in any case, are one group. Others are linked if they share a least shingle in one of KEYS
+    orders, their fingerprints lie within ``radius`` bits, and the Jaccard similarity of their sets of ``width``-word
+    shingles is ``similarity`` or more; the groups are those of all such links, however many share a shingle. In large
+    shards, where nearly all may be candidates of all, links are verified where they are found and only those that
+    connect go on."""
     known = docs.filter(F.col("doc_id").isNotNull())
     rows = materialize(_sketches(known, width, seed), "sketches")
     first = rows.groupBy("same").agg(F.min("doc_id").alias("first"), F.count("*").alias("size"))
     rows_first = materialize(join_groups(rows, first, "same", "size", max(1, rows.count())), "first")
     one = F.min_by(F.struct("fp", "keys", "n"), "same").alias("x")
     nodes = rows_first.filter("doc_id = first").groupBy(F.col("doc_id").alias("doc")).agg(one).select("doc", "x.*")
-    shards, dense = near_shards(nodes)
+    shards, large = near_shards(nodes)
     pairs = materialize(near_candidates(shards, radius), "candidates")
 
-    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = _shingles(a.encode().lower().split(), width), _shingles(b.encode().lower().split(), width)
-                both = len(x & y)
-                keep.append(both >= similarity * (len(x) + len(y) - both))
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
-
-    id_type = docs.schema["doc_id"].dataType.simpleString()
     texts = known.select("doc_id", text_or_empty().alias("text"))
-    both = with_texts(pairs, texts).select(F.col("doc").alias("a"), F.col("owner").alias("b"), "own", "other")
-    links = both.mapInArrow(alike, f"a {id_type}, b {id_type}")
-    if not dense.isEmpty():
-        links = links.unionByName(materialize(dense_links(dense, texts, width, radius, similarity, seed), "dense_links"))
+    links = verified(pairs, texts, width, similarity)
     copies = rows_first.filter("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
+    if not large.isEmpty():
+        links = materialize(links, "links")
+        links = links.unionByName(large_links(large, texts, links, width, radius, similarity, seed))
     gone = connected_components(links.unionByName(copies)).select(F.col("node").alias("_gone"))
     kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
     repeated = rows.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("_twice"))
