@@ -197,6 +197,19 @@ def test_boosted_trees_add_what_looks_like_base_spans(spark):
     assert len(added) <= 0.02 * len(clean)
 
 
+def test_trees_learn_from_all_examples(spark):
+    """So few of the examples are bad that a third of them would be too few to learn from."""
+    rows = spark.range(60_200, numPartitions=4).select(F.col("id").alias("key"), F.lit(0).alias("start"), (F.col("id") >= 200).cast("double").alias("label"))
+    value = {"digits": F.when(F.col("label") > 0, 10).otherwise(8), "length": F.lit(12) + F.col("key") % 3, "kind_rank": F.lit(3)}
+    rows = rows.select("*", *(value.get(n, F.lit(0)).cast("double").alias(n) for n in pii.FEATURES))
+    accept = pii.train(rows)
+    assert accept is not None
+    seen = spark.createDataFrame([(10.0, False), (8.0, False), (10.0, True)], "digits double, no boolean")
+    given = {n: F.lit(13.0 if n == "length" else 3.0 if n == "kind_rank" else 0.0) for n in pii.FEATURES}
+    one = seen.select(F.struct("no", *(F.col(n) if n == "digits" else c.alias(n) for n, c in given.items())).alias("c"))
+    assert [r[0] for r in one.select(accept(F.col("c"))).collect()] == [True, False, False]
+
+
 def base_of(text):
     return set(filter(None, base(text).split(",")))
 

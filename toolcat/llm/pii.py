@@ -6,9 +6,10 @@ of digits allows, and addresses with or without their sign. Boosted trees over f
 them. The trees never see what the base rules decide by (the plus before a phone number, the check digit of a card,
 the size of an address' parts, the at sign), so that a number which looks and stands like the accepted ones can be
 told from others. Good examples are the base spans; bad ones are what can't be data of that kind (``_clearly_not``);
-all other candidates are left out of training, and only they can be added. Half of the bounded sample trains the
-trees, the other half sets a threshold for each kind at a precision of ``PRECISION``. Accepted candidates are added
-where no base span lies. The trees are written out as one SQL expression, so scoring is a projection.
+all other candidates are left out of training, and only they can be added. Half of all examples train the trees, the
+other half set a threshold for each kind at a precision of ``PRECISION``; examples with the same features are one row
+with their number as its weight. Accepted candidates are added where no base span lies. The trees are written out as
+one SQL expression, so scoring is a projection.
 
 Null texts count as empty. Null or repeated ``doc_id``: each row is answered by itself. Other columns are ignored;
 an empty table gives no rows. With too few examples of either class no span is added.
@@ -16,6 +17,7 @@ an empty table gives no rows. With too few examples of either class no span is a
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -24,8 +26,8 @@ from pyspark.sql import functions as F
 from toolcat.llm.common import materialize, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
-#: Bounds of the training sample, least examples of each kind, and the precision that the threshold keeps.
-SAMPLE, LEAST, PRECISION = 20_000, 50, 0.98
+#: Least examples of each label in each half, and the precision that the threshold keeps.
+LEAST, PRECISION = 50, 0.98
 TREES, DEPTH = 10, 3
 
 # The same leftmost matches as the plain patterns: a match can only start where a run does, or where the last one
@@ -204,19 +206,16 @@ def train(proposed: DataFrame) -> Callable[[Column], Column] | None:
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    known = proposed.filter(F.col("label").isNotNull())
-    total = known.count()
-    if not total:
-        return None
-    order = F.pmod(F.xxhash64("key", "start"), F.lit(1_000_003))
-    share = min(1.0, SAMPLE / total)
-    sample = known.filter(order < int(share * 1_000_003) + 1).limit(2 * SAMPLE).coalesce(4)
-    sample = materialize(sample.select(*FEATURES, "label", (order % 2).alias("half")), "candidates")
-    sizes = {(r["half"], r["label"]): r["count"] for r in sample.groupBy("half", "label").count().collect()}
+    half = F.pmod(F.xxhash64("key", "start"), F.lit(1_000_003)) % 2
+    known = proposed.filter(F.col("label").isNotNull()).withColumn("half", half)
+    known = materialize(known.groupBy(*FEATURES, "label", "half").agg(F.count("*").cast("double").alias("weight")), "candidates")
+    counts = known.groupBy("half", "label").agg(F.sum("weight").alias("n"), F.count("*").alias("rows")).collect()
+    sizes = {(r["half"], r["label"]): r["n"] for r in counts}
     if min(sizes.get((h, x), 0) for h in (0, 1) for x in (0.0, 1.0)) < LEAST:
         return None
-    packed = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample.filter("half = 0").coalesce(2))
-    model = GBTClassifier(labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=42).fit(packed)
+    bins = max(32, math.isqrt(sum(r["rows"] for r in counts)) + 1)  # MLlib takes splits from a sample beyond bins ** 2 rows
+    packed = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(known.filter("half = 0"))
+    model = GBTClassifier(labelCol="label", weightCol="weight", maxBins=bins, maxIter=TREES, maxDepth=DEPTH, seed=42).fit(packed)
     trees = [(t._java_obj.rootNode(), w) for t, w in zip(model.trees, model.treeWeights, strict=True)]
 
     def margin(value: Callable[[str], Column]) -> Column:
@@ -225,8 +224,8 @@ def train(proposed: DataFrame) -> Callable[[Column], Column] | None:
             out = out + _tree(root, value) * F.lit(float(weight))
         return out
 
-    held = sample.filter("half = 1").select("kind_rank", F.round(margin(F.col), 2).alias("m"), "label")
-    steps = held.groupBy("kind_rank", "m").agg(F.sum("label").alias("good"), F.count("*").alias("n")).orderBy(F.desc("m")).collect()
+    held = known.filter("half = 1").select("kind_rank", F.round(margin(F.col), 2).alias("m"), "label", "weight")
+    steps = held.groupBy("kind_rank", "m").agg(F.sum(F.col("label") * F.col("weight")).alias("good"), F.sum("weight").alias("n")).orderBy(F.desc("m")).collect()
     thresholds: dict[float, float] = {}
     sums: dict[float, list[float]] = {}
     for r in steps:  # at most one step for each kind and hundredth of the margin
