@@ -578,7 +578,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES, texts: DataFr
 
     id_type = sample.schema["doc_id"].dataType.simpleString()
     parts = sample.select("doc_id", "text", "toxic").mapInArrow(pack, f"ids array<{id_type}>, labels array<int>, packed binary")
-    parts = parts.orderBy(F.element_at("ids", 1)).collect()  # of at most ``limit`` examples, compressed
+    parts = sorted(parts.collect(), key=lambda p: p["ids"][0])  # of at most ``limit`` examples, compressed
     ids, marks = [i for p in parts for i in p["ids"]], [x for p in parts for x in p["labels"]]
     found = Examples(encoder, idf, tied_idf, [bytes(p["packed"]) for p in parts], ids, marks)
     del parts
@@ -594,7 +594,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES, texts: DataFr
                 [pa.array(numbers), pa.array(votes[:, 0]), pa.array(votes[:, 1]), pa.array(built.labels[numbers])], names=["id", "v", "w", "y"]
             )
 
-    votes = spark.range(len(ids)).mapInArrow(left_out, "id long, v double, w double, y double").orderBy("id").toArrow()
+    votes = spark.range(len(ids)).mapInArrow(left_out, "id long, v double, w double, y double").toArrow().sort_by("id")  # sorted here: sorting in Spark computes all twice
     v, w, y = (votes.column(c).to_numpy() for c in ("v", "w", "y"))
     return Scorer(indexed, np.column_stack([v, w]).reshape(-1, 2), y), rows
 
