@@ -60,6 +60,42 @@ def test_block_max_index_is_exact(monkeypatch):
             assert np.allclose(cosines, best) and np.allclose(every[at], cosines)
 
 
+def test_block_max_index_with_few_blocks_and_copies():
+    rng = np.random.default_rng(5)
+    for size, k, block in ((0, 3, 4), (1, 3, 4), (30, 25, 4), (300, 25, 64), (300, 3, 4)):
+        rows = (rng.random((size, 50)) < 0.2) * rng.random((size, 50)).round(1)
+        rows[size // 2 :] = rows[size // 2] if size else rows  # one large group of copies
+        rows = np.column_stack([rows, np.arange(size) % 7 == 0, np.full(size, 0.5)]).astype(np.float32)
+        rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+        own, term = np.nonzero(rows)
+        begin = np.searchsorted(own, np.arange(size + 1))
+        index = toxicity.BlockMaxIndex(begin, term, rows[own, term], 53, block=block)
+        wide = [*rows[:: max(1, size // 60)], np.zeros(52), np.eye(52)[3]]
+        query = [np.flatnonzero(q) for q in wide]
+        cuts, weight = np.cumsum([0, *map(len, query)]), np.concatenate([q[t] for q, t in zip(wide, query, strict=True)])
+        for q, (at, cosines) in zip(wide, index.nearest(cuts, np.concatenate(query), weight, k), strict=True):
+            every = rows.astype(float) @ q
+            best = np.sort(every[every > 0])[::-1][:k]
+            assert len(set(at.tolist())) == len(at) == len(best) and np.allclose(cosines, best) and np.allclose(every[at], cosines)
+        for n, (at, cosines) in enumerate(index.nearest_others(np.arange(size), k)):
+            every = rows.astype(float) @ rows[n]
+            every[n] = 0
+            assert n not in at and np.allclose(cosines, np.sort(every[every > 0])[::-1][:k])
+
+
+def test_encoder_gives_a_text_the_same_arrays_whatever_came_before():
+    text, words = "pathetic north stone north ABCDEF river", [b"river", b"north", b"stone", b"abcdef", b"pathetic"]
+    hashes, tied = np.sort(toxicity.word_hashes(words)), [b"^path", b"pathetic", b"^abcde", b"sea"]
+    used, fresh = toxicity.Encoder(hashes, tied), toxicity.Encoder(hashes, tied)
+    used(["river stone sea", "abcdef", "north pathetic unknown"])
+    (begin, numbers, counts), (own_begin, own, own_counts) = used([text, "", "sea abcd pathogen"])
+    for got, want in zip((*used([text])[0], *used([text])[1]), (*fresh([text])[0], *fresh([text])[1]), strict=True):
+        assert got.tolist() == want.tolist()
+    assert begin.tolist() == [0, 5, 5, 5] and numbers.tolist() == [0, 1, 2, 3, 4]
+    assert dict(zip(hashes[numbers].tolist(), counts.tolist(), strict=True)) == dict(zip(toxicity.word_hashes(words).tolist(), (1, 2, 1, 1, 1), strict=True))
+    assert own_begin.tolist() == [0, 3, 3, 5] and own.tolist() == [0, 1, 2, 0, 3] and own_counts.tolist() == [1] * 5
+
+
 def toxic_corpus(n=1200):
     rng = random.Random(9)
     words, bad = [f"word{i}" for i in range(300)], ["vilea", "vileb", "grim"]

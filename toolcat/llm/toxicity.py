@@ -4,9 +4,10 @@ Examples are a bounded sample of the labelled documents. Every whole text become
 the examples, whose document frequencies are counted over all documents, and its nearest examples by cosine are found
 exactly: postings lie in blocks of examples with the largest weight of each. Lists of rarer words are added first;
 what the frequent words can still add to a block is bounded by its largest weights, and only groups of blocks whose
-bound reaches the k-th best so far are completed, for many texts at once. A second vector of the same kind holds only
-the words, and starts of words, that the examples tie to the label. The neighbours' votes, weighted by their
-distance, are weighed against each other and calibrated on the examples themselves, each held against all others.
+bound reaches the k-th best of the most promising group are completed, for many texts at once. A second vector of the
+same kind holds only the words, and starts of words, that the examples tie to the label. The neighbours' votes, weighted
+by their distance, are weighed against each other and calibrated on the examples themselves, each held against all
+others.
 
 Null texts count as empty. A text that shares no word with an example gets the share of toxic ones among examples without words.
 Null ``doc_id``: scored like any other, never an example, ``held_out`` null. Repeated rows are scored each; a
@@ -19,7 +20,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -119,7 +120,9 @@ class Encoder:
         """hashes: the sorted hashes of all words of the examples; other words are passed over. slots: words that are
         remembered at once."""
         self.hashes, self.tied, self.slots = hashes, {t: i for i, t in enumerate(tied)}, slots
-        self.heads = {t.removeprefix(b"^")[: _PREFIXES[0]] for t in tied}  # words that begin otherwise have no tied feature
+        starts, short = [t.removeprefix(b"^") for t in tied], _PREFIXES[0]
+        # Words that begin otherwise have no tied feature.
+        self.heads, self.longer = {t for t in starts if len(t) <= short}, {t[: short + 1] for t in starts if len(t) > short}
         self._forget()
 
     def _forget(self) -> None:
@@ -139,29 +142,29 @@ class Encoder:
             self.number = np.concatenate([self.number, np.full(len(self.number) + len(fresh), -1, dtype=np.int32)])
         self.number[begin : begin + len(fresh)] = np.where(known, at, -1)
         self.of.update(zip(fresh, range(begin, begin + len(fresh)), strict=True))
-        heads, short = self.heads, _PREFIXES[0]
+        heads, longer, short = self.heads, self.longer, _PREFIXES[0]
         for n, w in enumerate(fresh):
-            if w[:short] in heads and (own := [self.tied[f] for f in features_of(w) if f in self.tied]):
+            if (w[:short] in heads or w[: short + 1] in longer) and (own := [self.tied[f] for f in features_of(w) if f in self.tied]):
                 self.own[begin + n] = own
 
     def __call__(self, texts: list[str]) -> tuple[tuple, tuple]:
-        """For words and for tied features: where each text's begin, with the end of the last; their numbers; and how
-        often each occurs."""
-        split = list(map(words_of, texts))
+        """For words and for tied features: where each text's begin, with the end of the last; their numbers, ascending;
+        and how often each occurs."""
+        split = [Counter(words_of(t)) for t in texts]
         sizes = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
         flat = list(chain.from_iterable(split))
         if len(self.of) > self.slots:
             self._forget()
-        slots = list(map(self.of.get, flat))
-        if None in slots:
-            self._learn(list({w for w, x in zip(flat, slots, strict=True) if x is None}))
-            of = self.of
-            slots = [of[w] if x is None else x for w, x in zip(flat, slots, strict=True)]
-        key = np.repeat(np.arange(len(texts)), sizes) << 32 | np.array(slots, dtype=np.int64)
-        key, counts = np.unique(key, return_counts=True)
-        text, slot = key >> 32, key & 0xFFFFFFFF
-        number = self.number[slot]
-        some = number >= 0
+        slot = np.fromiter(map(self.of.get, flat, repeat(-1)), dtype=np.int64, count=len(flat))
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            fresh = [flat[i] for i in new.tolist()]
+            self._learn(list(dict.fromkeys(fresh)))
+            slot[new] = list(map(self.of.__getitem__, fresh))
+        counts = np.fromiter(chain.from_iterable(c.values() for c in split), dtype=np.int64, count=len(flat))
+        text, number = np.repeat(np.arange(len(texts)), sizes), self.number[slot]
+        some = np.flatnonzero(number >= 0)
+        some = some[np.argsort(text[some] << 32 | number[some])]
         words = np.searchsorted(text[some], np.arange(len(texts) + 1)), number[some], counts[some].astype(np.int32)
         tied: list[tuple[int, int]] = []
         weights: list[int] = []
@@ -256,108 +259,119 @@ class BlockMaxIndex:
 
     def __init__(self, begin: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int, block: int = BLOCK):
         """begin: where each vector's entries begin, with the end of the last; term, weight: the entries."""
-        self.begin, self.term, self.weight, self.block = begin, term, weight.astype(np.float32, copy=False), block
+        self.begin, self.weight, self.block = begin, weight.astype(np.float32, copy=False), block
         self.size = len(begin) - 1
         self.span = block * GROUP
         padded = -(-self.size // self.span) * self.span
         sizes = np.diff(begin)
         lengths = np.bincount(term, minlength=terms)
-        often = np.argsort(-lengths, kind="stable")[:FREQUENT]
-        often = often[lengths[often] * SPREAD > self.size]
-        self.column = np.full(terms, -1, dtype=np.int32)  # by term: its column among the frequent ones
-        self.column[often] = np.arange(len(often))
-        docs, at = np.repeat(np.arange(self.size, dtype=np.int32), sizes), self.column[term].astype(np.int16)
+        order = np.argsort(-lengths, kind="stable")
+        # By term: its number here. The more frequent, the lower, so that what is read often lies together.
+        self.number = np.empty(terms, dtype=np.int32)
+        self.number[order] = np.arange(terms)
+        self.term, lengths = self.number[term], lengths[order]
+        often = int((lengths[:FREQUENT] * SPREAD > self.size).sum())
+        docs = np.repeat(np.arange(self.size, dtype=np.int32), sizes)
         # Sums in single precision find candidates; their cosines are computed again in double precision.
-        self.rows = np.zeros((padded, len(often)), dtype=np.float32)
-        held = np.flatnonzero(at >= 0)
-        self.rows[docs[held], at[held]] = self.weight[held]
+        self.rows = np.zeros((padded, often), dtype=np.float32)
+        held = np.flatnonzero(self.term < often)
+        self.rows[docs[held], self.term[held]] = self.weight[held]
         del held
-        self.most = self.rows.reshape(padded // block, block, len(often)).max(axis=1) if padded else self.rows
-        rare = np.flatnonzero(at < 0).astype(np.int32)
-        rare = rare[np.argsort(term[rare], kind="stable")]
-        self.docs, self.weights = docs[rare], self.weight[rare]
-        self.post = np.concatenate([[0], np.cumsum(np.where(self.column < 0, lengths, 0))]).astype(np.int64)
-        self.dense = np.zeros(terms)
-
-    def nearest(
-        self, begin: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int, leave_out: np.ndarray | None = None
-    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        self.most = self.rows.reshape(padded // block, block, often).max(axis=1) if padded else self.rows
+        rare = np.flatnonzero(self.term >= often).astype(np.int32)
+        rare = rare[np.argsort(self.term[rare], kind="stable")]
+        self.postings = np.empty(len(rare), dtype=np.int64)  # pairs of a vector and its weight
+        self.postings.view(np.int32)[::2], self.postings.view(np.float32)[1::2] = docs[rare], self.weight[rare]
+        lengths[:often] = 0
+        self.post = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+        self.dense = np.zeros(terms, dtype=np.float32)
+
+    def nearest(self, begin: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int, leave_out: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each query, positions and cosines of the k nearest vectors with a positive cosine; ties go to the
         first. leave_out: for each query a vector that doesn't count."""
-        out = []
-        for a in range(0, len(begin) - 1, QUERIES):
-            b = min(a + QUERIES, len(begin) - 1)
-            own = slice(begin[a], begin[b])
-            out += self._nearest(begin[a : b + 1] - begin[a], term[own], weight[own], k, None if leave_out is None else leave_out[a:b])
+        return self._all_nearest(begin, self.number[term], weight, k, leave_out)
+
+    def nearest_others(self, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The same for some of the vectors, each without itself."""
+        return self._all_nearest(*_taken((self.begin, self.term, self.weight), own), k, own)
+
+    def _all_nearest(self, begin, term, weight, k, leave_out) -> list[tuple[np.ndarray, np.ndarray]]:
+        out = [(np.zeros(0, dtype=np.int64), np.zeros(0))] * (len(begin) - 1)
+        some = np.flatnonzero(np.diff(begin)) if self.size else np.zeros(0, dtype=np.int64)
+        for a in range(0, len(some), QUERIES):
+            queries = some[a : a + QUERIES]
+            cuts = np.append(begin[queries], begin[queries[-1] + 1])
+            own = slice(cuts[0], cuts[-1])
+            found = self._nearest(cuts - cuts[0], term[own], weight[own], k, None if leave_out is None else leave_out[queries])
+            for q, x in zip(queries.tolist(), found, strict=True):
+                out[q] = x
         return out
 
     def _nearest(self, begin, term, weight, k, leave_out) -> list[tuple[np.ndarray, np.ndarray]]:
-        n, padded = len(begin) - 1, len(self.rows)
-        if not self.size:
-            return [(np.zeros(0, dtype=np.int64), np.zeros(0))] * n
-        sums, column = np.zeros((n, padded), dtype=np.float32), self.column[term]
-        frequent = np.zeros((n, self.rows.shape[1]), dtype=np.float32)
-        frequent[np.repeat(np.arange(n), np.diff(begin))[column >= 0], column[column >= 0]] = weight[column >= 0]
+        n, (padded, often) = len(begin) - 1, self.rows.shape
+        sums, frequent = np.zeros((n, padded), dtype=np.float32), np.zeros((n, often), dtype=np.float32)
+        held = np.flatnonzero(term < often)
+        frequent[np.repeat(np.arange(n), np.diff(begin))[held], term[held]] = weight[held]
         first, last = self.post[term], self.post[term + 1]
         rare = np.flatnonzero(last > first)
         cuts = np.searchsorted(rare, begin)
         for q in range(n):
             own = rare[cuts[q] : cuts[q + 1]]
             if len(own):
-                parts = list(map(slice, first[own].tolist(), last[own].tolist()))
-                docs, weights = (np.concatenate([x[p] for p in parts]) for x in (self.docs, self.weights))
-                weights *= np.repeat(weight[own].astype(np.float32), last[own] - first[own])
-                sums[q] = np.bincount(docs, weights, minlength=padded)
+                found = np.concatenate([self.postings[a:b] for a, b in zip(first[own].tolist(), last[own].tolist(), strict=True)])
+                weights = found.view(np.float32)[1::2] * np.repeat(weight[own].astype(np.float32), last[own] - first[own])
+                sums[q] = np.bincount(found.view(np.int32)[::2], weights, minlength=padded)
         if leave_out is not None:
             sums[np.arange(n), leave_out] = -np.inf
         # What a vector of each block can reach at most.
         bounds = sums.reshape(n, -1, self.block).max(axis=2) + frequent @ self.most.T + np.float32(1e-5)
         bounds = bounds.reshape(n, -1, GROUP).max(axis=2)
-        least, found = np.zeros(n, dtype=np.float32), [[] for _ in range(n)]
 
-        def complete(group: int, queries: np.ndarray) -> None:
+        def complete(group: int, queries: np.ndarray) -> np.ndarray:
             own = slice(group * self.span, (group + 1) * self.span)
             whole = frequent[queries] @ self.rows[own].T
             whole += sums[queries, own]
-            reach = whole >= np.maximum(least[queries] - np.float32(1e-5), np.float32(1e-9))[:, None]
-            many = np.flatnonzero(reach.sum(axis=1) >= k)
-            if len(many) and self.span > k:
-                kth = np.partition(whole[many], self.span - k, axis=1)[:, self.span - k]
-                least[queries[many]] = np.maximum(least[queries[many]], kth)
-                reach[many] &= whole[many] >= (kth - np.float32(1e-5))[:, None]
-            q, at = np.nonzero(reach)
-            cuts = np.searchsorted(q, np.arange(len(queries) + 1))
-            values = whole[q, at]
-            at += own.start
-            for i, (x, y) in zip(queries.tolist(), zip(cuts.tolist(), cuts[1:].tolist(), strict=False), strict=True):
-                if y > x:
-                    found[i].append((at[x:y], values[x:y]))
-
-        best = bounds.argmax(axis=1)
+            sums[queries, own] = whole
+            return whole
+
+        best, least = bounds.argmax(axis=1), np.zeros(n, dtype=np.float32)
         for group in np.unique(best).tolist():  # the most promising group of each query sets what others must reach
-            complete(group, np.flatnonzero(best == group))
+            queries = np.flatnonzero(best == group)
+            whole = complete(group, queries)
+            if self.span > k:
+                least[queries] = np.partition(whole, self.span - k, axis=1)[:, self.span - k]
         for group in range(bounds.shape[1]):
             queries = np.flatnonzero((best != group) & (bounds[:, group] >= least) & (bounds[:, group] > 1e-5))
             if len(queries):
                 complete(group, queries)
+        # Sums that were not completed are below what k vectors reach. So do k blocks reach the k-th largest of the blocks' best.
+        blocks = sums.reshape(-1, self.block)
+        most = blocks.max(axis=1).reshape(n, -1)
+        if most.shape[1] > k:
+            least = np.maximum(least, np.partition(most, most.shape[1] - k, axis=1)[:, most.shape[1] - k])
+        least = np.maximum(least - np.float32(2e-5), np.float32(1e-9))
+        near = np.flatnonzero(most >= least[:, None])
+        query = near // most.shape[1]
+        row, at = np.nonzero(blocks[near] >= least[query][:, None])
+        query, at = query[row], near[row] % most.shape[1] * self.block + at
+        about, cuts = sums[query, at], np.searchsorted(query, np.arange(n + 1))
         out = []
         for q in range(n):
-            out.append(self._exact(term[begin[q] : begin[q + 1]], weight[begin[q] : begin[q + 1]], found[q], k))
+            own, found = slice(begin[q], begin[q + 1]), slice(cuts[q], cuts[q + 1])
+            out.append(self._exact(term[own], weight[own], at[found], about[found], k))
         return out
 
-    def _exact(self, term, weight, found, k) -> tuple[np.ndarray, np.ndarray]:
-        if not found:
+    def _exact(self, term, weight, at, about, k) -> tuple[np.ndarray, np.ndarray]:
+        if not len(at):
             return np.zeros(0, dtype=np.int64), np.zeros(0)
-        at, about = (np.concatenate(x) for x in zip(*found, strict=True))
         if len(at) > k:
             keep = about >= np.partition(about, len(at) - k)[len(at) - k] - 2e-5
             at = at[keep]
-        at = np.sort(at)
         self.dense[term] = weight
         parts = list(map(slice, self.begin[at].tolist(), self.begin[at + 1].tolist()))
         sizes = self.begin[at + 1] - self.begin[at]
         terms, weights = (np.concatenate([x[p] for p in parts]) for x in (self.term, self.weight))
-        cosines = np.add.reduceat(self.dense[terms] * weights, np.cumsum(sizes) - sizes)
+        cosines = np.add.reduceat(np.multiply(self.dense.take(terms), weights, dtype=np.float64), np.cumsum(sizes) - sizes)
         self.dense[term] = 0.0
         keep = np.lexsort((at, -cosines))[:k]
         keep = keep[cosines[keep] > 0]
@@ -427,13 +441,11 @@ class Examples:
         """The two votes for some of the examples by the others."""
         votes = np.full((len(numbers), 2), (self.base, self.tied_base))
         index, tied = self.index, self.tied_index
-        begin, term, weight = _taken((index.begin, index.term, index.weight), numbers)
-        for n, (at, cosines) in enumerate(index.nearest(begin, term, weight, self.k, numbers)):
+        for n, (at, cosines) in enumerate(index.nearest_others(numbers, self.k)):
             votes[n, 0] = self._vote(self.labels[at], cosines, self.base)
         place = self.place[numbers]
         some = np.flatnonzero(place >= 0)
-        begin, term, weight = _taken((tied.begin, tied.term, tied.weight), place[some])
-        for n, (at, cosines) in zip(some.tolist(), tied.nearest(begin, term, weight, self.k, place[some]), strict=True):
+        for n, (at, cosines) in zip(some.tolist(), tied.nearest_others(place[some], self.k), strict=True):
             votes[n, 1] = self._vote(self.labels[self.owners[at]], cosines, self.tied_base)
         return votes
 
